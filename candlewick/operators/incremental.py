@@ -34,6 +34,7 @@ def exclude_existing(
     derived: Mapping[str, Column] | None = None,
     policy: str = FIRST_WINS,
     version: str = "_ingested_at",
+    key_range: tuple[str, object, object] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` does not hold yet. ``None`` stands for no target table.
 
@@ -42,12 +43,17 @@ def exclude_existing(
     as well if its ``version`` is newer than the newest one stored.
 
     Existing keys are made unique before the shuffle (the target may hold a key many times); the
-    batch side is left whole, and AQE can split a key that is hot there.
+    batch side is left whole, and AQE can split a key that is hot there. ``key_range`` (a key column
+    and the batch's smallest and largest value of it, see :func:`value_range`) limits the stored rows
+    that are read: the filter reaches the scan, and a batch of a few days skips years of history.
     """
     if policy not in (FIRST_WINS, LATEST_WINS):
         raise ValueError(f"unknown policy {policy!r}")
     if existing is None:
         return batch
+    if key_range is not None:
+        column, low, high = key_range
+        existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
     derived = dict(derived or {})
     on = [*keys, *derived]
     columns = [F.col(f"`{c}`") for c in batch.columns]
@@ -71,6 +77,13 @@ def exclude_existing(
     return hashed.join(renamed, held, "left_anti").select(*columns)
 
 
+def value_range(batch: DataFrame, column: str) -> tuple[str, object, object]:
+    """The column with its smallest and largest value. Runs now: a filter reaches a file scan only with
+    values that are known when the query is planned."""
+    row = batch.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    return column, row.low, row.high
+
+
 def exclude_identical(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Rows of ``batch`` that ``existing`` does not hold in identical form; NULL equals NULL.
 

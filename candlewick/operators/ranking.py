@@ -52,34 +52,38 @@ def event_sequence(
     """Number the events of each key, newest date first, ``id_col`` ascending within a date.
 
     A key's whole history is never sorted in one task. Rows are numbered inside blocks of
-    (key, date[, id block]); the number of rows in the newer blocks of the key is added to that.
-    Those counts are aggregated before they are shuffled, so only one row per block travels.
+    (key, date[, id block]); the number of rows in the earlier blocks of the key is added to that.
+    Block counts are aggregated before they are shuffled, so one row per block and task travels, and
+    a window over them sees one row per date of a key, or per id block of a date.
     ``id_block`` must grow with ``id_col`` (a prefix, ``floor(id / n)``); give it where a single
     date of a single key can be large.
     """
-    blocks = [F.col(date_col).alias("_b_date")]
-    block_order = [F.col("_b_date").desc_nulls_last()]
-    names = [key, "_b_date"]
+    # Wrapped in structs, NULL keys and dates group, partition and join like any other value.
+    parts = {"_key": F.struct(key), "_day": F.struct(F.col(date_col).alias("d"))}
     if id_block is not None:
-        blocks.append(id_block.alias("_b_id"))
-        block_order.append(F.col("_b_id").asc_nulls_last())
-        names.append("_b_id")
-
-    placed = df.select("*", *blocks)
-    newer = Window.partitionBy(key).orderBy(*block_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*names, F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_before"))
-    )
-    within = Window.partitionBy(*names).orderBy(F.col(id_col).asc_nulls_last())
-    numbered = placed.withColumn("_at", F.row_number().over(within))
-    same_block = None
-    for column in names:
-        term = numbered[column].eqNullSafe(offsets[column])
-        same_block = term if same_block is None else same_block & term
-    # eqNullSafe keeps rows without a key or date, in blocks of their own.
-    return numbered.join(offsets, same_block, "inner").select(
-        *[numbered[c] for c in df.columns],
-        (F.col("_before") + F.col("_at")).cast("long").alias(name),
+        parts["_part"] = F.struct(id_block.alias("p"))
+    placed = df.select("*", *[expr.alias(n) for n, expr in parts.items()])
+    earlier_rows = (Window.unboundedPreceding, -1)
+
+    def rows_before(scope: Sequence[str], order: Column) -> Column:
+        window = Window.partitionBy(*scope).orderBy(order).rowsBetween(*earlier_rows)
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    blocks = placed.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+    newer_days = rows_before(["_key"], F.col("_day.d").desc_nulls_last())
+    if id_block is None:
+        offsets = blocks.select(*parts, newer_days.alias("_before"))
+    else:
+        days = placed.groupBy("_key", "_day").agg(F.count(F.lit(1)).alias("_n"))
+        smaller_ids = rows_before(["_key", "_day"], F.col("_part.p").asc_nulls_last())
+        offsets = (
+            blocks.select(*parts, smaller_ids.alias("_in_day"))
+            .join(days.select("_key", "_day", newer_days.alias("_newer")), ["_key", "_day"])
+            .select(*parts, (F.col("_newer") + F.col("_in_day")).alias("_before"))
+        )
+    within = Window.partitionBy(*parts).orderBy(F.col(id_col).asc_nulls_last())
+    return (
+        placed.withColumn("_at", F.row_number().over(within))
+        .join(offsets, list(parts), "inner")
+        .select(*df.columns, (F.col("_before") + F.col("_at")).cast("long").alias(name))
     )

@@ -16,7 +16,7 @@ from candlewick.operators import (
     idempotency_report,
     split_null_keys,
 )
-from candlewick.operators.incremental import FIRST_WINS, any_null, exclude_identical
+from candlewick.operators.incremental import FIRST_WINS, any_null, exclude_identical, value_range
 from candlewick.sources.landing import read_landing
 from candlewick.sources.registry import CORRUPT, TABLES
 from candlewick.sources.tables import append_table, replace_table, table_or_none
@@ -58,29 +58,50 @@ def rejected_values(envelopes: DataFrame, table: str) -> DataFrame:
 
 
 def new_rows(
-    rows: DataFrame, existing: DataFrame | None, table: str, *, policy: str = FIRST_WINS
+    rows: DataFrame,
+    existing: DataFrame | None,
+    table: str,
+    *,
+    policy: str = FIRST_WINS,
+    key_range: tuple[str, object, object] | None = None,
 ) -> DataFrame:
     """The projected rows of a batch that a load would append to ``existing``."""
     spec = TABLES[table]
     keyed, _ = split_null_keys(rows, spec.keys)
     return exclude_existing(
-        structured(keyed, table), existing, spec.keys, derived=spec.derived_keys(), policy=policy
+        structured(keyed, table),
+        existing,
+        spec.keys,
+        derived=spec.derived_keys(),
+        policy=policy,
+        key_range=key_range,
     )
 
 
 def append_batch(
-    spark: SparkSession, envelopes: DataFrame, table: str, target: str, *, policy: str = FIRST_WINS
+    spark: SparkSession,
+    envelopes: DataFrame,
+    table: str,
+    target: str,
+    *,
+    policy: str = FIRST_WINS,
+    small_batch: bool = False,
 ) -> dict[str, int]:
     """Append the rows with new keys to ``target``; rows without a key go to its quarantine table.
 
     Returns both row counts, observed while writing. The write also counts the rows without a key, so
-    the envelopes are parsed a second time only if there are any.
+    the envelopes are parsed a second time only if there are any. With ``small_batch`` the lookup of
+    known keys is limited to the batch's range of the table's time key, if it has one.
     """
     spec = TABLES[table]
     rows = project(envelopes, table)
     parsed, written = Observation(), Observation()
     counted = rows.observe(parsed, F.count_if(any_null(spec.keys)).alias("unkeyed"))
-    fresh = new_rows(counted, table_or_none(spark, target), table, policy=policy)
+    existing = table_or_none(spark, target)
+    key_range = None
+    if small_batch and existing is not None and spec.range_key:
+        key_range = value_range(rows, spec.range_key)
+    fresh = new_rows(counted, existing, table, policy=policy, key_range=key_range)
     append_table(fresh.observe(written, F.count(F.lit(1)).alias("rows")), target)
     counts = {"appended": written.get.get("rows", 0), "quarantined": 0}
     if parsed.get.get("unkeyed") != 0:
@@ -113,7 +134,12 @@ def load_table(
 ) -> dict[str, int]:
     """Load one typed table from the landing folder of its source."""
     return append_batch(
-        spark, landed(spark, landing_root, table, since), table, target, policy=policy
+        spark,
+        landed(spark, landing_root, table, since),
+        table,
+        target,
+        policy=policy,
+        small_batch=since is not None,
     )
 
 
@@ -137,7 +163,12 @@ def load_bronze(
                 if sources.count(spec.source) > 1:
                     envelopes = shared[spec.source] = envelopes.drop(CORRUPT).persist()
             counts[table] = append_batch(
-                spark, envelopes, table, f"{schema}.{table}", policy=policy
+                spark,
+                envelopes,
+                table,
+                f"{schema}.{table}",
+                policy=policy,
+                small_batch=since is not None,
             )
     finally:
         for envelopes in shared.values():

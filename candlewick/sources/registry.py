@@ -166,6 +166,7 @@ class BronzeTable:
     ``unique_in_batch`` is set where a batch itself is made unique; the other tables keep every
     version that a batch brings and leave the choice to the cleaned layer.
     ``text_casts`` lists text fields whose cast happens here, for the rejected-value count.
+    ``range_key`` is a key column that grows with time, by which a small batch limits its lookup.
     """
 
     name: str
@@ -176,12 +177,15 @@ class BronzeTable:
     unique_in_batch: bool = False
     explode: str | None = None
     text_casts: Mapping[str, str] = field(default_factory=dict)
+    range_key: str | None = None
 
 
 TABLES: Mapping[str, BronzeTable] = {
     t.name: t
     for t in (
-        BronzeTable("daily_bars", "daily_bars", _bars, ("ticker", "trade_date")),
+        BronzeTable(
+            "daily_bars", "daily_bars", _bars, ("ticker", "trade_date"), range_key="trade_date"
+        ),
         BronzeTable(
             "ticker_overview", "ticker_overview", _overview, ("ticker",), derived_keys=_ingested_day
         ),

@@ -28,7 +28,9 @@ def stream_table(
     """
 
     def append(batch: DataFrame, _epoch: int) -> None:
-        append_batch(batch.sparkSession, batch, table, target, policy=policy)
+        append_batch(
+            batch.sparkSession, batch, table, target, policy=policy, small_batch=True
+        )
 
     envelopes = read_landing_stream(
         spark, landing_root, TABLES[table].source, max_files_per_batch=max_files_per_batch
