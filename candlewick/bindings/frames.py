@@ -38,7 +38,7 @@ def bronze_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price / F.col("l_quantity")).alias("vwap"),
         F.col("l_linenumber").cast("long").alias("transaction_count"),
         F.timestamp_seconds("l_orderkey").alias("_ingested_at"),
-        F.concat(padded("l_linenumber", 2), F.lit("/"), padded("l_partkey")).alias("_source_file"),
+        text("l_partkey").alias("_source_file"),
     )
 
 

@@ -13,8 +13,7 @@ bronze_bars AS (
          l_extendedprice / l_quantity AS vwap,
          CAST(l_linenumber AS BIGINT) AS transaction_count,
          to_timestamp(l_orderkey) AT TIME ZONE 'UTC' AS _ingested_at,
-         lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || '/' ||
-           lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS _source_file
+         CAST(l_partkey AS VARCHAR) AS _source_file
   FROM lineitem),
 stg_daily_bars AS (
   SELECT * FROM bronze_bars

@@ -70,6 +70,13 @@ def landing_envelope(spark, sf):
     )
 
 
+def _stored(spark, df: DataFrame) -> DataFrame:
+    """Written once below the shared folder and read back, as the build does between its layers."""
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _landed(spark, sf, feed: DataFrame, source: str, **options) -> DataFrame:
     """Land a feed below the shared folder, and read the files back with the fixed schema."""
     root = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
@@ -644,7 +651,9 @@ def _bronze(spark, sf) -> dict[str, DataFrame]:
 @query
 def dq_report(spark, sf):
     """All 49 tests over the built tables."""
-    staged = {name: silver.stage(rows, name) for name, rows in _bronze(spark, sf).items()}
+    staged = {
+        name: _stored(spark, silver.stage(rows, name)) for name, rows in _bronze(spark, sf).items()
+    }
     bars = gold.fct_daily_bars(staged["stg_daily_bars"])
     overview = staged["stg_ticker_overview"]
     history = op.scd2_history(overview, "ticker", gold.TRACKED, "snapshot_date")

@@ -40,19 +40,16 @@ def trend_label(fast: Column, slow: Column, band: float) -> Column:
     )
 
 
-def _plain(path: Column) -> Column:
-    """Path without scheme and authority: ``file:///a/b``, ``dbfs:/a/b`` and ``/a/b`` become ``/a/b``."""
-    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+_SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """``path`` below ``root``; both may carry a scheme, and ``root`` may end in slashes.
+    """``path`` below ``root``, without leading slashes.
 
-    NULL when the path is not below the root, so that a wrong root cannot pass for a prefix.
+    Both may carry a scheme and authority (``file:///a/b``, ``dbfs:/a/b``, ``/a/b`` name the same
+    folder), and ``root`` may end in slashes. NULL when the path is not below the root, so that a
+    folder whose name merely starts alike cannot pass for it.
     """
-    bare_root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
-    plain = _plain(path)
-    return F.when(
-        plain.startswith(bare_root),
-        F.ltrim(plain.substr(F.lit(len(bare_root) + 1), F.length(plain)), F.lit("/")),
-    )
+    bare_root = re.sub(f"^{_SCHEME}", "", root).rstrip("/")
+    below = rf"(?s)^{_SCHEME}\Q{bare_root}\E/+(.+)$"
+    return F.nullif(F.regexp_extract(path, below, 1), F.lit(""))

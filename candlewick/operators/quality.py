@@ -49,49 +49,61 @@ class Check:
         return f"{self.kind}_{self.model}_{'_'.join(self.columns)}"
 
 
-def _null_counts(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    """All NOT NULL tests of one model in a single scan without a key shuffle."""
+def _tests(model: str, counted: Sequence[tuple[Check, Column]]) -> Column:
+    """One (test_name, model, violations) struct per check, from aggregates."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(check.name).alias("test_name"),
+                F.lit(model).alias("model"),
+                F.coalesce(violations, F.lit(0)).cast("long").alias("violations"),
+            )
+            for check, violations in counted
+        ]
+    )
+
+
+def _null_pass(df: DataFrame, model: str, nulls: Sequence[Check]) -> DataFrame:
+    """All NOT NULL tests of a model in a single scan without a key shuffle."""
+    counted = [(c, F.count_if(F.col(c.columns[0]).isNull())) for c in nulls]
+    return df.agg(_tests(model, counted).alias("tests")).select(F.inline("tests"))
+
+
+def _key_pass(df: DataFrame, model: str, check: Check, nulls: Sequence[Check]) -> DataFrame:
+    """A uniqueness test and the model's NOT NULL tests in the same grouping: one scan, one shuffle of
+    counts that were aggregated per task before."""
+    hits = F.col("is_current") if check.kind == SINGLE_CURRENT else F.lit(True)
+    groups = df.groupBy(*check.columns).agg(
+        F.count_if(hits).alias("_hits"),
+        *[F.count_if(F.col(c.columns[0]).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)],
+    )
+    repeated = F.col("_hits") > 1
+    if check.kind == UNIQUE:
+        repeated = repeated & F.col(check.columns[0]).isNotNull()
     counted = [
-        F.struct(
-            F.lit(check.name).alias("test_name"),
-            F.lit(model).alias("model"),
-            F.coalesce(F.sum(F.col(check.columns[0]).isNull().cast("long")), F.lit(0)).alias(
-                "violations"
-            ),
-        )
-        for check in checks
+        *[(c, F.sum(f"_null_{i}")) for i, c in enumerate(nulls)],
+        (check, F.count_if(repeated)),
     ]
-    return df.agg(F.array(*counted).alias("tests")).select(F.inline("tests"))
-
-
-def _violating(df: DataFrame, check: Check) -> DataFrame:
-    if check.kind == UNIQUE:
-        return unique(df, check.columns[0])
-    if check.kind == COMBINATION:
-        return unique_combination(df, check.columns)
-    if check.kind == SINGLE_CURRENT:
-        return single_current(df, check.columns[0])
-    raise ValueError(f"unknown check {check.kind!r}")
+    return groups.agg(_tests(model, counted).alias("tests")).select(F.inline("tests"))
 
 
 def report(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """test_name, model, violations, status ('pass' or 'fail') for every check."""
+    """test_name, model, violations, status ('pass' or 'fail') for every check.
+
+    Violations are NULL rows for a NOT NULL test and repeated keys for the others. Each model is read
+    once, or once per uniqueness test if it has several.
+    """
     parts: list[DataFrame] = []
     for model, df in models.items():
         nulls = [c for c in checks if c.model == model and c.kind == NOT_NULL]
+        keyed = [c for c in checks if c.model == model and c.kind != NOT_NULL]
+        for check in keyed:
+            if check.kind not in (UNIQUE, COMBINATION, SINGLE_CURRENT):
+                raise ValueError(f"unknown check {check.kind!r}")
+            parts.append(_key_pass(df, model, check, nulls))
+            nulls = []
         if nulls:
-            parts.append(_null_counts(df, model, nulls))
-    for check in checks:
-        if check.kind != NOT_NULL:
-            parts.append(
-                _violating(models[check.model], check)
-                .agg(F.count(F.lit(1)).alias("violations"))
-                .select(
-                    F.lit(check.name).alias("test_name"),
-                    F.lit(check.model).alias("model"),
-                    "violations",
-                )
-            )
+            parts.append(_null_pass(df, model, nulls))
     status = F.when(F.col("violations") == 0, "pass").otherwise("fail")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 

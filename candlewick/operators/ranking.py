@@ -22,7 +22,8 @@ def top_k_recent(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     """The first ``k`` rows of each key in the given order.
 
     Spark turns ``row_number() <= k`` into a WindowGroupLimit that runs before the shuffle as
-    well, so a map task sends at most ``k`` rows per key and a hot key stays small.
+    well (for ``k`` up to the optimizer's limit of 1,000), so a map task sends at most ``k`` rows per
+    key and a hot key stays small.
     """
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(_RANK) <= k).drop(_RANK)

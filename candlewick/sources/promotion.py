@@ -3,34 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions import relative_path
+from candlewick.operators.incremental import value_range
+from candlewick.operators.joins import spread_join
 from candlewick.sources.landing import source_path
 from candlewick.sources.registry import SOURCES
 from candlewick.sources.tables import append_table, table_or_none
 
 
 def promoted_lines(lines: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """Lines (``value``, ``date``, ``relative_path``) of files the ledger does not list.
-
-    The ledger holds one row per file, the lines side is as large as Landing; AQE broadcasts the
-    ledger when it is small and splits a file that is hot when it is not.
-    """
+    """Lines, or files, whose ``relative_path`` the ledger does not list."""
     if ledger is None:
         return lines
-    return lines.join(ledger.select("relative_path"), "relative_path", "left_anti").select(
-        *lines.columns
-    )
+    return spread_join(lines, ledger, ["relative_path"], "left_anti")
+
+
+# Fixed value: the ASCII characters a path keeps unescaped in a URI, besides letters and digits.
+_URI_PATH = "/:@&=+$,;_-!.~'()*"
+
+
+def _escaped(root: str) -> str:
+    """``root`` as it appears in ``_metadata.file_path``, which is a URI (a blank is ``%20``)."""
+    return "".join(quote(c, safe=_URI_PATH) if c.isascii() else c for c in root)
 
 
 def _landed(spark: SparkSession, root: str, source: str) -> DataFrame:
     return spark.read.schema("value string").text(source_path(root, source)).select(
         "value",
         F.col("date").cast("date").alias("date"),
-        relative_path(F.col("_metadata.file_path"), root).alias("relative_path"),
+        relative_path(F.col("_metadata.file_path"), _escaped(root)).alias("relative_path"),
     )
 
 
@@ -45,10 +51,11 @@ def promote(
 ) -> None:
     """Copy the files not promoted yet, source by source, and enter them in the ledger.
 
-    The lines of a run keep their ``date=`` folder; the ledger keeps the original file names. The
-    files to copy are fixed before anything is written, in ``<ledger>__pending``: if a run stops
-    half way, the next one promotes the same files again (repeated lines fall to the later
-    dedup) and none is lost. ``since`` prunes older ``date=`` folders from the listing.
+    Lines keep their ``date=`` folder; the ledger keeps the original file names. The new files are
+    found first, from file paths alone, and fixed in ``<ledger>__pending``. Only the folders they
+    lie in are then read, and the first promotion of a source copies without any join. If a run
+    stops half way, the next one promotes the same files again: repeated lines fall to the later
+    dedup, none is lost. ``since`` leaves older ``date=`` folders out altogether.
     """
     for source in sources:
         lines = _landed(spark, src_root, source)
@@ -56,20 +63,27 @@ def promote(
             lines = lines.filter(F.col("date") >= F.lit(since).cast("date"))
         known = table_or_none(spark, ledger_table)
         if known is not None:
-            known = known.filter(F.col("source") == source)
+            known = known.filter(F.col("source") == source).select("relative_path")
+            known = None if known.isEmpty() else known
+        files = promoted_lines(lines.select("relative_path", "date").distinct(), known)
         pending = f"{ledger_table}__pending"
-        files = promoted_lines(
-            lines.select("relative_path", "date").distinct(), known
-        ).withColumn("source", F.lit(source))
-        files.write.format("parquet").mode("overwrite").saveAsTable(pending)
+        files.withColumn("source", F.lit(source)).write.format("parquet").mode(
+            "overwrite"
+        ).saveAsTable(pending)
         chosen = spark.table(pending)
-        if chosen.isEmpty():
-            continue
-        (
-            lines.join(chosen.select("relative_path"), "relative_path", "left_semi")
-            .select("value", "date")
-            .write.partitionBy("date")
-            .mode("append")
-            .text(source_path(dst_root, source))
+        if not chosen.filter(F.col("relative_path").isNull()).isEmpty():
+            raise ValueError(f"{src_root}: the files found there are not below that path")
+        if known is not None:
+            _, first, last = value_range(chosen, "date")
+            if first is None:
+                continue
+            lines = spread_join(
+                lines.filter(F.col("date").between(F.lit(first), F.lit(last))),
+                chosen.select("relative_path"),
+                ["relative_path"],
+                "left_semi",
+            )
+        lines.select("value", "date").write.partitionBy("date").mode("append").text(
+            source_path(dst_root, source)
         )
         append_table(chosen, ledger_table)

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
+    """The table, or None before its first write. A table that a stopped replacement has set aside is
+    brought back first: taking it for missing would start its history anew."""
+    if not spark.catalog.tableExists(name):
+        recover_table(spark, name)
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 

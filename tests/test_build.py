@@ -120,6 +120,16 @@ def test_promotion_with_trailing_slash_and_scheme(spark, db, tmp_path):
     assert spark.read.text(f"{tmp_path}/prod/splits").count() == 1
 
 
+def test_promotion_from_a_folder_with_unusual_characters(spark, db, tmp_path):
+    dev, prod = tmp_path / "dév area+50%(1)", tmp_path / "prod [2]"
+    lake.write(dev, "splits", "2026-08-17", [lake.split()])
+    for _ in range(2):
+        promote(spark, str(dev), str(prod), f"{db}.ledger", ["splits"])
+    paths = [r.relative_path for r in spark.table(f"{db}.ledger").collect()]
+    assert len(paths) == 1 and paths[0].startswith("splits/date=2026-08-17/")
+    assert len([p for p in prod.rglob("part-*")]) == 1
+
+
 @pytest.mark.parametrize("table", list(TABLES))
 def test_the_stream_equals_the_batch_load(spark, db, tmp_path, table):
     lake.fill(tmp_path / "landing", days=3)
