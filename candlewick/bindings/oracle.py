@@ -535,7 +535,7 @@ FROM with_return""",
     "fct_moving_averages": f"""WITH {BARS}, {AVERAGES}
 SELECT ticker, CAST(trade_date AS VARCHAR) AS trade_date, close_price,
        round(ma5, 8) AS moving_avg_5d, round(ma20, 8) AS moving_avg_20d,
-       round(ma50, 8) AS moving_avg_50d, round(vol20, 6) AS volatility_20d, {TREND} AS trend
+       round(ma50, 8) AS moving_avg_50d, round(vol20, 4) AS volatility_20d, {TREND} AS trend
 FROM with_averages""",
     "fct_volume_anomalies": f"""WITH {BARS}, {VOLUMES}
 SELECT ticker, CAST(trade_date AS VARCHAR) AS trade_date, volume, round(base, 8) AS avg_volume_20d,
@@ -547,7 +547,7 @@ SELECT r.ticker, CAST(r.trade_date AS VARCHAR) AS trade_date, r.close_price, r.v
        prev_close_price, round(r, 6) AS daily_return,
        CASE WHEN r IS NOT NULL THEN abs(r) >= 0.03 END AS is_significant_move,
        round(ma5, 8) AS moving_avg_5d, round(ma20, 8) AS moving_avg_20d,
-       round(ma50, 8) AS moving_avg_50d, round(vol20, 6) AS volatility_20d, {TREND} AS trend,
+       round(ma50, 8) AS moving_avg_50d, round(vol20, 4) AS volatility_20d, {TREND} AS trend,
        round(base, 8) AS avg_volume_20d,
        CASE WHEN base IS NOT NULL AND base <> 0 THEN round(r.volume / base, 6) END AS volume_ratio,
        CASE WHEN base IS NOT NULL AND base <> 0 THEN r.volume >= 2 * base END AS is_volume_spike

@@ -568,7 +568,7 @@ _AVERAGES = {
     "moving_avg_5d": 8,
     "moving_avg_20d": 8,
     "moving_avg_50d": 8,
-    "volatility_20d": 6,
+    "volatility_20d": 4,
 }
 
 

@@ -59,8 +59,10 @@ def asof_join(
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     if date_range is None:
-        bounds = fact.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-        date_range = (bounds.select("lo").scalar(), bounds.select("hi").scalar())
+        # One scalar subquery, used in several places and computed once.
+        ends = F.struct(F.min(date_col).alias("low"), F.max(date_col).alias("high"))
+        bounds = fact.agg(ends.alias("bounds")).scalar()
+        date_range = (bounds.getField("low"), bounds.getField("high"))
     low, high = date_range
 
     def bucket(day: Column) -> Column:

@@ -20,9 +20,10 @@ TRACKED = ("name", "primary_exchange", "sic_code", "type", "active", "currency_n
 
 
 def ticker_current_state(overview: DataFrame) -> DataFrame:
-    """Newest overview of each ticker, reduced to the tracked attributes."""
+    """Newest overview of each ticker, reduced to the tracked attributes. The cleaned overview has one
+    row per ticker and day, so no tie is left and untracked columns need not be read."""
     newest = [F.col(c).desc_nulls_last() for c in ("snapshot_date", "_ingested_at")]
-    return current_state(overview, "ticker", newest, TRACKED)
+    return current_state(overview, "ticker", newest, TRACKED, tiebreak=[])
 
 
 def dim_ticker(snapshot: DataFrame) -> DataFrame:
