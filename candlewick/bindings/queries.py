@@ -363,7 +363,7 @@ def idempotency_check(spark, sf):
     }
     before, after = [], []
     for name, rows in batches.items():
-        first = bronze.new_rows(rows, None, name)
+        first = _stored(spark, bronze.new_rows(rows, None, name))
         second = bronze.new_rows(rows, first, name)
         before.append(op.fingerprint(first, name))
         after.append(op.fingerprint(first.unionByName(second), name))
