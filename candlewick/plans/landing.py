@@ -24,11 +24,11 @@ REFERENCE_SOURCES = ("ticker_overview", "splits", "dividends")
 
 
 def on_watchlist(df: DataFrame, tickers: DataFrame | Iterable[str] = WATCHLIST) -> DataFrame:
-    """Rows of watched tickers. A table of tickers may be of any size; Spark decides on a broadcast."""
-    if not isinstance(tickers, DataFrame):
-        rows = [(t,) for t in tickers]
-        tickers = df.sparkSession.createDataFrame(rows, "ticker string")
-    return spread_join(df, tickers, ["ticker"], "left_semi")
+    """Rows of watched tickers. Names become a filter that reaches the scan; a table of tickers may be
+    of any size, is joined, and Spark decides on a broadcast by its size."""
+    if isinstance(tickers, DataFrame):
+        return spread_join(df, tickers, ["ticker"], "left_semi")
+    return df.filter(F.col("ticker").isin(*tickers))
 
 
 def date_window(df: DataFrame, day: Column, start: date | Column, end: date | Column) -> DataFrame:

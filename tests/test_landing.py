@@ -137,13 +137,18 @@ def test_watchlist_as_names_or_as_a_table(spark):
     assert [r.x for r in landing.on_watchlist(df, table).collect()] == [2]
 
 
-def test_date_filters_reach_the_scan(spark, tmp_path):
+def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "bars")
-    spark.createDataFrame([("AAPL", END, 1.0)], "ticker string, trade_date date, close_price double").write.parquet(path)
+    schema = "ticker string, trade_date date, close_price double"
+    spark.createDataFrame([("AAPL", END, 1.0)], schema).write.parquet(path)
     stored = spark.read.parquet(path)
-    ranged = landing.bars_range(stored, date(2026, 1, 1), END, ["AAPL"])
+    ranged = landing.bars_range(stored, date(2026, 1, 1), END, ["AAPL", "KO"])
     rolled = landing.rolling_window(stored, F.col("trade_date"), END, 5)
     for df, low in ((ranged, "2026-01-01"), (rolled, "2026-08-12")):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert f"GreaterThanOrEqual(trade_date,{low}), LessThanOrEqual(trade_date,2026-08-17)" in plan
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+        assert f"GreaterThanOrEqual(trade_date,{low})" in pushed
+        assert "LessThanOrEqual(trade_date,2026-08-17)" in pushed
+        assert ("In(ticker, [AAPL,KO])" in pushed) == (df is ranged)
+        assert "Join" not in plan
         assert df.count() == 1
