@@ -31,6 +31,8 @@ def main() -> int:
     args = _arguments()
     spark = build_session()
     lake = build.Lake(args.landing, args.bronze, args.silver, args.gold, args.ticker_buckets)
+    for schema in (args.bronze, args.silver, args.gold):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     load = {"landing_root": args.landing, "schema": args.bronze}
     failed = False
     if args.command == "load":
