@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from candlewick.llm import rotation_codes, simhash
+from candlewick.llm import bpe_dp, language, rotation_codes, simhash, token_files
 
 QUERIES = {
+    "op3_bpe_encode_decode": bpe_dp.op3_bpe_encode_decode,
     "op5_embedding_near_dedup": rotation_codes.op5_embedding_near_dedup,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+    "op8_token_files": token_files.op8_token_files,
+    "op9_language_id": language.op9_language_id,
 }
 ORACLES = {"op5_embedding_near_dedup": rotation_codes.OP5_SQL}
