@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from candlewick.llm import bpe_dp, chunk_dedup, language, rotation_codes, simhash, token_files
+from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, language, rotation_codes, simhash, token_files
 
 QUERIES = {
     "op1_substring_dedup": chunk_dedup.op1_substring_dedup,
+    "op2_suffix_array_dedup": bucket_refinement.op2_suffix_array_dedup,
     "op3_bpe_encode_decode": bpe_dp.op3_bpe_encode_decode,
     "op5_embedding_near_dedup": rotation_codes.op5_embedding_near_dedup,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
