@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, language, rotation_codes, simhash, token_files
+from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, language, pii, rotation_codes, simhash, token_files
 
 QUERIES = {
     "op1_substring_dedup": chunk_dedup.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe_encode_decode": bpe_dp.op3_bpe_encode_decode,
     "op5_embedding_near_dedup": rotation_codes.op5_embedding_near_dedup,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+    "op7_pii": pii.op7_pii,
     "op8_token_files": token_files.op8_token_files,
     "op9_language_id": language.op9_language_id,
 }
