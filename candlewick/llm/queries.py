@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, language, pii, rotation_codes, simhash, token_files
+from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, language, pii, rotation_codes, simhash, token_files, token_rollups
 
 QUERIES = {
     "op1_substring_dedup": chunk_dedup.op1_substring_dedup,
@@ -13,5 +13,6 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_token_files": token_files.op8_token_files,
     "op9_language_id": language.op9_language_id,
+    "op10_token_counts": token_rollups.op10_token_counts,
 }
 ORACLES = {"op5_embedding_near_dedup": rotation_codes.OP5_SQL}
