@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, language, pii, rotation_codes, simhash, token_files, token_rollups
+from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, decontamination, language, pii, rotation_codes, simhash, token_files, token_rollups
 
 QUERIES = {
     "op1_substring_dedup": chunk_dedup.op1_substring_dedup,
     "op2_suffix_array_dedup": bucket_refinement.op2_suffix_array_dedup,
     "op3_bpe_encode_decode": bpe_dp.op3_bpe_encode_decode,
+    "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_embedding_near_dedup": rotation_codes.op5_embedding_near_dedup,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_pii": pii.op7_pii,
