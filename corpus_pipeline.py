@@ -1,15 +1,87 @@
-"""The corpus pipeline."""
+"""From raw documents to token ids: language, near-duplicates, benchmark leaks, personal data, encoding.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that the stage before it kept. All but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from candlewick.llm import bpe_dp, decontamination, language, pii, simhash
+from candlewick.llm.common import stored, table
+
+#: A document whose best language has a smaller share than this among all is rejected, like one without a letter.
+LEAST_LANGUAGE_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language; one without text or letters goes."""
+    model = language.fit_documents(spark, docs)
+    found = language.predict(docs, model)
+    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return found.where(known).select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the least id; of rows that repeat it, the first by their text.
+
+    A document without an id is in no group and stays.
+    """
+    group = stored(
+        spark,
+        simhash.near_duplicates(spark, docs).where("id = component").select(F.col("id").alias("kept_id")).distinct(),
+    )
+    first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
+    kept = docs.join(group, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    repeated = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
+    many = F.col("doc_id") == F.col("repeated_id")
+    one = kept.join(repeated, many, "left_semi").withColumn("k", F.row_number().over(first)).where("k = 1").drop("k")
+    return (
+        kept.join(repeated, many, "left_anti")
+        .unionByName(one)
+        .unionByName(docs.where("doc_id IS NULL"))
+        .select(*docs.columns)
+    )
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item was found. Rows are told apart by id and text, so that neither a missing
+    nor a repeated id condemns another row."""
+    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = decontamination.contaminated(spark, keyed, table(spark, sf_dir, "benchmark"), id_col="__row")
+    leaks = stored(spark, found.select(F.col("doc_id").alias("leak")).distinct())
+    return keyed.join(leaks, F.col("__row") == F.col("leak"), "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in the text replaced and n_chars counted anew."""
+    clean = pii.redact(docs, pii.train(docs))
+    length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return clean.withColumn("n_chars", length).select(*docs.columns)
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of the text they decode to."""
+    return bpe_dp.digests(docs, keep=["doc_id"])
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
+    ("bpe_encoding", bpe_encoding),
+]
 
-STAGES: list = []
+#: The stages rest on trained models and hashes that SQL does not have; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(spark, stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
