@@ -9,6 +9,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.session import shared_dir
 
@@ -62,6 +63,20 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that df does not have, however it is written."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def kept_columns(df: DataFrame, added: list[str], keep: list[str] | None) -> list[T.StructField]:
+    """The fields of df that stay beside added ones; a column with the name of an added one gives way."""
+    names = {n.lower() for n in added}
+    return [f for f in df.schema if f.name.lower() not in names and (keep is None or f.name in keep)]
+
+
 class Recent:
     """A dict of bounded size that forgets what was not asked for in a while (two generations)."""
 
@@ -80,3 +95,21 @@ class Recent:
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
         self.new[key] = value
+
+
+class Remembered(dict):
+    """key -> make(key), made when first asked for; bounded like Recent. Look-ups of known keys stay in C."""
+
+    def __init__(self, size: int, make):
+        super().__init__()
+        self.half, self.make, self.old = max(1, size // 2), make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -33,7 +33,7 @@ FEATURES = 1 << 18
 STEP = 16
 PASSAGE = 2 * STEP
 RANK = 256
-COSINE = 0.4
+COSINE = 0.3
 COPIED = 0.8
 REWORDED = 0.6
 ANSWER = 0.75

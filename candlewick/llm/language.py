@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewick.llm.common import Recent, ship, stored, table, tokenizer_file
+from candlewick.llm.common import Recent, free_name, kept_columns, ship, stored, table, tokenizer_file
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_DOCS = 1500
@@ -328,10 +328,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
                     [*part.schema.names[:-1], "lang_pred", "score"],
                 )
 
-    others = [f for f in docs.schema if f.name not in ("lang_pred", "score") and (keep is None or f.name in keep)]
+    others = kept_columns(docs, ["lang_pred", "score"], keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
     return docs.select(
-        *[F.col(f"`{f.name}`") for f in others], F.col(f"`{text_col}`").cast("string").alias("__text")
+        *[F.col(f"`{f.name}`") for f in others], F.col(f"`{text_col}`").cast("string").alias(free_name(docs, "__text"))
     ).mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from candlewick.llm import bpe_dp, decontamination, language, pii, simhash
-from candlewick.llm.common import stored, table
+from candlewick.llm.common import free_name, stored, table
 
 #: A document whose best language has a smaller share than this among all is rejected, like one without a letter.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -50,10 +50,11 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found. Rows are told apart by id and text, so that neither a missing
     nor a repeated id condemns another row."""
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    found = decontamination.contaminated(spark, keyed, table(spark, sf_dir, "benchmark"), id_col="__row")
+    row = free_name(docs, "__row")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = decontamination.contaminated(spark, keyed, table(spark, sf_dir, "benchmark"), id_col=row)
     leaks = stored(spark, found.select(F.col("doc_id").alias("leak")).distinct())
-    return keyed.join(leaks, F.col("__row") == F.col("leak"), "left_anti").select(*docs.columns)
+    return keyed.join(leaks, F.col(row) == F.col("leak"), "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import struct
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from candlewick.llm import bpe_dp
+
+FILE = public_tokenizers.path(bpe_dp.VOCABULARY)
+LIBRARY = Tokenizer.from_file(FILE)
+with open(FILE, encoding="utf-8") as _source:
+    OWN = bpe_dp.WordTokenizer(_source.read())
+
+
+def expected(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    return struct.pack(f"<{len(ids)}I", *ids), LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+SPECIAL = [
+    "",
+    " ",
+    "Hello WORLD's don't I'LL 123 x1y2",
+    "ΣΑΣ ΟΔΟΣ İstanbul ﬁ ŉ ẞ",
+    "<|endoftext|>x<|startoftext|> <|ENDOFTEXT|>",
+    "a\x1cb\x1dc\x85d\xa0e f　g",
+    "é é x́̂ ́",
+    "日本語 한국어 🎉🎉 \U0001f1e9\U0001f1ea",
+    "aaaaaaaaaaaaaaaaaaaa bbbbbb",
+    "!!!???...''''s's",
+    "\x00\x01�￿",
+]
+
+
+@pytest.mark.parametrize("text", SPECIAL)
+def test_special_texts(text):
+    assert OWN(text) == expected(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("abetin'sl \n.,<|>"), st.characters(codec="utf-8")), max_size=40))
+def test_any_text(text):
+    assert OWN(text) == expected(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abn", max_size=60))
+def test_repetitive_words(text):
+    assert OWN(text) == expected(text)
+
+
+def test_a_very_long_word():
+    rng = random.Random(0)
+    text = "".join(rng.choice("thernioa") for _ in range(30_000))
+    assert OWN(text) == expected(text)
+
+
+def test_forgetting_changes_nothing():
+    with open(FILE, encoding="utf-8") as source:
+        small = bpe_dp.WordTokenizer(source.read(), remembered=4)
+    text = "the cat sat on the mat with another cat and the bat " * 20
+    assert small(text) == expected(text)
+
+
+def test_columns_nulls_and_repeats(spark, documents):
+    rows = [(1, "The cat."), (1, "The cat."), (None, "x"), (2, None), (3, "")]
+    out = bpe_dp.digests(documents(rows), keep=["doc_id", "score"])
+    assert out.columns == ["doc_id", "score", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def row(number, text):
+        ids, decoded = expected(text or "")
+        return number, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    found = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in out.collect()]
+    assert sorted(found, key=str) == sorted((row(*r) for r in rows), key=str)
+    assert bpe_dp.digests(documents([]).limit(0)).count() == 0
+
+
+def test_encode_then_decode(spark, documents):
+    rows = [(1, "The cat's hat"), (2, None), (3, "<|endoftext|>!")]
+    out = bpe_dp.decode(bpe_dp.encode(documents(rows), keep=["doc_id"]))
+    assert {r.doc_id: r.decoded for r in out.collect()} == {n: expected(t or "")[1] for n, t in rows}

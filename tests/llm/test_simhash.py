@@ -1,0 +1,153 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from candlewick.llm import simhash
+from candlewick.llm.components import connected_components, spanning_forest
+
+
+def plain_fingerprint(text, width=3):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(ids, prints, radius=3):
+    parent = list(range(len(ids)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= radius:
+                a, b = find(i), find(j)
+                parent[a] = b
+    least = {}
+    for i, number in enumerate(ids):
+        least[find(i)] = min(number, least.get(find(i), number))
+    return [least[find(i)] for i in range(len(ids))]
+
+
+TEXTS = [
+    None,
+    "",
+    " \t\n\x0b\x0c\r",
+    "one",
+    "ONE",
+    "one two",
+    "Ünïcode ÄÖ a\xa0b c\x1cd",
+    "a b c " * 30_000,
+    "x" * 100_000,
+    "the quick brown fox jumps over the lazy dog",
+    "the quick brown fox jumps over the lazy cat",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_fingerprint_follows_its_definition(text):
+    found = simhash.fingerprint_of(None if text is None else text.encode())
+    assert found % 2**64 == plain_fingerprint(text)
+
+
+def test_hash_is_that_of_the_sql_function(spark):
+    words = ["a b c", "é ü ß"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w"))
+    assert [r[0] % 2**64 for r in df.collect()] == [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+
+
+@pytest.mark.parametrize("tile_rows", [4, 1024])
+def test_components_equal_brute_force(spark, documents, tile_rows):
+    rng = random.Random(5)
+    base = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(rng.randint(0, 80))) for _ in range(25)]
+    rows = []
+    for number in range(160):
+        words = rng.choice(base).split()
+        for _ in range(rng.randint(0, 2)):
+            if words:
+                words[rng.randrange(len(words))] = rng.choice("xyz")
+        rows.append((rng.randint(0, 10_000), " ".join(words)))
+    rows += [(7, None), (8, ""), rows[0], rows[0]]
+    found = simhash.near_duplicates(spark, documents(rows), tile_rows=tile_rows).collect()
+    prints = [plain_fingerprint(t) for _, t in rows]
+    expected = plain_components([i for i, _ in rows], prints)
+    assert sorted((r.id, r.fp % 2**64, r.component) for r in found) == sorted(
+        (i, p, c) for (i, _), p, c in zip(rows, prints, expected, strict=True)
+    )
+
+
+def test_fingerprints_in_every_distance_to_the_radius(spark):
+    """Neighbours across tiles, and a chain that is longer than the radius."""
+    rng = random.Random(1)
+    prints, ids = [], []
+    for start in range(40):
+        value = rng.getrandbits(64)
+        for _ in range(6):
+            prints.append(value)
+            ids.append(len(ids))
+            for bit in rng.sample(range(64), rng.randint(1, 4)):
+                value ^= 1 << bit
+    signed = [(int(np.uint64(p).view(np.int64)), i) for p, i in zip(prints, ids, strict=True)]
+    df = spark.createDataFrame(signed, "fp long, rep long")
+    edges = simhash.links(df, tile_rows=2)
+    found = {r.node: r.component for r in connected_components(spark, edges).collect()}
+    assert [found.get(i, i) for i in ids] == plain_components(ids, prints)
+
+
+def test_a_row_without_id_links_nothing(spark, documents):
+    found = simhash.near_duplicates(spark, documents([(None, "a b c"), (3, "a b c"), (2, "a b c")])).collect()
+    assert {r.id: r.component for r in found} == {None: None, 2: 2, 3: 2}
+
+
+def test_empty_table(spark, documents):
+    assert simhash.near_duplicates(spark, documents([]).limit(0)).count() == 0
+
+
+def test_a_forest_connects_what_the_block_connects():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        hits = rng.random((12, 9)) < 0.12
+        kept = np.zeros_like(hits)
+        for r, c in spanning_forest(hits):
+            kept[r, c] = True
+        assert not (kept & ~hits).any()
+
+        def classes(m):
+            nodes = [("r", i) for i in range(12)] + [("c", j) for j in range(9)]
+            of = {n: n for n in nodes}
+            for _ in nodes:
+                for i, j in zip(*np.nonzero(m), strict=True):
+                    low = min(of["r", i], of["c", j])
+                    of["r", i] = of["c", j] = low
+            return of
+
+        assert classes(kept) == classes(hits)
+    assert len(spanning_forest(np.ones((300, 300), bool))) <= 600
+
+
+def test_components_of_long_chains_stars_and_nothing(spark):
+    chain = [(i, i + 1) for i in range(300)]
+    star = [(1000, 1000 + i) for i in range(1, 300)]
+    rows = [*chain, *star, (5000, 5000), (None, 3), (1, None)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    found = {r.node: r.component for r in connected_components(spark, df).collect()}
+    assert found == {**dict.fromkeys(range(301), 0), **dict.fromkeys(range(1000, 1300), 1000)}
+    assert connected_components(spark, df.limit(0)).count() == 0
+
+
+def test_no_cross_join(spark, documents):
+    df = simhash.links(spark.createDataFrame([(1, 1)], "fp long, rep long"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
