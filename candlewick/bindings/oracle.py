@@ -192,10 +192,12 @@ FROM facts f {kind} history h
 
 def append(stored_keys: str) -> str:
     return f"""WITH {BARS},
-stored AS (SELECT * FROM bronze_bars WHERE transaction_count <= 3),
-fresh AS (SELECT * FROM bronze_bars b WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE {stored_keys}))
+stamped AS (SELECT * REPLACE (CASE WHEN transaction_count % 3 <> 2 THEN _ingested_at END AS _ingested_at)
+            FROM bronze_bars),
+stored AS (SELECT * FROM stamped WHERE transaction_count <= 3),
+fresh AS (SELECT * FROM stamped b WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE {stored_keys}))
 SELECT ticker, CAST(trade_date AS VARCHAR) AS trade_date, open_price, high_price, low_price,
-       close_price, CAST(volume AS DOUBLE) AS volume, transaction_count, {STAMP}
+       close_price, CAST(volume AS DOUBLE) AS volume, vwap, transaction_count, {STAMP}
 FROM (SELECT * FROM stored UNION ALL SELECT * FROM fresh)"""
 
 
@@ -299,9 +301,9 @@ fct_splits AS (SELECT * FROM stg_splits),
 fct_dividends AS (SELECT * FROM stg_dividends)"""
 
 
-def loads(name: str, total: str) -> str:
+def loads(name: str, total: str, status: str = "ok") -> str:
     """A second load of the same rows must add none."""
-    return f"""SELECT '{name}' AS table_name, ({total}) AS run_1, ({total}) AS run_2, 'ok' AS status"""
+    return f"""SELECT '{name}' AS table_name, ({total}) AS run_1, ({total}) AS run_2, '{status}' AS status"""
 
 
 def latest(name: str, expression: str, table: str) -> str:
@@ -325,12 +327,12 @@ SELECT '{"record":{"id":' || event_id || ',"user_id":' || user_id || ',"event_ty
        || '"ticker":"' || user_id || '"}}' AS value
 FROM events""",
     "land_daily_bars": """
-SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trade_date,
+SELECT CAST(l_suppkey AS VARCHAR) AS ticker,
+       CASE WHEN l_linenumber < 6 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS trade_date,
        l_extendedprice AS open_price, l_extendedprice AS high_price, l_extendedprice AS low_price,
        l_extendedprice AS close_price, l_quantity AS volume, l_extendedprice AS vwap,
        CAST(l_linenumber AS BIGINT) AS transaction_count, '2024-02-01 06:00:00' AS _ingested_at
-FROM lineitem
-WHERE CAST(l_shipdate AS DATE) >= (SELECT CAST(max(l_shipdate) AS DATE) - 365 FROM lineitem)""",
+FROM lineitem""",
     "land_ticker_overview": """
 SELECT CAST(c_custkey AS VARCHAR) AS request_ticker, '/v3/reference/tickers/' || c_custkey AS endpoint,
        CASE WHEN known THEN CAST(c_custkey AS VARCHAR) END AS ticker,
@@ -339,7 +341,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS request_ticker, '/v3/reference/tickers/' ||
        CASE WHEN known THEN c_acctbal > 0 END AS active,
        CASE WHEN known THEN c_acctbal END AS market_cap,
        CASE WHEN known THEN CAST(c_nationkey AS BIGINT) END AS total_employees
-FROM (SELECT *, c_mktsegment <> 'MACHINERY' AS known FROM customer)""",
+FROM (SELECT *, c_mktsegment <> 'MACHINERY' AS known FROM customer
+      UNION ALL SELECT *, c_mktsegment <> 'MACHINERY' FROM customer WHERE c_nationkey = 0)""",
     "land_splits": """
 SELECT CAST(o_orderkey AS VARCHAR) AS split_id, CAST(o_custkey AS VARCHAR) AS ticker,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS execution_date, CAST(1 AS DOUBLE) AS split_from,
@@ -350,11 +353,10 @@ FROM orders""",
     "land_news": """
 SELECT CAST(o_orderkey AS VARCHAR) AS article_id, CAST(o_custkey AS VARCHAR) AS ticker,
        o_orderstatus AS sentiment, 'Order ' || o_orderkey AS title,
-       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS published_utc, o_orderpriority AS publisher_name
-FROM orders
-WHERE o_orderdate >= (SELECT CAST(max(o_orderdate) AS DATE) - 7 FROM orders)
-QUALIFY row_number() OVER (PARTITION BY o_custkey
-                           ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR)) <= 5""",
+       CASE WHEN o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'
+            THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS published_utc,
+       o_orderpriority AS publisher_name
+FROM orders""",
     "rolling_window": """
 SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, value FROM events
 WHERE CAST(ts AS DATE) BETWEEN (SELECT CAST(max(ts) AS DATE) - 5 FROM events)
@@ -380,7 +382,11 @@ FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal
     "json_scan": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     "nested_project": LANDED_DIVIDENDS,
-    "epoch_ms_date": "SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events",
+    "epoch_ms_date": """
+SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+       CAST(CAST(TIMESTAMP '1970-01-01' - (ts - TIMESTAMP '1970-01-01') AS DATE) AS VARCHAR) AS mirrored,
+       CAST(NULL AS VARCHAR) AS from_micros, CAST(NULL AS VARCHAR) AS from_nanos
+FROM events""",
     "metadata_attach": """
 SELECT CAST(event_id AS VARCHAR) AS split_id, CAST(user_id AS VARCHAR) AS ticker,
        CAST(CAST(ts AS DATE) AS VARCHAR) AS execution_date, '2024-02-01 06:00:00' AS _ingested_at,
@@ -403,7 +409,8 @@ WHERE ts >= DATE '2024-01-11'
   AND event_id NOT IN (SELECT event_id FROM events WHERE ts < DATE '2024-01-16')""",
     "incremental_append": append("s.ticker = b.ticker AND s.trade_date = b.trade_date"),
     "incremental_append_latest": append(
-        "s.ticker = b.ticker AND s.trade_date = b.trade_date AND s._ingested_at >= b._ingested_at"
+        "s.ticker = b.ticker AND s.trade_date = b.trade_date "
+        "AND (b._ingested_at IS NULL OR s._ingested_at >= b._ingested_at)"
     ),
     "null_key_quarantine": """
 SELECT CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'append' END AS target,
@@ -412,10 +419,11 @@ SELECT CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'append' END AS tar
 FROM events
 WHERE ts >= DATE '2024-01-11' AND (event_type = 'error' OR ts >= DATE '2024-01-16')""",
     "anti_derived_day": """
-SELECT o_custkey AS ticker, o_orderstatus AS type, o_totalprice AS market_cap,
-       o_orderkey AS total_employees, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS _ingested_at
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'quarantine' ELSE 'append' END AS target,
+       o_custkey AS ticker, o_orderstatus AS type, o_totalprice AS market_cap, o_orderkey AS total_employees,
+       CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS _ingested_at
 FROM orders
-WHERE (o_custkey, CAST(o_orderdate AS DATE)) NOT IN (
+WHERE o_orderstatus = 'P' OR (o_custkey, CAST(o_orderdate AS DATE)) NOT IN (
   SELECT (o_custkey, CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderstatus = 'F')""",
     "idempotency_check": " UNION ALL ".join(
         [
@@ -425,6 +433,7 @@ WHERE (o_custkey, CAST(o_orderdate AS DATE)) NOT IN (
             loads("dividends", "SELECT count(*) FROM orders"),
             loads("news_articles", "SELECT count(DISTINCT o_orderkey) FROM orders"),
             loads("news_sentiment", "SELECT count(DISTINCT (l_orderkey, l_partkey)) FROM lineitem"),
+            loads("events", "SELECT count(*) FROM events", "changed"),
         ]
     ),
     "dedup_latest": """

@@ -97,17 +97,24 @@ def _last_day(df: DataFrame, column: str) -> Column:
 
 @query
 def land_daily_bars(spark, sf):
+    """All bars of the feed; line 7 has no time and line 6 one in nanoseconds."""
     lines = table(spark, sf, "lineitem")
-    feed = lines.select(frames.text("l_suppkey").alias("ticker"), frames.bar_records().alias("record"))
-    back = _landed(spark, sf, feed, "daily_bars", end=_last_day(lines, "l_shipdate"), days=365)
+    time = F.col("record.t")
+    odd = F.when(F.col("l_linenumber") == 6, time * 1_000_000).when(F.col("l_linenumber") < 6, time)
+    feed = lines.select("*", frames.bar_records().alias("record")).select(
+        frames.text("l_suppkey").alias("ticker"), F.col("record").withField("t", odd).alias("record")
+    )
+    back = _landed(spark, sf, feed, "daily_bars", end=_last_day(lines, "l_shipdate"))
     rows = bronze.project(back, "daily_bars").drop("_source_file")
     return portable(rows)
 
 
 @query
 def land_ticker_overview(spark, sf):
-    """A customer without a market segment stands for a reply without a result: an empty record."""
+    """A customer without a market segment stands for a reply without a result: an empty record. Those of the
+    first nation came with two replies."""
     customer = table(spark, sf, "customer")
+    customer = customer.unionByName(customer.filter(F.col("c_nationkey") == 0))
     feed = customer.select(
         frames.text("c_custkey").alias("ticker"),
         F.when(F.col("c_mktsegment") != "MACHINERY", frames.overview_records()).alias("record"),
@@ -157,10 +164,15 @@ def land_dividends(spark, sf):
 
 @query
 def land_news(spark, sf):
-    """The recent articles of each ticker, capped per ticker, after a round trip through NDJSON."""
+    """All articles of the feed after a round trip through NDJSON; pending orders have no publication time,
+    and those of low priority one that is none."""
     orders = table(spark, sf, "orders")
-    feed = orders.select(
-        frames.text("o_custkey").alias("ticker"), frames.article_records().alias("record")
+    published = F.when(F.col("o_orderpriority") == "5-LOW", "soon").when(
+        F.col("o_orderstatus") != "P", F.col("record.published_utc")
+    )
+    feed = orders.select("*", frames.article_records().alias("record")).select(
+        frames.text("o_custkey").alias("ticker"),
+        F.col("record").withField("published_utc", published).alias("record"),
     )
     back = _landed(spark, sf, feed, "news", end=_last_day(orders, "o_orderdate"))
     mentions = bronze.project(back, "news_sentiment").select("article_id", "ticker", "sentiment")
@@ -249,9 +261,18 @@ def nested_project(spark, sf):
 
 @query
 def epoch_ms_date(spark, sf):
+    """Milliseconds, the same before 1970, and the units that are none of a plausible year."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     events = table(spark, sf, "events")
-    return portable(events.select("event_id", epoch_ms_to_date(ms).alias("day")))
+    return portable(
+        events.select(
+            "event_id",
+            epoch_ms_to_date(ms).alias("day"),
+            epoch_ms_to_date(-ms).alias("mirrored"),
+            epoch_ms_to_date(ms * 1_000).alias("from_micros"),
+            epoch_ms_to_date(ms * 1_000_000).alias("from_nanos"),
+        )
+    )
 
 
 @query
@@ -301,9 +322,10 @@ def anti_new_keys(spark, sf):
 
 
 def _corrected_bars(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Bars stored so far and a batch with all bars; later orders correct earlier ones."""
-    bars = frames.bronze_bars(spark, sf).withColumn(
-        "_is_stored", F.col("transaction_count") <= 3
+    """Bars stored so far and a batch with all bars; later orders correct earlier ones. Some have no ingest time."""
+    stamp = F.when(F.pmod("transaction_count", F.lit(3)) != 2, F.col("_ingested_at"))
+    bars = frames.bronze_bars(spark, sf).withColumns(
+        {"_is_stored": F.col("transaction_count") <= 3, "_ingested_at": stamp}
     )
     return bars.filter("_is_stored").drop("_is_stored"), bars.drop("_is_stored")
 
@@ -311,7 +333,7 @@ def _corrected_bars(spark, sf) -> tuple[DataFrame, DataFrame]:
 def _after_append(spark, sf, policy: str) -> DataFrame:
     stored, batch = _corrected_bars(spark, sf)
     fresh = bronze.new_rows(batch, stored, "daily_bars", policy=policy)
-    return portable(stored.unionByName(fresh).drop("vwap"))
+    return portable(stored.unionByName(fresh))
 
 
 @query
@@ -340,14 +362,23 @@ def null_key_quarantine(spark, sf):
 
 @query
 def anti_derived_day(spark, sf):
+    """The day is part of the key; pending orders have no ingest time and so no key."""
     rows = frames.bronze_overview(spark, sf).select(
-        "ticker", "type", "market_cap", "total_employees", "_ingested_at"
+        "ticker",
+        "type",
+        "market_cap",
+        "total_employees",
+        F.when(F.col("type") != "P", F.col("_ingested_at")).alias("_ingested_at"),
     )
+    derived = TABLES["ticker_overview"].derived_keys()
     stored = rows.filter(F.col("type") == "F")
-    fresh = op.exclude_existing(
-        rows, stored, ["ticker"], derived=TABLES["ticker_overview"].derived_keys()
+    keyed, unkeyed = op.split_null_keys(rows, ["ticker"], derived)
+    fresh = op.exclude_existing(keyed, stored, ["ticker"], derived=derived)
+    return portable(
+        fresh.select(F.lit("append").alias("target"), "*").unionByName(
+            unkeyed.select(F.lit("quarantine").alias("target"), "*")
+        )
     )
-    return portable(fresh)
 
 
 @query
@@ -367,6 +398,11 @@ def idempotency_check(spark, sf):
         second = bronze.new_rows(rows, first, name)
         before.append(op.fingerprint(first, name))
         after.append(op.fingerprint(first.unionByName(second), name))
+    # a table of as many rows whose values have changed places
+    events = table(spark, sf, "events").select("event_id", "user_id", F.lit(None).cast("long").alias("other"))
+    moved = events.select("event_id", F.col("other").alias("user_id"), F.col("user_id").alias("other"))
+    before.append(op.fingerprint(events, "events"))
+    after.append(op.fingerprint(moved, "events"))
     union = DataFrame.unionByName
     return op.idempotency_report(reduce(union, before), reduce(union, after))
 

@@ -13,17 +13,21 @@ FIRST_WINS = "first_wins"
 LATEST_WINS = "latest_wins"
 
 
-def any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str], derived: Mapping[str, Column] | None = None) -> Column:
     test = F.lit(False)
-    for key in keys:
-        test = test | F.col(key).isNull()
+    for part in [*[F.col(key) for key in keys], *(derived or {}).values()]:
+        test = test | part.isNull()
     return test
 
 
-def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with a full key, rows without). A NULL key never matches a join, so those rows would be
-    appended again by every rerun; they belong in a table of their own."""
-    return df.filter(~any_null(keys)), df.filter(any_null(keys))
+def split_null_keys(
+    df: DataFrame, keys: Sequence[str], derived: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with a full key, rows without), key parts computed from other columns included. A NULL key
+    never matches a join, so those rows would be appended again by every rerun; they belong in a table
+    of their own."""
+    missing = any_null(keys, derived)
+    return df.filter(~missing), df.filter(missing)
 
 
 def exclude_existing(
@@ -35,17 +39,21 @@ def exclude_existing(
     policy: str = FIRST_WINS,
     version: str = "_ingested_at",
     key_range: tuple[str, object, object] | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` does not hold yet. ``None`` stands for no target table.
 
     ``derived`` adds key parts computed from other columns on both sides (such as the day of a
     timestamp); they are not part of the result. With ``policy="latest_wins"`` a known key passes
-    as well if its ``version`` is newer than the newest one stored.
+    as well if its ``version`` is newer than the newest one stored; a NULL version is never newer.
 
     Existing keys are made unique before the shuffle (the target may hold a key many times); the
     batch side is left whole, and AQE can split a key that is hot there. ``key_range`` (a key column
     and the batch's smallest and largest value of it, see :func:`value_range`) limits the stored rows
-    that are read: the filter reaches the scan, and a batch of a few days skips years of history.
+    that are read: the filter reaches the scan, and a batch of a few days skips years of history. Days
+    as bounds of a timestamp column take in the whole last day. ``small_batch`` first cuts the stored
+    keys to those of the batch: the batch is read twice, but where its keys are small enough for Spark to
+    broadcast, the stored side is neither made distinct nor shuffled.
     """
     if policy not in (FIRST_WINS, LATEST_WINS):
         raise ValueError(f"unknown policy {policy!r}")
@@ -53,13 +61,20 @@ def exclude_existing(
         return batch
     if key_range is not None:
         column, low, high = key_range
-        existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
+        if dict(existing.dtypes)[column].startswith("timestamp"):
+            after = F.date_add(F.lit(high).cast("date"), 1).cast("timestamp")
+            within = (F.col(column) >= F.lit(low).cast("date").cast("timestamp")) & (F.col(column) < after)
+        else:
+            within = F.col(column).between(F.lit(low), F.lit(high))
+        existing = existing.filter(within)
     derived = dict(derived or {})
     on = [*keys, *derived]
     columns = [F.col(f"`{c}`") for c in batch.columns]
     extra = [expr.alias(name) for name, expr in derived.items()]
     keyed = batch.select("*", *extra)
     known = existing.select("*", *extra)
+    if small_batch:
+        known = spread_join(known, keyed.select(*on).distinct(), on, "left_semi")
     if policy == FIRST_WINS:
         return spread_join(keyed, known.select(*on).distinct(), on, "left_anti").select(*columns)
 
@@ -71,16 +86,20 @@ def exclude_existing(
         F.xxhash64(*on).alias("_known_hash"),
     )
     hashed = keyed.select("*", F.xxhash64(*on).alias("_spread"))
-    held = (F.col("_spread") == F.col("_known_hash")) & (F.col(version) <= F.col("_stored"))
+    not_newer = F.col(version).isNull() | (F.col(version) <= F.col("_stored"))
+    held = (F.col("_spread") == F.col("_known_hash")) & not_newer
     for key, alias in names.items():
         held = held & (F.col(key) == F.col(alias))
     return hashed.join(renamed, held, "left_anti").select(*columns)
 
 
 def value_range(batch: DataFrame, column: str) -> tuple[str, object, object]:
-    """The column with its smallest and largest value. Runs now: a filter reaches a file scan only with
-    values that are known when the query is planned."""
-    row = batch.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    """The column with its smallest and largest value, as days if it is a timestamp. Runs now: a filter
+    reaches a file scan only with values that are known when the query is planned."""
+    value = F.col(column)
+    if dict(batch.dtypes)[column].startswith("timestamp"):
+        value = value.cast("date")
+    row = batch.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
     return column, row.low, row.high
 
 
@@ -101,8 +120,12 @@ def exclude_identical(batch: DataFrame, existing: DataFrame | None) -> DataFrame
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """One row: the table's name, row count and an order-free checksum of its content."""
-    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    """One row: the table's name, row count and an order-free checksum of its content.
+
+    The hash passes over NULLs, so each column goes in with a mark of whether it is NULL.
+    """
+    marked = [part for c in df.columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    digest = F.xxhash64(*marked).cast("decimal(38,0)")
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("checksum"),

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 _SPREAD = "_spread"
 
 
+def _check_overlap(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
+    overlap = [c for c in right.columns if c in left.columns and c not in on]
+    if overlap:
+        raise ValueError(f"both sides share the columns {overlap}; rename one side")
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Equi-join whose left side AQE can always split when a key is hot.
 
@@ -18,6 +24,8 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str)
     stay in one task. Joining on a hash of the key as well gives each side its own shuffle.
     Which side is broadcast, if any, is left to the optimizer's size check.
     """
+    if how not in ("left_anti", "left_semi"):
+        _check_overlap(left, right, on)
     key_hash = F.xxhash64(*[F.col(c) for c in on]).alias(_SPREAD)
     joined = left.select("*", key_hash).join(right.select("*", key_hash), [*on, _SPREAD], how)
     kept = [*left.columns]
@@ -68,10 +76,7 @@ def asof_join(
     def bucket(day: Column) -> Column:
         return F.floor(F.unix_date(day.cast("date")) / F.lit(bucket_days))
 
-    overlap = [c for c in dim.columns if c in fact.columns and c != key]
-    if overlap:
-        raise ValueError(f"fact and dimension share the columns {overlap}; rename one side")
-
+    _check_overlap(fact, dim, [key])
     first = F.greatest(bucket(F.col(valid_from)), bucket(low))
     last = F.least(F.coalesce(bucket(F.col(valid_to)), bucket(high)), bucket(high))
     versions = (

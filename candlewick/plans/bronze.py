@@ -64,10 +64,11 @@ def new_rows(
     *,
     policy: str = FIRST_WINS,
     key_range: tuple[str, object, object] | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """The projected rows of a batch that a load would append to ``existing``."""
     spec = TABLES[table]
-    keyed, _ = split_null_keys(rows, spec.keys)
+    keyed, _ = split_null_keys(rows, spec.keys, spec.derived_keys())
     return exclude_existing(
         structured(keyed, table),
         existing,
@@ -75,6 +76,7 @@ def new_rows(
         derived=spec.derived_keys(),
         policy=policy,
         key_range=key_range,
+        small_batch=small_batch,
     )
 
 
@@ -91,22 +93,24 @@ def append_batch(
 
     Returns both row counts, observed while writing. The write also counts the rows without a key, so
     the envelopes are parsed a second time only if there are any. With ``small_batch`` the lookup of
-    known keys is limited to the batch's range of the table's time key, if it has one.
+    known keys is limited to the batch's range of the table's time key, or else to the batch's keys.
     """
     spec = TABLES[table]
     rows = project(envelopes, table)
     parsed, written = Observation(), Observation()
-    counted = rows.observe(parsed, F.count_if(any_null(spec.keys)).alias("unkeyed"))
+    counted = rows.observe(parsed, F.count_if(any_null(spec.keys, spec.derived_keys())).alias("unkeyed"))
     existing = table_or_none(spark, target)
     key_range = None
     if small_batch and existing is not None and spec.range_key:
         key_range = value_range(rows, spec.range_key)
-    fresh = new_rows(counted, existing, table, policy=policy, key_range=key_range)
+    fresh = new_rows(
+        counted, existing, table, policy=policy, key_range=key_range, small_batch=small_batch and not spec.range_key
+    )
     append_table(fresh.observe(written, F.count(F.lit(1)).alias("rows")), target)
     counts = {"appended": written.get.get("rows", 0), "quarantined": 0}
     if parsed.get.get("unkeyed") != 0:
         aside = f"{target}__quarantine"
-        _, unkeyed = split_null_keys(rows, spec.keys)
+        _, unkeyed = split_null_keys(rows, spec.keys, spec.derived_keys())
         held = Observation()
         unkeyed = exclude_identical(unkeyed, table_or_none(spark, aside))
         append_table(unkeyed.observe(held, F.count(F.lit(1)).alias("rows")), aside)
@@ -181,11 +185,14 @@ def reload_bronze(spark: SparkSession, *, landing_root: str, schema: str) -> dic
     counts: dict[str, int] = {}
     for table, spec in TABLES.items():
         rows = project(landed(spark, landing_root, table), table)
-        _, unkeyed = split_null_keys(rows, spec.keys)
-        seen = Observation()
-        fresh = new_rows(rows, None, table).observe(seen, F.count(F.lit(1)).alias("rows"))
+        parsed, seen = Observation(), Observation()
+        counted = rows.observe(parsed, F.count_if(any_null(spec.keys, spec.derived_keys())).alias("unkeyed"))
+        fresh = new_rows(counted, None, table).observe(seen, F.count(F.lit(1)).alias("rows"))
         replace_table(fresh, f"{schema}.{table}")
-        replace_table(unkeyed, f"{schema}.{table}__quarantine")
+        _, unkeyed = split_null_keys(rows, spec.keys, spec.derived_keys())
+        # parsed a second time only if there is something to set aside
+        some = parsed.get.get("unkeyed") != 0
+        replace_table(unkeyed if some else spark.createDataFrame([], rows.schema), f"{schema}.{table}__quarantine")
         counts[table] = seen.get.get("rows", 0)
     return counts
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,7 +181,8 @@ def freshness_report(spark: SparkSession, lake: Lake, **limits) -> DataFrame:
 def promote_and_load(
     spark: SparkSession, source: Lake, target: Lake, *, since: str | None = None
 ) -> dict[str, dict[str, int]]:
-    """Bring new landing files over, then load the target's typed tables from its own Landing."""
+    """Bring new landing files over, then load the target's typed tables from its own Landing; with ``since``
+    both steps leave out older folders."""
     promote(
         spark,
         source.landing_root,
@@ -190,4 +191,7 @@ def promote_and_load(
         SOURCES,
         since=since,
     )
-    return bronze.load_bronze(spark, landing_root=target.landing_root, schema=target.bronze)
+    first = date.fromisoformat(since) if since else None
+    return bronze.load_bronze(
+        spark, landing_root=target.landing_root, schema=target.bronze, since=first
+    )

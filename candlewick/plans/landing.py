@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,7 @@ from candlewick.operators import event_sequence, spread_join, top_k_recent
 from candlewick.sources.landing import land
 from candlewick.sources.registry import SOURCES, WATCHLIST
 
-# Days of bars in a daily run and in a backfill, news window and cap, cadence groups.
+# Days of bars that a daily run and a backfill ask for, news window and cap, cadence groups.
 DAILY_BAR_DAYS = 5
 BACKFILL_BAR_DAYS = 365
 NEWS_DAYS = 7
@@ -76,14 +76,9 @@ def event_history(
     return event_sequence(df, "ticker", date_col, id_col, id_block=id_block)
 
 
-def _bars(feed: DataFrame, end: date | Column, days: int) -> DataFrame:
-    return rolling_window(feed, epoch_ms_to_date(F.col("record.t")), end, days)
-
-
-def _overview(feed: DataFrame) -> DataFrame:
-    """One snapshot per ticker. A reply without a record is landed as an empty one."""
-    order = [F.col("record").isNotNull().desc(), F.col("record").asc_nulls_last()]
-    return top_k_recent(feed, ["ticker"], order, 1)
+def _readable(feed: DataFrame, time: Column, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply a cut by time to the records whose time can be read; the others pass, for the load to set aside."""
+    return keep(feed.filter(time.isNotNull())).unionByName(feed.filter(time.isNull()))
 
 
 def land_source(
@@ -92,24 +87,35 @@ def land_source(
     root: str,
     *,
     end: date | Column,
-    days: int = DAILY_BAR_DAYS,
+    days: int | None = None,
+    per_ticker: int | None = None,
     ingested_at: datetime | None = None,
     run_date: date | None = None,
 ) -> str:
-    """Select what a run asks of one source and append it to Landing."""
+    """Append what a feed brings of one source to Landing, every record of it.
+
+    Landing keeps what arrived: it neither chooses between replies nor judges what it cannot read. Only where
+    the caller states it are bars and news cut, to the ``days`` before ``end`` and news to the newest
+    ``per_ticker`` articles of a ticker; a record whose time cannot be read is never cut. A reply without
+    a record is landed as an empty one.
+    """
     ticker, record = F.col("ticker"), F.col("record")
-    if source == "daily_bars":
-        feed = _bars(feed, end, days)
+    if source == "daily_bars" and days is not None:
+        day = epoch_ms_to_date(F.col("record.t"))
+        feed = _readable(feed, day, lambda rows: rolling_window(rows, day, end, days))
     elif source == "news":
         published = F.col("record.published_utc").try_cast("timestamp")
-        feed = recent_news(feed, published, F.col("record.id"), end)
-    elif source == "ticker_overview":
-        feed = _overview(feed)
+        newest = [published.desc(), F.col("record.id").asc()]
+        if days is not None:
+            feed = _readable(feed, published, lambda rows: rows.filter(published >= F.date_sub(F.lit(end), days)))
+        if per_ticker is not None:
+            feed = _readable(feed, published, lambda rows: top_k_recent(rows, ["ticker"], newest, per_ticker))
     last = F.lit(end)
+    asked = DAILY_BAR_DAYS if days is None else days
     endpoint = F.lit(SOURCES[source].endpoint)
     for slot, value in (
         ("{ticker}", ticker),
-        ("{start}", F.date_sub(last, days).cast("string")),
+        ("{start}", F.date_sub(last, asked).cast("string")),
         ("{end}", last.cast("string")),
     ):
         endpoint = F.replace(endpoint, F.lit(slot), value)
@@ -131,12 +137,16 @@ def land_sources(
     root: str,
     *,
     end: date | Column | None = None,
-    days: int = DAILY_BAR_DAYS,
+    days: Mapping[str, int] | None = None,
+    per_ticker: int | None = None,
     ingested_at: datetime | None = None,
     run_date: date | None = None,
     tickers: DataFrame | Iterable[str] = WATCHLIST,
 ) -> dict[str, str]:
-    """Land some sources for the watched tickers; the first error stops the run."""
+    """Land some sources for the watched tickers; the first error stops the run.
+
+    ``days`` holds a window by source, for those that are to have one.
+    """
     last = datetime.now(UTC).date() if end is None else end
     return {
         source: land_source(
@@ -144,7 +154,8 @@ def land_sources(
             source,
             root,
             end=last,
-            days=days,
+            days=(days or {}).get(source),
+            per_ticker=per_ticker,
             ingested_at=ingested_at,
             run_date=run_date,
         )
@@ -153,7 +164,8 @@ def land_sources(
 
 
 def land_daily(feeds: Mapping[str, DataFrame], root: str, **options) -> dict[str, str]:
-    """The daily run: recent bars and news."""
+    """The daily run: bars and news. The usual request asks for DAILY_BAR_DAYS of bars and, of NEWS_DAYS,
+    NEWS_PER_TICKER articles; a feed that holds more is cut only if ``days`` and ``per_ticker`` say so."""
     return land_sources(feeds, DAILY_SOURCES, root, **options)
 
 
@@ -163,5 +175,5 @@ def land_reference(feeds: Mapping[str, DataFrame], root: str, **options) -> dict
 
 
 def backfill(feeds: Mapping[str, DataFrame], source: str, root: str, **options) -> dict[str, str]:
-    """One source for all watched tickers, with a year of bars."""
-    return land_sources(feeds, (source,), root, **{"days": BACKFILL_BAR_DAYS, **options})
+    """One source for all watched tickers. The usual request for bars asks for BACKFILL_BAR_DAYS."""
+    return land_sources(feeds, (source,), root, **options)

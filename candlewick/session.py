@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,11 +32,20 @@ def build_session(app: str = "candlewick", master: str | None = None, **settings
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach for intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a
-    laptop) a new local folder is made and kept for the rest of the session.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a warehouse in a store that all
+    machines reach holds it. Only a session whose executors are this very machine (tests, a laptop) gets a
+    local folder, which goes when the process ends; any other session has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", "")
+    if re.match("[A-Za-z][A-Za-z0-9+.-]+://", warehouse) and not warehouse.startswith("file:"):
+        named = f"{warehouse.rstrip('/')}/_intermediate"
+    elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         named = tempfile.mkdtemp(prefix="candlewick-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.conf.set("spark.checkpoint.dir", named)
     return named

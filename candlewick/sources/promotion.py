@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions import relative_path
-from candlewick.operators.incremental import value_range
 from candlewick.operators.joins import spread_join
 from candlewick.sources.landing import source_path
 from candlewick.sources.registry import SOURCES
@@ -40,6 +39,14 @@ def _landed(spark: SparkSession, root: str, source: str) -> DataFrame:
     )
 
 
+def _listed(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """The files of a source by path and day. Without its content column a binary file is listed, not opened."""
+    return spark.read.format("binaryFile").load(source_path(root, source)).select(
+        relative_path(F.col("_metadata.file_path"), _escaped(root)).alias("relative_path"),
+        F.col("date").cast("date").alias("date"),
+    )
+
+
 def promote(
     spark: SparkSession,
     src_root: str,
@@ -52,20 +59,21 @@ def promote(
     """Copy the files not promoted yet, source by source, and enter them in the ledger.
 
     Lines keep their ``date=`` folder; the ledger keeps the original file names. The new files are
-    found first, from file paths alone, and fixed in ``<ledger>__pending``. Only the folders they
-    lie in are then read, and the first promotion of a source copies without any join. If a run
-    stops half way, the next one promotes the same files again: repeated lines fall to the later
-    dedup, none is lost. ``since`` leaves older ``date=`` folders out altogether.
+    found first, from a listing that opens no file, and fixed in ``<ledger>__pending``. Only the folders
+    they lie in are then read, and the first promotion of a source copies without any join. The copies of
+    a day are gathered before they are written, in files of the size AQE aims at. If a run stops half way,
+    the next one promotes the same files again: repeated lines fall to the later dedup, none is lost.
+    ``since`` leaves older ``date=`` folders out altogether.
     """
     for source in sources:
-        lines = _landed(spark, src_root, source)
+        lines, listed = _landed(spark, src_root, source), _listed(spark, src_root, source)
         if since:
-            lines = lines.filter(F.col("date") >= F.lit(since).cast("date"))
+            lines, listed = (df.filter(F.col("date") >= F.lit(since).cast("date")) for df in (lines, listed))
         known = table_or_none(spark, ledger_table)
         if known is not None:
             known = known.filter(F.col("source") == source).select("relative_path")
             known = None if known.isEmpty() else known
-        files = promoted_lines(lines.select("relative_path", "date").distinct(), known)
+        files = promoted_lines(listed, known)
         pending = f"{ledger_table}__pending"
         files.withColumn("source", F.lit(source)).write.format("parquet").mode(
             "overwrite"
@@ -74,16 +82,17 @@ def promote(
         if not chosen.filter(F.col("relative_path").isNull()).isEmpty():
             raise ValueError(f"{src_root}: the files found there are not below that path")
         if known is not None:
-            _, first, last = value_range(chosen, "date")
-            if first is None:
+            # one row per landing folder with something new
+            days = [r.date for r in chosen.select("date").distinct().collect()]
+            if not days:
                 continue
             lines = spread_join(
-                lines.filter(F.col("date").between(F.lit(first), F.lit(last))),
+                lines.filter(F.col("date").isin(*days)),
                 chosen.select("relative_path"),
                 ["relative_path"],
                 "left_semi",
             )
-        lines.select("value", "date").write.partitionBy("date").mode("append").text(
+        lines.select("value", "date").hint("rebalance", "date").write.partitionBy("date").mode("append").text(
             source_path(dst_root, source)
         )
         append_table(chosen, ledger_table)

@@ -166,7 +166,8 @@ class BronzeTable:
     ``unique_in_batch`` is set where a batch itself is made unique; the other tables keep every
     version that a batch brings and leave the choice to the cleaned layer.
     ``text_casts`` lists text fields whose cast happens here, for the rejected-value count.
-    ``range_key`` is a key column that grows with time, by which a small batch limits its lookup.
+    ``range_key`` is a column that grows with time and is a key or gives one, by which a small batch limits
+    its lookup.
     """
 
     name: str
@@ -187,7 +188,12 @@ TABLES: Mapping[str, BronzeTable] = {
             "daily_bars", "daily_bars", _bars, ("ticker", "trade_date"), range_key="trade_date"
         ),
         BronzeTable(
-            "ticker_overview", "ticker_overview", _overview, ("ticker",), derived_keys=_ingested_day
+            "ticker_overview",
+            "ticker_overview",
+            _overview,
+            ("ticker",),
+            derived_keys=_ingested_day,
+            range_key="_ingested_at",
         ),
         BronzeTable(
             "splits", "splits", _splits, ("split_id",), text_casts={"execution_date": "date"}

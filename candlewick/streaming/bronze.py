@@ -10,6 +10,8 @@ from candlewick.plans.bronze import append_batch, with_source_file
 from candlewick.sources.landing import read_landing_stream
 from candlewick.sources.registry import TABLES
 
+FILES_PER_BATCH = 1000
+
 
 def stream_table(
     spark: SparkSession,
@@ -19,9 +21,9 @@ def stream_table(
     target: str,
     checkpoint: str,
     policy: str = FIRST_WINS,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int | None = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Process all files that are available now, then stop.
+    """Process all files that are available now, in batches of bounded size, then stop.
 
     The key rule still applies to each micro-batch: a new file may replay old records. It also makes
     a repeated batch harmless, so a query that is lost between append and commit can just restart.

@@ -6,6 +6,7 @@ import lake
 import pytest
 from pyspark.sql import functions as F
 
+from candlewick.operators.incremental import value_range
 from candlewick.plans import bronze, silver
 from candlewick.sources import TABLES, append_table, read_landing, recover_table, replace_table, table_or_none
 
@@ -237,3 +238,38 @@ def test_recovery_after_a_stop_between_the_renames(spark, db, by_reading):
     assert found is None or found.count() == 3
     assert spark.table(f"{db}.t").count() == 3
     assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+
+
+@pytest.mark.parametrize("policy", ["first_wins", "latest_wins"])
+def test_loads_with_unreadable_times_add_nothing_the_second_time(spark, db, tmp_path, policy):
+    lake.write(tmp_path, "ticker_overview", "2026-08-17", [lake.overview()], ingested="yesterday")
+    bars = [lake.bar(date(2026, 8, 17)), {**lake.bar(date(2026, 8, 17)), "t": 10**18}]
+    lake.write(tmp_path, "daily_bars", "2026-08-17", bars, ingested="yesterday")
+    for run in range(3):
+        for table, quarantined in (("ticker_overview", 1), ("daily_bars", 1)):
+            counts = bronze.load_table(
+                spark, table, landing_root=str(tmp_path), target=f"{db}.{table}", policy=policy
+            )
+            assert counts == {
+                "appended": int(run == 0 and table == "daily_bars"),
+                "quarantined": quarantined if run == 0 else 0,
+            }
+
+
+@pytest.mark.parametrize("table", list(TABLES))
+def test_a_small_batch_meets_only_part_of_the_stored_rows(spark, db, tmp_path, table):
+    lake.fill(tmp_path, days=3)
+    since = date(2026, 8, 17)
+    options = {"landing_root": str(tmp_path), "target": f"{db}.{table}"}
+    bronze.load_table(spark, table, **options)
+    assert bronze.load_table(spark, table, since=since, **options)["appended"] == 0
+    rows = bronze.project(bronze.landed(spark, str(tmp_path), table, since), table)
+    spec = TABLES[table]
+    known = spark.table(f"{db}.{table}")
+    range_of = value_range(rows, spec.range_key) if spec.range_key else None
+    fresh = bronze.new_rows(rows, known, table, key_range=range_of, small_batch=not spec.range_key)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    if spec.range_key:
+        assert f"GreaterThanOrEqual({spec.range_key}" in plan
+    else:
+        assert "LeftSemi" in plan

@@ -14,6 +14,12 @@ def test_epoch_day_does_not_follow_the_session_zone(spark, setting, zone):
     assert days == ["2023-08-18", "1969-12-31", "1970-01-01", "None"]
 
 
+@pytest.mark.parametrize("ms", [1692331200000 * 1000, 1692331200000 * 10**6, -(2**63), 2**63 - 1])
+def test_a_time_in_another_unit_is_no_day(spark, ms):
+    df = spark.createDataFrame([(ms,)], "ms bigint")
+    assert df.select(epoch_ms_to_date(F.col("ms"))).first()[0] is None
+
+
 def test_guarded_ratio_is_null_for_null_and_zero(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (1.0, None), (None, 2.0)], "a double, b double")
     assert [r[0] for r in df.select(guarded_ratio(F.col("a"), F.col("b"))).collect()] == [
@@ -41,6 +47,9 @@ def test_trend_band_edges_are_sideways(spark):
         ("/lake/dev/raw_data/bars/a.jsonl", "dbfs:/lake/dev/raw_data/", "bars/a.jsonl"),
         ("file:///lake/a.jsonl", "file:/lake", "a.jsonl"),
         ("s3a://bucket/lake/a.jsonl", "s3a://bucket/lake", "a.jsonl"),
+        ("s3://other/lake/a.jsonl", "s3://mine/lake", None),
+        ("s3://mine/lake/a.jsonl", "/lake", "a.jsonl"),
+        ("file:/lake/a.jsonl", "file://host/lake", "a.jsonl"),
         ("/lake/dev/raw_data_old/a.jsonl", "/lake/dev/raw_data", None),
     ],
 )

@@ -36,6 +36,34 @@ def test_latest_wins_lets_only_newer_versions_pass(spark):
         op.exclude_existing(batch, known, ["k"], policy="newest")
 
 
+def test_a_missing_version_never_wins(spark):
+    batch = spark.createDataFrame([(1, None), (2, None), (3, 4)], "k int, _ingested_at int")
+    known = spark.createDataFrame([(1, 5), (2, None), (3, None)], "k int, _ingested_at int")
+    fresh = op.exclude_existing(batch, known, ["k"], policy="latest_wins")
+    assert [tuple(r) for r in fresh.collect()] == [(3, 4)]
+
+
+def test_days_of_a_small_batch_take_in_whole_days(spark):
+    rows = [("a", "2026-08-17 00:00:00"), ("b", "2026-08-17 23:59:59"), ("c", "2026-08-18 00:00:00")]
+    known = spark.createDataFrame(rows, "k string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    batch = spark.createDataFrame([("a", "2026-08-17 12:00:00"), ("b", "2026-08-17 12:00:00")], "k string, t string")
+    batch = batch.withColumn("t", F.col("t").cast("timestamp"))
+    day = {"d": F.col("t").cast("date")}
+    fresh = op.exclude_existing(batch, known, ["k"], derived=day, key_range=value_range(batch, "t"))
+    assert fresh.count() == 0
+
+
+@pytest.mark.parametrize("policy", ["first_wins", "latest_wins"])
+def test_a_small_batch_does_not_shuffle_the_stored_keys(spark, tmp_path, policy):
+    path = str(tmp_path / "known")
+    spark.range(50_000).select("id", F.lit(1).alias("_ingested_at")).write.parquet(path)
+    known, batch = spark.read.parquet(path), spark.createDataFrame([(3, 1), (70_000, 1)], "id long, _ingested_at int")
+    fresh = op.exclude_existing(batch, known, ["id"], policy=policy, small_batch=True)
+    assert [r.id for r in fresh.collect()] == [70_000]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [id" in plan and "LeftSemi" in plan
+
+
 def test_range_key_reads_only_the_range_of_the_batch(spark, tmp_path):
     path = str(tmp_path / "known")
     spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("d")).write.parquet(path)
@@ -75,6 +103,10 @@ def test_fingerprint_sees_changed_content_at_equal_counts(spark):
     assert (report.run_1, report.run_2, report.status) == (2, 2, "changed")
     same = op.idempotency_report(op.fingerprint(one, "t"), op.fingerprint(one.repartition(3), "t"))
     assert same.first().status == "ok"
+    left = spark.createDataFrame([(None, "x")], "a string, b string")
+    right = spark.createDataFrame([("x", None)], "a string, b string")
+    moved = op.idempotency_report(op.fingerprint(left, "t"), op.fingerprint(right, "t"))
+    assert moved.first().status == "changed"
 
 
 def test_cast_rejects_counts_values_the_type_cannot_hold(spark):

@@ -88,14 +88,22 @@ def test_written_records_read_back_equal(spark, tmp_path, source):
     assert back.record == rows.first().record
 
 
-def test_daily_run_lands_recent_bars_and_capped_news(spark, tmp_path):
+def test_daily_run_lands_recent_bars_and_capped_news_if_told_to(spark, tmp_path):
     bars = [("AAPL", lake.bar(date(2026, 8, d))) for d in range(1, 21)] + [("ZZZZ", lake.bar(END))]
     news = [
         ("AAPL", lake.article(f"N{i:02d}", published=f"2026-08-{10 + i // 2:02d}T00:00:00Z"))
         for i in range(14)
     ]
     frames = {"daily_bars": feed(spark, "daily_bars", bars), "news": feed(spark, "news", news)}
-    folders = landing.land_daily(frames, str(tmp_path), end=END, ingested_at=AT, run_date=END)
+    folders = landing.land_daily(
+        frames,
+        str(tmp_path),
+        end=END,
+        days={"daily_bars": landing.DAILY_BAR_DAYS, "news": landing.NEWS_DAYS},
+        per_ticker=landing.NEWS_PER_TICKER,
+        ingested_at=AT,
+        run_date=END,
+    )
     assert list(folders) == ["daily_bars", "news"]
     rows = bronze.project(bronze.landed(spark, str(tmp_path), "daily_bars"), "daily_bars").collect()
     assert sorted(r.trade_date.day for r in rows) == [12, 13, 14, 15, 16, 17]
@@ -121,12 +129,33 @@ def test_weekly_run_lands_snapshots_and_full_histories(spark, tmp_path):
     assert read_landing(spark, str(tmp_path), "splits").count() == 2
 
 
-def test_backfill_takes_a_year_of_bars(spark, tmp_path):
+def test_backfill_takes_a_year_of_bars_if_told_to(spark, tmp_path):
     days = [date(2025, 8, 16), date(2025, 8, 17), date(2026, 1, 1), END]
     frame = feed(spark, "daily_bars", [("BA", lake.bar(d)) for d in days])
-    landing.backfill({"daily_bars": frame}, "daily_bars", str(tmp_path), end=END)
-    rows = bronze.project(bronze.landed(spark, str(tmp_path), "daily_bars"), "daily_bars")
-    assert sorted(r.trade_date for r in rows.collect()) == days[1:]
+    window = {"daily_bars": landing.BACKFILL_BAR_DAYS}
+    for root, option, kept in (("all", None, days), ("year", window, days[1:])):
+        path = str(tmp_path / root)
+        landing.backfill({"daily_bars": frame}, "daily_bars", path, end=END, days=option)
+        rows = bronze.project(bronze.landed(spark, path, "daily_bars"), "daily_bars")
+        assert sorted(r.trade_date for r in rows.collect()) == kept
+
+
+@pytest.mark.parametrize("days", [None, 7])
+def test_landing_keeps_what_it_cannot_read(spark, tmp_path, days):
+    articles = [lake.article("N1", published="2026-08-17T00:00:00Z"), lake.article("N2", published="soon")]
+    rows = [("AAPL", a) for a in (*articles, {**lake.article("N3"), "published_utc": None})]
+    landing.land_source(feed(spark, "news", rows), "news", str(tmp_path), end=END, days=days, per_ticker=5)
+    ids = read_landing(spark, str(tmp_path), "news").select("record.id").collect()
+    assert sorted(r.id for r in ids) == ["N1", "N2", "N3"]
+    bars = [("AAPL", lake.bar(END)), ("AAPL", {**lake.bar(END), "t": None}), ("AAPL", {**lake.bar(END), "t": 10**18})]
+    landing.land_source(feed(spark, "daily_bars", bars), "daily_bars", str(tmp_path), end=END, days=days)
+    assert read_landing(spark, str(tmp_path), "daily_bars").count() == 3
+
+
+def test_landing_keeps_every_reply(spark, tmp_path):
+    replies = [("AAPL", lake.overview()), ("AAPL", {**lake.overview(), "name": "Apple"}), ("AAPL", None)]
+    landing.land_source(feed(spark, "ticker_overview", replies), "ticker_overview", str(tmp_path), end=END)
+    assert read_landing(spark, str(tmp_path), "ticker_overview").count() == 3
 
 
 def test_watchlist_as_names_or_as_a_table(spark):
