@@ -16,27 +16,29 @@ so any document, or any range of its ids, is expanded from its own symbols and t
 
 from __future__ import annotations
 
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewick.llm.common import Recent, ship, table, tokenizer_file
+from candlewick.llm.common import ship, table, tokenizer_file
 from candlewick.session import shared_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SHARD_TOKENS = 2_000_000
 MIN_PAIRS = 16  # a pair that occurs less often gets no rule
-PAIRS_A_ROUND = 1024
+PAIRS_A_ROUND = 4096
 ROUNDS = 8
-_RUN_OF_SPACE = regex.compile(r"\s\s")
+_SPACE_MARK = "Ġ"  # how byte-level vocabularies write a space
+_RUN_OF_SPACE = re.compile(r"\s\s")
 
 
 class ByteTokenizer:
@@ -46,19 +48,34 @@ class ByteTokenizer:
     follows together, so a text in which no two white-space characters meet may be cut before every space.
     """
 
-    def __init__(self, file: str, remembered: int = 300_000):
+    def __init__(self, file: str, remembered: int = 800_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(file)
-        self.seen = Recent(remembered)
+        size = self.library.get_vocab_size()
+        self.starts = np.array([(self.library.id_to_token(i) or "").startswith(_SPACE_MARK) for i in range(size)])
+        # what was asked for lately, and before that: a stretch not asked for in a while is forgotten
+        self.half, self.new, self.old = remembered // 2, {}, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
+
+    def _stretches(self, stretches: list[str]) -> list[bytes]:
+        """The ids of each stretch after a space: all in one text, cut where a token starts with a space."""
+        ids = np.array(self.library.encode_batch_fast([f" {' '.join(stretches)}"], add_special_tokens=False)[0].ids, "<u4")
+        places = np.flatnonzero(self.starts[ids])
+        if len(places) != len(stretches):
+            return self._encode([f" {s}" for s in stretches])
+        packed, edges = ids.tobytes(), [*(4 * places).tolist(), 4 * len(ids)]
+        return [packed[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
-        get, out, plain, cut, missing = self.seen.get, {}, [], [], {}
+        if len(self.new) >= self.half:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        out, plain, cut, missing = {}, [], [], {}
         for at, text in enumerate(texts):
             if not text:
                 out[at] = b""
@@ -66,14 +83,18 @@ class ByteTokenizer:
                 plain.append(at)
             else:
                 first, *rest = text.split(" ")
-                ids = [get(s) for s in rest]
-                for k, found in enumerate(ids):
+                ids = list(map(new.get, rest))
+                for k in [k for k, found in enumerate(ids) if found is None]:
+                    stretch = rest[k]
+                    found = old.get(stretch)
                     if found is None:
-                        missing.setdefault(rest[k], []).append((len(cut), k))
+                        missing.setdefault(stretch, []).append((len(cut), k))
+                    else:
+                        ids[k] = new[stretch] = found
                 cut.append((at, first, ids))
         if missing:
-            for (stretch, places), ids in zip(missing.items(), self._encode([f" {s}" for s in missing]), strict=True):
-                self.seen.put(stretch, ids)
+            for (stretch, places), ids in zip(missing.items(), self._stretches(list(missing)), strict=True):
+                new[stretch] = ids
                 for which, k in places:
                     cut[which][2][k] = ids
         for (at, _, ids), start in zip(cut, self._encode([c[1] for c in cut]), strict=True):
@@ -115,10 +136,11 @@ def compress(ids: np.ndarray, offsets: np.ndarray, base: int, min_pairs: int = M
         chosen = np.sort(keys[edge[best]])
         # where a chosen pair stands; of overlapping ones every second counts
         shift = 16 if chosen.dtype == np.uint32 else 32
-        left = np.zeros(int(symbols.max()) + 1, bool)
-        left[(chosen >> chosen.dtype.type(shift)).astype(np.int64)] = True
-        at = np.flatnonzero(left[symbols[:-1]] & inner)
         wide = chosen.dtype.type
+        left, right = np.zeros((2, int(symbols.max()) + 1), bool)
+        left[chosen >> wide(shift)] = True
+        right[chosen & wide((1 << shift) - 1)] = True
+        at = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]] & inner)
         key = (symbols[at].astype(wide) << wide(shift)) | symbols[at + 1]
         number = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
         hit = chosen[number] == key
@@ -211,8 +233,8 @@ def write(
 ) -> None:
     """Write the ids of all documents, each with end_id after it, in ascending id order.
 
-    Null texts count as empty, null ids come first, and rows with one id follow each other by their text. Rows are
-    dealt by ranges of (id, text), so no id has to fit into one task. A part is a range, in order; within a part
+    Null texts count as empty, null ids come first, and rows with one id follow each other by a hash of their text.
+    Rows are dealt by ranges of (id, hash), so no id has to fit into one task. A part is a range, in order; within a part
     shards of about shard_tokens are closed one after the other, which bounds a task's memory.
     """
     spark = docs.sparkSession
@@ -250,9 +272,9 @@ def write(
             yield pa.RecordBatch.from_pylist([_shard(part, shard, held_docs, held_ids, base)], schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    ordered.mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
+    order = [F.col("id").asc_nulls_first(), F.col("hash")]
+    ordered = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select("id", "text").mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
 
 
 def unpack(row: dict) -> list[np.ndarray]:
