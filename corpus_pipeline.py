@@ -26,25 +26,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the least id; of rows that repeat it, the first by their text.
+    """One document of each group: the one with the least id; of rows that repeat it, the first by a hash.
 
-    A document without an id is in no group and stays.
+    A document without an id is in no group and stays. The texts are shuffled once, by id.
     """
-    group = stored(
-        spark,
-        simhash.near_duplicates(spark, docs).where("id = component").select(F.col("id").alias("kept_id")).distinct(),
-    )
-    first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
+    found = simhash.near_duplicates(spark, docs)
+    group = stored(spark, found.where("id = component").select(F.col("id").alias("kept_id")).distinct())
     kept = docs.join(group, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    repeated = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
-    many = F.col("doc_id") == F.col("repeated_id")
-    one = kept.join(repeated, many, "left_semi").withColumn("k", F.row_number().over(first)).where("k = 1").drop("k")
-    return (
-        kept.join(repeated, many, "left_anti")
-        .unionByName(one)
-        .unionByName(docs.where("doc_id IS NULL"))
-        .select(*docs.columns)
-    )
+    k, order = free_name(docs, "__k"), F.xxhash64("text", "lang", "source", "n_chars")
+    first = kept.withColumn(k, F.row_number().over(Window.partitionBy("doc_id").orderBy(order))).where(F.col(k) == 1)
+    return first.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
