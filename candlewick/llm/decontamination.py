@@ -3,11 +3,13 @@
 1. Document frequencies of word features over all documents give the weights (TF-IDF).
 2. The benchmark's passages (PASSAGE words, every STEP words) are the rows of a sparse matrix A. A randomised SVD
    of it is computed by Spark: Y = A W with a random W, the Gram matrix of Y for an orthonormal Q = Y R^-1, and
-   B = Q' A, summed by feature. The right singular vectors V of the small B span the latent space.
+   B = Q' A, summed by feature. The right singular vectors V of the small B span the latent space: as many of them,
+   RANK at most, as it takes to keep KEPT_SHARE of the length of every passage.
 3. Each passage of each document is mapped to it. With P the projection, x a passage and q one of the benchmark,
    the cosine is estimated by <P x, P q> / (|x| |q|), divided by the share |P q|^2 / |q|^2 of q that the space keeps,
-   so that a copy scores alike for any rank. This is at most |P x| |q| / (|x| |P q|): a passage with too small a share
-   in the space is settled before it meets any q. The rest meet all q of a block in one matrix product.
+   so that a copy scores alike for any rank. The product is a sum over the words of x, and each word adds at most
+   what it adds for the q that suits it best: passages below the threshold even so are settled without a vector.
+   The rest meet all q of a block in one matrix product.
 4. A candidate's words around the passage are checked by the longest common subsequence with the item, over windows
    a quarter longer than the item: a share of COPIED or more is a copy; a share of REWORDED or more is a paraphrase
    if the item's answer is there too. The answer is a column, where the benchmark has one, else the last sentence.
@@ -18,6 +20,7 @@ Benchmark items go through the search in blocks of ITEM_BLOCK, so what is broadc
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +30,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Recent, ship, table
+from candlewick.llm.common import Remembered, ship, table
 
 FEATURES = 1 << 18
 STEP = 16
 PASSAGE = 2 * STEP
-RANK = 256
+RANK = 512
+KEPT_SHARE = 0.7
 COSINE = 0.3
 COPIED = 0.8
 REWORDED = 0.6
@@ -45,29 +49,27 @@ _SENTENCE = regex.compile(r"[^.!?\n]*[\p{L}\p{N}][^.!?\n]*")
 _STRETCH = 64
 
 
+_WORDS = Remembered(200_000, lambda token: _MARKS.sub("", token))
+
+
 def words_of(text: str) -> list[str]:
     """Letters and digits of each stretch between white space, in lower case."""
-    return [w for w in (_MARKS.sub("", t) for t in text.lower().split()) if w]
+    return [w for w in map(_WORDS.__getitem__, text.lower().split()) if w]
 
 
 class Features:
     """The number of a word below FEATURES, by stretches between white space; -1 for marks alone."""
 
-    def __init__(self, remembered: int = 400_000):
-        self.seen = Recent(remembered)
+    def __init__(self, remembered: int = 800_000):
+        self.number = Remembered(remembered, self._make).__getitem__
 
-    def _make(self, token: str) -> int:
+    @staticmethod
+    def _make(token: str) -> int:
         word = _MARKS.sub("", token.lower())
-        found = zlib.crc32(word.encode()) % FEATURES if word else -1
-        self.seen.put(token, found)
-        return found
+        return zlib.crc32(word.encode()) % FEATURES if word else -1
 
     def of(self, text: str) -> np.ndarray:
-        get, make = self.seen.get, self._make
-        found = [get(t) for t in text.split()]
-        if None in found:
-            found = [make(t) if f is None else f for f, t in zip(found, text.split(), strict=True)]
-        out = np.array(found, np.int64)
+        out = np.array(list(map(self.number, text.split())), np.int64)
         return out[out >= 0]
 
 
@@ -124,6 +126,11 @@ class Item:
     words: list[str]
     answer: list[str]
 
+    def __post_init__(self):
+        found = Counter(self.words)
+        self.places = {word: k for k, word in enumerate(found)}
+        self.counts = np.array(list(found.values()), np.int32)
+
 
 @dataclass
 class Space:
@@ -132,8 +139,9 @@ class Space:
     items: list[Item]
     owner: np.ndarray  # passage -> place in items
     row: np.ndarray  # feature -> row of vectors; 0 is the zero row
-    vectors: np.ndarray  # weight x right singular vectors
+    vectors: np.ndarray  # right singular vectors by weight, a column for each row number
     passages: np.ndarray  # P q |q| / |P q|^2
+    most: np.ndarray  # by row number: the most that a word can add to the product with any passage
 
 
 def _sparse(items: list[Item], weight: np.ndarray) -> tuple[list[int], list[tuple[list[int], list[float]]]]:
@@ -216,9 +224,15 @@ def latent_space(spark: SparkSession, items: list[Item], weight: np.ndarray, ran
     row[used] = np.arange(1, len(used) + 1)
     projected = np.array([np.array(v) @ right[np.searchsorted(used, f)] for f, v in rows], np.float32)
     whole = np.sqrt([np.square(v).sum() for _, v in rows])
+    least_kept = (np.cumsum(projected.astype(np.float64) ** 2, axis=1) / whole[:, None] ** 2).min(axis=0)
+    enough = np.flatnonzero(least_kept >= KEPT_SHARE**2)
+    if len(enough):
+        projected, right = projected[:, : enough[0] + 1], right[:, : enough[0] + 1]
     scale = (whole / np.maximum(np.square(projected).sum(axis=1), 1e-12)).astype(np.float32)
     vectors = np.concatenate([np.zeros((1, right.shape[1])), right * weight[used][:, None]]).astype(np.float32)
-    return Space(items, np.array(owner), row, vectors, projected * scale[:, None])
+    scaled = projected * scale[:, None]
+    most = np.maximum((vectors @ scaled.T).max(axis=1), 0)
+    return Space(items, np.array(owner), row, np.ascontiguousarray(vectors.T), scaled, most)
 
 
 def common_words(item: list[str], region: list[str]) -> int:
@@ -235,36 +249,45 @@ def common_words(item: list[str], region: list[str]) -> int:
     return len(item) - state.bit_count()
 
 
-def check(item: Item, words: list[str], low: int, high: int) -> tuple[int, bool, bool]:
-    """(longest common subsequence, answer found, contaminated) of an item and the words around low..high."""
+def check(item: Item, region: list[str]) -> tuple[int, bool, bool]:
+    """(longest common subsequence, answer found, contaminated) of an item and some words; a subsequence too
+    short to matter counts as none."""
     n = len(item.words)
-    region = words[max(0, low - n) : high + n]
     width = n if n < SHORT_WORDS else n + -(-n // 4)
-    best, window = 0, region[:width]
-    for at in range(0, max(1, len(region) - width + 1), 1 if n < SHORT_WORDS else max(1, n // 8)):
-        found = common_words(item.words, region[at : at + width])
-        if found > best:
-            best, window = found, region[at : at + width]
-    tail = region[-width:]
-    found = common_words(item.words, tail)
-    if found > best:
-        best, window = found, tail
+    last = max(0, len(region) - width)
+    starts = {*range(0, last, 1 if n < SHORT_WORDS else max(1, n // 8)), last}
+    # no subsequence is longer than what the window and the item have in common in any order
+    place = item.places.get
+    at_word = np.array([place(w, len(item.counts)) for w in region], np.int64)
+    seen = np.zeros((len(region) + 1, len(item.counts) + 1), np.int32)
+    seen[np.arange(1, len(region) + 1), at_word] = 1
+    seen = np.cumsum(seen, axis=0)[:, :-1]
+    low_ends = np.array(sorted(starts))
+    high_ends = np.minimum(low_ends + width, len(region))
+    most = np.minimum(seen[high_ends] - seen[low_ends], item.counts).sum(axis=1)
+    best, window = 0, []
+    for k in np.flatnonzero(most >= REWORDED * n):
+        if most[k] > best:
+            words_there = region[low_ends[k] : high_ends[k]]
+            found = common_words(item.words, words_there)
+            if found > best:
+                best, window = found, words_there
     answer = bool(item.answer) and common_words(item.answer, window) >= ANSWER * len(item.answer)
     if n < SHORT_WORDS:
         return best, answer, best == n
     return best, answer, best >= COPIED * n or (best >= REWORDED * n and answer)
 
 
-def _sums(space: Space, joined: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The sum of the word vectors of each stretch; words outside the benchmark's have none."""
-    row = space.row[joined]
+def _sums(space: Space, row: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sum of the word vectors of each stretch; row 0 has none."""
     known = np.flatnonzero(row)
-    out = np.zeros((len(starts), space.vectors.shape[1]), np.float32)
+    out = np.zeros((space.vectors.shape[0], len(starts)), np.float32)
     first = np.searchsorted(known, starts)
     full = np.flatnonzero(np.diff(np.append(first, len(known))))
     if len(full):
-        out[full] = np.add.reduceat(space.vectors[row[known]], first[full], axis=0)
-    return out
+        # along the last axis, one dimension after the other: its few thousand numbers stay in the cache
+        out[:, full] = np.add.reduceat(space.vectors[:, row[known]], first[full], axis=1)
+    return np.ascontiguousarray(out.T)
 
 
 def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, str]], cosine: float) -> list[dict]:
@@ -279,28 +302,38 @@ def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, str]]
     doc_of = np.repeat(np.arange(len(docs)), blocks)
     inside = np.arange(len(doc_of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     starts = np.repeat(np.cumsum(sizes) - sizes, blocks) + STEP * inside
-    vectors = _sums(space, joined, starts)
-    squares = np.add.reduceat(weight[joined].astype(np.float64) ** 2, starts)
     follows = np.append(doc_of[1:] == doc_of[:-1], False)
-    vectors[:-1][follows[:-1]] += vectors[1:][follows[:-1]]
-    squares[:-1][follows[:-1]] += squares[1:][follows[:-1]]
+    row, squared = space.row[joined], weight[joined].astype(np.float64) ** 2
+
+    def passages(blocks_of):
+        """From blocks of STEP words to passages: each block and the next of its document."""
+        blocks_of[:-1][follows[:-1]] += blocks_of[1:][follows[:-1]]
+        return blocks_of
+
+    squares = passages(np.add.reduceat(squared, starts))
+    # what the words can add at most, each with the passage that suits it best: few passages need a vector
+    length = np.sqrt(squares)
+    inner = passages(np.add.reduceat(space.most[row].astype(np.float64), starts)) >= cosine * length - 1e-6
     # the last block alone is inside the passage before it
-    keep = np.flatnonzero(follows | (inside == 0))
-    vectors, length = vectors[keep], np.sqrt(squares[keep])
+    inner &= follows | (inside == 0)
+    needed = inner.copy()
+    needed[1:] |= inner[:-1] & follows[:-1]
+    vectors = passages(_sums(space, np.where(np.repeat(needed, np.diff(np.append(starts, len(joined)))), row, 0), starts))
     longest = np.linalg.norm(space.passages, axis=1).max()
-    inner = np.flatnonzero(np.linalg.norm(vectors, axis=1) * longest >= cosine * length)
+    inner &= np.linalg.norm(vectors, axis=1) * longest >= cosine * length
+    inner = np.flatnonzero(inner)
     if not len(inner):
         return []
     cosines = (vectors[inner] @ space.passages.T) / length[inner, None]
+    at, passage = np.nonzero(cosines >= cosine)
+    block, item = inner[at], space.owner[passage]
+    found = np.unique(np.stack([doc_of[block], item, STEP * inside[block]], axis=1), axis=0)
     rows, words = {}, {}
-    for k, passage in zip(*np.nonzero(cosines >= cosine), strict=True):
-        block = keep[inner[k]]
-        doc, low = int(doc_of[block]), int(STEP * inside[block])
-        at = int(space.owner[passage])
+    for doc, at, low, high in _regions(found.tolist(), space.items):
         if doc not in words:
             words[doc] = words_of(docs[doc][1])
         item = space.items[at]
-        lcs, answer, bad = check(item, words[doc], low, low + PASSAGE)
+        lcs, answer, bad = check(item, words[doc][low:high])
         known = rows.get((doc, at))
         if bad and (known is None or lcs > known["lcs"]):
             rows[doc, at] = {
@@ -313,6 +346,22 @@ def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, str]]
     return list(rows.values())
 
 
+def _regions(candidates: list[list[int]], items: list[Item]) -> Iterator[tuple[int, int, int, int]]:
+    """(document, item, first word, end): the words an item's length around its passages, each looked at once."""
+    open_region = None
+    for doc, item, low in candidates:
+        n = len(items[item].words)
+        first, end = max(0, low - n), low + PASSAGE + n
+        if open_region and open_region[:2] == (doc, item) and first <= open_region[3]:
+            open_region = (doc, item, open_region[2], end)
+            continue
+        if open_region:
+            yield open_region
+        open_region = (doc, item, first, end)
+    if open_region:
+        yield open_region
+
+
 _PAIR = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("lcs", pa.int64()), ("n_words", pa.int64()), ("answer", pa.bool_())]
 )
