@@ -381,6 +381,10 @@ SELECT l_suppkey AS ticker, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trade_d
 FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""",
     "json_scan": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
+    "json_scan_landed": """
+SELECT CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS VARCHAR) END AS split_id,
+       CASE WHEN event_id % 10 <> 0 THEN value END AS split_from, event_id % 10 = 0 AS broken
+FROM events""",
     "nested_project": LANDED_DIVIDENDS,
     "epoch_ms_date": """
 SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
@@ -456,6 +460,11 @@ SELECT {DIVIDEND_COLUMNS},
        strftime(to_timestamp(version) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS _ingested_at,
        _source_file
 FROM stg_dividends""",
+    "stg_news_articles_repeated": """
+SELECT CAST(o_custkey AS VARCHAR) AS article_id, 'Order ' || o_orderkey AS title,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS published_utc,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS publisher_name
+FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""",
     "stg_news_articles": f"""WITH {ARTICLES}
 SELECT article_id, title, description, article_url,
        strftime(published_utc, '%Y-%m-%d %H:%M:%S') AS published_utc, publisher_name,
@@ -629,6 +638,13 @@ FROM loaded""",
 SELECT unnest(['active', 'market_cap', 'share_class_shares_outstanding',
                'weighted_shares_outstanding', 'total_employees', 'list_date']) AS column_name,
        unnest([0, 0, 0, 0, 0, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')]) AS rejected""",
+    "promote_and_load": """
+SELECT 'daily_bars' AS table_name, count(*) AS loaded, CAST(0 AS BIGINT) AS set_aside, CAST(0 AS BIGINT) AS loaded_again,
+       CAST(0 AS BIGINT) AS set_aside_again, count(*) AS reloaded FROM lineitem
+UNION ALL SELECT 'ticker_overview', count(*) FILTER (c_mktsegment <> 'MACHINERY'),
+       count(*) FILTER (c_mktsegment = 'MACHINERY'), 0, 0, count(*) FILTER (c_mktsegment <> 'MACHINERY') FROM customer
+UNION ALL SELECT t, count(*), 0, 0, 0, count(*)
+FROM orders, (SELECT unnest(['splits', 'dividends', 'news_articles', 'news_sentiment']) AS t) GROUP BY t""",
     "promote_new_files": """
 SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date,
        'events/date=' || CAST(ts AS DATE) || '/' || user_id || '.jsonl' AS relative_path

@@ -16,7 +16,7 @@ from candlewick import operators as op
 from candlewick.bindings import frames
 from candlewick.bindings.frames import table
 from candlewick.functions import epoch_ms_to_date, relative_path
-from candlewick.plans import bronze, gold, landing, silver
+from candlewick.plans import bronze, build, gold, landing, silver
 from candlewick.plans.build import STAGING_INPUT
 from candlewick.plans.checks import CHECKS, EXTRA_CHECKS
 from candlewick.session import shared_dir
@@ -242,6 +242,28 @@ def json_scan(spark, sf):
     return table(spark, sf, "events").select("event_id", parsed.getField("k").alias("k"))
 
 
+@query
+def json_scan_landed(spark, sf):
+    """Landed lines through the scan with the fixed schema; every tenth line broke off."""
+    events = table(spark, sf, "events")
+    record = F.struct(frames.text("event_id").alias("id"), F.col("value").alias("split_from"))
+    lines = envelope_lines(
+        events, record, frames.text("user_id"), F.lit("/splits"), datetime.fromisoformat(frames.INGESTED)
+    )
+    ending = F.when(F.get_json_object("value", "$.record.id").cast("long") % 10 == 0, 40).otherwise(F.length("value"))
+    root = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    broken = lines.select(F.substring("value", 1, ending).alias("value"))
+    broken.write.text(f"{root}/splits/date=2024-02-01")
+    back = read_landing(spark, root, "splits")
+    return portable(
+        back.select(
+            F.col("record.id").alias("split_id"),
+            F.col("record.split_from").alias("split_from"),
+            F.col("_corrupt_record").isNotNull().alias("broken"),
+        )
+    )
+
+
 @query
 def nested_project(spark, sf):
     """Dividend envelopes as JSON text, parsed with the fixed schema, then projected and cast."""
@@ -444,6 +466,13 @@ def stg_news_articles(spark, sf):
     return portable(silver.stg_news_articles(frames.bronze_articles(spark, sf)))
 
 
+@query
+def stg_news_articles_repeated(spark, sf):
+    """Articles that came again under the same id: the newest stays."""
+    again = frames.bronze_articles(spark, sf).withColumn("article_id", F.col("_source_file").cast("long").cast("string"))
+    return portable(silver.stg_news_articles(again).select("article_id", "title", "published_utc", "publisher_name"))
+
+
 @query
 def stg_news_sentiment(spark, sf):
     return portable(silver.stg_news_sentiment(frames.bronze_sentiment(spark, sf)))
@@ -754,6 +783,53 @@ def promote_new_files(spark, sf):
     return portable(promoted_lines(lines, done).select("event_id", "date", "relative_path"))
 
 
+@query
+def promote_and_load(spark, sf):
+    """Two environments: all sources landed in one by the daily and the weekly job, promoted to the other and loaded
+    there, twice, then reloaded. Rows per typed table: the second run adds none."""
+    lines, orders, customer = (table(spark, sf, name) for name in ("lineitem", "orders", "customer"))
+
+    def feed(df: DataFrame, ticker: str, record: Column) -> DataFrame:
+        return df.select(frames.text(ticker).alias("ticker"), record.alias("record"))
+
+    splits = F.struct(frames.text("o_orderkey").alias("id"), frames.text("o_custkey").alias("ticker"))
+    feeds = {
+        "daily_bars": feed(lines, "l_suppkey", frames.bar_records()),
+        "news": feed(orders, "o_custkey", frames.article_records()),
+        "ticker_overview": feed(
+            customer, "c_custkey", F.when(F.col("c_mktsegment") != "MACHINERY", frames.overview_records())
+        ),
+        "splits": feed(orders, "o_custkey", splits),
+        "dividends": feed(orders, "o_custkey", frames.dividend_records()),
+    }
+    suppliers = table(spark, sf, "supplier").select(frames.text("s_suppkey").alias("ticker"))
+    tickers = suppliers.union(customer.select(frames.text("c_custkey"))).distinct()
+    name = f"candlewick_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        root = f"{shared_dir(spark)}/{name}"
+        dev, prod = (build.Lake(f"{root}/{place}", name, name, name) for place in ("dev", "prod"))
+        options = {
+            "end": date(2024, 2, 1),
+            "run_date": date(2024, 2, 1),
+            "ingested_at": datetime.fromisoformat(frames.INGESTED),
+            "tickers": tickers,
+        }
+        landing.land_daily(feeds, dev.landing_root, **options)
+        landing.land_reference(feeds, dev.landing_root, **options)
+        first = build.promote_and_load(spark, dev, prod)
+        second = build.promote_and_load(spark, dev, prod)
+        again = bronze.reload_bronze(spark, landing_root=prod.landing_root, schema=name)
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    rows = [
+        (t, first[t]["appended"], first[t]["quarantined"], second[t]["appended"], second[t]["quarantined"], again[t])
+        for t in TABLES
+    ]
+    columns = "table_name string, loaded long, set_aside long, loaded_again long, set_aside_again long, reloaded long"
+    return spark.createDataFrame(rows, columns)
+
+
 @query
 def relative_path_of_files(spark, sf):
     """Paths with and without a scheme, under roots with and without one."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import (
@@ -18,7 +18,7 @@ from candlewick.operators import (
 )
 from candlewick.operators.incremental import FIRST_WINS, any_null, exclude_identical, value_range
 from candlewick.sources.landing import read_landing
-from candlewick.sources.registry import CORRUPT, TABLES
+from candlewick.sources.registry import CORRUPT, SOURCES, TABLES
 from candlewick.sources.tables import append_table, replace_table, table_or_none
 
 
@@ -57,6 +57,22 @@ def rejected_values(envelopes: DataFrame, table: str) -> DataFrame:
     return cast_rejects(envelopes.select(*[F.col(f"record.{c}").alias(c) for c in casts]), casts)
 
 
+def mismatched_values(envelopes: DataFrame, source: str) -> DataFrame:
+    """How many landed values were not of the type their record field has, and so became NULL, per field.
+
+    The parser keeps the text of a line it could not take in whole, and only such lines are looked at twice.
+    """
+    fields = [f.name for f in SOURCES[source].record]
+    text = F.col(CORRUPT)
+
+    def lost(name: str) -> Column:
+        there = F.get_json_object(text, f"$.record.{name}").isNotNull()
+        return text.isNotNull() & F.col(f"record.{name}").isNull() & there
+
+    counts = [F.struct(F.lit(n).alias("column_name"), F.count_if(lost(n)).alias("rejected")) for n in fields]
+    return envelopes.agg(F.array(*counts).alias("all")).select(F.inline("all"))
+
+
 def new_rows(
     rows: DataFrame,
     existing: DataFrame | None,

@@ -38,8 +38,9 @@ class CheckFailed(RuntimeError):
 class Lake:
     """Where an environment keeps its landing files and tables.
 
-    ``ticker_buckets`` stores the bars table in that many buckets per ticker, so that the three
-    facts built from it need no shuffle; about one bucket per 200 MB of bars.
+    The bars table is stored in ``ticker_buckets`` buckets by ticker (default: as many as Spark has
+    shuffle partitions), so that the bars are shuffled and sorted once and the three facts built from
+    them not at all; about one bucket per 200 MB of bars.
     """
 
     landing_root: str
@@ -126,7 +127,7 @@ def build_gold(spark: SparkSession, lake: Lake) -> None:
     for model, spec in GOLD.items():
         content = spec.compute(*[_table(spark, lake, name) for name in spec.inputs])
         layout = {}
-        if lake.ticker_buckets and model in BY_TICKER:
+        if model in BY_TICKER:
             layout = {
                 "bucket_by": "ticker",
                 "buckets": lake.ticker_buckets,
@@ -155,13 +156,18 @@ def quality_report(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def landing_rejects(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Values that were rejected earlier, when Landing text became dates and timestamps."""
+    """Values that were rejected earlier: texts of Landing that are no date or timestamp, and values that are
+    not of the type their field has."""
     result = None
     for table, spec in TABLES.items():
         if spec.text_casts:
             envelopes = bronze.read_landing(spark, lake.landing_root, spec.source)
             part = _reject_rows(bronze.rejected_values(envelopes, table), table)
             result = part if result is None else result.unionByName(part)
+    for source in SOURCES:
+        envelopes = bronze.read_landing(spark, lake.landing_root, source)
+        part = _reject_rows(bronze.mismatched_values(envelopes, source), source)
+        result = part if result is None else result.unionByName(part)
     return result
 
 

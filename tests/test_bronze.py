@@ -172,6 +172,15 @@ def test_bad_dates_become_null_and_are_counted(spark, db, tmp_path):
     assert landed == {"ex_dividend_date": 0, "declaration_date": 0, "record_date": 0, "pay_date": 1}
 
 
+def test_values_of_another_type_are_counted(spark, db, tmp_path):
+    bars = [lake.bar(DAY), {**lake.bar(DAY), "c": "n/a"}, {**lake.bar(DAY), "n": 5.5}, {**lake.bar(DAY), "vw": None}]
+    lake.write(tmp_path, "daily_bars", "2026-08-17", bars)
+    envelopes = bronze.landed(spark, str(tmp_path), "daily_bars")
+    counts = {r.column_name: r.rejected for r in bronze.mismatched_values(envelopes, "daily_bars").collect()}
+    assert counts == {**dict.fromkeys(("t", "o", "h", "l", "v", "vw"), 0), "c": 1, "n": 1}
+    assert load(spark, db, tmp_path, "daily_bars")["quarantined"] == 0
+
+
 def test_fractional_volume_is_cut(spark, db, tmp_path):
     lake.write(tmp_path, "daily_bars", "2026-08-17", [lake.bar(DAY, volume=1234.9)])
     load(spark, db, tmp_path, "daily_bars")

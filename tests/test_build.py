@@ -172,3 +172,13 @@ def test_the_stream_reads_new_files_only(spark, db, tmp_path):
             lake.write(root, "splits", "2026-08-24", [lake.split("S1"), lake.split(event)])
     assert spark.table(f"{db}.s").count() == 2
     assert seen[1] > 0
+
+
+def test_the_facts_of_the_bars_need_no_shuffle_by_default(spark, db, tmp_path):
+    lake.fill(tmp_path / "landing", days=3)
+    place = build.Lake(str(tmp_path / "landing"), db, db, db)
+    bronze.load_bronze(spark, landing_root=place.landing_root, schema=db)
+    build.build(spark, place)
+    for fact in ("fct_daily_returns", "fct_moving_averages", "fct_volume_anomalies"):
+        computed = build.GOLD[fact].compute(spark.table(f"{db}.fct_daily_bars"))
+        assert "Exchange" not in computed._jdf.queryExecution().executedPlan().toString()
