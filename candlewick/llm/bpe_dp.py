@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Recent, ship, table, tokenizer_file
+from candlewick.llm.common import Remembered, free_name, kept_columns, ship, table, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
 _NEVER = 1 << 60
@@ -53,9 +54,9 @@ class PrefixEncoder:
         self.automaton = ahocorasick.Automaton()
         for token in tokens:
             if len(token) == 1 or (token in self.halves and self._whole(token)):
-                self.automaton.add_word(token, token)
+                self.automaton.add_word(token, (len(token), token))
         self.automaton.make_automaton()
-        self._compatible = Recent(400_000)
+        self._together = Remembered(600_000, self.stay_apart)
 
     def _symbols(self, token: str, last: bool = True) -> str:
         """One character a symbol: the one that ends a word is moved to a range of its own."""
@@ -75,42 +76,38 @@ class PrefixEncoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return True
 
-    def together(self, left: str, right: str) -> bool:
-        """Whether left and right stay apart: go back through the merges that made them, latest first, and see
-        if the two symbols at the border would have been joined before the next of these merges."""
-        known = self._compatible.get((left, right))
-        if known is not None:
-            return known
+    def stay_apart(self, pair: tuple[str, str]) -> bool:
+        """Whether two tokens go together: go back through the merges that made them, latest first, and see if the
+        two symbols at the border would have been joined before the next of these merges."""
         rank, joined, halves = self.rank, self.joined, self.halves
-        x, y, answer = left, right, True
+        x, y = pair
         until_x = until_y = _NEVER  # when x and y were taken up into what they are part of
         while True:
             m = joined.get((x, y))
             # of equal merges the left one comes first
             if m is not None and m < until_x and m <= until_y:
-                answer = False
-                break
+                return False
             rx, ry = rank.get(x, -1), rank.get(y, -1)
             if rx < 0 and ry < 0:
-                break
+                return True
             if rx > ry:
                 until_x, x = rx, halves[x][1]
             else:
                 until_y, y = ry, halves[y][0]
-        self._compatible.put((left, right), answer)
-        return answer
 
     def encode(self, word: str) -> list[int]:
         if not word:
             return []
         symbols = word[:-1] + chr(ord(word[-1]) + 0x10000) if self.suffix else word
         last: list[str | None] = [None] * (len(symbols) + 1)
-        for end, token in self.automaton.iter(symbols):
-            start = end + 1 - len(token)
-            if last[end + 1] is None:
-                before = last[start]
-                if start == 0 or (before is not None and self.together(before, token)):
-                    last[end + 1] = token
+        last[0] = ""
+        together = self._together
+        for end, (size, token) in self.automaton.iter(symbols):
+            end += 1
+            if last[end] is None:
+                before = last[end - size]
+                if before == "" or (before is not None and together[before, token]):
+                    last[end] = token
         out, at = [], len(symbols)
         while at:
             out.append(self.tokens[last[at]])
@@ -125,7 +122,7 @@ class WordTokenizer:
     stretches, each remembered for as long as it comes back.
     """
 
-    def __init__(self, file: str, remembered: int = 300_000):
+    def __init__(self, file: str, remembered: int = 800_000):
         from tokenizers import Tokenizer
 
         stated = json.loads(file)
@@ -136,49 +133,48 @@ class WordTokenizer:
         self.text_of = {i: t for t, i in vocabulary.items()} | {i: t for t, i in self.special.items()}
         self.encoder = PrefixEncoder(vocabulary, model["merges"], model["end_of_word_suffix"] or "")
         self.split_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.seen, self.words = Recent(remembered), Recent(remembered)
-        self._plain = {c: chr(c) for c in range(33, 127)}
+        self.words = Remembered(remembered, self._word)
+        self.stretches = Remembered(remembered, self._stretch)
+
+    def _packed(self, ids: list[int]) -> tuple[bytes, str]:
+        return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
 
-    def _word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.encoder.encode(word)
-            self.words.put(word, ids)
-        return ids
+    def _word(self, word: str) -> tuple[bytes, str]:
+        return self._packed(self.encoder.encode(word))
 
-    def _section(self, text: str) -> list[int]:
+    def _section(self, text: str) -> list[tuple[bytes, str]]:
         if text.isascii() and text.isprintable() and " " not in text:
-            return [i for word in _ASCII_WORDS.findall(text.lower()) for i in self._word(word)]
-        clean = self.library.normalizer.normalize_str(text)
-        return [i for word, _ in self.library.pre_tokenizer.pre_tokenize_str(clean) for i in self._word(word)]
+            words = _ASCII_WORDS.findall(text.lower())
+        else:
+            clean = self.library.normalizer.normalize_str(text)
+            words = [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(clean)]
+        return list(map(self.words.__getitem__, words))
 
-    def ids_of(self, text: str) -> list[int]:
+    def _stretch(self, text: str) -> tuple[bytes, str]:
         """Of a text of any kind."""
         if self.split_special is None or not self.split_special.search(text):
-            return self._section(text)
-        out, at = [], 0
-        for found in self.split_special.finditer(text):
-            out += self._section(text[at : found.start()])
-            out.append(self.special[found.group()])
-            at = found.end()
-        return out + self._section(text[at:])
+            parts = self._section(text)
+        else:
+            parts, at = [], 0
+            for found in self.split_special.finditer(text):
+                parts += self._section(text[at : found.start()])
+                parts.append(self._packed([self.special[found.group()]]))
+                at = found.end()
+            parts += self._section(text[at:])
+        return parts[0] if len(parts) == 1 else self._joined(parts)
+
+    @staticmethod
+    def _joined(parts: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[0]])
 
     def decode(self, ids) -> str:
         """Tokens joined by spaces, as the vocabulary file states no decoder."""
         return " ".join([self.text_of[i] for i in ids])
 
-    def _stretch(self, text: str) -> tuple[bytes, str]:
-        ids = self.ids_of(text)
-        found = (np.asarray(ids, "<u4").tobytes(), self.decode(ids))
-        self.seen.put(text, found)
-        return found
-
     def __call__(self, text: str) -> tuple[bytes, str]:
         """The ids as little-endian 32-bit numbers and the text they decode to."""
         stretches = SPACE.split(text) if _ODD.search(text) else text.split()
-        get, make = self.seen.get, self._stretch
-        found = [get(s) or make(s) for s in stretches]
-        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[0]])
+        return self._joined(list(map(self.stretches.__getitem__, stretches)))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -199,7 +195,7 @@ def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added
         sent = spark.sparkContext.broadcast(source.read())
     key = uuid.uuid4().hex
     names = [part.split()[0] for part in added.split(", ")]
-    others = [f for f in docs.schema if f.name not in names and (keep is None or f.name in keep)]
+    others = kept_columns(docs, names, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(key, sent.value)
@@ -211,7 +207,7 @@ def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others) + added
     return docs.select(
-        *[F.col(f"`{f.name}`") for f in others], F.col(f"`{text_col}`").cast("string").alias("__text")
+        *[F.col(f"`{f.name}`") for f in others], F.col(f"`{text_col}`").cast("string").alias(free_name(docs, "__text"))
     ).mapInArrow(run, schema)
 
 
@@ -245,6 +241,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text_col: str = "text"
 def decode(rows: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids") -> DataFrame:
     """All columns of rows, then decoded string. Null ids decode to null."""
     spark = rows.sparkSession
+    others = kept_columns(rows, ["decoded"], None)
     ship(spark)
     with open(tokenizer_file(vocabulary), encoding="utf-8") as source:
         sent = spark.sparkContext.broadcast(source.read())
@@ -258,8 +255,8 @@ def decode(rows: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids")
                 [*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], "decoded"]
             )
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema) + "decoded string"
-    return rows.select(*[F.col(f"`{c}`") for c in rows.columns], F.col(f"`{ids_col}`").alias("__ids")).mapInArrow(run, schema)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others) + "decoded string"
+    return rows.select(*[F.col(f"`{f.name}`") for f in others], F.col(f"`{ids_col}`").alias(free_name(rows, "__ids"))).mapInArrow(run, schema)
 
 
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
