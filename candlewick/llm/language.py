@@ -191,8 +191,12 @@ def sample_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(lang, word, n) over the sample_docs documents of each language that come first by a hash of their id."""
     spark = docs.sparkSession
     ship(spark)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = docs.select("id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs)
+    # a number in [0, 1) by the id; the share of a language that can be among the first meets in one task
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
+    sizes = docs.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * sample_docs) / F.count("*")).alias("share"))
+    low = docs.select("id", "lang", place.alias("place")).join(sizes, "lang").where("place <= share")
+    order = Window.partitionBy("lang").orderBy("place", "id")
+    chosen = low.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
