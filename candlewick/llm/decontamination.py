@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of word features over all documents give the weights (TF-IDF).
+1. The words of all documents become numbers (a hash, FEATURES of them), written once. Their document frequencies
+   over all documents give the weights (TF-IDF).
 2. The benchmark's passages (PASSAGE words, every STEP words) are the rows of a sparse matrix A. A randomised SVD
    of it is computed by Spark: Y = A W with a random W, the Gram matrix of Y for an orthonormal Q = Y R^-1, and
    B = Q' A, summed by feature. The right singular vectors V of the small B span the latent space: as many of them,
@@ -30,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Remembered, ship, table
+from candlewick.llm.common import Remembered, ship, stored, table
 
 FEATURES = 1 << 18
 STEP = 16
@@ -49,14 +50,6 @@ _SENTENCE = regex.compile(r"[^.!?\n]*[\p{L}\p{N}][^.!?\n]*")
 _STRETCH = 64
 
 
-_WORDS = Remembered(200_000, lambda token: _MARKS.sub("", token))
-
-
-def words_of(text: str) -> list[str]:
-    """Letters and digits of each stretch between white space, in lower case."""
-    return [w for w in map(_WORDS.__getitem__, text.lower().split()) if w]
-
-
 class Features:
     """The number of a word below FEATURES, by stretches between white space; -1 for marks alone."""
 
@@ -82,33 +75,47 @@ def _features() -> Features:
     return _FEATURES[0]
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(feature, df) over all documents; -1 stands for the number of documents."""
+def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, words): the words of each row as numbers, little-endian and 32 bits wide; none for a null text."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(FEATURES, np.int64), 0
         of = _features().of
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            n += len(texts)
-            for text in texts:
-                if text:
-                    total[np.unique(of(text))] += 1
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                words = [of(t or "").astype("<i4").tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.binary())], ["id", "words"])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string")).mapInArrow(
+        run, "id long, words binary"
+    )
+
+
+def document_frequencies(rows: DataFrame) -> DataFrame:
+    """(feature, df) over all rows of (id, words); -1 stands for the number of rows."""
+    ship(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(FEATURES, np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            for words in batch.column(0).to_pylist():
+                total[np.unique(np.frombuffer(words, "<i4"))] += 1
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(used, -1), pa.int64()), pa.array(np.append(total[used], n), pa.int64())],
             ["feature", "df"],
         )
 
-    found = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "feature long, df long")
+    found = rows.select("words").mapInArrow(run, "feature long, df long")
     return found.groupBy("feature").agg(F.sum("df").alias("df"))
 
 
-def weights(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """The inverse document frequency of each of the FEATURES features."""
+def weights(rows: DataFrame) -> np.ndarray:
+    """The inverse document frequency of each of the FEATURES features, from rows of (id, words)."""
     df, n = np.zeros(FEATURES), 0
-    for feature, count in document_frequencies(docs, text_col).collect():  # FEATURES + 1 rows at most
+    for feature, count in document_frequencies(rows).collect():  # FEATURES + 1 rows at most
         if feature < 0:
             n = count
         else:
@@ -123,8 +130,8 @@ def _steps(n: int, width: int, step: int) -> list[tuple[int, int]]:
 @dataclass
 class Item:
     number: int | None
-    words: list[str]
-    answer: list[str]
+    words: list[int]
+    answer: list[int]
 
     def __post_init__(self):
         found = Counter(self.words)
@@ -146,9 +153,8 @@ class Space:
 
 def _sparse(items: list[Item], weight: np.ndarray) -> tuple[list[int], list[tuple[list[int], list[float]]]]:
     owner, rows = [], []
-    of = Features().of
     for at, item in enumerate(items):
-        found = of(" ".join(item.words))
+        found = np.array(item.words, np.int64)
         for a, b in _steps(len(found), PASSAGE, STEP) if len(found) else ():
             used, count = np.unique(found[a:b], return_counts=True)
             owner.append(at)
@@ -235,9 +241,9 @@ def latent_space(spark: SparkSession, items: list[Item], weight: np.ndarray, ran
     return Space(items, np.array(owner), row, np.ascontiguousarray(vectors.T), scaled, most)
 
 
-def common_words(item: list[str], region: list[str]) -> int:
+def common_words(item: list[int], region: list[int]) -> int:
     """Length of the longest common subsequence, one machine operation per word of the region."""
-    places: dict[str, int] = {}
+    places: dict[int, int] = {}
     for at, word in enumerate(item):
         places[word] = places.get(word, 0) | 1 << at
     full = (1 << len(item)) - 1
@@ -249,7 +255,7 @@ def common_words(item: list[str], region: list[str]) -> int:
     return len(item) - state.bit_count()
 
 
-def check(item: Item, region: list[str]) -> tuple[int, bool, bool]:
+def check(item: Item, region: list[int]) -> tuple[int, bool, bool]:
     """(longest common subsequence, answer found, contaminated) of an item and some words; a subsequence too
     short to matter counts as none."""
     n = len(item.words)
@@ -290,10 +296,9 @@ def _sums(space: Space, row: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, str]], cosine: float) -> list[dict]:
-    """Contaminated (document, item) pairs of a few documents."""
-    of = _features().of
-    found = [of(text) for _, text in docs]
+def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, bytes]], cosine: float) -> list[dict]:
+    """Contaminated (document, item) pairs of a few documents of (id, words)."""
+    found = [np.frombuffer(words, "<i4") for _, words in docs]
     sizes = np.array([len(f) for f in found])
     if not sizes.sum():
         return []
@@ -327,13 +332,11 @@ def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, str]]
     cosines = (vectors[inner] @ space.passages.T) / length[inner, None]
     at, passage = np.nonzero(cosines >= cosine)
     block, item = inner[at], space.owner[passage]
-    found = np.unique(np.stack([doc_of[block], item, STEP * inside[block]], axis=1), axis=0)
-    rows, words = {}, {}
-    for doc, at, low, high in _regions(found.tolist(), space.items):
-        if doc not in words:
-            words[doc] = words_of(docs[doc][1])
+    candidates = np.unique(np.stack([doc_of[block], item, STEP * inside[block]], axis=1), axis=0)
+    rows = {}
+    for doc, at, low, high in _regions(candidates.tolist(), space.items):
         item = space.items[at]
-        lcs, answer, bad = check(item, words[doc][low:high])
+        lcs, answer, bad = check(item, found[doc][low:high].tolist())
         known = rows.get((doc, at))
         if bad and (known is None or lcs > known["lcs"]):
             rows[doc, at] = {
@@ -368,11 +371,11 @@ _PAIR = pa.schema(
 
 
 def item_of(number: int | None, text: str | None, answer: str | None) -> Item:
-    words = words_of(text or "")
+    of = _features().of
     if answer is None:
         sentences = _SENTENCE.findall(text or "")
         answer = sentences[-1] if len(sentences) > 1 else ""
-    return Item(number, words, words_of(answer))
+    return Item(number, of(text or "").tolist(), of(answer).tolist())
 
 
 def contaminated(
@@ -394,8 +397,8 @@ def contaminated(
     An empty benchmark or an empty table gives no rows. A repeated item or document gives a row for each.
     """
     ship(spark)
-    weight = weights(docs, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = stored(spark, tokenised(docs, id_col, text_col))
+    weight = weights(rows)
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     chosen = benchmark.select(
         F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text"), answer.alias("answer")
@@ -415,9 +418,8 @@ def contaminated(
             held, known = sent.value
             for batch in batches:
                 for low in range(0, batch.num_rows, _STRETCH):
-                    ids, texts = (c.to_pylist() for c in batch.slice(low, _STRETCH).columns)
-                    texts = [t or "" for t in texts]
-                    yield pa.RecordBatch.from_pylist(_search(held, known, list(zip(ids, texts, strict=True)), cosine), _PAIR)
+                    docs = list(zip(*(c.to_pylist() for c in batch.slice(low, _STRETCH).columns), strict=True))
+                    yield pa.RecordBatch.from_pylist(_search(held, known, docs, cosine), _PAIR)
 
         out = out.unionByName(rows.mapInArrow(run, out.schema))
     return out
