@@ -56,7 +56,7 @@ class PrefixEncoder:
             if len(token) == 1 or (token in self.halves and self._whole(token)):
                 self.automaton.add_word(token, (len(token), token))
         self.automaton.make_automaton()
-        self._together = Remembered(600_000, self.stay_apart)
+        self._together = Remembered(200_000, self.stay_apart)
 
     def _symbols(self, token: str, last: bool = True) -> str:
         """One character a symbol: the one that ends a word is moved to a range of its own."""
@@ -122,7 +122,7 @@ class WordTokenizer:
     stretches, each remembered for as long as it comes back.
     """
 
-    def __init__(self, file: str, remembered: int = 800_000):
+    def __init__(self, file: str, remembered: int = 300_000):
         from tokenizers import Tokenizer
 
         stated = json.loads(file)

@@ -53,7 +53,7 @@ _STRETCH = 64
 class Features:
     """The number of a word below FEATURES, by stretches between white space; -1 for marks alone."""
 
-    def __init__(self, remembered: int = 800_000):
+    def __init__(self, remembered: int = 300_000):
         self.number = Remembered(remembered, self._make).__getitem__
 
     @staticmethod

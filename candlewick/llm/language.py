@@ -267,7 +267,7 @@ def train(
 class Scorer:
     """Scores texts with a model; word scores are kept for as long as words come back."""
 
-    def __init__(self, model: Model, remembered: int = 300_000):
+    def __init__(self, model: Model, remembered: int = 200_000):
         self.model, self.seen = model, Recent(remembered)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
