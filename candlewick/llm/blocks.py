@@ -8,8 +8,11 @@ reads the same exchange.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +22,27 @@ BLOCK_BYTES = 8 << 20
 
 
 def in_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, id, text): texts as UTF-8, null as empty; all rows of an id are in one block."""
+    """(block, id, text): texts as UTF-8, null as empty, packed for the exchange; all rows of an id are in one block."""
     ship(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
     key = F.col(id_col).cast("long")
-    return docs.select(
+    dealt = docs.select(
         F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"),
         key.alias("id"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
     )
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                texts = pa.array([compress(t) for t in part.column(2).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], ["block", "id", "text"])
+
+    return dealt.mapInArrow(pack, "block int, id long, text binary")
+
 
 def least_ids(keys: list[np.ndarray], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(distinct keys, least id, whether there are more ids) of key columns as signed 64-bit numbers."""
@@ -54,8 +67,11 @@ def find_in_sorted(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, n
     return place, known[place] == wanted
 
 
-def documents_of(table: pa.Table) -> list[tuple[int | None, bytes]]:
-    return list(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True))
+def documents_of(table: pa.Table) -> Iterator[tuple[int | None, bytes]]:
+    """(id, text) of the rows of a block, one unpacked at a time."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for number, text in zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True):
+        yield number, unpack(text)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -16,8 +16,9 @@ id. Suffixes need an order to LENGTH bytes only, so bucket-pointer refinement en
    2 Q >= LENGTH, and further pairs are formed from the new names when it does not.
 
 Buckets meet only as one row per bucket and block of documents (see blocks.py), sorted by bucket in a window; the
-answers go back to the blocks, which take the next step. Names are 64-bit hashes, compared within their bucket's
-64-bit name, so two different strings are taken for one with a chance of 2^-128 a pair.
+answers go back to the blocks that have a use for them, which take the next step. Names are 64-bit hashes, compared
+within their bucket's name, of which single strings keep 32 bits: two different strings are taken for one with a
+chance of 2^-96 a pair.
 """
 
 from __future__ import annotations
@@ -156,48 +157,80 @@ def _refined(length: int, q: int):
     return run
 
 
+def _key(bucket: np.ndarray, name: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(bucket.view(np.uint64) * _BASE + name.view(np.uint64))
+
+
 class _Answers:
-    """(bucket, name) -> least id, and which buckets hold several names."""
+    """(bucket, name) -> least id."""
 
     def __init__(self, rows: pa.Table):
-        order = np.lexsort([rows.column("name").to_numpy(), rows.column("bucket").to_numpy()])
-        self.bucket, self.name, self.least, self.mixed = (
-            rows.column(c).to_numpy()[order] for c in ("bucket", "name", "least", "mixed")
-        )
-        with np.errstate(over="ignore"):
-            key = self._key(self.bucket, self.name)
+        self.bucket, self.name, self.least = (rows.column(c).to_numpy() for c in ("bucket", "name", "least"))
+        key = _key(self.bucket, self.name)
         self.order = np.argsort(key)
         self.key = key[self.order]
-        self.mixed_buckets = np.unique(self.bucket[self.mixed])
-
-    @staticmethod
-    def _key(bucket: np.ndarray, name: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return _mixed(bucket.view(np.uint64) * _BASE + name.view(np.uint64))
+        self.buckets = np.unique(self.bucket)
 
     def least_of(self, bucket: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(found, least id)."""
-        place, found = blocks.find_in_sorted(self.key, self._key(bucket, name))
+        place, found = blocks.find_in_sorted(self.key, _key(bucket, name))
         if not len(self.key):
             return found, np.zeros(len(bucket), np.int64)
         at = self.order[place]
         return found & (self.bucket[at] == bucket) & (self.name[at] == name), self.least[at]
 
 
+def _short(bucket: np.ndarray) -> np.ndarray:
+    """32 bits of a bucket's name, for the many rows of single strings."""
+    return ((bucket ^ (bucket >> 32)) & 0xFFFFFFFF).astype(np.int64)
+
+
+def _row_name(doc: int, text: bytes) -> int:
+    """A name for a row of documents, the same in every step."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(text, seed=doc & (2**64 - 1))).view(np.int64))
+
+
 def _recursed(length: int, q: int):
+    """Rows of two kinds: `whole`, a run that whole neighbourhoods settle (bucket: the document's row, name and
+    least: start and end); else a string of a mixed bucket, with the id that speaks for its neighbourhood."""
+
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
-        mixed = _Answers(answers).mixed_buckets
-        buckets, names, ids = [], [], []
-        for doc, text in blocks.documents_of(group) if len(mixed) else ():
+        none = np.zeros(0, np.int64)
+        known = _Answers(answers)
+        mixed = np.unique(known.bucket[answers.column("mixed").to_numpy()])
+        buckets, names, ids, runs = [], [], [], []
+        for doc, text in blocks.documents_of(group) if len(known.buckets) else ():
+            starts, ends = [none], [none]
             for part in suffixes_of(text, length, q) if doc is not None else ():
-                which = np.flatnonzero(blocks.find_in_sorted(mixed, part.bucket)[1])
-                if not len(which):
-                    continue
-                _, name = part.strings(which)
-                buckets.append(np.repeat(part.bucket[which], part.last[which] - part.first[which] + 1))
-                names.append(name)
-                ids.append(np.full(len(name), doc, np.int64))
-        return _rows(group, ["bucket", "name"], [buckets, names], ids)
+                which = np.flatnonzero(blocks.find_in_sorted(known.buckets, part.bucket)[1])
+                found, least = known.least_of(part.bucket[which], part.around(which))
+                repeat = which[found & (least < doc)]
+                starts.append(part.first[repeat] + part.start)
+                ends.append(part.last[repeat] + length + part.start)
+                # a neighbourhood that a smaller id has too is settled, and that id speaks for its strings
+                which = which[found & (least == doc)]
+                which = which[blocks.find_in_sorted(mixed, part.bucket[which])[1]]
+                if len(which):
+                    _, name = part.strings(which)
+                    buckets.append(np.repeat(_short(part.bucket[which]), part.last[which] - part.first[which] + 1))
+                    names.append(name)
+                    ids.append(np.full(len(name), doc, np.int64))
+            first, last = blocks.merged(np.concatenate(starts), np.concatenate(ends))
+            if len(first):
+                runs.append(np.stack([np.full(len(first), _row_name(doc, text), np.int64), first, last]))
+        strings = _rows(group if len(group) else answers, ["bucket", "name"], [buckets, names], ids)
+        strings = strings.append_column("whole", pa.array(np.zeros(len(strings), bool)))
+        found = np.concatenate([np.zeros((3, 0), np.int64), *runs], axis=1)
+        settled = pa.table(
+            {
+                "block": np.full(found.shape[1], answers.column("block")[0].as_py() if len(answers) else 0, np.int32),
+                **dict(zip(("bucket", "name", "least"), found, strict=True)),
+                "more": np.zeros(found.shape[1], bool),
+                "whole": np.ones(found.shape[1], bool),
+            }
+        )
+        return pa.concat_tables([settled, strings.select(settled.column_names)])
 
     return run
 
@@ -205,33 +238,35 @@ def _recursed(length: int, q: int):
 def _removed(length: int, q: int):
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
         whole = answers.column("whole").to_numpy()
-        suffixes, strings = _Answers(answers.filter(pa.array(whole))), _Answers(answers.filter(pa.array(~whole)))
+        runs = answers.filter(pa.array(whole)).sort_by("bucket")
+        of_row, first, last = (runs.column(c).to_numpy() for c in ("bucket", "name", "least"))
+        strings = _Answers(answers.filter(pa.array(~whole)))
         rows = []
         for doc, text in blocks.documents_of(group):
             starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            some = doc is not None and len(answers)
-            for part in suffixes_of(text, length, q) if some else ():
-                which = np.flatnonzero(blocks.find_in_sorted(suffixes.bucket, part.bucket)[1])
-                found, least = suffixes.least_of(part.bucket[which], part.around(which))
-                repeat = which[found & (least < doc)]
-                starts.append(part.first[repeat] + part.start)
-                ends.append(part.last[repeat] + length + part.start)
-                which = np.flatnonzero(blocks.find_in_sorted(strings.bucket, part.bucket)[1])
+            if doc is not None and len(answers):
+                own = _row_name(doc, text)
+                low, high = (int(np.searchsorted(of_row, own, side=side)) for side in ("left", "right"))
+                starts.append(first[low:high])
+                ends.append(last[low:high])
+            for part in suffixes_of(text, length, q) if doc is not None and len(strings.buckets) else ():
+                short = _short(part.bucket)
+                which = np.flatnonzero(blocks.find_in_sorted(strings.buckets, short)[1])
                 if len(which):
                     at, name = part.strings(which)
-                    bucket = np.repeat(part.bucket[which], part.last[which] - part.first[which] + 1)
+                    bucket = np.repeat(short[which], part.last[which] - part.first[which] + 1)
                     found, least = strings.least_of(bucket, name)
                     at = at[found & (least < doc)] + part.start
                     starts.append(at)
                     ends.append(at + length)
-            runs = blocks.merged(np.concatenate(starts), np.concatenate(ends))
+            spans = blocks.merged(np.concatenate(starts), np.concatenate(ends))
             rows.append(
                 {
                     "id": doc,
                     "n_bytes": len(text),
-                    "n_removed": int((runs[1] - runs[0]).sum()),
-                    "spans": np.stack(runs, axis=1).ravel().tolist(),
-                    "kept": blocks.without(text, *runs),
+                    "n_removed": int((spans[1] - spans[0]).sum()),
+                    "spans": np.stack(spans, axis=1).ravel().tolist(),
+                    "kept": blocks.without(text, *spans),
                 }
             )
         return pa.Table.from_pylist(rows, _OUT)
@@ -277,19 +312,21 @@ def remove_repeats(
     row = "block int, bucket long, name long, least long, more boolean"
     live = _met(texts.applyInArrow(_initial(length, q), "block int, bucket long, least long, more boolean"), "bucket")
     refined = texts.cogroup(live.select("block", "bucket").groupBy("block")).applyInArrow(_refined(length, q), row)
-    bucket = Window.partitionBy("bucket")
+    bucket, same = Window.partitionBy("bucket"), Window.partitionBy("bucket", "name")
     refined = (
         refined.withColumn("mixed", F.min("name").over(bucket) != F.max("name").over(bucket))
-        .withColumn("n", F.count("*").over(Window.partitionBy("bucket", "name")))
-        .withColumn("least", F.min("least").over(Window.partitionBy("bucket", "name")))
-        .where("n > 1 OR more OR mixed")
-        .select("block", "bucket", "name", "least", "mixed", F.lit(True).alias("whole"))
+        .withColumn("first", F.min("least").over(same))
+        .where("least > first OR more OR mixed")
+        .select("block", "bucket", "name", F.col("first").alias("least"), "mixed")
     )
-    strings = texts.cogroup(refined.where("mixed").groupBy("block")).applyInArrow(_recursed(length, q), row)
-    strings = _met(strings, "bucket", "name").select(
-        "block", "bucket", "name", "least", F.lit(False).alias("mixed"), F.lit(False).alias("whole")
+    # what whole neighbourhoods settle passes through as runs, so that no step is computed for two readers
+    strings = texts.cogroup(refined.groupBy("block")).applyInArrow(_recursed(length, q), f"{row}, whole boolean")
+    same = Window.partitionBy("bucket", "name", "whole")
+    answers = (
+        strings.withColumn("first", F.min("least").over(same))
+        .where("whole OR more OR least > first")
+        .select("block", "bucket", "name", F.col("first").alias("least"), "whole")
     )
-    answers = refined.unionByName(strings)
     return texts.cogroup(answers.groupBy("block")).applyInArrow(
         _removed(length, q), "id long, n_bytes long, n_removed long, spans array<long>, kept binary"
     )
