@@ -149,8 +149,9 @@ class Rollup:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents are inserted with a count by characters; one in ten is deleted again; all that are left get
-    their counts revised by the byte-level vocabulary; the last batch comes twice. The totals follow."""
+    """All documents are inserted with a count by characters; of one in ten the draft is deleted again, as if its
+    revision came late; then every document gets its count by the byte-level vocabulary, in the place of a draft
+    that still stands or as an insert; the last batch comes twice. The totals cover all documents."""
     docs = table(spark, sf_dir, "documents")
     rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
     drafts = docs.select(
@@ -161,11 +162,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_tokens"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    gone = F.coalesce(F.pmod("doc_id", F.lit(10)) == 3, F.lit(False))
+    late = F.coalesce(F.pmod("doc_id", F.lit(10)) == 3, F.lit(False))
     rollup.commit("insert", signed(drafts, 1))
-    rollup.commit("delete", signed(drafts.where(gone), -1))
-    final = counts(docs.where(~gone))
+    rollup.commit("delete", signed(drafts.where(late), -1))
+    final = counts(docs)
     for _ in range(2):
-        rollup.commit("revise", revised(drafts.where(~gone), final))
+        rollup.commit("revise", revised(drafts.where(~late), final))
     rollup.compact()
     return rollup.totals()

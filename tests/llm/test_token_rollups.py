@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
+import duckdb
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -113,3 +115,15 @@ def test_nothing_and_wrong_names(spark, documents, tmp_path):
 def test_the_plan_sums_before_it_shuffles(spark, tmp_path):
     grouped = changes(spark, []).groupBy(*rollups.KEYS).sum("n_tokens")
     assert "partial_sum" in grouped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_query_counts_every_document(spark):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    library = Tokenizer.from_file(public_tokenizers.path(rollups.VOCABULARY))
+    expected = {}
+    for source, lang, text in duckdb.sql(f"SELECT source, lang, text FROM '{folder}/documents.parquet'").fetchall():
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        before = expected.get((source, lang, "byte_bpe_50k"), (0, 0, 0))
+        expected[source, lang, "byte_bpe_50k"] = (before[0] + 1, before[1] + n, before[2] + len((text or "").encode()))
+    rows = rollups.op10_token_counts(spark, folder).collect()
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens, r.n_bytes) for r in rows} == expected
