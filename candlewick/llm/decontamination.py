@@ -8,9 +8,11 @@
    RANK at most, as it takes to keep KEPT_SHARE of the length of every passage.
 3. Each passage of each document is mapped to it. With P the projection, x a passage and q one of the benchmark,
    the cosine is estimated by <P x, P q> / (|x| |q|), divided by the share |P q|^2 / |q|^2 of q that the space keeps,
-   so that a copy scores alike for any rank. The product is a sum over the words of x, and each word adds at most
-   what it adds for the q that suits it best: passages below the threshold even so are settled without a vector.
-   The rest meet all q of a block in one matrix product.
+   so that a copy scores alike for any rank. A passage is a candidate if this reaches COSINE, or if the share of
+   |q|^2 that x covers, <P x, P q> / |P q|^2, reaches COVERED: the share does not depend on the words around a copy.
+   Of a whole copy some x covers half of each q, wherever the steps fall. The product is a sum over the words of x,
+   and each word adds at most what it adds for the q that suits it best: passages below both thresholds even so are
+   settled without a vector. The rest meet all q of a block in one matrix product.
 4. A candidate's words around the passage are checked by the longest common subsequence with the item, over windows
    a quarter longer than the item: a share of COPIED or more is a copy; a share of REWORDED or more is a paraphrase
    if the item's answer is there too. The answer is a column, where the benchmark has one, else the last sentence.
@@ -39,6 +41,7 @@ PASSAGE = 2 * STEP
 RANK = 512
 KEPT_SHARE = 0.7
 COSINE = 0.3
+COVERED = 0.25
 COPIED = 0.8
 REWORDED = 0.6
 ANSWER = 0.75
@@ -148,7 +151,9 @@ class Space:
     row: np.ndarray  # feature -> row of vectors; 0 is the zero row
     vectors: np.ndarray  # right singular vectors by weight, a column for each row number
     passages: np.ndarray  # P q |q| / |P q|^2
+    lengths: np.ndarray  # |q|
     most: np.ndarray  # by row number: the most that a word can add to the product with any passage
+    most_covered: np.ndarray  # by row number: the most that a word can add to the share of any passage
 
 
 def _sparse(items: list[Item], weight: np.ndarray) -> tuple[list[int], list[tuple[list[int], list[float]]]]:
@@ -237,8 +242,10 @@ def latent_space(spark: SparkSession, items: list[Item], weight: np.ndarray, ran
     scale = (whole / np.maximum(np.square(projected).sum(axis=1), 1e-12)).astype(np.float32)
     vectors = np.concatenate([np.zeros((1, right.shape[1])), right * weight[used][:, None]]).astype(np.float32)
     scaled = projected * scale[:, None]
-    most = np.maximum((vectors @ scaled.T).max(axis=1), 0)
-    return Space(items, np.array(owner), row, np.ascontiguousarray(vectors.T), scaled, most)
+    lengths = np.maximum(whole, 1e-12).astype(np.float32)
+    added = vectors @ scaled.T
+    most, most_covered = (np.maximum(a.max(axis=1), 0) for a in (added, added / lengths))
+    return Space(items, np.array(owner), row, np.ascontiguousarray(vectors.T), scaled, lengths, most, most_covered)
 
 
 def common_words(item: list[int], region: list[int]) -> int:
@@ -319,18 +326,20 @@ def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, bytes
     # what the words can add at most, each with the passage that suits it best: few passages need a vector
     length = np.sqrt(squares)
     inner = passages(np.add.reduceat(space.most[row].astype(np.float64), starts)) >= cosine * length - 1e-6
+    inner |= passages(np.add.reduceat(space.most_covered[row].astype(np.float64), starts)) >= COVERED - 1e-6
     # the last block alone is inside the passage before it
     inner &= follows | (inside == 0)
     needed = inner.copy()
     needed[1:] |= inner[:-1] & follows[:-1]
     vectors = passages(_sums(space, np.where(np.repeat(needed, np.diff(np.append(starts, len(joined)))), row, 0), starts))
-    longest = np.linalg.norm(space.passages, axis=1).max()
-    inner &= np.linalg.norm(vectors, axis=1) * longest >= cosine * length
+    longest = np.linalg.norm(space.passages, axis=1)
+    reach = np.linalg.norm(vectors, axis=1)
+    inner &= (reach * longest.max() >= cosine * length) | (reach * (longest / space.lengths).max() >= COVERED)
     inner = np.flatnonzero(inner)
     if not len(inner):
         return []
-    cosines = (vectors[inner] @ space.passages.T) / length[inner, None]
-    at, passage = np.nonzero(cosines >= cosine)
+    products = vectors[inner] @ space.passages.T
+    at, passage = np.nonzero(products >= np.minimum(cosine * length[inner, None], COVERED * space.lengths))
     block, item = inner[at], space.owner[passage]
     candidates = np.unique(np.stack([doc_of[block], item, STEP * inside[block]], axis=1), axis=0)
     rows = {}

@@ -131,3 +131,21 @@ def test_empty_tables(spark, documents, planted):
     items, docs, _ = planted
     assert found(spark, documents([]).limit(0), items) == set()
     assert found(spark, documents(docs[:3]), []) == set()
+
+
+def test_an_item_in_a_third_of_the_documents_is_found_as_by_brute_force(spark, documents):
+    rng = random.Random(12)
+    rare = lambda n: ["".join(rng.choices("qrstuvwxyz", k=9)) for _ in range(n)]
+    items = [(number, " ".join(rare(18))) for number in range(6)] + [(6, " ".join(rare(40)))]
+    docs = []
+    for number in range(300):
+        words = rare(rng.randint(60, 120))
+        held = [0] if number % 3 == 0 else [number % 7] if number % 10 == 1 else []
+        for item in held:
+            at = rng.randint(20, 40)
+            words[at:at] = items[item][1].split()
+        docs.append((number, " ".join(words)))
+    made = [dec.item_of(n, t, None) for n, t in items]
+    brute = {(n, i.number) for n, t in docs for i in made if dec.check(i, numbers(t.split()))[2]}
+    assert len(brute) > 100
+    assert found(spark, documents(docs), items) == brute
