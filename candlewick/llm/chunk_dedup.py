@@ -4,8 +4,9 @@ A gear hash rolls over the bytes: h = 2 h + gear[byte], so it depends on the las
 each byte whose hash is the largest within REACH bytes on both sides (the first of equals). Ends depend on the
 bytes nearby only: after an insertion or deletion the chunks fall into step again, and there is no least or most
 length to enforce. Chunks are compared by a 128-bit digest. A chunk is a repeat if its digest is also in a document
-with a smaller id; neighbouring repeats form a run, and runs of MIN_RUN bytes or more are removed. Shorter runs are
-what ordinary prose has in common by chance.
+with a smaller id, or earlier in its own document; neighbouring repeats form a run. Runs of MIN_RUN bytes or more are
+removed, and shorter ones if they are the whole document. Other short runs are what ordinary prose has in common by
+chance.
 """
 
 from __future__ import annotations
@@ -74,6 +75,13 @@ def chunk_digests(text: bytes, ends: np.ndarray) -> np.ndarray:
     return np.frombuffer(digest, "<i8").reshape(-1, 2)
 
 
+def _seen_before(digests: np.ndarray) -> np.ndarray:
+    """Whether each digest is among those before it."""
+    out = np.ones(len(digests), bool)
+    out[np.unique(digests, axis=0, return_index=True)[1]] = False
+    return out
+
+
 def _collect(reach: int):
     def run(group: pa.Table) -> pa.Table:
         keys, ids = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
@@ -100,12 +108,14 @@ def _remove(reach: int, min_run: int):
             starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
             runs = (ends[:0], ends[:0])
             repeats = 0
-            if doc is not None and len(low) and len(ends):
+            if doc is not None and len(ends):
                 wanted = chunk_digests(text, ends)
                 place, repeat = blocks.find_in_sorted(low, wanted[:, 1])
-                repeat &= (high[place] == wanted[:, 0]) & (first[place] < doc)
+                if len(low):
+                    repeat &= (high[place] == wanted[:, 0]) & (first[place] < doc)
+                repeat |= _seen_before(wanted)
                 runs = blocks.merged(starts[repeat], ends[repeat])
-                long = runs[1] - runs[0] >= min_run
+                long = runs[1] - runs[0] >= min(min_run, len(text))
                 runs = (runs[0][long], runs[1][long])
                 repeats = int(repeat.sum())
             rows.append(

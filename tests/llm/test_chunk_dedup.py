@@ -104,3 +104,15 @@ def test_long_passages_are_found_and_other_documents_left(spark, documents):
 
 def test_empty_table(spark, documents):
     assert chunk_dedup.remove_repeats(documents([]).limit(0)).count() == 0
+
+
+def test_short_copies_and_repeats_inside_a_document_go(spark, documents):
+    rng = random.Random(9)
+    short, other, passage = "a short text of few words", "one that is unlike", prose(rng, 150)
+    rows = [(1, short), (2, short), (3, other), (4, passage * 50), (None, short)]
+    out = {r.id: r for r in chunk_dedup.remove_repeats(documents(rows)).collect()}
+    assert {i: r.n_removed for i, r in out.items() if i != 4} == {1: 0, 2: len(short), 3: 0, None: 0}
+    assert bytes(out[4].kept).startswith(passage[:-100].encode())
+    assert len(out[4].kept) < 2 * len(passage) and out[4].n_removed + len(out[4].kept) == 50 * len(passage)
+    alone = chunk_dedup.remove_repeats(documents([(4, passage * 50)])).collect()
+    assert bytes(alone[0].kept) == bytes(out[4].kept)
