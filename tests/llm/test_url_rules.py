@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from candlewick.llm import url_rules
+
+LISTED = "host string, path string, verdict string"
+URLS = [
+    None,
+    "",
+    "example.com/en/1",
+    "http://",
+    "http:///en/",
+    "HTTP://WWW.Example.COM/en/1?x=http://example.net/es/",
+    "https://example.com/en/",
+    "https://example.com/en",
+    "https://notexample.com/en/x",
+    "https://a.b.example.com/en/x#top",
+    "https://www.example.com/EN/x",
+    "https://x.www.example.com/en/x",
+    "https://example.com?en/",
+    "https://com/",
+    "https://net/es/",
+    "https://a.net/es/1\n2",
+    "https://a.net/fr",
+    "ftp://ÄÖ.Example.net/fr/é?é",
+    "https://.com/",
+    "https://com./",
+    "https://user@example.com:80/en/",
+]
+
+
+def judged(url, rules, default="allow"):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host, rest = rest[:end], rest[end:]
+        path = rest[: min([rest.find(c) for c in "?#" if c in rest], default=len(rest))]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if h is not None and p is not None]
+    fits = [f for f in fits if (host == f[2][: f[1]] or f[1] and host.endswith("." + f[2][: f[1]])) and path.startswith(f[2][f[1] :])]
+    best = max(fits, default=None)
+    return host, path, best and best[2], best[3] if best else default
+
+
+def run(spark, urls, rules, **more):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame(rules, LISTED)
+    rows = url_rules.judge(pages, listed, keep=["page_id"], **more).collect()
+    return {r.page_id: tuple(r)[1:] for r in rows}
+
+
+def test_the_rules_of_the_query(spark):
+    found = run(spark, URLS, url_rules.RULES)
+    assert found == {k: judged(u, url_rules.RULES) for k, u in enumerate(URLS)}
+
+
+@pytest.mark.parametrize("bits_per_key", [1, 16])
+@pytest.mark.parametrize("broadcast_blocks", [0, 1 << 19])
+def test_random_lists_equal_brute_force_however_many_false_positives(spark, monkeypatch, bits_per_key, broadcast_blocks):
+    monkeypatch.setattr(url_rules, "BROADCAST_BLOCKS", broadcast_blocks)
+    rng = random.Random(bits_per_key)
+
+    def host():
+        return ".".join(rng.choice(["a", "b", "www", "com", "net"]) for _ in range(rng.randint(1, 4)))
+
+    def path():
+        return "".join(rng.choice(["/", "/x", "/xy", "z"]) for _ in range(rng.randint(0, 4)))
+
+    rules = [(host(), path(), rng.choice(["allow", "block"])) for _ in range(200)]
+    rules += [(None, "/", "block"), ("com", None, "block"), ("", "", "block"), *rules[:3]]
+    urls = [f"http://{host()}{path()}{rng.choice(['', '?q', '#x'])}" for _ in range(600)] + URLS
+    assert run(spark, urls, rules, bits_per_key=bits_per_key) == {k: judged(u, rules) for k, u in enumerate(urls)}
+
+
+def test_the_filter_keeps_every_key_and_few_others(spark):
+    listed = spark.range(5000).selectExpr("cast(id as string) AS key")
+    blocks = 5000 * 16 // 512
+    bloom = url_rules.blocked_filter(listed, "key", blocks)
+    asked = spark.range(50000).selectExpr("cast(id as string) AS key")
+    kept = {int(r.key) for r in url_rules.possible(asked, "key", bloom, blocks).collect()}
+    assert set(range(5000)) <= kept
+    assert len(kept) - 5000 < 0.01 * 45000
+
+
+def test_repeated_pages_empty_tables_and_clashing_columns(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://a.com/x", "h", "v", "k"), (1, "http://a.com/x", "h", "v", "k"), (None, None, None, None, None)],
+        "page_id long, url string, host string, verdict string, key string",
+    ).selectExpr("*", "'z' AS block", "'z' AS labels", "'z' AS s")
+    rules = spark.createDataFrame(url_rules.RULES, LISTED)
+    kept = url_rules.judge(pages, rules)
+    assert kept.columns == ["page_id", "url", "key", "block", "labels", "s", "host", "path", "rule", "verdict"]
+    assert sorted((r.page_id or 0, r.host, r.rule, r.verdict) for r in kept.collect()) == [(0, "", None, "allow"), (1, "a.com", "com/", "allow"), (1, "a.com", "com/", "allow")]
+    assert url_rules.judge(pages.limit(0), rules).count() == 0
+    left = url_rules.judge(pages, rules.limit(0), default="unlisted").collect()
+    assert [(r.rule, r.verdict) for r in left] == [(None, "unlisted")] * 3
+
+
+def test_one_url_with_most_pages_is_not_kept_in_one_task_and_no_python_runs(spark, setting):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    pages = spark.range(1000).selectExpr("id AS page_id", "if(id % 3 = 0, 'http://a.net/es/1', concat('http://h', id, '.net/es/1')) AS url")
+    found = url_rules.judge(pages, spark.createDataFrame(url_rules.RULES, LISTED), keep=["page_id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert {(r.rule, r.verdict) for r in found.collect()} == {("net/es/", "block")}
+    assert found.count() == 1000
