@@ -137,13 +137,15 @@ def judge(
     )
 
 
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+
+
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its host, path, the rule that fits and the verdict; a page that no rule fits is allowed."""
-    listed = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    listed = spark.sql(f"SELECT * FROM VALUES {_RULES_SQL} AS listed(host, path, verdict)")
     return judge(table(spark, sf_dir, "pages"), listed, keep=["page_id"])
 
 
-_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 OP12_SQL = f"""
 WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULES_SQL}),
 parts AS (
