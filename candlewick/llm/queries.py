@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, decontamination, language, periodic_runs, pii, rotation_codes, simhash, token_files, token_rollups, url_rules
+from candlewick.llm import bpe_dp, bucket_refinement, chunk_dedup, decontamination, language, periodic_runs, pii, ranked_search, rotation_codes, simhash, token_files, token_rollups, url_rules
 
 QUERIES = {
     "op1_substring_dedup": chunk_dedup.op1_substring_dedup,
@@ -15,7 +15,12 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_language_id": language.op9_language_id,
     "op10_token_counts": token_rollups.op10_token_counts,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
     "op12_url_filters": url_rules.op12_url_filters,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
-ORACLES = {"op5_embedding_near_dedup": rotation_codes.OP5_SQL, "op12_url_filters": url_rules.OP12_SQL}
+ORACLES = {
+    "op5_embedding_near_dedup": rotation_codes.OP5_SQL,
+    "op11_ranked_search": ranked_search.OP11_SQL,
+    "op12_url_filters": url_rules.OP12_SQL,
+}
