@@ -654,3 +654,10 @@ SELECT event_id, p AS scheme_path, p AS scheme_root, p AS other_scheme, CAST(NUL
 FROM (SELECT event_id, 'events/date=' || CAST(ts AS DATE) || '/' || user_id || '.jsonl' AS p
       FROM events)""",
 }
+ORACLES["indexed_append"] = """
+SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders
+WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01'"""
+# Tables that are kept up to date must equal those that are built anew.
+ORACLES["silver_upsert"] = ORACLES["stg_daily_bars"]
+ORACLES["facts_halo"] = ORACLES["bar_metrics"]
+ORACLES["scd2_late_snapshots"] = ORACLES["scd2_history"]

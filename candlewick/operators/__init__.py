@@ -18,7 +18,7 @@ from candlewick.operators.quality import (
 )
 from candlewick.operators.ranking import dedup_latest, event_sequence, total_order, top_k_recent
 from candlewick.operators.rolling import bar_metrics
-from candlewick.operators.scd2 import current_state, scd2_history, scd2_merge
+from candlewick.operators.scd2 import current_state, scd2_history, scd2_merge, scd2_splice
 
 __all__ = [
     "Check",
@@ -38,6 +38,7 @@ __all__ = [
     "report",
     "scd2_history",
     "scd2_merge",
+    "scd2_splice",
     "single_current",
     "split_null_keys",
     "spread_join",

@@ -98,3 +98,77 @@ def scd2_history(
         F.col("_at").alias("valid_from"),
         F.lead("_at").over(timeline).alias("valid_to"),
     )
+
+
+def scd2_splice(
+    state: DataFrame,
+    snapshots: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    ts: str,
+    seen: str = "seen_at",
+    *,
+    replace: bool = False,
+) -> DataFrame:
+    """The history after snapshots that may be older than what it holds.
+
+    ``state`` has the key, the checked columns, ``valid_from``, ``valid_to`` and ``seen``, the sorted times
+    of the snapshots that showed a version. They are what a later splice needs: where a snapshot falls
+    inside a version, the times behind it begin a version of their own, with the same values. In whatever
+    order and grouping snapshots arrive, the result is that of :func:`scd2_history` over all of them; a
+    snapshot seen before changes nothing. Of two different snapshots of one key and time the one with the
+    greater values (in column order, NULL least) stands, so that the order of arrival does not matter here either;
+    with ``replace`` the one of the batch stands, as a correction.
+
+    Only versions near a new snapshot are opened: of each key those that begin or end within the span from
+    the version before its first new snapshot to the version after its last one. All others pass through
+    without a shuffle if the keys of the batch are small enough to be broadcast. A window partition is bounded
+    by the number of snapshot times of a key.
+    """
+    columns = [key, *check_cols]
+    fresh = snapshots.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        *columns, F.col(ts).cast(state.schema["valid_from"].dataType).alias("_at")
+    )
+    spans = fresh.groupBy(F.col(key).alias("_k")).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    placed = state.join(spans, F.col(key) == F.col("_k"), "left")
+    # A version touches the span if it is valid at some time of it, ends where the span begins or begins right behind.
+    begins = F.col("valid_from") <= F.col("_last")
+    ends = F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("_first"))
+    timeline = Window.partitionBy(key).orderBy("valid_from")
+    known = placed.filter(F.col("_k").isNotNull())
+    near = begins & ends
+    marked = known.select("*", near.alias("_near")).select(
+        "*", (F.col("_near") | F.coalesce(F.lag("_near").over(timeline), F.lit(False))).alias("_open")
+    )
+    # A span before the first version touches none; its first version follows right behind.
+    first = F.row_number().over(timeline) == 1
+    marked = marked.select("*", (F.col("_open") | (first & (F.col("valid_from") > F.col("_last")))).alias("_opened"))
+    untouched = placed.filter(F.col("_k").isNull()).select(*state.columns)
+    passed = marked.filter(~F.col("_opened")).select(*state.columns)
+    points = marked.filter("_opened").select(*columns, F.explode(seen).alias("_at"), F.lit(0).alias("_arrived"))
+    arrived = fresh.select("*", F.lit(int(replace)).alias("_arrived"))
+    values = [F.col(c).desc_nulls_last() for c in ("_arrived", *check_cols)]
+    every = dedup_latest(points.unionByName(arrived), [key, "_at"], values, tiebreak=[])
+    order = Window.partitionBy(key).orderBy("_at")
+    changed = (F.row_number().over(order) == 1) | _differs(
+        [F.lag(c).over(order) for c in check_cols], [F.col(c) for c in check_cols]
+    )
+    numbered = every.select("*", changed.cast("int").alias("_starts")).select(
+        "*", F.sum("_starts").over(order).alias("_version")
+    )
+    grouped = numbered.groupBy(key, "_version").agg(
+        *[F.min_by(c, "_at").alias(c) for c in check_cols],
+        F.min("_at").alias("valid_from"),
+        F.sort_array(F.collect_list("_at")).alias(seen),
+    )
+    # What follows the last opened version is either a version that stayed or nothing.
+    ends_at = marked.filter("_opened").groupBy(F.col(key).alias("_k2")).agg(
+        F.max(F.struct("valid_from", "valid_to"))["valid_to"].alias("_end")
+    )
+    spliced = grouped.join(ends_at, F.col(key) == F.col("_k2"), "left").select(
+        *columns,
+        "valid_from",
+        F.coalesce(F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from")), "_end").alias("valid_to"),
+        seen,
+    )
+    return untouched.unionByName(passed).unionByName(spliced.select(*state.columns))

@@ -17,6 +17,7 @@ from candlewick.operators import (
     split_null_keys,
 )
 from candlewick.operators.incremental import FIRST_WINS, any_null, exclude_identical, value_range
+from candlewick.sources.key_index import KeyIndex
 from candlewick.sources.landing import read_landing
 from candlewick.sources.registry import CORRUPT, SOURCES, TABLES
 from candlewick.sources.tables import append_table, replace_table, table_or_none
@@ -104,18 +105,26 @@ def append_batch(
     *,
     policy: str = FIRST_WINS,
     small_batch: bool = False,
+    indexed: bool = False,
 ) -> dict[str, int]:
     """Append the rows with new keys to ``target``; rows without a key go to its quarantine table.
 
     Returns both row counts, observed while writing. The write also counts the rows without a key, so
     the envelopes are parsed a second time only if there are any. With ``small_batch`` the lookup of
     known keys is limited to the batch's range of the table's time key, or else to the batch's keys.
+    With ``indexed`` it opens only the files that may hold a key of the batch, which a :class:`KeyIndex`
+    names; the counts then say how many of how many files these were.
     """
     spec = TABLES[table]
     rows = project(envelopes, table)
     parsed, written = Observation(), Observation()
     counted = rows.observe(parsed, F.count_if(any_null(spec.keys, spec.derived_keys())).alias("unkeyed"))
-    existing = table_or_none(spark, target)
+    existing, opened = table_or_none(spark, target), {}
+    if indexed:
+        keyed, _ = split_null_keys(rows, spec.keys, spec.derived_keys())
+        index = KeyIndex(spark, target, spec.keys, spec.derived_keys(), spec.range_key)
+        existing, some, every = index.existing(keyed)
+        opened, small_batch = {"files_opened": some, "files": every}, False
     key_range = None
     if small_batch and existing is not None and spec.range_key:
         key_range = value_range(rows, spec.range_key)
@@ -123,7 +132,7 @@ def append_batch(
         counted, existing, table, policy=policy, key_range=key_range, small_batch=small_batch and not spec.range_key
     )
     append_table(fresh.observe(written, F.count(F.lit(1)).alias("rows")), target)
-    counts = {"appended": written.get.get("rows", 0), "quarantined": 0}
+    counts = {"appended": written.get.get("rows", 0), "quarantined": 0, **opened}
     if parsed.get.get("unkeyed") != 0:
         aside = f"{target}__quarantine"
         _, unkeyed = split_null_keys(rows, spec.keys, spec.derived_keys())
@@ -151,6 +160,7 @@ def load_table(
     target: str,
     policy: str = FIRST_WINS,
     since: date | None = None,
+    indexed: bool = False,
 ) -> dict[str, int]:
     """Load one typed table from the landing folder of its source."""
     return append_batch(
@@ -160,6 +170,7 @@ def load_table(
         target,
         policy=policy,
         small_batch=since is not None,
+        indexed=indexed,
     )
 
 
@@ -170,6 +181,7 @@ def load_bronze(
     schema: str,
     policy: str = FIRST_WINS,
     since: date | None = None,
+    indexed: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Load all six tables in order. A source that feeds two tables is parsed once and kept."""
     counts: dict[str, dict[str, int]] = {}
@@ -189,6 +201,7 @@ def load_bronze(
                 f"{schema}.{table}",
                 policy=policy,
                 small_batch=since is not None,
+                indexed=indexed,
             )
     finally:
         for envelopes in shared.values():

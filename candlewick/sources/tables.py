@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     """The table, or None before its first write. A table that a stopped replacement has set aside is
-    brought back first: taking it for missing would start its history anew."""
+    brought back first: taking it for missing would start its history anew. A stopped swap is finished."""
     if not spark.catalog.tableExists(name):
         recover_table(spark, name)
+    else:
+        finish_swap(spark, name)
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
@@ -56,13 +59,17 @@ def replace_table(
     bucket_by: str | None = None,
     buckets: int | None = None,
     sort_by: Sequence[str] = (),
+    part_by: str | None = None,
 ) -> None:
     """Write the new content beside the table, check it, then swap names.
 
     ``df`` may read the table it replaces. If the write or ``validate`` fails, the table is untouched.
-    With ``bucket_by`` later joins and windows on that column read the table without a shuffle.
+    With ``bucket_by`` later joins and windows on that column read the table without a shuffle; with
+    ``part_by`` it has one folder per value of that column, whose rows are gathered before they are written.
     """
     spark = df.sparkSession
+    # A swap of partitions that a stop left open belongs to the content that goes.
+    spark.sql(f"DROP TABLE IF EXISTS {name}__swap")
     recover_table(spark, name)
     staged, old = f"{name}__staged", f"{name}__old"
     if bucket_by:
@@ -70,6 +77,8 @@ def replace_table(
         df.repartition(count, bucket_by).write.format("parquet").mode("overwrite").bucketBy(
             count, bucket_by
         ).sortBy(bucket_by, *sort_by).saveAsTable(staged)
+    elif part_by:
+        _write_parts(df, staged, part_by)
     else:
         df.write.format("parquet").mode("overwrite").saveAsTable(staged)
     if validate is not None:
@@ -78,3 +87,49 @@ def replace_table(
         _rename(spark, name, old)
     _rename(spark, staged, name)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _write_parts(df: DataFrame, name: str, part_by: str) -> None:
+    """The folders are found by listing: a catalog that keeps their places would keep the old ones over a rename."""
+    with _setting(df.sparkSession, "spark.sql.hive.manageFilesourcePartitions", "false"):
+        df.hint("rebalance", part_by).write.format("parquet").mode("overwrite").partitionBy(part_by).saveAsTable(name)
+
+
+def swap_partitions(
+    df: DataFrame, name: str, part_by: str, *, validate: Callable[[DataFrame], None] | None = None
+) -> None:
+    """Replace those partitions of a table that occur in ``df`` by its content; the others keep their files.
+
+    ``df`` may read the table. The new partitions are written beside it, checked, and only then brought in, so a failure
+    before that changes nothing; a stop while they are brought in is finished by the next access, from the whole copy.
+    """
+    spark = df.sparkSession
+    finish_swap(spark, name)
+    staged, swap = f"{name}__staged", f"{name}__swap"
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    _write_parts(df, staged, part_by)
+    if validate is not None:
+        validate(spark.table(staged))
+    _rename(spark, staged, swap)  # from here on the swap counts as decided
+    finish_swap(spark, name)
+
+
+def finish_swap(spark: SparkSession, name: str) -> None:
+    """Bring in the partitions of a decided swap. Doing it again gives the same table."""
+    swap = f"{name}__swap"
+    if not spark.catalog.tableExists(swap):
+        return
+    columns = [F.col(f"`{c}`") for c in spark.table(name).columns]
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        spark.table(swap).select(*columns).write.mode("overwrite").insertInto(name)
+    spark.sql(f"DROP TABLE IF EXISTS {swap}")

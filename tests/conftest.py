@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.driver.bindAddress": "127.0.0.1",
+            "spark.driver.host": "127.0.0.1",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "shared"),
         },

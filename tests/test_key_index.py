@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from candlewick.operators import bloom
+from candlewick.operators.incremental import exclude_existing
+from candlewick.sources import key_index
+from candlewick.sources.key_index import KeyIndex
+from candlewick.sources.tables import append_table, replace_table
+
+SCHEMA = "id string, day date, value long"
+
+
+def rows(spark, low, high, day="2024-01-01", value=0):
+    return spark.range(low, high).selectExpr("concat('k', id) AS id", f"date '{day}' AS day", f"{value}L AS value")
+
+
+@pytest.fixture
+def table(spark, db):
+    """Five files of 1000 ids each, one per day."""
+    for k in range(5):
+        append_table(rows(spark, 1000 * k, 1000 * k + 1000, f"2024-01-{k + 1:02}").coalesce(1), f"{db}.t")
+    return f"{db}.t"
+
+
+def test_new_keys_open_no_file_and_known_ones_only_theirs(spark, table):
+    index = KeyIndex(spark, table, ("id",))
+    assert index.candidates(rows(spark, 5000, 5100)) == []
+    found = index.candidates(rows(spark, 2990, 3010).unionByName(rows(spark, 5000, 5100)))
+    held = {r.file for r in spark.table(table).where("id IN ('k2990', 'k3009')").selectExpr("_metadata.file_name AS file").distinct().collect()}
+    assert {p.rsplit("/", 1)[1] for p in found} >= held and len(found) <= 3
+    existing, opened, files = index.existing(rows(spark, 2990, 3010))
+    assert (opened, files) == (len(existing.inputFiles()), 5) and opened <= 3
+
+
+def test_bounds_leave_out_files_of_other_days(spark, table, monkeypatch):
+    monkeypatch.setattr(key_index, "KEYS_PER_FILE", 1)  # filters that say yes to nearly everything
+    batch = rows(spark, 0, 10, "2024-01-03")
+    assert len(KeyIndex(spark, table, ("id",), range_col="day").candidates(batch)) <= 1
+    assert len(KeyIndex(spark, table, ("id",)).candidates(batch)) >= 1
+
+
+def test_rows_are_those_of_the_plain_lookup(spark, table):
+    index = KeyIndex(spark, table, ("id",), range_col="day")
+    batch = rows(spark, 900, 1100, "2024-01-01").unionByName(rows(spark, 4990, 5020, "2024-01-05"))
+    wanted = exclude_existing(batch, spark.table(table), ["id", "day"]).collect()
+    got = exclude_existing(batch, index.existing(batch)[0], ["id", "day"]).collect()
+    assert sorted(got) == sorted(wanted) and len(wanted) == 120
+
+
+def test_appended_files_are_entered_and_a_stopped_entry_is_finished(spark, table):
+    index = KeyIndex(spark, table, ("id",))
+    index.refresh()
+    append_table(rows(spark, 20_000, 20_100).coalesce(1), table)
+    # A run that stopped after the filters of a file, before the file was listed as known:
+    new = set(index._files()) - {r.file for r in spark.table(f"{table}__index_files").collect()}
+    assert len(new) == 1
+    hashed = index._hashed(index._read([index._files()[n] for n in new])).selectExpr("*", f"'{new.pop()}' AS file")
+    append_table(bloom.filter_of(hashed, "_key_hash", bloom.blocks_for(key_index.KEYS_PER_FILE), ["file"]), f"{table}__index_blocks")
+    assert len(index.candidates(rows(spark, 20_050, 20_060))) == 1
+    assert spark.table(f"{table}__index_files").count() == 6
+
+
+def test_the_filter_grows_with_the_table(spark, table, monkeypatch):
+    monkeypatch.setattr(key_index, "FIRST_CAPACITY", 100)
+    index = KeyIndex(spark, table, ("id",))
+    index.refresh()
+    first = spark.table(f"{table}__index_filter").first().blocks
+    append_table(rows(spark, 30_000, 80_000).coalesce(2), table)
+    assert index.candidates(rows(spark, 100_000, 100_010)) == []
+    assert len(index.candidates(rows(spark, 30_000, 30_010))) >= 1
+    assert spark.table(f"{table}__index_filter").first().blocks > first
+
+
+def test_a_replaced_table_and_an_empty_one(spark, db, table):
+    index = KeyIndex(spark, table, ("id",))
+    index.refresh()
+    replace_table(rows(spark, 0, 10).coalesce(1), table)
+    assert index.candidates(rows(spark, 5000, 5010)) == []
+    assert len(index.candidates(rows(spark, 0, 1))) == 1
+    none = KeyIndex(spark, f"{db}.none", ("id",))
+    assert none.candidates(rows(spark, 0, 10)) == [] and none.existing(rows(spark, 0, 10)) == (None, 0, 0)
+    nothing = rows(spark, 0, 0)
+    assert index.candidates(nothing) == []
+
+
+def test_keys_of_several_parts_nulls_and_repeats(spark, db):
+    name = f"{db}.o"
+    at = datetime(2024, 1, 5, 7)
+    held = spark.createDataFrame([("a", at, 1), ("a", at, 2), (None, at, 3), ("b", None, 4)], "ticker string, at timestamp, v int")
+    append_table(held.coalesce(1), name)
+    from pyspark.sql import functions as F
+
+    index = KeyIndex(spark, name, ("ticker",), {"_day": F.col("at").cast("date")}, "at")
+    same_day = spark.createDataFrame([("a", at, 9)] * 3, held.schema)
+    other_day = spark.createDataFrame([("a", datetime(2024, 1, 6), 9), ("c", at, 9), (None, None, 9)], held.schema)
+    assert len(index.candidates(same_day)) == 1
+    assert index.candidates(other_day) == []
