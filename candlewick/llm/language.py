@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewick.llm.common import Recent, free_name, kept_columns, ship, stored, table, tokenizer_file
+from candlewick.llm.common import Recent, held, kept_columns, ship, slices, stored, stretches, table, text_once, tokenizer_file
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_DOCS = 1500
@@ -167,16 +167,19 @@ class Model:
         return out
 
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """(pieces + 1, languages): how often each piece is used, weighted over all segmentations."""
+        """(pieces + 1, languages): how often each piece is used, weighted over all segmentations. A word of more than
+        _LONG letters (scripts without spaces) counts in parts of _LONG letters."""
         total = np.zeros_like(self.weights)
         by_length = defaultdict(list)
         for i, word in enumerate(words):
-            if len(word) <= _LONG:
-                by_length[len(word)].append(i)
+            marked = MARK + word
+            for low in range(0, len(marked), _LONG + 1):
+                stretch = marked[low : low + _LONG + 1]
+                by_length[len(stretch)].append((i, stretch))
         for numbers in by_length.values():
             for low in range(0, len(numbers), 8192):
-                part = numbers[low : low + 8192]
-                arcs, forward = self._lattice([MARK + words[i] for i in part])
+                part = [i for i, _ in numbers[low : low + 8192]]
+                arcs, forward = self._lattice([stretch for _, stretch in numbers[low : low + 8192]])
                 backward = np.zeros_like(forward)
                 backward[-1] = counts[part] / np.maximum(forward[-1], 1e-300)
                 for end in range(len(forward) - 1, 0, -1):
@@ -187,22 +190,66 @@ class Model:
         return total
 
 
+def _place():
+    """A number below 2**53 by the id."""
+    return F.shiftrightunsigned(F.xxhash64("id"), 11)
+
+
+_CELLS = 4096
+
+
+def cut_offs(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, int]:
+    """Of each language the greatest place that is in the sample: its documents up to there are `sample_docs`, or all.
+
+    Found by counts alone: documents per language; documents per language and cell of places, the cells as narrow as the
+    language is large, so that the first _CELLS of them hold some 64 samples at least; then the places in the one cell of
+    each language where the sample ends. No id and no text is shuffled, and a language with most documents sends a few
+    thousand counts like any other.
+    """
+    sizes = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    large = {lang: max(1, n // (64 * sample_docs)) for lang, n in sizes.items() if n > sample_docs}
+    out = dict.fromkeys(sizes, 1 << 53)
+    if not large:
+        return out
+    narrow = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])[F.col("lang")]
+    cell = F.floor(_place() / F.lit(float(1 << 53)) * _CELLS * narrow).cast("long")
+    placed = docs.where(F.col("lang").isin(*large)).select("lang", cell.alias("cell"), _place().alias("place"))
+    counts = defaultdict(dict)
+    for r in placed.where(F.col("cell") < _CELLS).groupBy("lang", "cell").agg(F.count("*").alias("n")).collect():
+        counts[r.lang][r.cell] = r.n
+    here, wanted = F.lit(False), {}
+    for lang, cells in counts.items():
+        left = sample_docs
+        for at in sorted(cells):
+            if cells[at] >= left:
+                here, wanted[lang] = here | ((F.col("lang") == lang) & (F.col("cell") == at)), left
+                break
+            left -= cells[at]
+    found = defaultdict(list)
+    for r in placed.where(here).groupBy("lang", "place").agg(F.count("*").alias("n")).collect():
+        found[r.lang].append((r.place, r.n))
+    for lang, left in wanted.items():
+        for place, n in sorted(found[lang]):
+            out[lang] = place
+            left -= n
+            if left <= 0:
+                break
+    return out
+
+
 def sample_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(lang, word, n) over the sample_docs documents of each language that come first by a hash of their id."""
-    spark = docs.sparkSession
-    ship(spark)
-    # a number in [0, 1) by the id; the share of a language that can be among the first meets in one task
-    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
-    sizes = docs.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * sample_docs) / F.count("*")).alias("share"))
-    low = docs.select("id", "lang", place.alias("place")).join(sizes, "lang").where("place <= share")
-    order = Window.partitionBy("lang").orderBy("place", "id")
-    chosen = low.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample_docs)
+    """(lang, word, n) over the sample_docs documents of each language that come first by a hash of their id; documents
+    that share the last hash (rows of one id) all count."""
+    ship(docs.sparkSession)
+    within = F.lit(False)
+    for lang, place in cut_offs(docs, sample_docs).items():
+        within = within | ((F.col("lang") == lang) & (_place() <= place))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
+            for part in slices(batch, 1):
                 counts: dict[str, Counter] = defaultdict(Counter)
-                for lang, text in zip(*(c.to_pylist() for c in batch.slice(low, 256).columns), strict=True):
+                for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     counts[lang].update(LETTERS.findall(text.lower()))
                 for lang, words in counts.items():
                     yield pa.RecordBatch.from_arrays(
@@ -214,8 +261,7 @@ def sample_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
                         ["lang", "word", "n"],
                     )
 
-    taken = docs.join(chosen.select("id", "lang").distinct(), ["id", "lang"], "left_semi")
-    words = taken.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
+    words = docs.where(within).select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     return words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -265,47 +311,55 @@ def train(
 
 
 class Scorer:
-    """Scores texts with a model; word scores are kept for as long as words come back."""
+    """Scores texts with a model; the scores of stretches are kept for as long as they come back."""
 
     def __init__(self, model: Model, remembered: int = 200_000):
         self.model, self.seen = model, Recent(remembered)
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        model = self.model
-        if not model.languages:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        tokens = [(t or "").lower().split() for t in texts]
-        distinct = set(chain.from_iterable(tokens))
-        scores = {token: self.seen.get(token) for token in distinct}
-        missing = [token for token, score in scores.items() if score is None]
-        parts = [LETTERS.findall(token) for token in missing]
+    def _rows(self, distinct: list[str]) -> np.ndarray:
+        """Of each stretch the sum of its words' log-probabilities, and the number of its words with letters."""
+        width = len(self.model.languages) + 1
+        scores = [self.seen.get(token) for token in distinct]
+        missing = [k for k, score in enumerate(scores) if score is None]
+        parts = [LETTERS.findall(distinct[k].lower()) for k in missing]
         words = sorted(set(chain.from_iterable(parts)))
-        logs = dict(zip(words, model.log_probabilities(words), strict=True))
-        none = np.zeros(len(model.languages) + 1)
-        for token, found in zip(missing, parts, strict=True):
-            row = none.copy()  # the last number counts words with letters
+        logs = dict(zip(words, self.model.log_probabilities(words), strict=True))
+        for k, found in zip(missing, parts, strict=True):
+            row = np.zeros(width)
             for word in found:
                 row[:-1] += logs[word]
                 row[-1] += 1
-            scores[token] = row
-            self.seen.put(token, row)
-        place = {token: i for i, token in enumerate(scores)}
-        rows = np.array(list(scores.values())).reshape(len(scores), len(none))
-        languages, chances = [], []
-        for found in tokens:
-            total = rows[[place[t] for t in found]].sum(axis=0) if found else none
-            if not total[-1]:
-                languages.append(UNDETERMINED)
-                chances.append(0.0)
-                continue
-            logs_of = total[:-1]
-            best = int(np.argmax(logs_of))
-            languages.append(model.languages[best])
-            chances.append(float(1 / np.exp(np.minimum(logs_of - logs_of[best], 0)).sum()))
-        return languages, chances
-
-
-_SCORERS: dict[str, Scorer] = {}
+            scores[k] = row
+            self.seen.put(distinct[k], row)
+        return np.array(scores).reshape(len(scores), width)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the best language or -1, its share among all) of each text."""
+        model = self.model
+        best, share = np.full(len(texts), -1), np.zeros(len(texts))
+        if not model.languages or not len(texts):
+            return best, share
+        distinct, codes, edges = stretches(texts)
+        rows = self._rows(distinct)
+        # every text has a stretch, though it may be empty; many rows at a time would be many numbers
+        total = np.concatenate(
+            [np.add.reduceat(rows[codes[edges[a] : edges[b]]], edges[a:b] - edges[a]) for a, b in _spans(edges, 1 << 18)]
+        )
+        known = np.flatnonzero(total[:, -1])
+        logs = total[known, :-1]
+        best[known] = np.argmax(logs, axis=1)
+        top = logs[np.arange(len(known)), best[known]]
+        share[known] = 1 / np.exp(np.minimum(logs - top[:, None], 0)).sum(axis=1)
+        return best, share
+
+
+def _spans(edges: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with at most so many stretches, but for a single longer text."""
+    low, n = 0, len(edges) - 1
+    while low < n:
+        high = min(n, max(low + 1, int(np.searchsorted(edges, edges[low] + most, side="right")) - 1))
+        yield low, high
+        low = high
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -317,26 +371,23 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     ship(spark)
     sent = spark.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
+    names = pa.array([*model.languages, UNDETERMINED], pa.string())
+    others = kept_columns(docs, ["lang_pred", "score"], keep)
+    columns, text = text_once(docs, others, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(sent.value)
-        score = _SCORERS[key]
+        score = held(key, lambda: Scorer(sent.value))
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                languages, chances = score(part.column(part.num_columns - 1).to_pylist())
+            for part in slices(batch, text):
+                best, share = score(part.column(text))
+                languages = names.take(pa.array(np.where(best < 0, len(names) - 1, best)))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(languages, pa.string()), pa.array(chances, pa.float64())],
-                    [*part.schema.names[:-1], "lang_pred", "score"],
+                    [*part.columns[: len(others)], languages, pa.array(share)],
+                    [*part.schema.names[: len(others)], "lang_pred", "score"],
                 )
 
-    others = kept_columns(docs, ["lang_pred", "score"], keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return docs.select(
-        *[F.col(f"`{f.name}`") for f in others], F.col(f"`{text_col}`").cast("string").alias(free_name(docs, "__text"))
-    ).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others)
+    return docs.select(*columns).mapInArrow(run, f"{schema}lang_pred string, score double")
 
 
 def held_out(id_col: str = "doc_id"):
