@@ -20,13 +20,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Remembered, free_name, kept_columns, ship, table, tokenizer_file
+from candlewick.llm.common import Remembered, free_name, held, joined, kept_columns, ship, slices, stretches, table, text_once, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
 _NEVER = 1 << 60
-#: White space as Unicode lists it; Python's own list has four control characters more.
-SPACE = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-_ODD = regex.compile(r"[\x1c-\x1f]")
 #: Words of plain ASCII text, by the pattern the vocabulary file states.
 _ASCII_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
@@ -173,22 +170,24 @@ class WordTokenizer:
 
     def __call__(self, text: str) -> tuple[bytes, str]:
         """The ids as little-endian 32-bit numbers and the text they decode to."""
-        stretches = SPACE.split(text) if _ODD.search(text) else text.split()
-        return self._joined(list(map(self.stretches.__getitem__, stretches)))
+        ids, decoded = self.batch(pa.array([text], pa.string()))
+        return ids[0].as_py(), decoded[0].as_py().decode()
 
+    def batch(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Of each text the ids as little-endian 32-bit numbers and the text they decode to, in UTF-8.
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
-def _tokenizer(key: str, file: str) -> WordTokenizer:
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = WordTokenizer(file)
-    return _TOKENIZERS[key]
+        Texts are cut at ASCII white space; other white space is inside a stretch, and handled there.
+        """
+        distinct, codes, edges = stretches(texts)
+        found = [self.stretches[stretch] for stretch in distinct]
+        ids = joined([f[0] for f in found], codes, edges)
+        some = np.array([bool(f[0]) for f in found], bool)[codes]  # nothing decodes to nothing, not to a space more
+        before = np.concatenate([[0], np.cumsum(some)])
+        return ids, joined([f[1].encode() for f in found], codes[some], before[edges], b" ")
 
 
 def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added: str, keep: list[str] | None):
-    """Map the text column with make(tokenizer, list of texts) -> list of arrays, beside the kept columns."""
+    """Map the text column with make(tokenizer, texts) -> arrays, beside the kept columns."""
     spark = docs.sparkSession
     ship(spark)
     with open(tokenizer_file(vocabulary), encoding="utf-8") as source:
@@ -196,19 +195,19 @@ def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added
     key = uuid.uuid4().hex
     names = [part.split()[0] for part in added.split(", ")]
     others = kept_columns(docs, names, keep)
+    columns, text = text_once(docs, others, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(key, sent.value)
+        tokenizer = held(key, lambda: WordTokenizer(sent.value))
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                made = make(tokenizer, part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*part.schema.names[:-1], *names])
+            for part in slices(batch, text):
+                made = make(tokenizer, part.column(text))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[: len(others)], *made], [*part.schema.names[: len(others)], *names]
+                )
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others) + added
-    return docs.select(
-        *[F.col(f"`{f.name}`") for f in others], F.col(f"`{text_col}`").cast("string").alias(free_name(docs, "__text"))
-    ).mapInArrow(run, schema)
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def digests(
@@ -216,14 +215,12 @@ def digests(
 ) -> DataFrame:
     """The kept columns of docs, then n_tokens, ids_sha256 and decoded_sha256. A null text counts as empty."""
 
-    def make(tokenizer: WordTokenizer, texts: list[str | None]):
-        n, of_ids, of_text = [], [], []
-        for text in texts:
-            ids, decoded = tokenizer(text or "")
-            n.append(len(ids) // 4)
-            of_ids.append(hashlib.sha256(ids).hexdigest())
-            of_text.append(hashlib.sha256(decoded.encode()).hexdigest())
-        return pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())
+    def make(tokenizer: WordTokenizer, texts: pa.Array):
+        ids, decoded = tokenizer.batch(texts)
+        return (
+            pa.array([len(i.as_buffer()) // 4 for i in ids], pa.int64()),
+            *[pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string()) for column in (ids, decoded)],
+        )
 
     added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return _with_tokenizer(docs, vocabulary, text_col, make, added, keep)
@@ -232,8 +229,8 @@ def digests(
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns of docs, then ids array<int>."""
 
-    def make(tokenizer: WordTokenizer, texts: list[str | None]):
-        return (pa.array([np.frombuffer(tokenizer(t or "")[0], "<i4") for t in texts], pa.list_(pa.int32())),)
+    def make(tokenizer: WordTokenizer, texts: pa.Array):
+        return (pa.array([np.frombuffer(i.as_buffer(), "<i4") for i in tokenizer.batch(texts)[0]], pa.list_(pa.int32())),)
 
     return _with_tokenizer(docs, vocabulary, text_col, make, "ids array<int>", keep)
 
@@ -248,7 +245,7 @@ def decode(rows: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids")
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(key, sent.value)
+        tokenizer = held(key, lambda: WordTokenizer(sent.value))
         for batch in batches:
             texts = [None if ids is None else tokenizer.decode(ids) for ids in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

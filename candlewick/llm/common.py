@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import os
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +83,80 @@ def kept_columns(df: DataFrame, added: list[str], keep: list[str] | None) -> lis
     return [f for f in df.schema if f.name.lower() not in names and (keep is None or f.name in keep)]
 
 
+def text_once(df: DataFrame, others: list[T.StructField], text_col: str) -> tuple[list, int]:
+    """(the kept columns, with the text as a string among them or else behind them; the place of the text), so that a
+    text that is kept goes to Python once."""
+    columns = [F.col(f"`{f.name}`") for f in others]
+    for place, f in enumerate(others):
+        if f.name.lower() == text_col.lower() and isinstance(f.dataType, T.StringType):
+            return columns, place
+    return [*columns, F.col(f"`{text_col}`").cast("string").alias(free_name(df, "__text"))], len(columns)
+
+
+# White space as Python's split and pattern s take it, in the notation of Arrow's patterns.
+_BEYOND_ASCII = r"\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD_SPACE = f"[{_BEYOND_ASCII}]"
+TWO_SPACES = f"[\\t-\\r {_BEYOND_ASCII}]{{2}}"
+
+SLICE_BYTES = 2 << 20
+SLICE_ROWS = 2048
+
+
+def slices(batch: pa.RecordBatch, text: int, most_bytes: int = SLICE_BYTES, most_rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most so many rows, and so many bytes of text but for a single longer one."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < batch.num_rows:
+        before = int(ends[low - 1]) if low else 0
+        high = int(np.searchsorted(ends, before + most_bytes, side="right"))
+        high = min(max(high, low + 1), low + most_rows, batch.num_rows)
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def stretches(texts: pa.Array, separator: str | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct stretches, codes, edges): texts cut at ASCII white space, or at each separator. Text k has the stretches
+    numbered codes[edges[k]:edges[k + 1]]; at the ends and between separators they may be empty. Null counts as empty.
+
+    Cutting and numbering are done by Arrow, so Python sees each distinct stretch once.
+    """
+    texts = pc.fill_null(texts, "")
+    cut = pc.ascii_split_whitespace(texts) if separator is None else pc.split_pattern(texts, separator)
+    edges = cut.offsets.to_numpy().astype(np.int64)
+    coded = cut.values.slice(int(edges[0]), int(edges[-1] - edges[0])).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), edges - edges[0]
+
+
+def joined(parts: list[bytes], codes: np.ndarray, edges: np.ndarray, separator: bytes = b"") -> pa.Array:
+    """Of each text the parts that its codes name, one after the other."""
+    taken = pa.array(parts, pa.binary()).take(pa.array(codes))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), taken), separator)
+
+
+_HELD: dict[str, object] = {}
+
+
+def held(key: str, make: Callable[[], object]):
+    """What a Python worker keeps from task to task of a stage. A worker serves other stages later: what it kept for
+    another one goes first, and its memory back to the system."""
+    if key not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+#: Longer keys are not remembered: a memory bounded in entries is bounded in bytes as well.
+LONGEST_REMEMBERED = 64
+
+
 class Recent:
     """A dict of bounded size that forgets what was not asked for in a while (two generations)."""
 
@@ -92,6 +172,8 @@ class Recent:
         return value
 
     def put(self, key, value) -> None:
+        if len(key) > LONGEST_REMEMBERED:
+            return
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
         self.new[key] = value
@@ -108,6 +190,8 @@ class Remembered(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > LONGEST_REMEMBERED:
+            return value
         if len(self) >= self.half:
             self.old = dict(self)
             self.clear()

@@ -29,11 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Remembered, ship, stored, table
+from candlewick.llm.common import ODD_SPACE, ship, slices, stored, stretches, table
 
 FEATURES = 1 << 18
 STEP = 16
@@ -48,34 +49,31 @@ ANSWER = 0.75
 SHORT_WORDS = 8  # shorter items count only if they are there word for word
 ITEM_BLOCK = 256
 
-_MARKS = regex.compile(r"[^\p{L}\p{N}]+")
+_MARKS = r"[^\p{L}\p{N}]+"
 _SENTENCE = regex.compile(r"[^.!?\n]*[\p{L}\p{N}][^.!?\n]*")
 _STRETCH = 64
 
 
-class Features:
-    """The number of a word below FEATURES, by stretches between white space; -1 for marks alone."""
-
-    def __init__(self, remembered: int = 300_000):
-        self.number = Remembered(remembered, self._make).__getitem__
-
-    @staticmethod
-    def _make(token: str) -> int:
-        word = _MARKS.sub("", token.lower())
-        return zlib.crc32(word.encode()) % FEATURES if word else -1
+def words_of(texts: pa.Array) -> pa.Array:
+    """The words of each text as numbers below FEATURES, little-endian and 32 bits wide. A word is a stretch between
+    white space without its marks, in lower case; one of marks alone is none. Lower case and marks are Arrow's."""
+    texts = pc.fill_null(texts, "")
+    if pc.any(pc.match_substring_regex(texts, ODD_SPACE)).as_py():
+        texts = pc.replace_substring_regex(texts, ODD_SPACE, " ")
+    distinct, codes, edges = stretches(texts)
+    plain = pc.replace_substring_regex(pc.utf8_lower(pa.array(distinct, pa.string())), _MARKS, "").cast(pa.binary())
+    numbers = np.array([zlib.crc32(w) % FEATURES if w else -1 for w in plain.to_pylist()], "<i4")[codes]
+    some = numbers >= 0
+    ends = 4 * np.concatenate([[0], np.cumsum(some)])[edges].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(numbers[some].tobytes())])
 
-    def of(self, text: str) -> np.ndarray:
-        out = np.array(list(map(self.number, text.split())), np.int64)
-        return out[out >= 0]
-
-
-_FEATURES: list[Features] = []
 
+class Features:
+    """The words of single texts as numbers."""
 
-def _features() -> Features:
-    if not _FEATURES:
-        _FEATURES.append(Features())
-    return _FEATURES[0]
+    @staticmethod
+    def of(text: str | None) -> np.ndarray:
+        return np.frombuffer(words_of(pa.array([text], pa.string()))[0].as_py(), "<i4").astype(np.int64)
 
 
 def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,12 +81,9 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _features().of
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                words = [of(t or "").astype("<i4").tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.binary())], ["id", "words"])
+            for part in slices(batch, 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), words_of(part.column(1))], ["id", "words"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string")).mapInArrow(
         run, "id long, words binary"
@@ -380,11 +375,10 @@ _PAIR = pa.schema(
 
 
 def item_of(number: int | None, text: str | None, answer: str | None) -> Item:
-    of = _features().of
     if answer is None:
         sentences = _SENTENCE.findall(text or "")
         answer = sentences[-1] if len(sentences) > 1 else ""
-    return Item(number, of(text or "").tolist(), of(answer).tolist())
+    return Item(number, Features.of(text).tolist(), Features.of(answer).tolist())
 
 
 def contaminated(

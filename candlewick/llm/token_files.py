@@ -16,7 +16,6 @@ so any document, or any range of its ids, is expanded from its own symbols and t
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -24,11 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewick.llm.common import ship, table, tokenizer_file
+from candlewick.llm.common import LONGEST_REMEMBERED, TWO_SPACES, held, joined, ship, slices, stretches, table, tokenizer_file
 from candlewick.session import shared_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -38,7 +38,6 @@ MIN_PAIRS = 16  # a pair that occurs less often gets no rule
 PAIRS_A_ROUND = 4096
 ROUNDS = 8
 _SPACE_MARK = "Ġ"  # how byte-level vocabularies write a space
-_RUN_OF_SPACE = re.compile(r"\s\s")
 
 
 class ByteTokenizer:
@@ -48,7 +47,7 @@ class ByteTokenizer:
     follows together, so a text in which no two white-space characters meet may be cut before every space.
     """
 
-    def __init__(self, file: str, remembered: int = 800_000):
+    def __init__(self, file: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(file)
@@ -70,37 +69,46 @@ class ByteTokenizer:
         packed, edges = ids.tobytes(), [*(4 * places).tolist(), 4 * len(ids)]
         return [packed[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def __call__(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        whole = pc.match_substring_regex(texts, TWO_SPACES).to_numpy(zero_copy_only=False)
+        out = np.empty(len(texts), object)
+        plain, cut = np.flatnonzero(whole), np.flatnonzero(~whole)
+        out[plain] = self._encode(texts.take(pa.array(plain)).to_pylist())
+        if len(cut):
+            out[cut] = self._cut(texts.take(pa.array(cut)))
+        return out.tolist()
+
+    def _cut(self, texts: pa.Array) -> list[bytes]:
+        """Of texts that may be cut before every space."""
+        distinct, codes, edges = stretches(texts, " ")
+        first = edges[:-1]
+        inner = np.ones(len(codes), bool)
+        inner[first] = False
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        out, plain, cut, missing = {}, [], [], {}
-        for at, text in enumerate(texts):
-            if not text:
-                out[at] = b""
-            elif _RUN_OF_SPACE.search(text):
-                plain.append(at)
-            else:
-                first, *rest = text.split(" ")
-                ids = list(map(new.get, rest))
-                for k in [k for k, found in enumerate(ids) if found is None]:
-                    stretch = rest[k]
-                    found = old.get(stretch)
-                    if found is None:
-                        missing.setdefault(stretch, []).append((len(cut), k))
-                    else:
-                        ids[k] = new[stretch] = found
-                cut.append((at, first, ids))
+        parts, missing = [b""] * len(distinct), []
+        for k in np.unique(codes[inner]).tolist():
+            stretch = distinct[k]
+            found = new.get(stretch)
+            if found is None:
+                found = old.get(stretch)
+                if found is None:
+                    missing.append(k)
+                    continue
+                new[stretch] = found
+            parts[k] = found
         if missing:
-            for (stretch, places), ids in zip(missing.items(), self._stretches(list(missing)), strict=True):
-                new[stretch] = ids
-                for which, k in places:
-                    cut[which][2][k] = ids
-        for (at, _, ids), start in zip(cut, self._encode([c[1] for c in cut]), strict=True):
-            out[at] = start + b"".join(ids)
-        out.update(zip(plain, self._encode([texts[at] for at in plain]), strict=True))
-        return [out[at] for at in range(len(texts))]
+            for k, ids in zip(missing, self._stretches([distinct[k] for k in missing]), strict=True):
+                parts[k] = ids
+                if len(distinct[k]) <= LONGEST_REMEMBERED:
+                    new[distinct[k]] = ids
+        # a text's first stretch has no space before it
+        parts += self._encode([distinct[k] for k in codes[first].tolist()])
+        codes[first] = len(distinct) + np.arange(len(first))
+        return joined(parts, codes, edges).to_pylist()
 
 
 def _pairs(symbols: np.ndarray, inner: np.ndarray) -> np.ndarray:
@@ -212,14 +220,8 @@ def _shard(part: int, shard: int, docs: list[int | None], ids: list[bytes], base
     }
 
 
-_TOKENIZERS: dict[str, ByteTokenizer] = {}
-
-
 def byte_tokenizer(key: str, file: str) -> ByteTokenizer:
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = ByteTokenizer(file)
-    return _TOKENIZERS[key]
+    return held(key, lambda: ByteTokenizer(file))
 
 
 def write(
@@ -258,9 +260,8 @@ def write(
         )
         held_docs, held_ids, size, shard = [], [], 0, 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                rows = batch.slice(low, 256)
-                made = tokenizer(rows.column(1).to_pylist())
+            for rows in slices(batch, 1):
+                made = tokenizer(rows.column(1))
                 for doc, ids in zip(rows.column(0).to_pylist(), made, strict=True):
                     held_docs.append(doc)
                     held_ids.append(ids + end)

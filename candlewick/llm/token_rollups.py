@@ -18,10 +18,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import ship, table, tokenizer_file
+from candlewick.llm.common import ship, slices, table, tokenizer_file
 from candlewick.llm.token_files import byte_tokenizer
 from candlewick.session import shared_dir
 
@@ -47,13 +48,11 @@ def counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_tokenizer(key, sent.value)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                texts = part.column(3).to_pylist()
-                n = [len(ids) // 4 for ids in encode(texts)]
-                size = [len((t or "").encode()) for t in texts]
+            for part in slices(batch, 3):
+                n = [len(ids) // 4 for ids in encode(part.column(3))]
+                size = pc.fill_null(pc.binary_length(part.column(3)), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(n, pa.int64()), pa.array(size, pa.int64())],
+                    [*part.columns[:3], pa.array(n, pa.int64()), size],
                     ["doc_id", "source", "lang", "n_tokens", "n_bytes"],
                 )
 

@@ -22,7 +22,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_registration():
     names = {n.split("_")[0] for n in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id",
@@ -41,9 +41,9 @@ def test_query_equals_its_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_document_or_vector_comes_back(spark, name):
     rows = QUERIES[name](spark, SF_DIR).collect()
-    table = "embeddings" if name.startswith("op5") else "documents"
+    table = "embeddings" if name.startswith("op5") else "pages" if name.startswith("op12") else "documents"
     total = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/{table}.parquet'").fetchall()[0][0]
-    if name.startswith(("op4", "op10")):
+    if name.startswith(("op4", "op10", "op11")):
         assert rows
     else:
         assert len(rows) == total
@@ -103,6 +103,27 @@ def test_of_repeated_ids_one_row_stays(spark, folder):
     assert sorted(r.doc_id for r in kept) == [5, 7]
 
 
+def test_rows_of_one_id_are_one_document_only_if_their_texts_are(spark, folder):
+    rows = [(5, "one quite long text of its own", "en"), (5, "alpha beta gamma delta", "en"), (6, "alpha beta gamma delta", "en"), (4, None, "en"), (9, "", "en")]
+    path = folder([*rows, (None, "alpha beta gamma delta", "en")])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = corpus_pipeline.simhash_near_dedup(spark, docs, path).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept if r.text) == [("5", "alpha beta gamma delta"), ("5", "one quite long text of its own"), ("None", "alpha beta gamma delta")]
+    assert [r.doc_id for r in kept if not r.text] == [4]
+
+
+def test_without_labels_and_of_short_texts_every_document_with_letters_stays(spark, folder):
+    prose = "the house of the rivers and the mountain"
+    path = folder([(i, f"{prose} {i}", None) for i in range(20)] + [(30, None, None)])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    assert corpus_pipeline.language_id(spark, docs, path).count() == 21
+    langs = ["en", "fr", "de", "es"]
+    path = folder([(i, f"{prose} {i}", langs[i % 4]) for i in range(40)] + [(50, "house", None), (51, "Rio", None), (52, "123", None)])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, path).collect()}
+    assert kept >= {*range(40), 50, 51} and 52 not in kept
+
+
 def test_run_applies_all_stages(spark, folder):
     rows = [(i, f"the house of the {i} rivers and the mountain number {i * 7}", "en") for i in range(30)]
     out = corpus_pipeline.run(spark, folder(rows))
