@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
@@ -20,7 +21,7 @@ from candlewick.operators.incremental import FIRST_WINS, any_null, exclude_ident
 from candlewick.sources.key_index import KeyIndex
 from candlewick.sources.landing import read_landing
 from candlewick.sources.registry import CORRUPT, SOURCES, TABLES
-from candlewick.sources.tables import append_table, replace_table, table_or_none
+from candlewick.sources.tables import append_table, replace_all, table_or_none
 
 
 def with_source_file(envelopes: DataFrame) -> DataFrame:
@@ -210,20 +211,28 @@ def load_bronze(
 
 
 def reload_bronze(spark: SparkSession, *, landing_root: str, schema: str) -> dict[str, int]:
-    """Rebuild all six tables from Landing; each old table stays readable until its new one is whole."""
-    counts: dict[str, int] = {}
+    """Rebuild all six tables and their quarantine tables from Landing: all of them, or none. A failure in any table
+    leaves the old ones, and a stop while the new ones take their places is finished by the next access."""
+    seen: dict[str, Observation] = {}
+    contents: dict[str, Callable[[], DataFrame]] = {}
     for table, spec in TABLES.items():
         rows = project(landed(spark, landing_root, table), table)
-        parsed, seen = Observation(), Observation()
-        counted = rows.observe(parsed, F.count_if(any_null(spec.keys, spec.derived_keys())).alias("unkeyed"))
-        fresh = new_rows(counted, None, table).observe(seen, F.count(F.lit(1)).alias("rows"))
-        replace_table(fresh, f"{schema}.{table}")
-        _, unkeyed = split_null_keys(rows, spec.keys, spec.derived_keys())
-        # parsed a second time only if there is something to set aside
-        some = parsed.get.get("unkeyed") != 0
-        replace_table(unkeyed if some else spark.createDataFrame([], rows.schema), f"{schema}.{table}__quarantine")
-        counts[table] = seen.get.get("rows", 0)
-    return counts
+        parsed, seen[table] = Observation(), Observation()
+
+        def fresh(rows: DataFrame = rows, table: str = table, parsed: Observation = parsed) -> DataFrame:
+            missing = any_null(TABLES[table].keys, TABLES[table].derived_keys())
+            counted = rows.observe(parsed, F.count_if(missing).alias("unkeyed"))
+            return new_rows(counted, None, table).observe(seen[table], F.count(F.lit(1)).alias("rows"))
+
+        def aside(rows: DataFrame = rows, table: str = table, parsed: Observation = parsed) -> DataFrame:
+            if parsed.get.get("unkeyed") == 0:  # parsed a second time only if there is something to set aside
+                return spark.createDataFrame([], rows.schema)
+            return split_null_keys(rows, TABLES[table].keys, TABLES[table].derived_keys())[1]
+
+        contents[f"{schema}.{table}"] = fresh
+        contents[f"{schema}.{table}__quarantine"] = aside
+    replace_all(contents, spark)
+    return {table: seen[table].get.get("rows", 0) for table in TABLES}
 
 
 def verify_incremental(

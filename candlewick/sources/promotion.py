@@ -47,6 +47,40 @@ def _listed(spark: SparkSession, root: str, source: str) -> DataFrame:
     )
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path of the file system that Spark uses; ``path`` as Spark's listings give it, a URI."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _publish(spark: SparkSession, manifest: str) -> None:
+    """Move the staged files of a manifest to their places. A file that is there already was moved before."""
+    for row in spark.table(manifest).collect():  # one row per file written, each of the size AQE aims at
+        staged, files = _hadoop_path(spark, row.staged)
+        target, _ = _hadoop_path(spark, row.target)
+        if files.exists(staged):
+            files.mkdirs(target.getParent())
+            files.delete(target, False)  # left by a move that copied and stopped before it deleted
+            if not files.rename(staged, target):
+                raise OSError(f"cannot move {row.staged} to {row.target}")
+
+
+def finish_promotion(spark: SparkSession, ledger_table: str) -> None:
+    """Replay what a stopped promotion has decided: publish its files, and enter in the ledger what is not there yet."""
+    manifest, pending = f"{ledger_table}__manifest", f"{ledger_table}__pending"
+    if not spark.catalog.tableExists(manifest):
+        return
+    _publish(spark, manifest)
+    chosen = spark.table(pending)
+    known = table_or_none(spark, ledger_table)
+    if known is not None:
+        both = ["source", "relative_path"]
+        chosen = spread_join(chosen, known.select(*both).distinct(), both, "left_anti")
+    append_table(chosen, ledger_table)
+    spark.sql(f"DROP TABLE IF EXISTS {manifest}")
+
+
 def promote(
     spark: SparkSession,
     src_root: str,
@@ -56,15 +90,18 @@ def promote(
     *,
     since: str | None = None,
 ) -> None:
-    """Copy the files not promoted yet, source by source, and enter them in the ledger.
+    """Copy the files not promoted yet, source by source, and enter them in the ledger; each line once, wherever a run stops.
 
     Lines keep their ``date=`` folder; the ledger keeps the original file names. The new files are
-    found first, from a listing that opens no file, and fixed in ``<ledger>__pending``. Only the folders
+    found first, from a listing that opens none, and fixed in ``<ledger>__pending``. Only the folders
     they lie in are then read, and the first promotion of a source copies without any join. The copies of
-    a day are gathered before they are written, in files of the size AQE aims at. If a run stops half way,
-    the next one promotes the same files again: repeated lines fall to the later dedup, none is lost.
+    a day are gathered before they are written, in files of the size AQE aims at, below ``_promotion`` in the target,
+    where no reader looks. ``<ledger>__manifest`` lists them with the places they go to. It is the decision: a run that
+    stops before it is written has changed nothing, and what comes after (moving the files, the ledger) is replayed by
+    the next run, which finds what is done already.
     ``since`` leaves older ``date=`` folders out altogether.
     """
+    finish_promotion(spark, ledger_table)
     for source in sources:
         lines, listed = _landed(spark, src_root, source), _listed(spark, src_root, source)
         if since:
@@ -92,7 +129,22 @@ def promote(
                 ["relative_path"],
                 "left_semi",
             )
-        lines.select("value", "date").hint("rebalance", "date").write.partitionBy("date").mode("append").text(
-            source_path(dst_root, source)
-        )
-        append_table(chosen, ledger_table)
+        stage = source_path(f"{dst_root.rstrip('/')}/_promotion", source)
+        lines.select("value", "date").hint("rebalance", "date").write.partitionBy("date").mode("overwrite").text(stage)
+        _list_staged(spark, stage, source, f"{ledger_table}__manifest")
+        finish_promotion(spark, ledger_table)
+
+
+def _list_staged(spark: SparkSession, stage: str, source: str, manifest: str) -> None:
+    """Write the manifest: the staged files, found by a listing, and where they go."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
+    listing = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(place, True)
+    rows = []
+    while listing.hasNext():
+        path = listing.next().getPath()
+        if not path.getName().startswith(("_", ".")):
+            staged = path.toUri().toString()
+            root, _, below = staged.rpartition(f"/_promotion/{source}/")
+            rows.append((staged, f"{root}/{source}/{below}"))
+    listed = spark.createDataFrame(rows, "staged string, target string").coalesce(1)
+    listed.write.format("parquet").mode("overwrite").saveAsTable(manifest)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     """The table, or None before its first write. A table that a stopped replacement has set aside is
-    brought back first: taking it for missing would start its history anew. A stopped swap is finished."""
+    brought back first: taking it for missing would start its history anew. A stopped swap is finished, and so is a
+    replacement of several tables that was decided."""
+    finish_replace(spark, _decision(name))
     if not spark.catalog.tableExists(name):
         recover_table(spark, name)
     else:
@@ -42,8 +44,10 @@ def recover_table(spark: SparkSession, name: str) -> None:
     """Finish or undo a replacement that stopped half way. Safe to call at any time.
 
     The old table is set aside before the new one takes its name. If the name is free and an old
-    table is set aside, the old one comes back; otherwise the name is good and leftovers go.
+    table is set aside, the old one comes back; otherwise the name is good and leftovers go. A decided
+    replacement of several tables is finished first.
     """
+    finish_replace(spark, _decision(name))
     staged, old = f"{name}__staged", f"{name}__old"
     if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
         _rename(spark, old, name)
@@ -133,3 +137,48 @@ def finish_swap(spark: SparkSession, name: str) -> None:
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         spark.table(swap).select(*columns).write.mode("overwrite").insertInto(name)
     spark.sql(f"DROP TABLE IF EXISTS {swap}")
+
+
+def _decision(name: str) -> str:
+    """The table that says that staged tables of a schema are to take their places."""
+    return f"{name.rpartition('.')[0]}.replacement__decided".lstrip(".")
+
+
+def replace_all(contents: Mapping[str, Callable[[], DataFrame]], spark: SparkSession) -> None:
+    """Replace several tables of one schema: all of them, or none.
+
+    Every new content is written beside its table first; a failure up to there leaves all old tables as they are. Then
+    one small table is written that lists them, which is the decision: from then on each access to a table of the schema
+    (``table_or_none``, ``replace_table``, ``replace_all``) first finishes what is left of the swaps.
+    """
+    decisions = {_decision(name) for name in contents}
+    if len(decisions) != 1:
+        raise ValueError("the tables are of several schemas, or there are none")
+    decision = decisions.pop()
+    for name in contents:
+        recover_table(spark, name)
+    try:
+        for name, content in contents.items():
+            content().write.format("parquet").mode("overwrite").saveAsTable(f"{name}__staged")
+    except BaseException:
+        for name in contents:
+            spark.sql(f"DROP TABLE IF EXISTS {name}__staged")
+        raise
+    listed = spark.createDataFrame([(name,) for name in contents], "name string").coalesce(1)
+    listed.write.format("parquet").mode("overwrite").saveAsTable(decision)
+    finish_replace(spark, decision)
+
+
+def finish_replace(spark: SparkSession, decision: str) -> None:
+    """Bring in the tables of a decided replacement that still wait. Doing it again changes nothing."""
+    if not spark.catalog.tableExists(decision):
+        return
+    for row in spark.table(decision).collect():
+        staged, old = f"{row.name}__staged", f"{row.name}__old"
+        if spark.catalog.tableExists(staged):
+            if spark.catalog.tableExists(row.name):
+                spark.sql(f"DROP TABLE IF EXISTS {old}")
+                _rename(spark, row.name, old)
+            _rename(spark, staged, row.name)
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"DROP TABLE IF EXISTS {decision}")
