@@ -22,13 +22,14 @@ BLOCK_BYTES = 8 << 20
 
 
 def in_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, id, text): texts as UTF-8, null as empty, packed for the exchange; all rows of an id are in one block."""
+    """(block, id, text): texts as UTF-8, null as empty, packed for the exchange; all rows of an id are in one block,
+    rows without an id go by their texts."""
     ship(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
     key = F.col(id_col).cast("long")
     dealt = docs.select(
-        F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(key, F.when(key.isNull(), F.col(text_col))), F.lit(blocks)).cast("int").alias("block"),
         key.alias("id"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
     )

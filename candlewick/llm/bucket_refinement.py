@@ -11,14 +11,16 @@ id. Suffixes need an order to LENGTH bytes only, so bucket-pointer refinement en
 2. Refinement. A bucket that lives is refined by what its suffixes have at the offsets around: the bytes of all
    the strings that chose the suffix. In a repeat only its two ends differ; inside, all these strings are settled
    by one comparison.
-3. Recursion. Where a bucket still holds different neighbourhoods, each string of its own is named, by the pair of
-   identifiers at two offsets made in step 1: (bucket at i, bucket at i + LENGTH - Q) covers LENGTH bytes when
-   2 Q >= LENGTH, and further pairs are formed from the new names when it does not.
+3. Recursion. Where a bucket still holds different neighbourhoods, its suffixes are refined by the identifiers of
+   step 1 at offsets half of LENGTH - Q to the left and to the right: a string that two suffixes share reaches as far
+   on one side or the other, so those that meet no other document on a side list no strings of that side.
+4. What is left is named string by string, by the pair of identifiers (bucket at i, bucket at i + LENGTH - Q), which
+   covers LENGTH bytes when 2 Q >= LENGTH; further pairs are formed from the new names when it does not.
 
 Buckets meet only as one row per bucket and block of documents (see blocks.py), sorted by bucket in a window; the
 answers go back to the blocks that have a use for them, which take the next step. Names are 64-bit hashes, compared
-within their bucket's name, of which single strings keep 32 bits: two different strings are taken for one with a
-chance of 2^-96 a pair.
+within their bucket's name (48 bits, of which single strings keep 32): two different strings are taken for one with
+a chance of 2^-96 a pair.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,7 @@ from candlewick.llm.common import table
 LENGTH = 50
 Q = 25
 _SEGMENT = 1 << 20  # below 2^24, see _choose
+_BUCKET = np.uint64(0xFFFFFFFFFFFF)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -94,7 +98,9 @@ class Suffixes:
         chosen = _choose(self.names, length - q + 1)
         edge = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1], [True]]))
         self.first, self.last = edge[:-1], edge[1:] - 1
-        self.bucket = self.names[chosen[self.first]].view(np.int64)
+        self.at = chosen[self.first]
+        self.bucket = (self.names[self.at] & _BUCKET).view(np.int64)
+        self.half = -(-(length - q) // 2)
 
     def around(self, which: np.ndarray) -> np.ndarray:
         """A name for all bytes that the strings of a suffix cover, with their place to it."""
@@ -102,16 +108,33 @@ class Suffixes:
         spans = zip(self.first[which].tolist(), (self.last[which] + length).tolist(), strict=True)
         return np.array([digest(data[a:b]) for a, b in spans], np.uint64).view(np.int64)
 
-    def strings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, name) of each string of the suffixes, from the identifiers at later offsets."""
-        sizes = self.last[which] - self.first[which] + 1
-        starts = np.repeat(self.first[which] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    def named(self, starts: np.ndarray, size: int) -> np.ndarray:
+        """A name for the `size` bytes from each start on, from the identifiers at later offsets."""
         with np.errstate(over="ignore"):
             name, covered = self.names[starts], self.q
-            while covered < self.length:  # a name for covered bytes, and the bucket that ends further on
-                covered = min(covered + self.q, self.length)
+            while covered < size:  # a name for covered bytes, and the bucket that ends further on
+                covered = min(covered + self.q, size)
                 name = _mixed(name * _BASE + self.names[starts + covered - self.q])
-        return starts, name.view(np.int64)
+        return name.view(np.int64)
+
+    def halves(self, which: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For the left and the right side: (suffixes with a string that reaches `half` bytes beyond the bucket on
+        that side, name of the bytes up to there). A string that does on both sides counts as left."""
+        at = self.at[which]
+        left = which[at - self.first[which] >= self.half]
+        right = which[at - self.last[which] < self.half]
+        size = self.q + self.half
+        return [(left, self.named(self.at[left] - self.half, size)), (right, ~self.named(self.at[right], size))]
+
+    def strings(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(suffix, start, name) of each string on the left side of some suffixes and on the right side of others."""
+        edge = self.at - self.half  # the last start on the left side
+        of = np.concatenate([left, right])
+        first = np.concatenate([self.first[left], np.maximum(self.first[right], edge[right] + 1)])
+        last = np.concatenate([np.minimum(self.last[left], edge[left]), self.last[right]])
+        sizes = last - first + 1
+        starts = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        return np.repeat(of, sizes), starts, self.named(starts, self.length)
 
 
 def suffixes_of(text: bytes, length: int, q: int) -> Iterator[Suffixes]:
@@ -137,7 +160,7 @@ def _initial(length: int, q: int):
                 found = np.unique(part.bucket)
                 keys.append(found)
                 ids.append(np.full(len(found), doc, np.int64))
-        return _rows(group, ["bucket"], [keys], ids)
+        return _rows(group, ["bucket"], [keys], ids).drop_columns("least")
 
     return run
 
@@ -191,15 +214,30 @@ def _row_name(doc: int, text: bytes) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text, seed=doc & (2**64 - 1))).view(np.int64))
 
 
-def _recursed(length: int, q: int):
-    """Rows of two kinds: `whole`, a run that whole neighbourhoods settle (bucket: the document's row, name and
-    least: start and end); else a string of a mixed bucket, with the id that speaks for its neighbourhood."""
+def _runs(block: int, found: list[np.ndarray]) -> pa.Table:
+    """Rows for runs that whole neighbourhoods settle. bucket: the document's row, name and least: start and end."""
+    row, first, last = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
+    count = len(row)
+    return pa.table(
+        {
+            "block": np.full(count, block, np.int32),
+            "bucket": row,
+            "name": first,
+            "least": last,
+            "more": np.zeros(count, bool),
+            "whole": np.ones(count, bool),
+        }
+    )
+
+
+def _halved(length: int, q: int):
+    """Runs, and the sides of suffixes of mixed buckets: name, and the ids that speak for their neighbourhoods."""
 
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
         none = np.zeros(0, np.int64)
         known = _Answers(answers)
         mixed = np.unique(known.bucket[answers.column("mixed").to_numpy()])
-        buckets, names, ids, runs = [], [], [], []
+        names, ids, runs = [none], [none], []
         for doc, text in blocks.documents_of(group) if len(known.buckets) else ():
             starts, ends = [none], [none]
             for part in suffixes_of(text, length, q) if doc is not None else ():
@@ -211,26 +249,63 @@ def _recursed(length: int, q: int):
                 # a neighbourhood that a smaller id has too is settled, and that id speaks for its strings
                 which = which[found & (least == doc)]
                 which = which[blocks.find_in_sorted(mixed, part.bucket[which])[1]]
-                if len(which):
-                    _, name = part.strings(which)
-                    buckets.append(np.repeat(_short(part.bucket[which]), part.last[which] - part.first[which] + 1))
-                    names.append(name)
-                    ids.append(np.full(len(name), doc, np.int64))
+                for _, name in part.halves(which) if len(which) else ():
+                    names.append(np.unique(name))
+                    ids.append(np.full(len(names[-1]), doc, np.int64))
             first, last = blocks.merged(np.concatenate(starts), np.concatenate(ends))
             if len(first):
                 runs.append(np.stack([np.full(len(first), _row_name(doc, text), np.int64), first, last]))
-        strings = _rows(group if len(group) else answers, ["bucket", "name"], [buckets, names], ids)
-        strings = strings.append_column("whole", pa.array(np.zeros(len(strings), bool)))
-        found = np.concatenate([np.zeros((3, 0), np.int64), *runs], axis=1)
-        settled = pa.table(
+        block = (group if len(group) else answers).column("block")[0].as_py()
+        settled = _runs(block, runs)
+        name, doc = np.concatenate(names), np.concatenate(ids)
+        order = np.lexsort([doc, name])
+        name, doc = name[order], doc[order]
+        fresh = np.ones(len(name), bool)
+        fresh[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
+        name, doc = name[fresh], doc[fresh]
+        edge = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]])) if len(name) else none
+        count = max(0, len(edge) - 1)
+        sides = pa.table(
             {
-                "block": np.full(found.shape[1], answers.column("block")[0].as_py() if len(answers) else 0, np.int32),
-                **dict(zip(("bucket", "name", "least"), found, strict=True)),
-                "more": np.zeros(found.shape[1], bool),
-                "whole": np.ones(found.shape[1], bool),
+                "block": np.full(count, block, np.int32),
+                "bucket": np.zeros(count, np.int64),
+                "name": name[edge[:-1]],
+                "least": np.zeros(count, np.int64),
+                "more": np.diff(edge) > 1,
+                "whole": np.zeros(count, bool),
             }
         )
-        return pa.concat_tables([settled, strings.select(settled.column_names)])
+        lists = pa.ListArray.from_arrays(pa.array(edge if count else [0], pa.int32()), pa.array(doc))
+        nobody = pa.array([[]] * len(settled), pa.list_(pa.int64()))
+        return pa.concat_tables([settled.append_column("ids", nobody), sides.append_column("ids", lists)])
+
+    return run
+
+
+def _recursed(length: int, q: int):
+    """The runs again, and the strings on sides that other documents have too."""
+
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        whole = answers.column("whole")
+        settled = answers.filter(whole).select(["block", "bucket", "name", "least", "more", "whole"])
+        sides = answers.filter(pa.compute.invert(whole))
+        lists = sides.column("ids").combine_chunks()
+        name = np.repeat(sides.column("name").to_numpy(), pa.compute.list_value_length(lists).to_numpy(False))
+        speaks = np.sort(_key(name, lists.flatten().to_numpy()))
+        buckets, names, ids = [], [], []
+        for doc, text in blocks.documents_of(group) if len(speaks) else ():
+            for part in suffixes_of(text, length, q) if doc is not None else ():
+                left, right = (
+                    which[blocks.find_in_sorted(speaks, _key(name, np.full(len(name), doc, np.int64)))[1]]
+                    for which, name in part.halves(np.arange(len(part.bucket)))
+                )
+                of, _, name = part.strings(left, right)
+                buckets.append(_short(part.bucket[of]))
+                names.append(name)
+                ids.append(np.full(len(name), doc, np.int64))
+        strings = _rows(group if len(group) else answers, ["bucket", "name"], [buckets, names], ids)
+        strings = strings.append_column("whole", pa.array(np.zeros(len(strings), bool)))
+        return pa.concat_tables([settled.cast(strings.schema), strings.select(settled.column_names)])
 
     return run
 
@@ -253,9 +328,9 @@ def _removed(length: int, q: int):
                 short = _short(part.bucket)
                 which = np.flatnonzero(blocks.find_in_sorted(strings.buckets, short)[1])
                 if len(which):
-                    at, name = part.strings(which)
-                    bucket = np.repeat(short[which], part.last[which] - part.first[which] + 1)
-                    found, least = strings.least_of(bucket, name)
+                    of, at, name = part.strings(which[part.at[which] - part.first[which] >= part.half],
+                                                which[part.at[which] - part.last[which] < part.half])
+                    found, least = strings.least_of(short[of], name)
                     at = at[found & (least < doc)] + part.start
                     starts.append(at)
                     ends.append(at + length)
@@ -280,16 +355,6 @@ _OUT = pa.schema(
 )
 
 
-def _met(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of keys that more than one id has, with the least of all ids. A key has one row per block."""
-    same = Window.partitionBy(*keys)
-    return (
-        rows.withColumn("n", F.count("*").over(same))
-        .withColumn("least", F.min("least").over(same))
-        .where("n > 1 OR more")
-    )
-
-
 def remove_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -310,9 +375,10 @@ def remove_repeats(
     dealt = blocks.in_blocks(docs, id_col, text_col, block_bytes)
     texts = dealt.groupBy("block")
     row = "block int, bucket long, name long, least long, more boolean"
-    live = _met(texts.applyInArrow(_initial(length, q), "block int, bucket long, least long, more boolean"), "bucket")
-    refined = texts.cogroup(live.select("block", "bucket").groupBy("block")).applyInArrow(_refined(length, q), row)
     bucket, same = Window.partitionBy("bucket"), Window.partitionBy("bucket", "name")
+    live = texts.applyInArrow(_initial(length, q), "block int, bucket long, more boolean")
+    live = live.withColumn("n", F.count("*").over(bucket)).where("n > 1 OR more")  # one row per bucket and block
+    refined = texts.cogroup(live.select("block", "bucket").groupBy("block")).applyInArrow(_refined(length, q), row)
     refined = (
         refined.withColumn("mixed", F.min("name").over(bucket) != F.max("name").over(bucket))
         .withColumn("first", F.min("least").over(same))
@@ -320,7 +386,12 @@ def remove_repeats(
         .select("block", "bucket", "name", F.col("first").alias("least"), "mixed")
     )
     # what whole neighbourhoods settle passes through as runs, so that no step is computed for two readers
-    strings = texts.cogroup(refined.groupBy("block")).applyInArrow(_recursed(length, q), f"{row}, whole boolean")
+    sides = texts.cogroup(refined.groupBy("block")).applyInArrow(
+        _halved(length, q), f"{row}, whole boolean, ids array<long>"
+    )
+    side = Window.partitionBy("whole", "bucket", "name")
+    sides = sides.withColumn("n", F.count("*").over(side)).where("whole OR more OR n > 1").drop("n")
+    strings = texts.cogroup(sides.groupBy("block")).applyInArrow(_recursed(length, q), f"{row}, whole boolean")
     same = Window.partitionBy("bucket", "name", "whole")
     answers = (
         strings.withColumn("first", F.min("least").over(same))
