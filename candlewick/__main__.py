@@ -6,6 +6,7 @@ import argparse
 from datetime import date
 
 from candlewick.plans import bronze, build
+from candlewick.plans.drift import landing_drift
 from candlewick.session import build_session
 from candlewick.sources import TABLES
 from candlewick.streaming import stream_table
@@ -13,7 +14,7 @@ from candlewick.streaming import stream_table
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="candlewick")
-    commands = ("load", "stream", "reload", "verify", "build", "report", "freshness", "promote")
+    commands = ("load", "stream", "reload", "verify", "build", "report", "freshness", "promote", "drift")
     parser.add_argument("command", choices=commands)
     parser.add_argument("--landing", required=True, help="landing folder of this environment")
     parser.add_argument("--bronze", default="bronze", help="schema of the typed tables")
@@ -61,6 +62,10 @@ def main() -> int:
         failed = not result.filter("status = 'fail'").isEmpty()
     elif args.command == "freshness":
         build.freshness_report(spark, lake).show(truncate=False)
+    elif args.command == "drift":
+        result = landing_drift(spark, args.landing).filter("status != 'ok'").orderBy("source", "path", "landed")
+        result.show(1000, truncate=False)
+        failed = not result.filter("status = 'lost'").isEmpty()
     elif args.command == "promote":
         source = build.Lake(args.from_landing)
         since = args.since and args.since.isoformat()

@@ -657,6 +657,29 @@ FROM (SELECT event_id, 'events/date=' || CAST(ts AS DATE) || '/' || user_id || '
 ORACLES["indexed_append"] = """
 SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders
 WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01'"""
+ORACLES["schema_drift"] = """
+WITH o AS (
+  SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS p, count(*) FILTER (o_orderstatus = 'F') AS f,
+         count(*) FILTER (o_orderstatus NOT IN ('P', 'F')) AS r FROM orders),
+kinds AS (
+  SELECT 'id' AS path, 'bigint' AS declared, 'BIGINT' AS landed, n AS n_values, 0 AS n_lost FROM o
+  UNION ALL SELECT 'price', 'double', 'BIGINT', n - p, 0 FROM o
+  UNION ALL SELECT 'price', 'double', 'STRING', p, p FROM o
+  UNION ALL SELECT 'clerk', NULL, 'STRING', n, 0 FROM o
+  UNION ALL SELECT 'publisher', 'struct<name:string,rank:bigint>', 'OBJECT', n, 0 FROM o
+  UNION ALL SELECT 'publisher.name', 'string', 'STRING', n, 0 FROM o
+  UNION ALL SELECT 'publisher.rank', 'bigint', 'BIGINT', n - f, 0 FROM o
+  UNION ALL SELECT 'publisher.rank', 'bigint', 'STRING', f, f FROM o
+  UNION ALL SELECT 'publisher.verified', NULL, 'BOOLEAN', n, 0 FROM o
+  UNION ALL SELECT 'insights', 'array<struct<ticker:string,score:double>>', 'ARRAY', n - f, 0 FROM o
+  UNION ALL SELECT 'insights', 'array<struct<ticker:string,score:double>>', 'OBJECT', f, f FROM o
+  UNION ALL SELECT 'insights[]', 'struct<ticker:string,score:double>', 'OBJECT', 2 * p + r, 0 FROM o
+  UNION ALL SELECT 'insights[].ticker', 'string', 'STRING', 2 * p + r, 0 FROM o
+  UNION ALL SELECT 'insights[].score', 'double', 'BIGINT', 2 * p, 0 FROM o
+  UNION ALL SELECT 'insights[].score', 'double', 'STRING', r, r FROM o)
+SELECT path, declared, landed, n_values, CAST(n_lost AS BIGINT) AS n_lost,
+       CASE WHEN n_lost > 0 THEN 'lost' WHEN declared IS NULL THEN 'unknown' ELSE 'ok' END AS status
+FROM kinds WHERE n_values > 0"""
 # Tables that are kept up to date must equal those that are built anew.
 ORACLES["silver_upsert"] = ORACLES["stg_daily_bars"]
 ORACLES["facts_halo"] = ORACLES["bar_metrics"]

@@ -17,6 +17,7 @@ from candlewick import operators as op
 from candlewick.bindings import frames
 from candlewick.bindings.frames import table
 from candlewick.functions import epoch_ms_to_date, relative_path
+from candlewick.operators.drift import drift_report, unfold
 from candlewick.plans import bronze, build, gold, incremental, landing, silver
 from candlewick.plans.build import STAGING_INPUT
 from candlewick.plans.checks import CHECKS, EXTRA_CHECKS
@@ -278,6 +279,31 @@ def json_scan_landed(spark, sf):
     )
 
 
+@query
+def schema_drift(spark, sf):
+    """Orders as JSON lines whose fields are new at two levels, of a moved type, or broken below the first level."""
+    schema = T.StructType.fromDDL(
+        "id bigint, price double, publisher struct<name: string, rank: bigint>, "
+        "insights array<struct<ticker: string, score: double>>"
+    )
+    element = "named_struct('ticker', o_orderstatus, 'score', {})"
+
+    def line(price: str, rank: str, insights: str) -> Column:
+        publisher = f"named_struct('name', o_orderpriority, 'rank', {rank}, 'verified', true)"
+        names = f"'id', o_orderkey, 'price', {price}, 'publisher', {publisher}, 'insights', {insights}, 'clerk', o_orderpriority"
+        return F.to_json(F.expr(f"named_struct({names})"))
+
+    status = F.col("o_orderstatus")
+    price, scores = "cast(floor(o_totalprice) as bigint)", f"array({element.format(1)}, {element.format(2)})"
+    lines = table(spark, sf, "orders").select(
+        F.when(status == "P", line("'unknown'", "1", scores))
+        .when(status == "F", line(price, "'first'", element.format(1)))
+        .otherwise(line(price, "1", f"array({element.format(chr(39) + 'high' + chr(39))})"))
+        .alias("value")
+    )
+    return drift_report(unfold(lines, schema), schema)
+
+
 @query
 def nested_project(spark, sf):
     """Dividend envelopes as JSON text, parsed with the fixed schema, then projected and cast."""

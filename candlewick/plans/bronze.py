@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.operators import (
     cast_rejects,
@@ -18,6 +20,7 @@ from candlewick.operators import (
     split_null_keys,
 )
 from candlewick.operators.incremental import FIRST_WINS, any_null, exclude_identical, value_range
+from candlewick.session import remove_folder, shared_dir
 from candlewick.sources.key_index import KeyIndex
 from candlewick.sources.landing import read_landing
 from candlewick.sources.registry import CORRUPT, SOURCES, TABLES
@@ -37,11 +40,47 @@ def project(envelopes: DataFrame, table: str) -> DataFrame:
     spec = TABLES[table]
     if spec.explode:
         envelopes = envelopes.select("*", F.explode(spec.explode).alias("_element"))
-    return envelopes.select(
-        *[expr.alias(name) for name, expr in spec.columns().items()],
+    return envelopes.select(*_columns(table))
+
+
+def _columns(table: str) -> list[Column]:
+    return [
+        *[expr.alias(name) for name, expr in TABLES[table].columns().items()],
         F.col("_ingested_at").try_cast("timestamp").alias("_ingested_at"),
-        "_source_file",
-    )
+        F.col("_source_file"),
+    ]
+
+
+def fan_out(envelopes: DataFrame, tables: Sequence[str], folder: str) -> dict[str, DataFrame]:
+    """The projected rows of several tables of one source from a single parse, written to ``folder`` in one job.
+
+    Each envelope becomes one row per plain table and one per element of the exploded one; the rows go to a folder
+    per table, as typed Parquet without the fields that no table uses. The result of each table reads its folder,
+    as often as a load asks for it, and outlives a lost executor. At most one of the tables may explode an array.
+    """
+    exploded = [t for t in tables if TABLES[t].explode]
+    if len(exploded) > 1:
+        raise ValueError(f"{exploded} each explode an array")
+    element = T.StringType()
+    if exploded:
+        array = envelopes.select(TABLES[exploded[0]].explode).schema[0].dataType
+        element = array.elementType
+
+    def part(table: str, value: Column) -> Column:
+        return F.struct(F.lit(table).alias("table"), value.cast(element).alias("element"))
+
+    parts = F.array(*[part(t, F.lit(None)) for t in tables if t not in exploded])
+    if exploded:
+        each = F.transform(TABLES[exploded[0]].explode, lambda e: part(exploded[0], e))
+        none = F.filter(F.array(part(exploded[0], F.lit(None))), lambda _: F.lit(False))
+        each = F.coalesce(each, none)
+        parts = each if len(tables) == 1 else F.concat(parts, each)
+    tagged = envelopes.select("*", F.explode(parts).alias("_part")).select("*", F.col("_part.element").alias("_element"))
+    here = F.col("_part.table")
+    rows = tagged.select(*[F.when(here == t, F.struct(*_columns(t))).alias(t) for t in tables], here.alias("_table"))
+    rows.write.partitionBy("_table").parquet(folder)
+    staged = envelopes.sparkSession.read.schema(rows.schema).parquet(folder)
+    return {t: staged.where(F.col("_table") == t).select(f"{t}.*") for t in tables}
 
 
 def structured(rows: DataFrame, table: str) -> DataFrame:
@@ -108,16 +147,31 @@ def append_batch(
     small_batch: bool = False,
     indexed: bool = False,
 ) -> dict[str, int]:
-    """Append the rows with new keys to ``target``; rows without a key go to its quarantine table.
+    """Project the envelopes and append the rows; see :func:`append_rows`."""
+    return append_rows(
+        spark, project(envelopes, table), table, target, policy=policy, small_batch=small_batch, indexed=indexed
+    )
+
+
+def append_rows(
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str,
+    target: str,
+    *,
+    policy: str = FIRST_WINS,
+    small_batch: bool = False,
+    indexed: bool = False,
+) -> dict[str, int]:
+    """Append the projected rows with new keys to ``target``; rows without a key go to its quarantine table.
 
     Returns both row counts, observed while writing. The write also counts the rows without a key, so
-    the envelopes are parsed a second time only if there are any. With ``small_batch`` the lookup of
+    the rows are read a second time only if there are any. With ``small_batch`` the lookup of
     known keys is limited to the batch's range of the table's time key, or else to the batch's keys.
     With ``indexed`` it opens only the files that may hold a key of the batch, which a :class:`KeyIndex`
     names; the counts then say how many of how many files these were.
     """
     spec = TABLES[table]
-    rows = project(envelopes, table)
     parsed, written = Observation(), Observation()
     counted = rows.observe(parsed, F.count_if(any_null(spec.keys, spec.derived_keys())).alias("unkeyed"))
     existing, opened = table_or_none(spark, target), {}
@@ -184,20 +238,20 @@ def load_bronze(
     since: date | None = None,
     indexed: bool = False,
 ) -> dict[str, dict[str, int]]:
-    """Load all six tables in order. A source that feeds two tables is parsed once and kept."""
+    """Load all six tables in order. A source that feeds two tables is parsed once, into both."""
     counts: dict[str, dict[str, int]] = {}
-    shared: dict[str, DataFrame] = {}
-    sources = [t.source for t in TABLES.values()]
+    staged: dict[str, DataFrame] = {}
+    folders: list[str] = []
     try:
         for table, spec in TABLES.items():
-            envelopes = shared.get(spec.source)
-            if envelopes is None:
-                envelopes = landed(spark, landing_root, table, since)
-                if sources.count(spec.source) > 1:
-                    envelopes = shared[spec.source] = envelopes.drop(CORRUPT).persist()
-            counts[table] = append_batch(
+            together = [t for t, other in TABLES.items() if other.source == spec.source]
+            if table not in staged and len(together) > 1:
+                folders.append(f"{shared_dir(spark)}/fan-out-{uuid.uuid4().hex}")
+                staged.update(fan_out(landed(spark, landing_root, table, since), together, folders[-1]))
+            rows = staged.get(table)
+            counts[table] = append_rows(
                 spark,
-                envelopes,
+                project(landed(spark, landing_root, table, since), table) if rows is None else rows,
                 table,
                 f"{schema}.{table}",
                 policy=policy,
@@ -205,8 +259,8 @@ def load_bronze(
                 indexed=indexed,
             )
     finally:
-        for envelopes in shared.values():
-            envelopes.unpersist()
+        for folder in folders:
+            remove_folder(spark, folder)
     return counts
 
 

@@ -49,3 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.conf.set("spark.checkpoint.dir", named)
     return named
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data; one that is not there is no error."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
