@@ -657,6 +657,11 @@ FROM (SELECT event_id, 'events/date=' || CAST(ts AS DATE) || '/' || user_id || '
 ORACLES["indexed_append"] = """
 SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders
 WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01'"""
+ORACLES["event_history_hot"] = """
+SELECT event_type, CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) AS month, CAST(event_id AS VARCHAR) AS event_id,
+       row_number() OVER (PARTITION BY event_type
+                          ORDER BY date_trunc('month', ts) DESC, CAST(event_id AS VARCHAR)) AS event_seq
+FROM events"""
 ORACLES["schema_drift"] = """
 WITH o AS (
   SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS p, count(*) FILTER (o_orderstatus = 'F') AS f,

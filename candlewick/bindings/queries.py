@@ -251,6 +251,15 @@ def watchlist_semi(spark, sf):
 # ---- Typed tables --------------------------------------------------------------------------------
 
 
+@query
+def event_history_hot(spark, sf):
+    """Events of a type by month: each month of a type is cut into parts by a sketch of its ids, which are texts."""
+    events = table(spark, sf, "events").select(
+        "event_type", F.date_trunc("month", "ts").cast("date").alias("month"), frames.text("event_id").alias("event_id")
+    )
+    return portable(op.event_sequence(events, "event_type", "month", "event_id", split_rows=500))
+
+
 @query
 def json_scan(spark, sf):
     parsed = F.from_json("props", T.StructType.fromDDL("k bigint"))

@@ -6,8 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from candlewick.operators.joins import spread_join
 
 _RANK = "_rank"
+SPLITS = 64
 
 
 def total_order(df: DataFrame, *, skip: Sequence[str] = ()) -> list[Column]:
@@ -41,6 +45,51 @@ def dedup_latest(
     return top_k_recent(df, keys, [*order, *tiebreak], 1)
 
 
+def _image(df: DataFrame, id_col: str, low: Column, high: Column) -> Column | None:
+    """A number that never falls as the id grows, for ids between ``low`` and ``high``; None for other types.
+
+    Texts are compared by their bytes: the number is made of the first six after what ``low`` and ``high`` share.
+    """
+    kind, value = df.schema[id_col].dataType, F.col(f"`{id_col}`")
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, T.StringType):
+        ends = F.concat(low, F.lit("\0"), high)
+        alike = F.length(F.regexp_extract(ends, r"(?s)^([^\x00]*)[^\x00]*\x00\1", 1))
+        shared = F.when(F.size(F.split(ends, r"\x00")) == 2, alike).otherwise(0)  # an id may hold the separator
+        rest = F.encode(F.substring(value, shared + 1, F.lit(6)), "UTF-8")
+        six = F.substring(F.rpad(rest, 6, F.lit(b"\0")), 1, 6)
+        return F.conv(F.hex(six), 16, 10).cast("double")
+    return None
+
+
+def _parts_by_quantile(placed: DataFrame, keys: Sequence[str], id_col: str, split_rows: int) -> DataFrame:
+    """``placed`` with ``_part``, which grows with the id: groups of more than ``split_rows`` rows are cut at the
+    quantiles that a sketch of their ids gives, all other groups are one part. Only rows of such groups are sketched;
+    without any, Spark drops the join at run time."""
+    value = F.col(f"`{id_col}`")
+    sizes = placed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_low"), F.max(value).alias("_high")
+    )
+    image = _image(placed, id_col, F.col("_low"), F.col("_high"))
+    if image is None:
+        return placed.withColumn("_part", F.struct(F.lit(0).alias("p")))
+    hot = sizes.where(F.col("_rows") > split_rows).drop("_rows")
+    at = [i / SPLITS for i in range(1, SPLITS)]
+    cuts = (
+        spread_join(placed.select(*keys, f"`{id_col}`"), hot, keys, "inner")
+        .groupBy(*keys, "_low", "_high")
+        .agg(F.percentile_approx(image, at, 20 * SPLITS).alias("_cuts"))
+    )
+    below = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda cut: cut < image)))
+    part = F.struct(F.when(value.isNotNull(), below).alias("p"))
+    return spread_join(placed, cuts, keys, "left").select(*placed.columns, part.alias("_part"))
+
+
 def event_sequence(
     df: DataFrame,
     key: str,
@@ -49,21 +98,26 @@ def event_sequence(
     *,
     name: str = "event_seq",
     id_block: Column | None = None,
+    split_rows: int = 1_000_000,
 ) -> DataFrame:
     """Number the events of each key, newest date first, ``id_col`` ascending within a date.
 
-    A key's whole history is never sorted in one task. Rows are numbered inside blocks of
-    (key, date[, id block]); the number of rows in the earlier blocks of the key is added to that.
+    A key's whole history is never sorted in one task, and neither is one huge date. Rows are numbered inside
+    blocks of (key, date, part of the ids); the number of rows in the earlier blocks of the key is added to that.
     Block counts are aggregated before they are shuffled, so one row per block and task travels, and
-    a window over them sees one row per date of a key, or per id block of a date.
-    ``id_block`` must grow with ``id_col`` (a prefix, ``floor(id / n)``); give it where a single
-    date of a single key can be large.
+    a window over them sees one row per date of a key, or per part of a date.
+    A date of a key with more than ``split_rows`` rows is cut into parts by a quantile sketch of its ids; the
+    numbers do not depend on where. ``id_block`` gives the parts instead: it must grow with ``id_col`` (a prefix,
+    ``floor(id / n)``).
     """
     # Wrapped in structs, NULL keys and dates group, partition and join like any other value.
     parts = {"_key": F.struct(key), "_day": F.struct(F.col(date_col).alias("d"))}
-    if id_block is not None:
-        parts["_part"] = F.struct(id_block.alias("p"))
     placed = df.select("*", *[expr.alias(n) for n, expr in parts.items()])
+    if id_block is None:
+        placed = _parts_by_quantile(placed, list(parts), id_col, split_rows)
+    else:
+        placed = placed.withColumn("_part", F.struct(id_block.alias("p")))
+    parts = [*parts, "_part"]
     earlier_rows = (Window.unboundedPreceding, -1)
 
     def rows_before(scope: Sequence[str], order: Column) -> Column:
@@ -72,19 +126,16 @@ def event_sequence(
 
     blocks = placed.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
     newer_days = rows_before(["_key"], F.col("_day.d").desc_nulls_last())
-    if id_block is None:
-        offsets = blocks.select(*parts, newer_days.alias("_before"))
-    else:
-        days = placed.groupBy("_key", "_day").agg(F.count(F.lit(1)).alias("_n"))
-        smaller_ids = rows_before(["_key", "_day"], F.col("_part.p").asc_nulls_last())
-        offsets = (
-            blocks.select(*parts, smaller_ids.alias("_in_day"))
-            .join(days.select("_key", "_day", newer_days.alias("_newer")), ["_key", "_day"])
-            .select(*parts, (F.col("_newer") + F.col("_in_day")).alias("_before"))
-        )
+    days = blocks.groupBy("_key", "_day").agg(F.sum("_n").alias("_n"))
+    smaller_ids = rows_before(["_key", "_day"], F.col("_part.p").asc_nulls_last())
+    offsets = (
+        blocks.select(*parts, smaller_ids.alias("_in_day"))
+        .join(days.select("_key", "_day", newer_days.alias("_newer")), ["_key", "_day"])
+        .select(*parts, (F.col("_newer") + F.col("_in_day")).alias("_before"))
+    )
     within = Window.partitionBy(*parts).orderBy(F.col(id_col).asc_nulls_last())
     return (
         placed.withColumn("_at", F.row_number().over(within))
-        .join(offsets, list(parts), "inner")
+        .join(offsets, parts, "inner")
         .select(*df.columns, (F.col("_before") + F.col("_at")).cast("long").alias(name))
     )

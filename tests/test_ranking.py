@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import random
+from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlewick.operators import dedup_latest, event_sequence, top_k_recent
+from candlewick.operators.ranking import SPLITS, _parts_by_quantile
 
 
 def plan_of(df) -> str:
@@ -70,3 +73,40 @@ def test_event_sequence_never_partitions_rows_by_the_key_alone(spark):
             assert "_before" not in line
     windows = [line for line in plan_of(numbered).splitlines() if "row_number()" in line]
     assert windows and all("_day" in line for line in windows)
+
+
+@pytest.mark.parametrize(
+    ("kind", "make"),
+    [
+        ("int", lambda i: i * 3 - 500),
+        ("double", lambda i: i / 7),
+        ("date", lambda i: date(2000, 1, 1) + timedelta(days=i)),
+        ("string", lambda i: f"event-of-the-day-{i:06d}"),
+        ("string", lambda i: "é\0" * (i % 3) + f"{i}"),
+        ("string", lambda i: "x" * i),
+        ("binary", lambda i: bytes([i // 256, i % 256])),
+    ],
+)
+def test_a_hot_date_is_cut_at_quantiles_of_any_kind_of_id(spark, kind, make):
+    rng = random.Random(11)
+    ids = [make(i) for i in range(1200)]
+    if kind == "string":
+        ids.sort(key=lambda s: s.encode())
+    rows = [(1 if i % 3 else rng.randint(2, 9), "2024-01-02" if i % 3 else f"2024-01-0{i % 7 + 1}", e) for i, e in enumerate(ids)]
+    order = {e: i for i, e in enumerate(ids)}
+    df = spark.createDataFrame([*rows, (1, "2024-01-02", None)], f"k int, d string, e {kind}").repartition(4)
+    numbered = event_sequence(df, "k", "d", "e", split_rows=200)
+    expected = brute_force([(k, d, order[e]) for k, d, e in rows])
+    found = {(r.k, order[bytes(r.e) if kind == "binary" else r.e]): r.event_seq for r in numbered.collect() if r.e is not None}
+    last = expected[1, 1199] + 1  # a missing id comes last on its date
+    assert numbered.where("e IS NULL").first().event_seq == last
+    assert {k: v - (k[0] == 1 and v > last) for k, v in found.items()} == expected
+
+
+def test_only_hot_dates_are_cut_and_evenly(spark):
+    rows = [(1, "a", f"id-{i:07d}") for i in range(6400)] + [(i % 50, "b", f"x{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, d string, e string")
+    parts = _parts_by_quantile(df, ["k", "d"], "e", 1000).groupBy("k", "d", "_part").count().collect()
+    hot = [r["count"] for r in parts if r.d == "a"]
+    assert len(hot) == SPLITS and max(hot) <= 150
+    assert len([r for r in parts if r.d == "b"]) == 50
