@@ -689,3 +689,23 @@ FROM kinds WHERE n_values > 0"""
 ORACLES["silver_upsert"] = ORACLES["stg_daily_bars"]
 ORACLES["facts_halo"] = ORACLES["bar_metrics"]
 ORACLES["scd2_late_snapshots"] = ORACLES["scd2_history"]
+ORACLES["freshness_footers"] = ORACLES["dq_freshness"]
+ORACLES["dim_date_footers"] = ORACLES["dim_date"]
+ORACLES["asof_join_footers"] = ORACLES["asof_join"]
+ORACLES["dq_kept_counts"] = """
+WITH kept AS (
+  SELECT l_orderkey, l_linenumber, l_partkey,
+         CASE WHEN l_linenumber = 7 THEN 1 ELSE l_suppkey END AS l_suppkey,
+         CASE WHEN l_linenumber = 7 THEN DATE '1999-01-01'
+              WHEN l_returnflag <> 'R' THEN CAST(l_shipdate AS DATE) END AS l_shipdate
+  FROM lineitem WHERE NOT coalesce(l_linestatus = 'F' AND l_quantity < 10, FALSE)),
+tests AS (
+  SELECT 'not_null_lines_l_shipdate' AS test_name, count(*) AS violations FROM kept WHERE l_shipdate IS NULL
+  UNION ALL
+  SELECT 'unique_lines_l_orderkey', count(*) FROM (
+    SELECT l_orderkey FROM kept WHERE l_orderkey IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'unique_combination_lines_l_partkey_l_suppkey_l_shipdate', count(*) FROM (
+    SELECT l_partkey, l_suppkey, l_shipdate FROM kept GROUP BY ALL HAVING count(*) > 1))
+SELECT test_name, 'lines' AS model, violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM tests"""

@@ -17,12 +17,15 @@ from candlewick import operators as op
 from candlewick.bindings import frames
 from candlewick.bindings.frames import table
 from candlewick.functions import epoch_ms_to_date, relative_path
+from candlewick.operators import Check
 from candlewick.operators.drift import drift_report, unfold
 from candlewick.plans import bronze, build, gold, incremental, landing, silver
 from candlewick.plans.build import STAGING_INPUT
 from candlewick.plans.checks import CHECKS, EXTRA_CHECKS
+from candlewick.plans.kept_counts import SIGN, KeptCounts
 from candlewick.session import shared_dir
 from candlewick.sources import SOURCES, envelope_lines, promoted_lines, read_landing
+from candlewick.sources.footers import bounds
 from candlewick.sources.key_index import KeyIndex
 from candlewick.sources.registry import TABLES
 from candlewick.sources.tables import append_table
@@ -870,6 +873,75 @@ def dq_report_raw(spark, sf):
     return op.report(models, [c for c in CHECKS if c.model in STAGING_INPUT])
 
 
+@query
+def dq_kept_counts(spark, sf):
+    """Tests of the order lines, kept up to date over lines that come in two loads (the second given twice), lines that
+    are deleted, and lines whose supplier and day are revised."""
+    day = F.when(F.col("l_returnflag") != "R", F.col("l_shipdate").cast("date")).alias("l_shipdate")
+    flags = ("l_linestatus", "l_returnflag", "l_quantity")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day, *flags)
+    early = F.col("l_shipdate") < F.lit(date(1996, 1, 1))
+    gone = (F.col("l_linestatus") == "F") & (F.col("l_quantity") < 10)
+    revised = lines.filter(~F.coalesce(gone, F.lit(False)) & (F.col("l_linenumber") == 7))
+    came, went = F.lit(1).alias(SIGN), F.lit(-1).alias(SIGN)
+    moved = {"l_suppkey": F.lit(1).cast(lines.schema["l_suppkey"].dataType), "l_shipdate": F.lit(date(1999, 1, 1))}
+    batches = {
+        "early": lines.filter(early).select("*", came),
+        "late": lines.filter(~F.coalesce(early, F.lit(False))).select("*", came),
+        "deleted": lines.filter(gone).select("*", went),
+        "revised": revised.select("*", went).unionByName(revised.withColumns(moved).select("*", came)),
+    }
+    checks = [
+        Check("lines", "unique", ("l_orderkey",)),
+        Check("lines", "unique_combination", ("l_partkey", "l_suppkey", "l_shipdate")),
+        Check("lines", "not_null", ("l_shipdate",)),
+    ]
+    with _database(spark) as name:
+        kept = KeptCounts(spark, f"{name}.lines", checks)
+        for batch in ("early", "late", "late", "deleted", "revised"):
+            kept.apply(batches[batch], batch)
+        return _stored(spark, kept.report())
+
+
+@query
+def freshness_footers(spark, sf):
+    """The freshness report over stored tables, from their file footers."""
+    tables = {
+        "daily_bars": frames.bronze_bars(spark, sf),
+        "ticker_overview": frames.bronze_overview(spark, sf),
+        "splits": frames.bronze_splits(spark, sf),
+        "dividends": frames.bronze_dividends(spark, sf),
+        "news_articles": frames.bronze_articles(spark, sf),
+        "news_sentiment": frames.bronze_sentiment(spark, sf),
+    }
+    as_of = F.lit(datetime(2001, 9, 1, tzinfo=UTC))
+    with _database(spark) as name:
+        for table_name, rows in tables.items():
+            append_table(rows, f"{name}.{table_name}")
+        lake = build.Lake("", name, name, name)
+        limits = {"warn_after_hours": 24, "error_after_hours": 24 * 365 * 10}
+        return portable(build.freshness_report(spark, lake, as_of=as_of, **limits))
+
+
+@query
+def dim_date_footers(spark, sf):
+    """The date dimension over stored bars, from their file footers."""
+    with _database(spark) as name:
+        append_table(_bars(spark, sf), f"{name}.bars")
+        return portable(build.date_dimension(spark, f"{name}.bars"))
+
+
+@query
+def asof_join_footers(spark, sf):
+    """The point-in-time join over stored facts, whose first and last day come from their file footers."""
+    with _database(spark) as name:
+        append_table(_orders_fact(spark, sf), f"{name}.facts")
+        dim = gold.dim_ticker(_history(spark, sf))
+        days = bounds(spark, f"{name}.facts", ["trade_date"])["trade_date"]
+        found = op.asof_join(spark.table(f"{name}.facts"), dim, "ticker", "trade_date", date_range=days)
+        return portable(_stored(spark, found.select(*_VERSION)))
+
+
 @query
 def cast_rejects(spark, sf):
     return silver.rejected_values(frames.bronze_overview(spark, sf), "stg_ticker_overview")

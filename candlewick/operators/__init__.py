@@ -1,4 +1,4 @@
-from candlewick.operators.calendar import day_spine
+from candlewick.operators.calendar import day_spine, days_of
 from candlewick.operators.incremental import (
     cast_rejects,
     exclude_existing,
@@ -10,6 +10,7 @@ from candlewick.operators.joins import asof_join, current_lookup, spread_join
 from candlewick.operators.quality import (
     Check,
     freshness,
+    freshness_status,
     not_null,
     report,
     single_current,
@@ -28,11 +29,13 @@ __all__ = [
     "current_lookup",
     "current_state",
     "day_spine",
+    "days_of",
     "dedup_latest",
     "event_sequence",
     "exclude_existing",
     "fingerprint",
     "freshness",
+    "freshness_status",
     "idempotency_report",
     "not_null",
     "report",

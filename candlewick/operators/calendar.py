@@ -11,7 +11,11 @@ def day_spine(df: DataFrame, date_col: str, buffer_days: int = 30) -> DataFrame:
 
     No day if that is before the earliest date. The scan reads one column and shuffles one (min, max) row per task; an empty input gives no days.
     """
-    bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    return days_of(df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")), buffer_days)
+
+
+def days_of(bounds: DataFrame, buffer_days: int = 30) -> DataFrame:
+    """The days of one row (lo, hi), which may come from elsewhere than a scan; NULLs give no days."""
     days = F.sequence(F.col("lo"), F.date_add(F.col("hi"), buffer_days - 1))
     day = F.col("date_day")
     weekend = F.dayofweek(day).isin(1, 7)

@@ -123,6 +123,18 @@ def freshness(
         )
         for name, df in tables.items()
     ]
+    loaded = reduce(DataFrame.unionByName, parts)
+    return freshness_status(loaded, as_of=as_of, warn_after_hours=warn_after_hours, error_after_hours=error_after_hours)
+
+
+def freshness_status(
+    loaded: DataFrame,
+    *,
+    as_of: Column | None = None,
+    warn_after_hours: float | None = None,
+    error_after_hours: float | None = None,
+) -> DataFrame:
+    """The status of rows (table_name, last_loaded_at), wherever these come from."""
     last = F.col("last_loaded_at")
     now = F.current_timestamp() if as_of is None else as_of
     age = (F.unix_timestamp(now) - F.unix_timestamp(last)) / 3600
@@ -132,4 +144,4 @@ def freshness(
             late = last.isNull() | (age > limit)
             status = F.when(late, label) if status is None else status.when(late, label)
     status = F.lit("pass") if status is None else status.otherwise("pass")
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+    return loaded.withColumn("status", status)

@@ -9,9 +9,10 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators import Check, freshness, report, scd2_merge, single_current
+from candlewick.operators import Check, days_of, freshness_status, report, scd2_merge, single_current
 from candlewick.plans import bronze, gold, silver
 from candlewick.plans.checks import CHECKS, EXTRA_CHECKS
+from candlewick.sources.footers import bounds
 from candlewick.sources.promotion import promote
 from candlewick.sources.registry import SOURCES, TABLES
 from candlewick.sources.tables import replace_table, table_or_none
@@ -39,8 +40,8 @@ class Lake:
     """Where an environment keeps its landing files and tables.
 
     The bars table is stored in ``ticker_buckets`` buckets by ticker (default: as many as Spark has
-    shuffle partitions), so that the bars are shuffled and sorted once and the three facts built from
-    them not at all; about one bucket per 200 MB of bars.
+    shuffle partitions), so that the bars are shuffled once and the three facts built from them not at
+    all (each sorts its buckets, whose files Spark does not take for sorted); about one bucket per 200 MB of bars.
     """
 
     landing_root: str
@@ -123,9 +124,18 @@ def update_snapshot(spark: SparkSession, lake: Lake, run_ts: datetime | None = N
     replace_table(merged, name, validate=validate)
 
 
+def date_dimension(spark: SparkSession, bars: str, buffer_days: int = 30) -> DataFrame:
+    """The date dimension over a stored table of bars, whose first and last day stand in the file footers."""
+    low, high = bounds(spark, bars, ["trade_date"])["trade_date"]
+    return days_of(spark.range(1).select(low.alias("lo"), high.alias("hi")), buffer_days)
+
+
 def build_gold(spark: SparkSession, lake: Lake) -> None:
     for model, spec in GOLD.items():
-        content = spec.compute(*[_table(spark, lake, name) for name in spec.inputs])
+        if model == "dim_date":
+            content = date_dimension(spark, f"{lake.silver}.{spec.inputs[0]}")
+        else:
+            content = spec.compute(*[_table(spark, lake, name) for name in spec.inputs])
         layout = {}
         if model in BY_TICKER:
             layout = {
@@ -181,7 +191,10 @@ def _reject_rows(rejects: DataFrame, model: str) -> DataFrame:
 
 
 def freshness_report(spark: SparkSession, lake: Lake, **limits) -> DataFrame:
-    return freshness({t: spark.table(f"{lake.bronze}.{t}") for t in TABLES}, **limits)
+    """When each typed table was last loaded, from the footers of its files."""
+    ends = {t: bounds(spark, f"{lake.bronze}.{t}", ["_ingested_at"])["_ingested_at"] for t in TABLES}
+    rows = [F.struct(F.lit(t).alias("table_name"), high.alias("last_loaded_at")) for t, (_, high) in ends.items()]
+    return freshness_status(spark.range(1).select(F.inline(F.array(*rows))), **limits)
 
 
 def promote_and_load(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,22 @@ def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _save(writer: DataFrameWriter, name: str, spark: SparkSession, mode: str = "overwrite") -> None:
+    """Timestamps as microseconds, whose bounds stand in the file footers; the older 96-bit form has none."""
+    with setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
+        writer.format("parquet").mode(mode).saveAsTable(name)
+
+
 def append_table(df: DataFrame, name: str) -> None:
     """Append by column name; the first call creates the table.
 
@@ -33,7 +49,7 @@ def append_table(df: DataFrame, name: str) -> None:
         if set(columns) != set(df.columns):
             raise ValueError(f"{name} has {columns}, the batch {df.columns}")
         df = df.select(*[F.col(f"`{c}`") for c in columns])
-    df.write.format("parquet").mode("append").saveAsTable(name)
+    _save(df.write, name, spark, "append")
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
@@ -78,13 +94,12 @@ def replace_table(
     staged, old = f"{name}__staged", f"{name}__old"
     if bucket_by:
         count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df.repartition(count, bucket_by).write.format("parquet").mode("overwrite").bucketBy(
-            count, bucket_by
-        ).sortBy(bucket_by, *sort_by).saveAsTable(staged)
+        dealt = df.repartition(count, bucket_by).write.bucketBy(count, bucket_by)
+        _save(dealt.sortBy(bucket_by, *sort_by), staged, spark)
     elif part_by:
         _write_parts(df, staged, part_by)
     else:
-        df.write.format("parquet").mode("overwrite").saveAsTable(staged)
+        _save(df.write, staged, spark)
     if validate is not None:
         validate(spark.table(staged))
     if spark.catalog.tableExists(name):
@@ -93,20 +108,10 @@ def replace_table(
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _write_parts(df: DataFrame, name: str, part_by: str) -> None:
     """The folders are found by listing: a catalog that keeps their places would keep the old ones over a rename."""
-    with _setting(df.sparkSession, "spark.sql.hive.manageFilesourcePartitions", "false"):
-        df.hint("rebalance", part_by).write.format("parquet").mode("overwrite").partitionBy(part_by).saveAsTable(name)
+    with setting(df.sparkSession, "spark.sql.hive.manageFilesourcePartitions", "false"):
+        _save(df.hint("rebalance", part_by).write.partitionBy(part_by), name, df.sparkSession)
 
 
 def swap_partitions(
@@ -134,7 +139,8 @@ def finish_swap(spark: SparkSession, name: str) -> None:
     if not spark.catalog.tableExists(swap):
         return
     columns = [F.col(f"`{c}`") for c in spark.table(name).columns]
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    micros = setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    with micros, setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         spark.table(swap).select(*columns).write.mode("overwrite").insertInto(name)
     spark.sql(f"DROP TABLE IF EXISTS {swap}")
 
@@ -159,13 +165,13 @@ def replace_all(contents: Mapping[str, Callable[[], DataFrame]], spark: SparkSes
         recover_table(spark, name)
     try:
         for name, content in contents.items():
-            content().write.format("parquet").mode("overwrite").saveAsTable(f"{name}__staged")
+            _save(content().write, f"{name}__staged", spark)
     except BaseException:
         for name in contents:
             spark.sql(f"DROP TABLE IF EXISTS {name}__staged")
         raise
     listed = spark.createDataFrame([(name,) for name in contents], "name string").coalesce(1)
-    listed.write.format("parquet").mode("overwrite").saveAsTable(decision)
+    _save(listed.write, decision, spark)
     finish_replace(spark, decision)
 
 

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick.operators import Check, report
+from candlewick.plans import kept_counts
+from candlewick.plans.kept_counts import KeptCounts
+
+SCHEMA = "k string, v int, is_current boolean, _sign int"
+CHECKS = [
+    Check("m", "unique", ("k",)),
+    Check("m", "unique_combination", ("k", "v")),
+    Check("m", "single_current", ("k",)),
+    Check("m", "not_null", ("v",)),
+    Check("m", "not_null", ("k",)),
+]
+
+
+def violations(rows):
+    return {r.test_name: (r.violations, r.status) for r in rows.collect()}
+
+
+def full(spark, rows, checks=CHECKS):
+    """The report over the rows that remain."""
+    return violations(report({"m": spark.createDataFrame(rows, "k string, v int, is_current boolean")}, checks))
+
+
+LOADS = [
+    [("a", 1, True, 1), ("a", 1, True, 1), ("b", None, False, 1), (None, 3, True, 1), ("c", 2, None, 1)],
+    [("a", 1, True, -1), (None, 3, True, 1), (None, None, True, 1), ("b", None, True, 1)],
+    # a revision of c that leaves its key, a third b, and the last a
+    [("c", 2, None, -1), ("c", 5, True, 1), ("b", 7, True, 1), ("a", 1, True, -1)],
+    [("b", None, False, -1), ("b", None, True, -1), (None, 3, True, -1), ("d", 1, False, 1), ("d", 1, False, 1)],
+]
+
+
+def rows_after(loads):
+    left = []
+    for row in (r for load in loads for r in load):
+        left.append(row[:3]) if row[3] > 0 else left.remove(row[:3])
+    return left
+
+
+def test_equal_to_the_full_report_after_every_batch(spark, db):
+    kept = KeptCounts(spark, f"{db}.m", CHECKS)
+    assert set(violations(kept.report()).values()) == {(0, "pass")}
+    for at, load in enumerate(LOADS):
+        changes = spark.createDataFrame(load, SCHEMA)
+        assert kept.apply(changes, f"b{at}")
+        assert not kept.apply(changes, f"b{at}")  # given again
+        if at == 1:
+            kept.fold()
+        assert violations(kept.report()) == full(spark, rows_after(LOADS[: at + 1])), at
+
+
+def test_an_empty_batch_changes_nothing(spark, db):
+    checks = CHECKS[:1] + CHECKS[3:]
+    kept = KeptCounts(spark, f"{db}.m", checks)
+    kept.apply(spark.createDataFrame([], SCHEMA), "none")
+    kept.apply(spark.createDataFrame(LOADS[0], SCHEMA), "b0")
+    kept.apply(spark.createDataFrame([], SCHEMA), "none again")
+    assert violations(kept.report()) == full(spark, rows_after(LOADS[:1]), checks)
+
+
+def test_a_stopped_batch_counts_once(spark, db, monkeypatch):
+    """The counts of its keys are written, the ledger is not."""
+    checks = CHECKS[1:2] + CHECKS[3:4]
+    kept = KeptCounts(spark, f"{db}.m", checks)
+    kept.apply(spark.createDataFrame(LOADS[0], SCHEMA), "b0")
+    real, calls = kept_counts.append_table, []
+
+    def failing(df, name):
+        if len(calls) == 1:
+            raise OSError("stopped")
+        calls.append(name)
+        real(df, name)
+
+    monkeypatch.setattr(kept_counts, "append_table", failing)
+    with pytest.raises(OSError):
+        kept.apply(spark.createDataFrame(LOADS[1], SCHEMA), "b1")
+    monkeypatch.setattr(kept_counts, "append_table", real)
+    assert violations(kept.report()) == full(spark, rows_after(LOADS[:1]), checks)
+    # another batch may come before the stopped one is given again
+    for at in (2, 1):
+        kept.apply(spark.createDataFrame(LOADS[at], SCHEMA), f"b{at}")
+    left = rows_after(LOADS[:3])
+    assert violations(kept.report()) == full(spark, left, checks)
+
+
+def test_new_keys_open_no_file_of_other_keys(spark, db):
+    kept = KeptCounts(spark, f"{db}.t", [Check("t", "unique", ("k",))])
+    for at in range(2):
+        ids = spark.range(1000 * at, 1000 * at + 1000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(1).alias("_sign"))
+        kept.apply(ids.coalesce(1), f"b{at}")
+    index = kept_counts.KeyIndex(spark, f"{db}.t__unique_t_k", ("k",))
+    assert index.candidates(spark.range(9000, 9100).selectExpr("concat('k', id) AS k")) == []
+    paths = index.candidates(spark.range(1000, 1010).selectExpr("concat('k', id) AS k"))
+    assert 1 <= len(paths) < len(spark.table(f"{db}.t__unique_t_k").inputFiles())
+
+
+def test_unknown_kind(spark, db):
+    kept = KeptCounts(spark, f"{db}.m", [Check("m", "odd", ("k",))])
+    with pytest.raises(ValueError, match="odd"):
+        kept.apply(spark.createDataFrame(LOADS[0], SCHEMA), "b")
