@@ -45,10 +45,18 @@ def dedup_latest(
     return top_k_recent(df, keys, [*order, *tiebreak], 1)
 
 
-def _image(df: DataFrame, id_col: str, low: Column, high: Column) -> Column | None:
-    """A number that never falls as the id grows, for ids between ``low`` and ``high``; None for other types.
+def _shared(low: Column, high: Column) -> Column:
+    """How many characters two texts begin with alike; 0 if one holds the separator."""
+    ends = F.concat(low, F.lit("\0"), high)
+    alike = F.length(F.regexp_extract(ends, r"(?s)^([^\x00]*)[^\x00]*\x00\1", 1))
+    return F.when(F.size(F.split(ends, r"\x00")) == 2, alike).otherwise(0)
 
-    Texts are compared by their bytes: the number is made of the first six after what ``low`` and ``high`` share.
+
+def _image(df: DataFrame, id_col: str, shared: Column) -> Column | None:
+    """A number that never falls as the id grows, for ids of one group; None for other types.
+
+    Texts are compared by their bytes: the number is made of the first six after the ``shared`` characters that all
+    ids of the group begin with.
     """
     kind, value = df.schema[id_col].dataType, F.col(f"`{id_col}`")
     if isinstance(kind, T.NumericType):
@@ -58,9 +66,6 @@ def _image(df: DataFrame, id_col: str, low: Column, high: Column) -> Column | No
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value).cast("double")
     if isinstance(kind, T.StringType):
-        ends = F.concat(low, F.lit("\0"), high)
-        alike = F.length(F.regexp_extract(ends, r"(?s)^([^\x00]*)[^\x00]*\x00\1", 1))
-        shared = F.when(F.size(F.split(ends, r"\x00")) == 2, alike).otherwise(0)  # an id may hold the separator
         rest = F.encode(F.substring(value, shared + 1, F.lit(6)), "UTF-8")
         six = F.substring(F.rpad(rest, 6, F.lit(b"\0")), 1, 6)
         return F.conv(F.hex(six), 16, 10).cast("double")
@@ -70,23 +75,27 @@ def _image(df: DataFrame, id_col: str, low: Column, high: Column) -> Column | No
 def _parts_by_quantile(placed: DataFrame, keys: Sequence[str], id_col: str, split_rows: int) -> DataFrame:
     """``placed`` with ``_part``, which grows with the id: groups of more than ``split_rows`` rows are cut at the
     quantiles that a sketch of their ids gives, all other groups are one part. Only rows of such groups are sketched;
-    without any, Spark drops the join at run time."""
+    without any, Spark drops the join at run time. What the ids of a group share is found once per group, and the number
+    of an id once per row, before it is compared with the cuts."""
     value = F.col(f"`{id_col}`")
     sizes = placed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )
-    image = _image(placed, id_col, F.col("_low"), F.col("_high"))
+    image = _image(placed, id_col, F.col("_shared"))
     if image is None:
         return placed.withColumn("_part", F.struct(F.lit(0).alias("p")))
-    hot = sizes.where(F.col("_rows") > split_rows).drop("_rows")
+    text = isinstance(placed.schema[id_col].dataType, T.StringType)
+    shared = _shared(F.col("_low"), F.col("_high")) if text else F.lit(0)
+    hot = sizes.where(F.col("_rows") > split_rows).select(*keys, shared.alias("_shared"))
     at = [i / SPLITS for i in range(1, SPLITS)]
     cuts = (
         spread_join(placed.select(*keys, f"`{id_col}`"), hot, keys, "inner")
-        .groupBy(*keys, "_low", "_high")
+        .groupBy(*keys, "_shared")
         .agg(F.percentile_approx(image, at, 20 * SPLITS).alias("_cuts"))
     )
-    below = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda cut: cut < image)))
-    part = F.struct(F.when(value.isNotNull(), below).alias("p"))
+    # No lambda over the cuts: what it compares with would be computed anew for each of them.
+    below = F.array_position(F.sort_array(F.array_append("_cuts", image)), image) - 1
+    part = F.struct(F.when(value.isNotNull(), F.coalesce(below, F.lit(0)).cast("int")).alias("p"))
     return spread_join(placed, cuts, keys, "left").select(*placed.columns, part.alias("_part"))
 
 

@@ -110,3 +110,13 @@ def test_only_hot_dates_are_cut_and_evenly(spark):
     hot = [r["count"] for r in parts if r.d == "a"]
     assert len(hot) == SPLITS and max(hot) <= 150
     assert len([r for r in parts if r.d == "b"]) == 50
+
+
+def test_the_number_of_an_id_is_computed_once_a_row(spark):
+    df = spark.createDataFrame([("a", date(2024, 1, 1), f"id{i:05}") for i in range(300)], "k string, d date, e string")
+    split = _parts_by_quantile(df, ["k", "d"], "e", 100)
+    assert split.select("_part").distinct().count() > 32
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # which would compute it for every cut
+    above_the_join = plan[: plan.index("Join")]
+    assert "regexp_extract" not in above_the_join  # nor what the ids of a group share for every row
