@@ -23,7 +23,7 @@ from candlewick.plans import bronze, build, gold, incremental, landing, silver
 from candlewick.plans.build import STAGING_INPUT
 from candlewick.plans.checks import CHECKS, EXTRA_CHECKS
 from candlewick.plans.kept_counts import SIGN, KeptCounts
-from candlewick.session import shared_dir
+from candlewick.session import remove_folder, shared_dir
 from candlewick.sources import SOURCES, envelope_lines, promoted_lines, read_landing
 from candlewick.sources.footers import bounds
 from candlewick.sources.key_index import KeyIndex
@@ -80,7 +80,7 @@ def landing_envelope(spark, sf):
 def _stored(spark, df: DataFrame) -> DataFrame:
     """Written once below the shared folder and read back, as the build does between its layers."""
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -974,7 +974,8 @@ def promote_new_files(spark, sf):
 @query
 def promote_and_load(spark, sf):
     """Two environments: all sources landed in one by the daily and the weekly job, promoted to the other and loaded
-    there, twice, then reloaded. Rows per typed table: the second run adds none."""
+    there, twice, then reloaded. Rows per typed table: the second run adds none. Landing files are gzipped, and go with
+    the query."""
     lines, orders, customer = (table(spark, sf, name) for name in ("lineitem", "orders", "customer"))
 
     def feed(df: DataFrame, ticker: str, record: Column) -> DataFrame:
@@ -994,14 +995,17 @@ def promote_and_load(spark, sf):
     tickers = suppliers.union(customer.select(frames.text("c_custkey"))).distinct()
     name = f"candlewick_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name}")
+    root = f"{shared_dir(spark)}/{name}"
     try:
-        root = f"{shared_dir(spark)}/{name}"
-        dev, prod = (build.Lake(f"{root}/{place}", name, name, name) for place in ("dev", "prod"))
+        dev, prod = (
+            build.Lake(f"{root}/{place}", name, name, name, landing_compression="gzip") for place in ("dev", "prod")
+        )
         options = {
             "end": date(2024, 2, 1),
             "run_date": date(2024, 2, 1),
             "ingested_at": datetime.fromisoformat(frames.INGESTED),
             "tickers": tickers,
+            "compression": dev.landing_compression,
         }
         landing.land_daily(feeds, dev.landing_root, **options)
         landing.land_reference(feeds, dev.landing_root, **options)
@@ -1010,6 +1014,7 @@ def promote_and_load(spark, sf):
         again = bronze.reload_bronze(spark, landing_root=prod.landing_root, schema=name)
     finally:
         spark.sql(f"DROP DATABASE {name} CASCADE")
+        remove_folder(spark, root)
     rows = [
         (t, first[t]["appended"], first[t]["quarantined"], second[t]["appended"], second[t]["quarantined"], again[t])
         for t in TABLES

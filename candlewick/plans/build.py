@@ -42,6 +42,7 @@ class Lake:
     The bars table is stored in ``ticker_buckets`` buckets by ticker (default: as many as Spark has
     shuffle partitions), so that the bars are shuffled once and the three facts built from them not at
     all (each sorts its buckets, whose files Spark does not take for sorted); about one bucket per 200 MB of bars.
+    Lines promoted to it are written with ``landing_compression``, such as ``gzip`` (default: plain text).
     """
 
     landing_root: str
@@ -49,6 +50,7 @@ class Lake:
     silver: str = "silver"
     gold: str = "gold"
     ticker_buckets: int | None = None
+    landing_compression: str | None = None
 
 
 @dataclass(frozen=True)
@@ -209,6 +211,7 @@ def promote_and_load(
         f"{target.bronze}.promoted_files",
         SOURCES,
         since=since,
+        compression=target.landing_compression,
     )
     first = date.fromisoformat(since) if since else None
     return bronze.load_bronze(

@@ -91,6 +91,7 @@ def land_source(
     per_ticker: int | None = None,
     ingested_at: datetime | None = None,
     run_date: date | None = None,
+    compression: str | None = None,
 ) -> str:
     """Append what a feed brings of one source to Landing, every record of it.
 
@@ -128,6 +129,7 @@ def land_source(
         endpoint=endpoint,
         ingested_at=ingested_at,
         run_date=run_date,
+        compression=compression,
     )
 
 
@@ -142,6 +144,7 @@ def land_sources(
     ingested_at: datetime | None = None,
     run_date: date | None = None,
     tickers: DataFrame | Iterable[str] = WATCHLIST,
+    compression: str | None = None,
 ) -> dict[str, str]:
     """Land some sources for the watched tickers; the first error stops the run.
 
@@ -158,6 +161,7 @@ def land_sources(
             per_ticker=per_ticker,
             ingested_at=ingested_at,
             run_date=run_date,
+            compression=compression,
         )
         for source in sources
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.sources.registry import SOURCES, Source
@@ -31,6 +31,19 @@ def source_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/{source}"
 
 
+#: Lines of a compressed file, which one task has to read whole.
+LINES_PER_FILE = 200_000
+
+
+def line_writer(lines: DataFrame, compression: str | None) -> DataFrameWriter:
+    """The writer of landing files by day: plain, or compressed and of ``LINES_PER_FILE`` lines at most. Readers tell
+    by the file name."""
+    writer = lines.write.partitionBy("date")
+    if compression is None:
+        return writer
+    return writer.option("compression", compression).option("maxRecordsPerFile", LINES_PER_FILE)
+
+
 def land(
     records: DataFrame,
     source: str | Source,
@@ -41,6 +54,7 @@ def land(
     endpoint: Column | None = None,
     ingested_at: datetime | None = None,
     run_date: date | None = None,
+    compression: str | None = None,
 ) -> str:
     """Append the records as new files of the run date (default: today, UTC) and return the folder.
 
@@ -59,7 +73,7 @@ def land(
     path = source_path(root, spec.name)
 
     def append(content: DataFrame) -> None:
-        content.withColumn("date", F.lit(day)).write.partitionBy("date").mode("append").text(path)
+        line_writer(content.withColumn("date", F.lit(day)), compression).mode("append").text(path)
 
     written = Observation()
     append(lines.observe(written, F.count(F.lit(1)).alias("rows")))

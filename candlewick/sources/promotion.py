@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import relative_path
 from candlewick.operators.joins import spread_join
-from candlewick.sources.landing import source_path
+from candlewick.sources.landing import line_writer, source_path
 from candlewick.sources.registry import SOURCES
 from candlewick.sources.tables import append_table, table_or_none
 
@@ -89,6 +89,7 @@ def promote(
     sources: Iterable[str] = tuple(SOURCES),
     *,
     since: str | None = None,
+    compression: str | None = None,
 ) -> None:
     """Copy the files not promoted yet, source by source, and enter them in the ledger; each line once, wherever a run stops.
 
@@ -99,7 +100,7 @@ def promote(
     where no reader looks. ``<ledger>__manifest`` lists them with the places they go to. It is the decision: a run that
     stops before it is written has changed nothing, and what comes after (moving the files, the ledger) is replayed by
     the next run, which finds what is done already.
-    ``since`` leaves older ``date=`` folders out altogether.
+    ``since`` leaves older ``date=`` folders out altogether; ``compression`` is that of the copies.
     """
     finish_promotion(spark, ledger_table)
     for source in sources:
@@ -130,7 +131,7 @@ def promote(
                 "left_semi",
             )
         stage = source_path(f"{dst_root.rstrip('/')}/_promotion", source)
-        lines.select("value", "date").hint("rebalance", "date").write.partitionBy("date").mode("overwrite").text(stage)
+        line_writer(lines.select("value", "date").hint("rebalance", "date"), compression).mode("overwrite").text(stage)
         _list_staged(spark, stage, source, f"{ledger_table}__manifest")
         finish_promotion(spark, ledger_table)
 

@@ -181,3 +181,23 @@ def test_filters_reach_the_scan(spark, tmp_path):
         assert ("In(ticker, [AAPL,KO])" in pushed) == (df is ranged)
         assert "Join" not in plan
         assert df.count() == 1
+
+
+def test_compressed_lines_come_back_and_are_promoted_compressed(spark, db, tmp_path):
+    from datetime import UTC, date, datetime
+
+    from candlewick.plans import landing
+    from candlewick.sources.landing import read_landing
+    from candlewick.sources.promotion import promote
+
+    feed = spark.createDataFrame([(f"T{i}", (f"s{i}", f"T{i}")) for i in range(30)], "ticker string, record struct<id:string,ticker:string>")
+    dev, prod = str(tmp_path / "dev"), str(tmp_path / "prod")
+    day = date(2024, 2, 1)
+    options = {"end": day, "run_date": day, "ingested_at": datetime(2024, 2, 1, tzinfo=UTC)}
+    landing.land_source(feed, "splits", dev, compression="gzip", **options)
+    for _ in range(2):
+        promote(spark, dev, prod, f"{db}.ledger", ["splits"], compression="gzip")
+    for root in (dev, prod):
+        assert {p.suffix for p in Path(root).rglob("part-*")} == {".gz"}
+        assert {r[0] for r in read_landing(spark, root, "splits").select("record.id").collect()} == {f"s{i}" for i in range(30)}
+        assert read_landing(spark, root, "splits").count() == 30
