@@ -7,16 +7,18 @@ it, written after the swap: a stop in between repeats a refresh, which gives the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.operators import Check, dedup_latest, report, rolling, scd2_splice
-from candlewick.operators.halo import refreshed
+from candlewick.operators.halo import REACHED, reached_bars, replaced
 from candlewick.plans import gold, silver
 from candlewick.plans.build import STAGING_INPUT, CheckFailed, Lake
 from candlewick.plans.checks import CHECKS
+from candlewick.session import remove_folder, shared_dir
 from candlewick.sources.tables import append_table, replace_table, swap_partitions, table_or_none
 
 PART = "_part"
@@ -31,6 +33,11 @@ _METRICS = {
 }
 
 
+#: Hash classes of the keys of a partition, so that a partition is not sorted and written by one task.
+SLOTS = 32
+_SLOT = "_slot"
+
+
 def _part(keys: Sequence[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias(PART)
 
@@ -74,21 +81,28 @@ def _note(spark: SparkSession, files: Sequence[str], ledger: str) -> None:
     append_table(spark.createDataFrame([(f,) for f in files], "file string"), ledger)
 
 
-def upsert(staged: DataFrame, name: str, model: str, parts: int) -> list[int]:
-    """Bring cleaned rows into their table, newest per key; returns the partitions that were written."""
+def upsert(staged: DataFrame, name: str, model: str, parts: int, rows: DataFrame | None = None) -> list[int]:
+    """Bring cleaned rows into their table, newest per key; returns the partitions that were written.
+
+    ``staged`` has one row per key. With the stored rows a key has two at most, so these meet in one shuffle that also
+    deals them to the partitions: by partition and a hash of the key. ``rows`` are those that ``staged`` was chosen from,
+    if they are at hand: they fall into the same partitions, which are found from them without the choice.
+    """
     spark, spec = staged.sparkSession, silver.STAGING[model]
     parts = _parts(spark, name, parts)
     keys = PART_KEYS.get(model, spec.keys)
     batch = staged.select("*", _part(keys, parts))
-    touched = _touched(batch)
+    touched = _touched((staged if rows is None else rows).select(_part(keys, parts)))
     stored = table_or_none(spark, name)
     check = _must_pass(CHECKS, model)
     if stored is None:
         _create(batch, name, parts, check)
     elif touched:
         both = stored.filter(F.col(PART).isin(touched)).unionByName(batch)
-        newest = dedup_latest(both, spec.keys, silver.newest_first(), silver.payload_order(model))
-        swap_partitions(newest, name, PART, validate=check)
+        dealt = both.withColumn(_SLOT, F.pmod(F.hash(*spec.keys), F.lit(SLOTS))).repartition(PART, _SLOT)
+        on = [PART, _SLOT, *spec.keys]
+        newest = dedup_latest(dealt, on, silver.newest_first(), silver.payload_order(model)).drop(_SLOT)
+        swap_partitions(newest, name, PART, validate=check, dealt=True)
     return touched
 
 
@@ -100,45 +114,69 @@ def refresh_silver(spark: SparkSession, lake: Lake, model: str, parts: int = 64)
     files = new_files(spark, source, ledger)
     if not files:
         return None, []
-    batch = silver.stage(spark.read.schema(spark.table(source).schema).parquet(*files), model)
-    touched = upsert(batch, target, model, parts)
+    rows = spark.read.schema(spark.table(source).schema).parquet(*files)
+    batch = silver.stage(rows, model)
+    touched = upsert(batch, target, model, parts, silver.typed(rows, model))
     _note(spark, files, ledger)
     return batch, touched
 
 
 def refresh_facts(spark: SparkSession, lake: Lake, changes: DataFrame, parts: int = 64) -> dict[str, list[int]]:
     """Bring the three facts over bars up to date with the cleaned bars after ``changes`` (ticker, trade_date): of each
-    changed ticker only rows that a change reaches are computed, and only partitions with a changed ticker written."""
+    changed ticker only rows that a change reaches are computed, and only partitions with a changed ticker written.
+    The changes, and the metrics of all three facts, are computed once into a folder that goes afterwards."""
     bars_name = f"{lake.silver}.stg_daily_bars"
     parts = _parts(spark, bars_name, parts)
     bars = table_or_none(spark, bars_name).select(PART, "ticker", "trade_date", "close_price", "volume")
-    points = changes.select("ticker", "trade_date").distinct().select("*", _part(["ticker"], parts))
-    touched = _touched(points)
-    own = bars.filter(F.col(PART).isin(touched))
-    written = {}
-    for model, (columns, value) in _METRICS.items():
-        name = f"{lake.gold}.{model}"
-        keep = [PART, "ticker", "trade_date", value]
-        stored = table_or_none(spark, name)
-        if stored is None:
-            _create(rolling.bar_metrics(bars, columns, keep=keep), name, parts)
-            written[model] = list(range(parts))
-            continue
-        if not touched:
-            written[model] = []
-            continue
+    folder = f"{shared_dir(spark)}/facts-{uuid.uuid4().hex}"
 
-        def compute(near: DataFrame, kept: Sequence[str], columns: Sequence[str] = columns) -> DataFrame:
-            return rolling.bar_metrics(near, columns, keep=kept)
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
-        content = refreshed(stored.filter(F.col(PART).isin(touched)), own, points, compute, keep)
-        emptied = set(touched) - set(_touched(content)) if own.select(PART).distinct().count() < len(touched) else set()
-        if emptied:  # a swap cannot leave a partition without rows
-            replace_table(stored.filter(~F.col(PART).isin(touched)).unionByName(content), name, part_by=PART)
-            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('parts' = '{parts}')")
-        else:
-            swap_partitions(content, name, PART)
-        written[model] = touched
+    names = {model: f"{lake.gold}.{model}" for model in _METRICS}
+    stored = {model: table_or_none(spark, name) for model, name in names.items()}
+    keep = [PART, "ticker", "trade_date", "close_price", "volume"]
+
+    def columns(models: Sequence[str]) -> list[str]:
+        return [c for model in models for c in _METRICS[model][0]]
+
+    def of(model: str, rows: DataFrame) -> DataFrame:
+        own, value = _METRICS[model]
+        return rows.select(PART, "ticker", "trade_date", value, *own)
+
+    written = {}
+    try:
+        points = changes.select("ticker", "trade_date").distinct().select("*", _part(["ticker"], parts))
+        points = staged(points, "changes")
+        touched = _touched(points)
+        missing = [model for model in _METRICS if stored[model] is None]
+        if missing:
+            every = staged(rolling.bar_metrics(bars, columns(missing), keep=keep), "all")
+            for model in missing:
+                _create(of(model, every), names[model], parts)
+                written[model] = list(range(parts))
+        known = [model for model in _METRICS if stored[model] is not None]
+        if known and touched:
+            own = bars.filter(F.col(PART).isin(touched))
+            near = reached_bars(own, points)
+            anew = staged(rolling.bar_metrics(near, columns(known), keep=[*keep, REACHED]).filter(REACHED).drop(REACHED), "anew")
+            some_empty = own.select(PART).distinct().count() < len(touched)
+        for model in known:
+            if not touched:
+                written[model] = []
+                continue
+            name, facts = names[model], stored[model]
+            content = replaced(facts.filter(F.col(PART).isin(touched)), of(model, anew), points)
+            emptied = set(touched) - set(_touched(content)) if some_empty else set()
+            if emptied:  # a swap cannot leave a partition without rows
+                replace_table(facts.filter(~F.col(PART).isin(touched)).unionByName(content), name, part_by=PART)
+                spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('parts' = '{parts}')")
+            else:
+                swap_partitions(content, name, PART)
+            written[model] = touched
+    finally:
+        remove_folder(spark, folder)
     return written
 
 

@@ -107,15 +107,10 @@ STAGING: Mapping[str, Staging] = {
 }
 
 
-def stage(bronze: DataFrame, model: str) -> DataFrame:
-    """Cast, then keep the newest row of each key.
-
-    A value that does not fit its type becomes NULL and is counted by :func:`rejected_values`. A double
-    cast to bigint is cut, not rounded. Equal ingest times fall to the source file, then to the
-    remaining columns in output order, so the survivor never depends on partitioning.
-    """
+def typed(bronze: DataFrame, model: str) -> DataFrame:
+    """The columns of a cleaned table; all rows."""
     spec = STAGING[model]
-    typed = bronze.select(
+    return bronze.select(
         *[
             (F.col(name).try_cast(kind) if kind else F.col(name)).alias(name)
             for name, kind in spec.columns.items()
@@ -123,7 +118,16 @@ def stage(bronze: DataFrame, model: str) -> DataFrame:
         *[expr.alias(name) for name, expr in spec.derived().items()],
         *AUDIT,
     )
-    return dedup_latest(typed, spec.keys, newest_first(), tiebreak=payload_order(model))
+
+
+def stage(bronze: DataFrame, model: str) -> DataFrame:
+    """Cast, then keep the newest row of each key.
+
+    A value that does not fit its type becomes NULL and is counted by :func:`rejected_values`. A double
+    cast to bigint is cut, not rounded. Equal ingest times fall to the source file, then to the
+    remaining columns in output order, so the survivor never depends on partitioning.
+    """
+    return dedup_latest(typed(bronze, model), STAGING[model].keys, newest_first(), tiebreak=payload_order(model))
 
 
 def newest_first() -> list[Column]:

@@ -32,9 +32,10 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 def _save(writer: DataFrameWriter, name: str, spark: SparkSession, mode: str = "overwrite") -> None:
-    """Timestamps as microseconds, whose bounds stand in the file footers; the older 96-bit form has none."""
+    """Timestamps as microseconds, whose bounds stand in the file footers; the older 96-bit form has none. Zstandard takes
+    less room than Spark's default."""
     with setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
-        writer.format("parquet").mode(mode).saveAsTable(name)
+        writer.format("parquet").option("compression", "zstd").mode(mode).saveAsTable(name)
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -108,25 +109,32 @@ def replace_table(
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def _write_parts(df: DataFrame, name: str, part_by: str) -> None:
+def _write_parts(df: DataFrame, name: str, part_by: str, dealt: bool = False) -> None:
     """The folders are found by listing: a catalog that keeps their places would keep the old ones over a rename."""
     with setting(df.sparkSession, "spark.sql.hive.manageFilesourcePartitions", "false"):
-        _save(df.hint("rebalance", part_by).write.partitionBy(part_by), name, df.sparkSession)
+        gathered = df if dealt else df.hint("rebalance", part_by)
+        _save(gathered.write.partitionBy(part_by), name, df.sparkSession)
 
 
 def swap_partitions(
-    df: DataFrame, name: str, part_by: str, *, validate: Callable[[DataFrame], None] | None = None
+    df: DataFrame,
+    name: str,
+    part_by: str,
+    *,
+    validate: Callable[[DataFrame], None] | None = None,
+    dealt: bool = False,
 ) -> None:
     """Replace those partitions of a table that occur in ``df`` by its content; the others keep their files.
 
     ``df`` may read the table. The new partitions are written beside it, checked, and only then brought in, so a failure
-    before that changes nothing; a stop while they are brought in is finished by the next access, from the whole copy.
+    before that changes nothing; a stop while they are brought in is finished by the next access, from the copy.
+    With ``dealt`` the rows of a task belong to few partitions already, and are not gathered by a shuffle of their own.
     """
     spark = df.sparkSession
     finish_swap(spark, name)
     staged, swap = f"{name}__staged", f"{name}__swap"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    _write_parts(df, staged, part_by)
+    _write_parts(df, staged, part_by, dealt)
     if validate is not None:
         validate(spark.table(staged))
     _rename(spark, staged, swap)  # from here on the swap counts as decided
@@ -134,10 +142,15 @@ def swap_partitions(
 
 
 def finish_swap(spark: SparkSession, name: str) -> None:
-    """Bring in the partitions of a decided swap. Doing it again gives the same table."""
+    """Bring in the partitions of a decided swap, by moving their folders. Doing it again gives the same table: a folder
+    that is not in the copy any more has been moved. Only if the columns' types differ is the copy written anew."""
     swap = f"{name}__swap"
     if not spark.catalog.tableExists(swap):
         return
+    if dict(spark.table(swap).dtypes) == dict(spark.table(name).dtypes):
+        _move_partitions(spark, swap, name)
+        spark.sql(f"DROP TABLE IF EXISTS {swap}")
+        return
     columns = [F.col(f"`{c}`") for c in spark.table(name).columns]
     micros = setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     with micros, setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -145,6 +158,26 @@ def finish_swap(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {swap}")
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+
+
+def _move_partitions(spark: SparkSession, swap: str, name: str) -> None:
+    """One move per partition folder; a folder goes from the copy last, so a stop in between is seen."""
+    jvm = spark.sparkContext._jvm
+    place = lambda path: jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    source, target = place(_location(spark, swap)), place(_location(spark, name))
+    files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(source):
+        folder = status.getPath()
+        if status.isDirectory() and "=" in folder.getName():
+            there = jvm.org.apache.hadoop.fs.Path(target, folder.getName())
+            files.delete(there, True)
+            if not files.rename(folder, there):
+                raise OSError(f"cannot move {folder} to {there}")
+    spark.catalog.refreshTable(name)
+
+
 def _decision(name: str) -> str:
     """The table that says that staged tables of a schema are to take their places."""
     return f"{name.rpartition('.')[0]}.replacement__decided".lstrip(".")

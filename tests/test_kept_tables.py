@@ -235,3 +235,38 @@ def test_a_partition_that_loses_all_its_bars_is_emptied(spark, db):
     incremental._create(left, f"{db}.stg_daily_bars", 64)
     incremental.refresh_facts(spark, lake, spark.createDataFrame(gone, "ticker string, trade_date date"))
     assert {r.ticker for r in spark.table(f"{db}.fct_daily_returns").collect()} == {"B", "C", "D"}
+
+
+def test_a_swap_moves_the_files_it_has_written(spark, parted, monkeypatch):
+    real, staged = tables.finish_swap, []
+
+    def seen(s, name):
+        if s.catalog.tableExists(f"{name}__swap"):
+            staged.extend(p.rsplit("/", 1)[1] for p in s.table(f"{name}__swap").inputFiles())
+        real(s, name)
+
+    monkeypatch.setattr(tables, "finish_swap", seen)
+    swap_partitions(spark.table(parted).where("_part IN (1, 2)").withColumn("v", F.col("v") + 1), parted, "_part")
+    after = {p.rsplit("/", 1)[1] for p in spark.table(parted).inputFiles()}
+    assert staged and set(staged) <= after
+    assert rows(spark.table(parted).groupBy("_part", "v").count()) == [(0, 0, 10), (1, 1, 10), (2, 1, 10), (3, 0, 10)]
+
+
+def test_no_frame_of_the_reached_bars_runs_from_each_row_to_the_end(spark):
+    bars = {("A", DAY + timedelta(d)): (1.0, 1) for d in range(20)}
+    change = spark.createDataFrame([("A", DAY)], "ticker string, trade_date date")
+    plan = reached_bars(frame(spark, bars), change)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "currentrow$(), unboundedfollowing$()" not in plan
+
+
+def test_changes_are_read_once_for_all_three_facts(spark, db, monkeypatch):
+    computed = []
+    real = incremental.rolling.bar_metrics
+    monkeypatch.setattr(incremental.rolling, "bar_metrics", lambda *a, **k: computed.append(1) or real(*a, **k))
+    lake = build.Lake("", db, db, db)
+    bars = frame(spark, {("A", DAY + timedelta(d)): (float(d), d) for d in range(80)})
+    replace_table(bars.withColumn("_part", F.lit(0)), f"{db}.stg_daily_bars", part_by="_part")
+    spark.sql(f"ALTER TABLE {db}.stg_daily_bars SET TBLPROPERTIES ('parts' = '1')")
+    for _ in range(2):
+        incremental.refresh_facts(spark, lake, bars.limit(3), 1)
+    assert len(computed) == 2
