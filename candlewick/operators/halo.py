@@ -29,11 +29,14 @@ def reached_bars(bars: DataFrame, changes: DataFrame, halo: int = HALO, key: str
     line = own.withColumn("_mark", F.lit(0)).unionByName(marks.withColumn("_mark", F.lit(1)))
     series = Window.partitionBy(key).orderBy(order, F.col("_mark").desc())
     so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    from_here = series.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     numbered = line.withColumn("_n", F.sum(1 - F.col("_mark")).over(so_far))  # bars up to here; before it, for a mark
     last_change = F.max(F.when(F.col("_mark") == 1, F.col("_n"))).over(so_far)
     reached = numbered.withColumn(REACHED, (F.col("_mark") == 0) & F.coalesce(F.col("_n") <= last_change + 1 + halo, F.lit(False)))
-    following = F.min(F.when(F.col(REACHED), F.col("_n"))).over(from_here)
+    # The next reached bar stands behind the next mark, and only bars lie before that, so a frame of ``halo`` rows finds it.
+    # A frame that runs to the end of the series would be summed up anew for every row.
+    next_mark = F.min(F.when(F.col("_mark") == 1, F.col("_n"))).over(series.rowsBetween(Window.currentRow, halo))
+    every = F.max("_n").over(series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    following = F.when(F.col(REACHED), F.col("_n")).when(next_mark < every, next_mark + 1)
     needed = reached.withColumn("_next", following).filter((F.col("_mark") == 0) & (F.col("_next") - F.col("_n") <= halo))
     return needed.drop("_mark", "_n", "_next")
 
@@ -54,6 +57,12 @@ def refreshed(
     """
     near = reached_bars(bars, changes, halo, key, order)
     anew = compute(near, [*keep, REACHED]).filter(REACHED).drop(REACHED)
+    return replaced(facts, anew, changes, key, order)
+
+
+def replaced(facts: DataFrame, anew: DataFrame, changes: DataFrame, key: str = "ticker", order: str = "trade_date") -> DataFrame:
+    """``facts`` with the rows of ``anew`` in place of those of their key and date, without those of ``changes``. Both are
+    used twice."""
     gone = anew.select(key, order).union(changes.select(key, order)).distinct()
     stay = spread_join(facts, gone, [key, order], "left_anti")
     return stay.unionByName(anew.select(*facts.columns))
