@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import UTC, date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -469,7 +469,7 @@ def idempotency_check(spark, sf):
     before, after = [], []
     for name, rows in batches.items():
         first = _stored(spark, bronze.new_rows(rows, None, name))
-        second = bronze.new_rows(rows, first, name)
+        second = bronze.new_rows(rows, first, name, stored=partial(_stored, spark))
         before.append(op.fingerprint(first, name))
         after.append(op.fingerprint(first.unionByName(second), name))
     # a table of as many rows whose values have changed places

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +40,7 @@ def exclude_existing(
     version: str = "_ingested_at",
     key_range: tuple[str, object, object] | None = None,
     small_batch: bool = False,
+    stored: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` does not hold yet. ``None`` stands for no target table.
 
@@ -53,7 +54,10 @@ def exclude_existing(
     that are read: the filter reaches the scan, and a batch of a few days skips years of history. Days
     as bounds of a timestamp column take in the whole last day. ``small_batch`` first cuts the stored
     keys to those of the batch: the batch is read twice, but where its keys are small enough for Spark to
-    broadcast, the stored side is neither made distinct nor shuffled.
+    broadcast, the stored side is neither made distinct nor shuffled. ``stored`` (writes a table and gives it back read
+    from there) is for batches that are known for the most part and for ``policy="first_wins"``: the new keys are found
+    from keys alone and stored, now; then their size is known, and the rows of the batch need no shuffle where Spark
+    broadcasts them.
     """
     if policy not in (FIRST_WINS, LATEST_WINS):
         raise ValueError(f"unknown policy {policy!r}")
@@ -75,6 +79,10 @@ def exclude_existing(
     known = existing.select("*", *extra)
     if small_batch:
         known = spread_join(known, keyed.select(*on).distinct(), on, "left_semi")
+    if policy == FIRST_WINS and stored is not None:
+        asked, have = (side.select(*on).distinct() for side in (keyed, known))
+        new = stored(asked.join(have, on, "left_anti"))
+        return spread_join(keyed, new, on, "left_semi").select(*columns)
     if policy == FIRST_WINS:
         return spread_join(keyed, known.select(*on).distinct(), on, "left_anti").select(*columns)
 

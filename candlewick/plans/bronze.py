@@ -122,10 +122,15 @@ def new_rows(
     policy: str = FIRST_WINS,
     key_range: tuple[str, object, object] | None = None,
     small_batch: bool = False,
+    stored: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The projected rows of a batch that a load would append to ``existing``."""
+    """The projected rows of a batch that a load would append to ``existing``. With ``stored`` only rows with a new key are
+    made unique and shuffled; see :func:`exclude_existing`."""
     spec = TABLES[table]
     keyed, _ = split_null_keys(rows, spec.keys, spec.derived_keys())
+    if stored is not None and existing is not None and policy == FIRST_WINS:
+        fresh = exclude_existing(keyed, existing, spec.keys, derived=spec.derived_keys(), key_range=key_range, stored=stored)
+        return structured(fresh, table)
     return exclude_existing(
         structured(keyed, table),
         existing,

@@ -113,3 +113,19 @@ def test_cast_rejects_counts_values_the_type_cannot_hold(spark):
     df = spark.createDataFrame([("2024-01-01", "1"), ("", "x"), (None, "2")], "d string, n string")
     counts = {r.column_name: r.rejected for r in op.cast_rejects(df, {"d": "date", "n": "int"}).collect()}
     assert counts == {"d": 1, "n": 1}
+
+
+def test_a_batch_that_is_known_is_not_shuffled_whole(spark, tmp_path):
+    from candlewick.operators import exclude_existing
+
+    batch = spark.createDataFrame([(i // 2, f"{i}") for i in range(40)] + [(50, "n"), (50, "n"), (51, "m")], "k long, v string")
+    have = spark.createDataFrame([(i,) for i in range(20)] * 2, "k long")
+
+    def stored(df):
+        df.write.parquet(str(tmp_path / "new"))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / "new"))
+
+    fresh = exclude_existing(batch, have, ["k"], stored=stored)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, fresh.collect())) == [(50, "n"), (50, "n"), (51, "m")]
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
