@@ -6,36 +6,42 @@ pattern below accepts is kept as it is. The others are scored by gradient-booste
 the words around them; one whose calibrated chance reaches the threshold of its kind is added unless it overlaps a
 span that stands already.
 
-The trees learn from a bounded sample of the corpus' own candidates (sample_candidates, for each kind and for accepted and
-other ones the first by a hash of id and place, in 8 groups), so a kind that is rare among many plain numbers is in it
-whole. A candidate that a pattern accepts is an example of its kind, and so are copies of it written in other ways (without
-the plus, with other separators, with the signs in words); so are a few data made by rule, that no kind is without any.
-Other candidates are counter-examples, as are copies with a changed digit, a cut and a version-like form; but one that is
-accepted once its signs and separators are put right is left out, as nobody knows what it is. A third of the sample is kept
-back to calibrate the chances and to set each kind's threshold for the stated precision; a kind that does not reach it there
-gets the threshold FALLBACK.
+The trees learn from all of the corpus' own candidates. A candidate that a pattern accepts is an example of its kind, and so are
+copies of it written in other ways (without the plus, with other separators, with the signs in words); so are a few data made
+by rule, that no kind is without any. Other candidates are counter-examples, as are copies with a changed digit, a cut and a
+version-like form; but one that is accepted once its signs and separators are put right is left out, as nobody knows what it is.
+Candidates of one kind and label weigh together as much as BALANCE rows at most, so a kind that is rare among many plain
+numbers keeps its say. A third, by a hash of the span, is kept back to calibrate the chances and to set each kind's threshold
+for the stated precision; a kind that does not reach it there gets the threshold FALLBACK.
+
+Examples are counted by their features, which are small numbers, in Spark. Cuts, gradients and thresholds are sums over these
+counts. The sums are exact, so it is the same whether the driver adds a table of up to HELD_ROWS distinct examples or, beyond
+that, the tasks do, in a job per level of a tree.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from candlewick.llm import boosting
-from candlewick.llm.common import free_name, kept_columns, ship, slices, table, text_once
+from candlewick.llm.common import free_name, kept_columns, ship, slices, stored, table, text_once
 
 # The kinds, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_CANDIDATES = 20_000
+BALANCE = 2_500
+HELD_ROWS = 100_000
 PRECISION = 0.99
 CONTEXT = 32
 FALLBACK = 0.9
@@ -205,8 +211,9 @@ def examples(text: str) -> list[tuple[int, str, str, str, str, bool]]:
     return rows
 
 
-def _other_forms(kind: str, span: str, pick: np.random.Generator) -> tuple[list[str], list[str]]:
+def _other_forms(kind: str, span: str) -> tuple[list[str], list[str]]:
     """The same datum written otherwise, and look-alikes that are none."""
+    dice = zlib.crc32(span.encode())
     digits = _only_digits(span)
     if kind == "email":
         name, _, domain = span.partition("@")
@@ -214,11 +221,11 @@ def _other_forms(kind: str, span: str, pick: np.random.Generator) -> tuple[list[
         return right, [f"{name}@{domain.split('.')[0]}", f"{name} at {domain.split('.')[0]}."]
     if kind == "ip":
         parts = span.split(".")
-        big = [str(int(p) + int(pick.integers(256, 700))) if i == 2 else p for i, p in enumerate(parts)]
+        big = [str(int(p) + 256 + dice % 444) if i == 2 else p for i, p in enumerate(parts)]
         return [" . ".join(parts), "·".join(parts)], [".".join(big), ".".join(parts[:3])]
     if kind == "card":
         four = [digits[i : i + 4] for i in range(0, len(digits), 4)]
-        wrong = digits[:-1] + str((int(digits[-1]) + int(pick.integers(1, 10))) % 10)
+        wrong = digits[:-1] + str((int(digits[-1]) + 1 + dice % 9) % 10)
         return [".".join(four), "  ".join(four), "/".join(four)], [wrong, ".".join([*four[:-1], wrong[-4:]]), digits[:9]]
     bare = span.lstrip("+")
     right = [f"00{bare}", bare if "(" in bare else f"({digits[:3]}) {digits[3:6]}-{digits[6:]}"]
@@ -281,63 +288,184 @@ def made_by_rule(seed: int = 7, each: int = 40) -> list[tuple[str, str, str, str
     return rows
 
 
-def fit_detector(rows: list[tuple[str, str, str, str, bool]], precision: float = PRECISION, seed: int = 3) -> Detector:
-    """Learn from (kind, span, before, after, accepted)."""
-    pick = np.random.default_rng(seed)
-    data = []
-    for kind, span, before, after, accepted in [*rows, *made_by_rule()] if rows else []:
-        data.append((kind, span, before, after, float(accepted)))
-        if accepted:
-            right, wrong = _other_forms(kind, span, pick)
-            data += [(kind, s, before, after, 1.0) for s in right] + [(kind, s, before, after, 0.0) for s in wrong]
-            # what another kind's generator would make of these forms is none of that kind
-            for form in (*right, *wrong):
-                for other in KINDS:
-                    if other != kind and _GENERATORS[other].fullmatch(form):
-                        data.append((other, form, before, after, 0.0))
-    if not data:
-        return Detector(None, dict.fromkeys(KINDS, 1.1))
-    x = np.array([features(*d[:4]) for d in data])
-    y = np.array([d[4] for d in data])
-    back = np.array([int(hashlib.md5(d[1].encode()).hexdigest(), 16) % 3 == 0 for d in data])
-    model = boosting.calibrate(boosting.fit(x[~back], y[~back]), x[back], y[back])
-    chance = model.chance(x[back])
-    kinds = np.array([d[0] for d in data])[back]
-    limits = {k: boosting.threshold_for(chance[kinds == k], y[back][kinds == k], precision) for k in KINDS}
+# the greatest value of a feature that is told apart
+_TOP = 255
+_FEATURES = len(features("email", "", "", ""))
+# margins are told apart by a 64th, between -MARGIN and MARGIN
+_MARGIN, _STEPS = 30, 64
+_PLACES = 2 * _MARGIN * _STEPS + 1
+# the uses of examples: to learn from, kept back, kept back and such as the kind's generator proposes
+_LEARN, _BACK, _ASKED = range(3)
+
+
+def _lessons(kind: str, span: str, before: str, after: str, accepted: bool) -> Iterator[tuple[str, str, bool]]:
+    """(kind, span, label) of a candidate and of its copies."""
+    yield kind, span, accepted
+    if accepted:
+        right, wrong = _other_forms(kind, span)
+        yield from ((kind, s, True) for s in right)
+        yield from ((kind, s, False) for s in wrong)
+        # what another kind's generator would make of these forms is none of that kind
+        for form in (*right, *wrong):
+            yield from ((other, form, False) for other in KINDS if other != kind and _GENERATORS[other].fullmatch(form))
+
+
+def _counted(rows: Iterable[tuple[str, str, str, str, bool]], made: bool = False) -> list[tuple[int, int, int, bytes, int, int]]:
+    """(group, label, use, features, times, candidates among these) of (kind, span, before, after, accepted). A group is
+    a kind and label of candidates; what is made by rule is in group -1. The use is _LEARN, or else whether the kind's
+    generator would propose the example, so that the trees might ever be asked about it."""
+    counts: dict[tuple[int, int, int, bytes], list[int]] = {}
+    for kind, span, before, after, accepted in rows:
+        group = -1 if made else 2 * KINDS.index(kind) + accepted
+        for nth, (k, s, label) in enumerate(_lessons(kind, span, before, after, accepted)):
+            use = _LEARN
+            if int(hashlib.md5(s.encode()).hexdigest(), 16) % 3 == 0:
+                use = _ASKED if _GENERATORS[k].fullmatch(s) else _BACK
+            small = bytes(int(min(f, _TOP)) for f in features(k, s, before, after))
+            n = counts.setdefault((group, int(label), use, small), [0, 0])
+            n[0] += 1
+            n[1] += nth == 0
+    return [(*key, *n) for key, n in counts.items()]
+
+
+def _rows_of(group: np.ndarray, label: np.ndarray, small: list[bytes], times: np.ndarray, weights: dict[int, float]) -> boosting.Rows:
+    x = np.frombuffer(b"".join(small), np.uint8).reshape(-1, _FEATURES).astype(float)
+    return boosting.Rows(x, label.astype(float), np.array([weights[g] for g in group.tolist()]), times.astype(float))
+
+
+def _of_table(batch: pa.Table | pa.RecordBatch, weights: dict[int, float]) -> boosting.Rows:
+    group, label, small, times = (batch.column(c) for c in ("group", "label", "features", "times"))
+    return _rows_of(group.to_numpy(), label.to_numpy(), small.to_pylist(), times.to_numpy(), weights)
+
+
+def _value_sums(rows: boosting.Rows) -> np.ndarray:
+    """The weight of each value of each feature, then of the rows with label 1."""
+    weight = boosting.exact(np.ones(len(rows.y)), rows.weight, rows.times)
+    places = rows.x.astype(np.int64) + np.arange(_FEATURES) * (_TOP + 1)
+    sums = np.bincount(places.ravel(), np.repeat(weight, _FEATURES), _FEATURES * (_TOP + 1))
+    return np.append(sums, (weight * rows.y).sum())
+
+
+def _margin_sums(rows: boosting.Rows, model: boosting.Boosted) -> np.ndarray:
+    """The weight by kind, label and place of the margin."""
+    margin = np.clip(rows.margin_of(model), -_MARGIN, _MARGIN)
+    place = np.floor((margin + _MARGIN) * _STEPS).astype(np.int64)
+    kind = rows.x[:, : len(KINDS)].argmax(axis=1)
+    weight = boosting.exact(np.ones(len(rows.y)), rows.weight, rows.times)
+    at = (kind * 2 + rows.y.astype(np.int64)) * _PLACES + place
+    return np.bincount(at, weight, 2 * len(KINDS) * _PLACES).reshape(len(KINDS), 2, _PLACES)
+
+
+def _learn(added: Callable, precision: float) -> Detector:
+    """A detector from sums alone: added(use, make) adds make(rows) over the rows of a use. All that is kept back calibrates
+    the chances, and the part that may be asked sets the thresholds."""
+    sums = added(_LEARN, _value_sums)
+    values, right = sums[:-1].reshape(_FEATURES, _TOP + 1), sums[-1]
+    whole = values[0].sum()
+    share = right / whole if whole else 0.5
+    model = boosting.Boosted([], boosting.base_of(share))
+    if 0 < right < whole:
+        cuts = [boosting.cuts_of(np.flatnonzero(v).astype(float), v[v > 0]) for v in values]
+        model = boosting.grow(lambda *at: added(_LEARN, partial(_level_sums, at=at, cuts=cuts)), cuts, model.base)
+    asked = added(_ASKED, partial(_margin_sums, model=model))
+    found = asked + added(_BACK, partial(_margin_sums, model=model))
+    edge = np.broadcast_to(np.arange(_PLACES) / _STEPS - _MARGIN, found.shape)
+    label = np.broadcast_to(np.array([[0.0], [1.0]]), found.shape)
+    here = found > 0
+    model = boosting.calibrate_margins(model, edge[here], label[here], found[here])
+    limits = {}
+    for at, kind in enumerate(KINDS):
+        some = asked[at] > 0
+        # the lower end of a place: what is selected there is all that was counted there
+        chance = model.chance_of(edge[at][some])
+        limits[kind] = boosting.threshold_for(chance, label[at][some], precision, weight=asked[at][some], halfway=True)
     return Detector(model, {k: limit if limit <= 1 else FALLBACK for k, limit in limits.items()})
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_candidates: int = SAMPLE_CANDIDATES) -> Detector:
-    """Learn from a corpus. The driver gets sample_candidates short rows at most."""
+def _level_sums(rows: boosting.Rows, at: tuple, cuts: list[np.ndarray]) -> np.ndarray:
+    return boosting.level_sums(rows, *at, cuts)
+
+
+def _weights(own: dict[int, int], balance: int) -> dict[int, float]:
+    return {-1: 1.0, **{group: min(1.0, balance / n) for group, n in own.items() if n}}
+
+
+_NOTHING = dict.fromkeys(KINDS, 1.1)
+
+
+def _learn_held(counts: pa.Table, balance: int, precision: float) -> Detector:
+    """Learn from the counts of _counted, here."""
+    own = counts.group_by("group").aggregate([("own", "sum")]).to_pydict()
+    weights = _weights({g: n for g, n in zip(own["group"], own["own_sum"], strict=True) if g >= 0}, balance)
+    rows = {use: _of_table(counts.filter(pc.equal(counts["use"], use)), weights) for use in (_LEARN, _BACK, _ASKED)}
+    return _learn(lambda use, make: make(rows[use]), precision)
+
+
+def _learn_spread(counts: DataFrame, balance: int, precision: float) -> Detector:
+    """The same with the counts left where they are: a job adds the sums of its tasks, place by place."""
+    own = counts.where("group >= 0").groupBy("group").agg(F.sum("own").alias("own"))
+    weights = _weights({r.group: r.own for r in own.collect()}, balance)
+
+    def added(use: int, make: Callable) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            whole = sum(make(_of_table(batch, weights)).ravel() for batch in batches)
+            at = np.flatnonzero(whole)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(np.atleast_1d(whole)[at], pa.float64())], ["at", "sum"])
+
+        out = np.zeros(make(_of_table(_EMPTY, weights)).shape)
+        parts = counts.where(F.col("use") == use).mapInArrow(run, "at bigint, sum double")
+        found = parts.groupBy("at").agg(F.sum("sum").alias("sum")).toArrow()
+        np.put(out, found["at"].to_numpy(), found["sum"].to_numpy())
+        return out
+
+    return _learn(added, precision)
+
+
+_COUNTS = "group int, label int, use int, features binary, times bigint, own bigint"
+_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+
+
+def _count_table(rows: list[tuple]) -> pa.Table:
+    parts = list(zip(*rows, strict=True)) if rows else [()] * len(_TYPES)
+    names = [c.split()[0] for c in _COUNTS.split(", ")]
+    return pa.table([pa.array(p, t) for p, t in zip(parts, _TYPES, strict=True)], names)
+
+
+_EMPTY = _count_table([])
+
+
+def fit_detector(rows: list[tuple[str, str, str, str, bool]], precision: float = PRECISION, balance: int = BALANCE) -> Detector:
+    """Learn from (kind, span, before, after, accepted)."""
+    if not rows:
+        return Detector(None, _NOTHING)
+    return _learn_held(_count_table(_counted(rows) + _counted(made_by_rule(), made=True)), balance, precision)
+
+
+def train(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_candidates: int | None = None, held_rows: int = HELD_ROWS
+) -> Detector:
+    """Learn from all candidates of a corpus. ``sample_candidates`` is what they weigh together at most (a kind and label
+    BALANCE without it); none is left out. The driver gets sums, and the counts of distinct examples if there are
+    ``held_rows`` at most. ``id_col`` is not read."""
     ship(docs.sparkSession)
-    schema = "id bigint, start bigint, kind string, span string, before string, after string, accepted boolean"
+    balance = BALANCE if sample_candidates is None else max(1, sample_candidates // (2 * len(KINDS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = [], []
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = examples(text) if text else []
-                rows += found
-                ids += [doc] * len(found)
-            parts = list(zip(*rows, strict=True)) if rows else [[] for _ in range(6)]
-            types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), *[pa.array(p, t) for p, t in zip(parts, types, strict=True)]],
-                ["id", "start", "kind", "span", "before", "after", "accepted"],
-            )
-
-    found = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
-    found = found.where(F.length("span") <= 200)
-    # the first by a hash in each of some groups per kind and label: a task sends that many rows of a group on, and the
-    # driver gets the sample alone
-    groups = max(1, min(8, sample_candidates // (2 * len(KINDS))))
-    order = [F.xxhash64("id", "start", "kind"), F.col("id"), F.col("start"), F.col("kind"), F.col("span")]
-    group = Window.partitionBy("kind", "accepted", "group").orderBy(*order)
-    dealt = found.withColumn("group", F.pmod(F.xxhash64("span", "start", "id"), F.lit(groups)))
-    most = max(1, sample_candidates // (2 * len(KINDS) * groups))
-    first = dealt.withColumn("k", F.row_number().over(group)).where(F.col("k") <= most)
-    rows = first.select("kind", "span", "before", "after", "accepted").orderBy(*found.columns[2:]).collect()
-    return fit_detector([tuple(r) for r in rows])
+            for part in slices(batch, 0):
+                rows = (e[1:] for text in part.column(0).to_pylist() if text for e in examples(text))
+                yield from _count_table(_counted(rows)).to_batches()
+
+    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, _COUNTS)
+    key = ["group", "label", "use", "features"]
+    counts = stored(docs.sparkSession, found.groupBy(*key).agg(F.sum("times").alias("times"), F.sum("own").alias("own")))
+    made = _counted(made_by_rule(), made=True)
+    distinct = counts.count()
+    if not distinct:
+        return Detector(None, _NOTHING)
+    if distinct <= held_rows:
+        return _learn_held(pa.concat_tables([counts.toArrow().cast(_EMPTY.schema), _count_table(made)]), balance, PRECISION)
+    return _learn_spread(counts.unionByName(docs.sparkSession.createDataFrame(made, _COUNTS)), balance, PRECISION)
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:

@@ -202,3 +202,35 @@ def test_a_long_list_of_numbers_takes_time_in_proportion():
     began = time.thread_time()
     assert len(detector.spans(text)[0]) == 20_000 and pii.examples(text)
     assert time.thread_time() - began < 60
+
+
+def test_every_candidate_counts_and_the_sums_may_be_added_anywhere(spark, documents, monkeypatch):
+    rng = random.Random(4)
+    rows = [(k, f"call {rng.randrange(10**6, 10**9)} parts or +1 555 {k:07}") for k in range(4000)]
+    docs = documents(rows)
+    seen = []
+    learn = pii._learn_held
+    monkeypatch.setattr(pii, "_learn_held", lambda counts, *more: (seen.append(counts), learn(counts, *more))[1])
+    here = pii.train(docs)
+    texts = [text for _, text in rows]
+    own = {g: n for g, n in zip(*(seen[0].group_by("group").aggregate([("own", "sum")])[c].to_pylist() for c in ("group", "own_sum")), strict=True)}
+    expected = {}
+    for text in texts:
+        for _, kind, *_, accepted in pii.examples(text):
+            group = 2 * pii.KINDS.index(kind) + accepted
+            expected[group] = expected.get(group, 0) + 1
+    assert {g: n for g, n in own.items() if g >= 0} == expected and max(expected.values()) >= 4000
+    spread = pii.train(docs.repartition(5), held_rows=0)
+    assert spread.thresholds == here.thresholds and len(spread.model.trees) == len(here.model.trees) == 40
+    assert (spread.model.slope, spread.model.offset, spread.model.base) == (here.model.slope, here.model.offset, here.model.base)
+    for a, b in zip(spread.model.trees, here.model.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.value == b.value).all()
+    # and the plain list gives the same
+    plain = pii.fit_detector([e[1:] for text in texts for e in pii.examples(text)])
+    assert plain.thresholds == here.thresholds
+
+
+def test_a_threshold_takes_rows_of_one_chance_together():
+    chances, y = np.array([0.9, 0.8, 0.8]), np.array([1.0, 1.0, 0.0])
+    assert boosting.threshold_for(chances, y, 0.9) == 0.9
+    assert boosting.threshold_for(chances, y, 0.9, weight=np.array([100.0, 1.0, 1.0])) == 0.8
