@@ -6,7 +6,8 @@ Beside the table ``t`` stand
 * ``t__<test>`` for each test on keys: (key columns, n, attempt), what a batch added to or took from a key's rows;
 * ``t__counted``: (batch, attempt, test_name, violations), by how much a batch changed the violations of a test.
 
-A batch looks up the counts of its own keys alone, through a key index, so new keys open no file. A row of counts holds
+A batch that is small beside the counts looks up those of its own keys alone, through a key index, so new keys open no file;
+a large one is grouped together with all counts, and the index reads what it lacks when a small batch needs it. A row of counts holds
 only if its attempt is in ``t__counted``, which is written last and in one file: a batch that stopped leaves nothing that
 counts, and one that is given again changes nothing. Tests for NULL are summed over the batch in a job of their own;
 metrics observed while writing could count a repeated task twice. One writer per table at a time.
@@ -27,6 +28,8 @@ from candlewick.sources.tables import append_table, replace_table, table_or_none
 
 SIGN = "_sign"
 _FOLDED = "folded"
+#: A batch of at least one key for so many rows of counts is large: it is added up with all of them.
+LARGE = 64
 
 
 @dataclass(frozen=True)
@@ -90,18 +93,28 @@ class KeptCounts:
         append_table(change.withColumn("attempt", F.lit(attempt)), name)
         # Read back: its size is known then, and one file holds one attempt, so the others are left out by their bounds.
         own = self.spark.table(name).filter(F.col("attempt") == attempt).select(*keys, "n")
-        stored = None if first else KeyIndex(self.spark, name, tuple(keys)).existing(own.select(*keys))[0]
         sides = own.select(*keys, F.col("n").alias("added"), F.lit(0).cast("long").alias("before"))
-        if stored is not None:
-            known = stored.join(self._live(), "attempt", "left_semi")
-            asked = own.select(*[F.col(k).alias(f"_{k}") for k in keys])
-            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-            known = known.join(asked, same, "left_semi")
+        known = None if first else self._known(name, keys, own, attempt)
+        if known is not None:
             sides = sides.unionByName(known.select(*keys, F.lit(0).cast("long").alias("added"), F.col("n").alias("before")))
         totals = sides.groupBy(*keys).agg(F.sum("before").alias("before"), F.sum("added").alias("added"))
         after = F.count_if(F.col("before") + F.col("added") > 1)
         return totals.agg(after - F.count_if(F.col("before") > 1)).first()[0] or 0
 
+    def _known(self, name: str, keys: list[str], own: DataFrame, attempt: str) -> DataFrame | None:
+        """The counts that hold of the batch's keys; of a large batch, those of other keys come with them. They change no
+        violations, and to group them all costs less than to build filters of the keys and look each of them up."""
+        stored = self.spark.table(name)
+        n, before = stored.agg(F.count_if(F.col("attempt") == attempt), F.count_if(F.col("attempt") != attempt)).first()
+        if n * LARGE >= before:
+            return stored.filter(F.col("attempt") != attempt).join(self._live(), "attempt", "left_semi")
+        found = KeyIndex(self.spark, name, tuple(keys)).existing(own.select(*keys))[0]
+        if found is None:
+            return None
+        asked = own.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        return found.join(self._live(), "attempt", "left_semi").join(asked, same, "left_semi")
+
     def report(self) -> DataFrame:
         """test_name, model, violations, status as the full report gives them, from the ledger alone."""
         tests = self.spark.createDataFrame([(c.name, c.model) for c in self.checks], "test_name string, model string")

@@ -103,3 +103,23 @@ def test_unknown_kind(spark, db):
     kept = KeptCounts(spark, f"{db}.m", [Check("m", "odd", ("k",))])
     with pytest.raises(ValueError, match="odd"):
         kept.apply(spark.createDataFrame(LOADS[0], SCHEMA), "b")
+
+
+def test_a_batch_that_is_not_small_looks_nothing_up(spark, db):
+    """Its counts are added to all others in one grouping; the index is not even built."""
+    checks = CHECKS[:2] + CHECKS[3:4]
+    kept = KeptCounts(spark, f"{db}.m", checks)
+    for at, load in enumerate(LOADS):
+        kept.apply(spark.createDataFrame(load, SCHEMA), f"b{at}")
+    assert violations(kept.report()) == full(spark, rows_after(LOADS), checks)
+    assert not [t.name for t in spark.catalog.listTables(db) if "__index_" in t.name]
+
+
+def test_small_batches_still_go_by_the_index(spark, db, monkeypatch):
+    kept = KeptCounts(spark, f"{db}.m", CHECKS)
+    kept.apply(spark.createDataFrame(LOADS[0], SCHEMA), "b0")
+    monkeypatch.setattr(kept_counts, "LARGE", 0)
+    for at in (1, 2, 3):
+        kept.apply(spark.createDataFrame(LOADS[at], SCHEMA), f"b{at}")
+        assert violations(kept.report()) == full(spark, rows_after(LOADS[: at + 1])), at
+    assert [t.name for t in spark.catalog.listTables(db) if "__index_" in t.name]
