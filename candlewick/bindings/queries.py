@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import UTC, date, datetime
 from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,6 +86,14 @@ def _stored(spark, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _all_stored(spark, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables that do not read each other, stored at the same time: the last tasks of one leave cores to the next."""
+    shared_dir(spark)
+    store = inheritable_thread_target(spark)(partial(_stored, spark))
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return dict(zip(tables, pool.map(store, tables.values()), strict=True))
+
+
 def _landed(spark, sf, feed: DataFrame, source: str, **options) -> DataFrame:
     """Land a feed below the shared folder, and read the files back with the fixed schema."""
     root = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
@@ -837,9 +847,9 @@ def _bronze(spark, sf) -> dict[str, DataFrame]:
 @query
 def dq_report(spark, sf):
     """All 49 tests over the built tables."""
-    staged = {
-        name: _stored(spark, silver.stage(rows, name)) for name, rows in _bronze(spark, sf).items()
-    }
+    staged = _all_stored(
+        spark, {name: silver.stage(rows, name) for name, rows in _bronze(spark, sf).items()}
+    )
     bars = gold.fct_daily_bars(staged["stg_daily_bars"])
     overview = staged["stg_ticker_overview"]
     history = op.scd2_history(overview, "ticker", gold.TRACKED, "snapshot_date")

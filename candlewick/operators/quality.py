@@ -70,28 +70,33 @@ def _null_pass(df: DataFrame, model: str, nulls: Sequence[Check]) -> DataFrame:
 
 
 def _key_pass(df: DataFrame, model: str, check: Check, nulls: Sequence[Check]) -> DataFrame:
-    """A uniqueness test and the model's NOT NULL tests in the same grouping: one scan, one shuffle of
-    counts that were aggregated per task before."""
-    hits = F.col("is_current") if check.kind == SINGLE_CURRENT else F.lit(True)
+    """A uniqueness test and NOT NULL tests in the same grouping: one scan, one shuffle of counts that were
+    aggregated per task before. NULLs of a key column are counted from its groups, so a plain uniqueness test with
+    such tests alone sends the counts of its keys and nothing else: models with the same keys of the same rows share
+    that shuffle."""
+    single = check.kind == SINGLE_CURRENT
+    hits = F.count_if("is_current") if single else F.count(F.lit(1))
+    inner = nulls if single else []
     groups = df.groupBy(*check.columns).agg(
-        F.count_if(hits).alias("_hits"),
-        *[F.count_if(F.col(c.columns[0]).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)],
+        hits.alias("_hits"),
+        *[F.count_if(F.col(c.columns[0]).isNull()).alias(f"_null_{c.columns[0]}") for c in inner],
     )
     repeated = F.col("_hits") > 1
     if check.kind == UNIQUE:
         repeated = repeated & F.col(check.columns[0]).isNotNull()
     counted = [
-        *[(c, F.sum(f"_null_{i}")) for i, c in enumerate(nulls)],
-        (check, F.count_if(repeated)),
+        (c, F.sum(f"_null_{c.columns[0]}" if c in inner else F.when(F.col(c.columns[0]).isNull(), F.col("_hits"))))
+        for c in nulls
     ]
+    counted.append((check, F.count_if(repeated)))
     return groups.agg(_tests(model, counted).alias("tests")).select(F.inline("tests"))
 
 
 def report(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """test_name, model, violations, status ('pass' or 'fail') for every check.
 
-    Violations are NULL rows for a NOT NULL test and repeated keys for the others. Each model is read
-    once, or once per uniqueness test if it has several.
+    Violations are NULL rows for a NOT NULL test and repeated keys for the others. Each model is read once per
+    uniqueness test, and once more if NOT NULL tests are left that do not go with one (a scan of those columns).
     """
     parts: list[DataFrame] = []
     for model, df in models.items():
@@ -100,8 +105,9 @@ def report(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFram
         for check in keyed:
             if check.kind not in (UNIQUE, COMBINATION, SINGLE_CURRENT):
                 raise ValueError(f"unknown check {check.kind!r}")
-            parts.append(_key_pass(df, model, check, nulls))
-            nulls = []
+            inner = [c for c in nulls if check.kind == SINGLE_CURRENT or c.columns[0] in check.columns]
+            parts.append(_key_pass(df, model, check, inner))
+            nulls = [c for c in nulls if c not in inner]
         if nulls:
             parts.append(_null_pass(df, model, nulls))
     status = F.when(F.col("violations") == 0, "pass").otherwise("fail")

@@ -50,6 +50,23 @@ def test_each_check_finds_a_seeded_violation(spark):
     }
 
 
+def test_models_with_the_same_keys_of_the_same_rows_share_the_shuffle(spark, setting):
+    setting(spark__sql__adaptive__enabled="false")
+    rows = spark.range(8).selectExpr("nullif(id div 2, 3) AS k", "nullif(id, 5) AS v")
+    checks = [Check(m, "not_null", (c,)) for m, c in (("whole", "k"), ("whole", "v"), ("keys", "k"))]
+    checks += [Check(m, "unique_combination", ("k",)) for m in ("whole", "keys")]
+    report = op.report({"whole": rows, "keys": rows.select("k")}, checks)
+    assert {r.test_name: r.violations for r in report.collect()} == {
+        "not_null_whole_k": 2,
+        "not_null_whole_v": 1,
+        "not_null_keys_k": 2,
+        "unique_combination_whole_k": 4,
+        "unique_combination_keys_k": 4,
+    }
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
 def test_an_empty_table_passes(spark):
     empty = spark.createDataFrame([], "k int, v string")
     checks = [Check("m", "not_null", ("k",)), Check("m", "unique", ("k",))]
