@@ -115,17 +115,23 @@ def slices(batch: pa.RecordBatch, text: int, most_bytes: int = SLICE_BYTES, most
         low = high
 
 
-def stretches(texts: pa.Array, separator: str | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+def coded_stretches(texts: pa.Array, separator: str | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct stretches, codes, edges): texts cut at ASCII white space, or at each separator. Text k has the stretches
     numbered codes[edges[k]:edges[k + 1]]; at the ends and between separators they may be empty. Null counts as empty.
 
-    Cutting and numbering are done by Arrow, so Python sees each distinct stretch once.
+    Cutting and numbering are done by Arrow.
     """
     texts = pc.fill_null(texts, "")
     cut = pc.ascii_split_whitespace(texts) if separator is None else pc.split_pattern(texts, separator)
     edges = cut.offsets.to_numpy().astype(np.int64)
     coded = cut.values.slice(int(edges[0]), int(edges[-1] - edges[0])).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), edges - edges[0]
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), edges - edges[0]
+
+
+def stretches(texts: pa.Array, separator: str | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The same, so that Python sees each distinct stretch once."""
+    distinct, codes, edges = coded_stretches(texts, separator)
+    return distinct.to_pylist(), codes, edges
 
 
 def joined(parts: list[bytes], codes: np.ndarray, edges: np.ndarray, separator: bytes = b"") -> pa.Array:

@@ -12,7 +12,8 @@
    |q|^2 that x covers, <P x, P q> / |P q|^2, reaches COVERED: the share does not depend on the words around a copy.
    Of a whole copy some x covers half of each q, wherever the steps fall. The product is a sum over the words of x,
    and each word adds at most what it adds for the q that suits it best: passages below both thresholds even so are
-   settled without a vector. The rest meet all q of a block in one matrix product.
+   settled without a vector, first with the best of all q and then with the best of each of GROUPS groups of items.
+   The rest meet all q of a block in one matrix product.
 4. A candidate's words around the passage are checked by the longest common subsequence with the item, over windows
    a quarter longer than the item: a share of COPIED or more is a copy; a share of REWORDED or more is a paraphrase
    if the item's answer is there too. The answer is a column, where the benchmark has one, else the last sentence.
@@ -23,7 +24,6 @@ Benchmark items go through the search in blocks of ITEM_BLOCK, so what is broadc
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import ODD_SPACE, ship, slices, stored, stretches, table
+from candlewick.llm.common import ODD_SPACE, coded_stretches, ship, slices, stored, table
 
 FEATURES = 1 << 18
 STEP = 16
@@ -48,21 +48,46 @@ REWORDED = 0.6
 ANSWER = 0.75
 SHORT_WORDS = 8  # shorter items count only if they are there word for word
 ITEM_BLOCK = 256
+GROUPS = 16
+_SLACK = 1e-5  # a sum of 32 positive single-precision numbers is nearer than that to the true one
 
 _MARKS = r"[^\p{L}\p{N}]+"
 _SENTENCE = regex.compile(r"[^.!?\n]*[\p{L}\p{N}][^.!?\n]*")
 _STRETCH = 64
 
 
+_CRC = np.array([zlib.crc32(bytes([k]), 0xFFFFFFFF) ^ 0xFFFFFFFF for k in range(256)], np.uint32)
+_LONG = 32
+
+
+def checksums(words: pa.Array) -> np.ndarray:
+    """The CRC-32 of each word, for all words at once byte by byte; longer ones than _LONG bytes one by one."""
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
+    out = np.empty(len(words), np.int64)
+    for k in np.flatnonzero(sizes > _LONG).tolist():
+        out[k] = zlib.crc32(words[k].as_py())
+    offsets = np.frombuffer(words.buffers()[1], "<i4")[words.offset : words.offset + len(words)]
+    order = np.argsort(-sizes, kind="stable")
+    order = order[np.searchsorted(-sizes[order], -_LONG) :]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    at, left, crc = offsets[order], sizes[order], np.full(len(order), 0xFFFFFFFF, np.uint32)
+    for k in range(int(left[0]) if len(left) else 0):
+        n = int(np.searchsorted(-left, -k))  # so many words have a byte k
+        crc[:n] = _CRC[(crc[:n] ^ data[at[:n] + k]) & np.uint32(255)] ^ (crc[:n] >> np.uint32(8))
+    out[order] = crc ^ np.uint32(0xFFFFFFFF)
+    return out
+
+
 def words_of(texts: pa.Array) -> pa.Array:
     """The words of each text as numbers below FEATURES, little-endian and 32 bits wide. A word is a stretch between
     white space without its marks, in lower case; one of marks alone is none. Lower case and marks are Arrow's."""
     texts = pc.fill_null(texts, "")
     if pc.any(pc.match_substring_regex(texts, ODD_SPACE)).as_py():
         texts = pc.replace_substring_regex(texts, ODD_SPACE, " ")
-    distinct, codes, edges = stretches(texts)
-    plain = pc.replace_substring_regex(pc.utf8_lower(pa.array(distinct, pa.string())), _MARKS, "").cast(pa.binary())
-    numbers = np.array([zlib.crc32(w) % FEATURES if w else -1 for w in plain.to_pylist()], "<i4")[codes]
+    distinct, codes, edges = coded_stretches(texts)
+    plain = pc.replace_substring_regex(pc.utf8_lower(distinct), _MARKS, "").cast(pa.binary())
+    numbers = np.where(pc.binary_length(plain).to_numpy(zero_copy_only=False) > 0, checksums(plain) % FEATURES, -1)
+    numbers = numbers.astype("<i4")[codes]
     some = numbers >= 0
     ends = 4 * np.concatenate([[0], np.cumsum(some)])[edges].astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(numbers[some].tobytes())])
@@ -132,9 +157,13 @@ class Item:
     answer: list[int]
 
     def __post_init__(self):
-        found = Counter(self.words)
-        self.places = {word: k for k, word in enumerate(found)}
-        self.counts = np.array(list(found.values()), np.int32)
+        self.known, self.counts = np.unique(np.array(self.words, np.int64), return_counts=True)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Of each word its place among the item's distinct words; their number for other words."""
+        at = np.searchsorted(self.known, words)
+        inside = np.append(self.known, -1)[at] == words
+        return np.where(inside, at, len(self.known))
 
 
 @dataclass
@@ -149,6 +178,7 @@ class Space:
     lengths: np.ndarray  # |q|
     most: np.ndarray  # by row number: the most that a word can add to the product with any passage
     most_covered: np.ndarray  # by row number: the most that a word can add to the share of any passage
+    bounds: np.ndarray  # both for the passages of each group of items alone, a column for each row number
 
 
 def _sparse(items: list[Item], weight: np.ndarray) -> tuple[list[int], list[tuple[list[int], list[float]]]]:
@@ -239,8 +269,11 @@ def latent_space(spark: SparkSession, items: list[Item], weight: np.ndarray, ran
     scaled = projected * scale[:, None]
     lengths = np.maximum(whole, 1e-12).astype(np.float32)
     added = vectors @ scaled.T
-    most, most_covered = (np.maximum(a.max(axis=1), 0) for a in (added, added / lengths))
-    return Space(items, np.array(owner), row, np.ascontiguousarray(vectors.T), scaled, lengths, most, most_covered)
+    owner = np.array(owner)
+    groups = [np.flatnonzero(owner % GROUPS == g) for g in np.unique(owner % GROUPS)]
+    bounds = np.array([np.maximum(a[:, g].max(axis=1), 0) for a in (added, added / lengths) for g in groups])
+    most, most_covered = (half.max(axis=0) for half in np.split(bounds, 2))
+    return Space(items, owner, row, np.ascontiguousarray(vectors.T), scaled, lengths, most, most_covered, bounds)
 
 
 def common_words(item: list[int], region: list[int]) -> int:
@@ -257,16 +290,19 @@ def common_words(item: list[int], region: list[int]) -> int:
     return len(item) - state.bit_count()
 
 
-def check(item: Item, region: list[int]) -> tuple[int, bool, bool]:
+def check(item: Item, region: list[int] | np.ndarray) -> tuple[int, bool, bool]:
     """(longest common subsequence, answer found, contaminated) of an item and some words; a subsequence too
     short to matter counts as none."""
     n = len(item.words)
+    region = np.asarray(region, np.int64)
+    at_word = item.places(region)
+    # no window has more of the item's words than the region
+    if np.minimum(np.bincount(at_word, minlength=len(item.counts) + 1)[:-1], item.counts).sum() < REWORDED * n:
+        return 0, False, False
     width = n if n < SHORT_WORDS else n + -(-n // 4)
     last = max(0, len(region) - width)
     starts = {*range(0, last, 1 if n < SHORT_WORDS else max(1, n // 8)), last}
     # no subsequence is longer than what the window and the item have in common in any order
-    place = item.places.get
-    at_word = np.array([place(w, len(item.counts)) for w in region], np.int64)
     seen = np.zeros((len(region) + 1, len(item.counts) + 1), np.int32)
     seen[np.arange(1, len(region) + 1), at_word] = 1
     seen = np.cumsum(seen, axis=0)[:, :-1]
@@ -276,7 +312,7 @@ def check(item: Item, region: list[int]) -> tuple[int, bool, bool]:
     best, window = 0, []
     for k in np.flatnonzero(most >= REWORDED * n):
         if most[k] > best:
-            words_there = region[low_ends[k] : high_ends[k]]
+            words_there = region[low_ends[k] : high_ends[k]].tolist()
             found = common_words(item.words, words_there)
             if found > best:
                 best, window = found, words_there
@@ -286,15 +322,15 @@ def check(item: Item, region: list[int]) -> tuple[int, bool, bool]:
     return best, answer, best >= COPIED * n or (best >= REWORDED * n and answer)
 
 
-def _sums(space: Space, row: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The sum of the word vectors of each stretch; row 0 has none."""
+def _sums(columns: np.ndarray, row: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sum of the columns that the words of each stretch have; row 0 has none."""
     known = np.flatnonzero(row)
-    out = np.zeros((space.vectors.shape[0], len(starts)), np.float32)
+    out = np.zeros((columns.shape[0], len(starts)), np.float32)
     first = np.searchsorted(known, starts)
     full = np.flatnonzero(np.diff(np.append(first, len(known))))
     if len(full):
         # along the last axis, one dimension after the other: its few thousand numbers stay in the cache
-        out[:, full] = np.add.reduceat(space.vectors[:, row[known]], first[full], axis=1)
+        out[:, full] = np.add.reduceat(columns[:, row[known]], first[full], axis=1)
     return np.ascontiguousarray(out.T)
 
 
@@ -311,36 +347,50 @@ def _search(space: Space, weight: np.ndarray, docs: list[tuple[int | None, bytes
     starts = np.repeat(np.cumsum(sizes) - sizes, blocks) + STEP * inside
     follows = np.append(doc_of[1:] == doc_of[:-1], False)
     row, squared = space.row[joined], weight[joined].astype(np.float64) ** 2
+    widths = np.diff(np.append(starts, len(joined)))
 
     def passages(blocks_of):
         """From blocks of STEP words to passages: each block and the next of its document."""
         blocks_of[:-1][follows[:-1]] += blocks_of[1:][follows[:-1]]
         return blocks_of
 
+    def sums(columns, which):
+        """Of the passages that begin with some blocks, from these blocks and the next ones alone."""
+        pairs = which[follows[which]]
+        needed = np.zeros(len(starts), bool)
+        needed[which] = needed[pairs + 1] = True
+        place = np.cumsum(needed) - 1
+        of_block = _sums(columns, np.where(np.repeat(needed, widths), row, 0), starts[needed])
+        out = of_block[place[which]]
+        out[follows[which]] += of_block[place[pairs + 1]]
+        return out
+
     squares = passages(np.add.reduceat(squared, starts))
     # what the words can add at most, each with the passage that suits it best: few passages need a vector
     length = np.sqrt(squares)
-    inner = passages(np.add.reduceat(space.most[row].astype(np.float64), starts)) >= cosine * length - 1e-6
-    inner |= passages(np.add.reduceat(space.most_covered[row].astype(np.float64), starts)) >= COVERED - 1e-6
+    wanted, covered = cosine * length * (1 - _SLACK) - 1e-6, COVERED * (1 - _SLACK) - 1e-6
+    inner = passages(np.add.reduceat(space.most[row], starts)) >= wanted
+    inner |= passages(np.add.reduceat(space.most_covered[row], starts)) >= covered
     # the last block alone is inside the passage before it
     inner &= follows | (inside == 0)
-    needed = inner.copy()
-    needed[1:] |= inner[:-1] & follows[:-1]
-    vectors = passages(_sums(space, np.where(np.repeat(needed, np.diff(np.append(starts, len(joined)))), row, 0), starts))
+    inner = np.flatnonzero(inner)
+    by_cosine, by_share = np.split(sums(space.bounds, inner), 2, axis=1)
+    inner = inner[(by_cosine.max(axis=1) >= wanted[inner]) | (by_share.max(axis=1) >= covered)]
+    vectors = sums(space.vectors, inner)
     longest = np.linalg.norm(space.passages, axis=1)
     reach = np.linalg.norm(vectors, axis=1)
-    inner &= (reach * longest.max() >= cosine * length) | (reach * (longest / space.lengths).max() >= COVERED)
-    inner = np.flatnonzero(inner)
+    near = (reach * longest.max() >= cosine * length[inner]) | (reach * (longest / space.lengths).max() >= COVERED)
+    inner, vectors = inner[near], vectors[near]
     if not len(inner):
         return []
-    products = vectors[inner] @ space.passages.T
+    products = vectors @ space.passages.T
     at, passage = np.nonzero(products >= np.minimum(cosine * length[inner, None], COVERED * space.lengths))
     block, item = inner[at], space.owner[passage]
     candidates = np.unique(np.stack([doc_of[block], item, STEP * inside[block]], axis=1), axis=0)
     rows = {}
     for doc, at, low, high in _regions(candidates.tolist(), space.items):
         item = space.items[at]
-        lcs, answer, bad = check(item, found[doc][low:high].tolist())
+        lcs, answer, bad = check(item, found[doc][low:high])
         known = rows.get((doc, at))
         if bad and (known is None or lcs > known["lcs"]):
             rows[doc, at] = {
