@@ -20,9 +20,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Remembered, free_name, held, joined, kept_columns, ship, slices, stretches, table, text_once, tokenizer_file
+from candlewick.llm.common import LONGEST_REMEMBERED, Remembered, free_name, held, joined, kept_columns, ship, slices, stretches, table, text_once, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
+DIGESTS_REMEMBERED = 1_000_000
 _NEVER = 1 << 60
 #: Words of plain ASCII text, by the pattern the vocabulary file states.
 _ASCII_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -96,20 +97,23 @@ class PrefixEncoder:
         if not word:
             return []
         symbols = word[:-1] + chr(ord(word[-1]) + 0x10000) if self.suffix else word
-        last: list[str | None] = [None] * (len(symbols) + 1)
-        last[0] = ""
+        last: list[str | None] = [None] * len(symbols)  # of the prefix that ends with each symbol
         together = self._together
         for end, (size, token) in self.automaton.iter(symbols):
-            end += 1
             if last[end] is None:
-                before = last[end - size]
-                if before == "" or (before is not None and together[before, token]):
+                if size > end:  # the whole prefix
                     last[end] = token
-        out, at = [], len(symbols)
-        while at:
-            out.append(self.tokens[last[at]])
-            at -= len(last[at])
-        return out[::-1]
+                else:
+                    before = last[end - size]
+                    if before is not None and together[before, token]:
+                        last[end] = token
+        out, at, tokens = [], len(symbols) - 1, self.tokens
+        while at >= 0:
+            token = last[at]
+            out.append(tokens[token])
+            at -= len(token)
+        out.reverse()
+        return out
 
 
 class WordTokenizer:
@@ -119,7 +123,7 @@ class WordTokenizer:
     stretches, each remembered for as long as it comes back.
     """
 
-    def __init__(self, file: str, remembered: int = 300_000):
+    def __init__(self, file: str, remembered: int = 300_000, longest: int = LONGEST_REMEMBERED):
         from tokenizers import Tokenizer
 
         stated = json.loads(file)
@@ -130,10 +134,12 @@ class WordTokenizer:
         self.text_of = {i: t for t, i in vocabulary.items()} | {i: t for t, i in self.special.items()}
         self.encoder = PrefixEncoder(vocabulary, model["merges"], model["end_of_word_suffix"] or "")
         self.split_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.words = Remembered(remembered, self._word)
-        self.stretches = Remembered(remembered, self._stretch)
+        self.words = Remembered(remembered, self._word, longest)
+        self.stretches = Remembered(remembered, self._stretch, longest)
 
     def _packed(self, ids: list[int]) -> tuple[bytes, str]:
+        if len(ids) == 1:
+            return ids[0].to_bytes(4, "little"), self.text_of[ids[0]]
         return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
 
     def _word(self, word: str) -> tuple[bytes, str]:
@@ -186,8 +192,9 @@ class WordTokenizer:
         return ids, joined([f[1].encode() for f in found], codes[some], before[edges], b" ")
 
 
-def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added: str, keep: list[str] | None):
-    """Map the text column with make(tokenizer, texts) -> arrays, beside the kept columns."""
+def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added: str, keep: list[str] | None, **memory: int):
+    """Map the text column with make(tokenizer, texts) -> arrays, beside the kept columns. What a worker remembers can be
+    stated."""
     spark = docs.sparkSession
     ship(spark)
     with open(tokenizer_file(vocabulary), encoding="utf-8") as source:
@@ -198,7 +205,7 @@ def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added
     columns, text = text_once(docs, others, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = held(key, lambda: WordTokenizer(sent.value))
+        tokenizer = held(key, lambda: WordTokenizer(sent.value, **memory))
         for batch in batches:
             for part in slices(batch, text):
                 made = make(tokenizer, part.column(text))
@@ -223,7 +230,8 @@ def digests(
         )
 
     added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return _with_tokenizer(docs, vocabulary, text_col, make, added, keep)
+    # no ids leave the worker, so there is room for more stretches, of shorter ones
+    return _with_tokenizer(docs, vocabulary, text_col, make, added, keep, remembered=DIGESTS_REMEMBERED, longest=24)
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -188,15 +188,15 @@ class Recent:
 class Remembered(dict):
     """key -> make(key), made when first asked for; bounded like Recent. Look-ups of known keys stay in C."""
 
-    def __init__(self, size: int, make):
+    def __init__(self, size: int, make, longest: int = LONGEST_REMEMBERED):
         super().__init__()
-        self.half, self.make, self.old = max(1, size // 2), make, {}
+        self.half, self.make, self.longest, self.old = max(1, size // 2), make, longest, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(key) > LONGEST_REMEMBERED:
+        if len(key) > self.longest:
             return value
         if len(self) >= self.half:
             self.old = dict(self)

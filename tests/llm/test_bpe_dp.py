@@ -86,3 +86,13 @@ def test_encode_then_decode(spark, documents):
     rows = [(1, "The cat's hat"), (2, None), (3, "<|endoftext|>!")]
     out = bpe_dp.decode(bpe_dp.encode(documents(rows), keep=["doc_id"]))
     assert {r.doc_id: r.decoded for r in out.collect()} == {n: expected(t or "")[1] for n, t in rows}
+
+
+def test_digests_remember_more_and_shorter_stretches():
+    with open(FILE, encoding="utf-8") as source:
+        tokenizer = bpe_dp.WordTokenizer(source.read(), remembered=bpe_dp.DIGESTS_REMEMBERED, longest=24)
+    short, long = "wordy", "x" * 25
+    ids, decoded = tokenizer(f"{short} {long} {short} a")
+    assert (ids, decoded) == expected(f"{short} {long} {short} a")
+    assert short in tokenizer.stretches and long not in tokenizer.stretches and long not in tokenizer.words
+    assert tokenizer.stretches.half == bpe_dp.DIGESTS_REMEMBERED // 2 > 300_000
