@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,10 @@ from pyspark.sql import functions as F
 from candlewick.llm.common import LONGEST_REMEMBERED, Remembered, free_name, held, joined, kept_columns, ship, slices, stretches, table, text_once, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
-DIGESTS_REMEMBERED = 1_000_000
+DIGESTS_REMEMBERED = 700_000
+WORDS_REMEMBERED = 200_000
+#: What is made of a slice of texts takes many times its bytes.
+_SLICE_BYTES = 1 << 19
 _NEVER = 1 << 60
 #: Words of plain ASCII text, by the pattern the vocabulary file states.
 _ASCII_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -120,7 +124,7 @@ class WordTokenizer:
     """Texts to ids and back as the vocabulary file states: special tokens, normalisation, words, byte symbols.
 
     Normalisation and the split into words keep to stretches without white space, so a text is handled as such
-    stretches, each remembered for as long as it comes back.
+    stretches, each remembered for as long as it comes back. Memories hold ids alone; these are decoded by Arrow.
     """
 
     def __init__(self, file: str, remembered: int = 300_000, longest: int = LONGEST_REMEMBERED):
@@ -132,20 +136,25 @@ class WordTokenizer:
         self.special = {t["content"]: t["id"] for t in stated["added_tokens"]}
         vocabulary = {t: i for t, i in model["vocab"].items() if t not in self.special}
         self.text_of = {i: t for t, i in vocabulary.items()} | {i: t for t, i in self.special.items()}
+        pieces = [b""] * (max(self.text_of) + 1)
+        for i, piece in self.text_of.items():
+            pieces[i] = piece.encode()
+        self.pieces = pa.array(pieces, pa.binary())
         self.encoder = PrefixEncoder(vocabulary, model["merges"], model["end_of_word_suffix"] or "")
         self.split_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.words = Remembered(remembered, self._word, longest)
+        self.words = Remembered(min(remembered, WORDS_REMEMBERED), self._word, longest)
         self.stretches = Remembered(remembered, self._stretch, longest)
 
-    def _packed(self, ids: list[int]) -> tuple[bytes, str]:
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
         if len(ids) == 1:
-            return ids[0].to_bytes(4, "little"), self.text_of[ids[0]]
-        return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+            return ids[0].to_bytes(4, "little")
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> tuple[bytes, str]:
+    def _word(self, word: str) -> bytes:
         return self._packed(self.encoder.encode(word))
 
-    def _section(self, text: str) -> list[tuple[bytes, str]]:
+    def _section(self, text: str) -> list[bytes]:
         if text.isascii() and text.isprintable() and " " not in text:
             words = _ASCII_WORDS.findall(text.lower())
         else:
@@ -153,8 +162,8 @@ class WordTokenizer:
             words = [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(clean)]
         return list(map(self.words.__getitem__, words))
 
-    def _stretch(self, text: str) -> tuple[bytes, str]:
-        """Of a text of any kind."""
+    def _stretch(self, text: str) -> bytes:
+        """The ids of a text of any kind."""
         if self.split_special is None or not self.split_special.search(text):
             parts = self._section(text)
         else:
@@ -164,16 +173,18 @@ class WordTokenizer:
                 parts.append(self._packed([self.special[found.group()]]))
                 at = found.end()
             parts += self._section(text[at:])
-        return parts[0] if len(parts) == 1 else self._joined(parts)
-
-    @staticmethod
-    def _joined(parts: list[tuple[bytes, str]]) -> tuple[bytes, str]:
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[0]])
+        return parts[0] if len(parts) == 1 else b"".join(parts)
 
     def decode(self, ids) -> str:
         """Tokens joined by spaces, as the vocabulary file states no decoder."""
         return " ".join([self.text_of[i] for i in ids])
 
+    def _decoded(self, ids: pa.Array) -> pa.Array:
+        """The same of each row of packed ids, in UTF-8."""
+        edges = np.frombuffer(ids.buffers()[1], "<i4", len(ids) + 1)
+        flat = np.frombuffer(ids.buffers()[2] or b"", "<u4", int(edges[-1]) // 4)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges // 4), self.pieces.take(pa.array(flat))), b" ")
+
     def __call__(self, text: str) -> tuple[bytes, str]:
         """The ids as little-endian 32-bit numbers and the text they decode to."""
         ids, decoded = self.batch(pa.array([text], pa.string()))
@@ -185,11 +196,8 @@ class WordTokenizer:
         Texts are cut at ASCII white space; other white space is inside a stretch, and handled there.
         """
         distinct, codes, edges = stretches(texts)
-        found = [self.stretches[stretch] for stretch in distinct]
-        ids = joined([f[0] for f in found], codes, edges)
-        some = np.array([bool(f[0]) for f in found], bool)[codes]  # nothing decodes to nothing, not to a space more
-        before = np.concatenate([[0], np.cumsum(some)])
-        return ids, joined([f[1].encode() for f in found], codes[some], before[edges], b" ")
+        ids = joined([self.stretches[stretch] for stretch in distinct], codes, edges)
+        return ids, self._decoded(ids)
 
 
 def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added: str, keep: list[str] | None, **memory: int):
@@ -207,7 +215,7 @@ def _with_tokenizer(docs: DataFrame, vocabulary: str, text_col: str, make, added
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = held(key, lambda: WordTokenizer(sent.value, **memory))
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, _SLICE_BYTES):
                 made = make(tokenizer, part.column(text))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(others)], *made], [*part.schema.names[: len(others)], *names]

@@ -96,3 +96,12 @@ def test_digests_remember_more_and_shorter_stretches():
     assert (ids, decoded) == expected(f"{short} {long} {short} a")
     assert short in tokenizer.stretches and long not in tokenizer.stretches and long not in tokenizer.words
     assert tokenizer.stretches.half == bpe_dp.DIGESTS_REMEMBERED // 2 > 300_000
+
+
+def test_memories_hold_ids_alone():
+    with open(FILE, encoding="utf-8") as source:
+        tokenizer = bpe_dp.WordTokenizer(source.read(), remembered=bpe_dp.DIGESTS_REMEMBERED)
+    text = "Hello, world's <|endoftext|> ΣΑΣ hello"
+    assert tokenizer(text) == expected(text)
+    assert {type(v) for memory in (tokenizer.stretches, tokenizer.words) for v in memory.values()} == {bytes}
+    assert tokenizer.words.half < tokenizer.stretches.half
