@@ -24,6 +24,11 @@ BLOCK_BYTES = 8 << 20
 def in_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, id, text): texts as UTF-8, null as empty, packed for the exchange; all rows of an id are in one block,
     rows without an id go by their texts."""
+    return counted_blocks(docs, id_col, text_col, block_bytes)[0]
+
+
+def counted_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """The same, and how many blocks there may be."""
     ship(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
@@ -42,7 +47,7 @@ def in_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                 texts = pa.array([compress(t) for t in part.column(2).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], ["block", "id", "text"])
 
-    return dealt.mapInArrow(pack, "block int, id long, text binary")
+    return dealt.mapInArrow(pack, "block int, id long, text binary"), blocks
 
 
 def least_ids(keys: list[np.ndarray], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:

@@ -17,8 +17,9 @@ id. Suffixes need an order to LENGTH bytes only, so bucket-pointer refinement en
 4. What is left is named string by string, by the pair of identifiers (bucket at i, bucket at i + LENGTH - Q), which
    covers LENGTH bytes when 2 Q >= LENGTH; further pairs are formed from the new names when it does not.
 
-Buckets meet only as one row per bucket and block of documents (see blocks.py), sorted by bucket in a window; the
-answers go back to the blocks that have a use for them, which take the next step. Names are 64-bit hashes, compared
+Buckets meet only once per bucket and block of documents (see blocks.py): in step 1 as one packed row per block and
+range of names, of which there are as many as blocks, later as one row per bucket and block in a window; the answers go
+back to the blocks that have a use for them, which take the next step. Names are 64-bit hashes, compared
 within their bucket's name (48 bits, of which single strings keep 32): two different strings are taken for one with
 a chance of 2^-96 a pair.
 """
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -152,22 +154,71 @@ def _rows(group: pa.Table, names: list[str], keys: list[list[np.ndarray]], ids:
     return pa.table({"block": block, **dict(zip(names, joined, strict=True)), "least": least, "more": more})
 
 
-def _initial(length: int, q: int):
+_PACKED = "block int, part int, packed binary"
+
+
+def _packed(names: np.ndarray, more: np.ndarray) -> bytes:
+    """Ascending names of buckets with a flag each: the differences by bytes of equal weight, squeezed."""
+    steps = np.diff((names << 1) | more, prepend=0).view(np.uint8).reshape(-1, 8)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.T).tobytes())
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(names, flags) again."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    both = np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.int64).ravel())
+    return both >> 1, (both & 1).astype(bool)
+
+
+def _initial(length: int, q: int, parts: int):
+    """Of each block one row per range of bucket names: the names that its suffixes have, and if several ids do."""
+
     def run(group: pa.Table) -> pa.Table:
-        keys, ids = [], []
+        keys, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for doc, text in blocks.documents_of(group):
             for part in suffixes_of(text, length, q) if doc is not None else ():
                 found = np.unique(part.bucket)
                 keys.append(found)
                 ids.append(np.full(len(found), doc, np.int64))
-        return _rows(group, ["bucket"], [keys], ids).drop_columns("least")
+        (names,), _, more = blocks.least_ids([np.concatenate(keys)], np.concatenate(ids))
+        cuts = np.searchsorted(names, _edges(parts)).tolist()
+        filled = [k for k in range(parts) if cuts[k] < cuts[k + 1]]
+        packed = [_packed(names[cuts[k] : cuts[k + 1]], more[cuts[k] : cuts[k + 1]]) for k in filled]
+        block = np.full(len(filled), group.column("block")[0].as_py(), np.int32)
+        return pa.table({"block": block, "part": pa.array(filled, pa.int32()), "packed": pa.array(packed, pa.binary())})
 
     return run
 
 
+def _edges(parts: int) -> np.ndarray:
+    """Where the ranges of bucket names begin, and where the last one ends."""
+    return np.array([(k << 48) // parts for k in range(parts + 1)], np.int64)
+
+
+def _live(group: pa.Table) -> pa.Table:
+    """The names in a range that several ids have, for each block that has some."""
+    numbers, found = [], []
+    for number, packed in enumerate(group.column("packed").to_pylist()):
+        found.append(_unpacked(packed))
+        numbers.append(np.full(len(found[-1][0]), number, np.int32))
+    names, more, of = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), np.concatenate(numbers)
+    order = np.argsort(names, kind="stable")
+    ordered = names[order]
+    same = np.zeros(len(names) + 1, bool)
+    same[1:-1] = ordered[1:] == ordered[:-1]
+    live = more.copy()
+    live[order] |= same[1:] | same[:-1]
+    edges = np.cumsum([0, *(len(f[0]) for f in found)]).tolist()
+    rows = [(k, names[a:b][live[a:b]]) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if live[a:b].any()]
+    taken = pa.array([k for k, _ in rows], pa.int64())
+    packed = pa.array([_packed(n, np.zeros(len(n), bool)) for _, n in rows], pa.binary())
+    return pa.table({"block": group.column("block").take(taken), "part": group.column("part").take(taken), "packed": packed})
+
+
 def _refined(length: int, q: int):
     def run(group: pa.Table, live: pa.Table) -> pa.Table:
-        known = np.unique(live.column("bucket").to_numpy())
+        found = [_unpacked(packed)[0] for packed in live.sort_by("part").column("packed").to_pylist()]
+        known = np.concatenate([np.zeros(0, np.int64), *found])
         buckets, names, ids = [], [], []
         for doc, text in blocks.documents_of(group) if len(known) else ():
             for part in suffixes_of(text, length, q) if doc is not None else ():
@@ -372,13 +423,12 @@ def remove_repeats(
     """
     if not 0 < q <= length:
         raise ValueError("q must be between 1 and length")
-    dealt = blocks.in_blocks(docs, id_col, text_col, block_bytes)
+    dealt, count = blocks.counted_blocks(docs, id_col, text_col, block_bytes)
     texts = dealt.groupBy("block")
     row = "block int, bucket long, name long, least long, more boolean"
     bucket, same = Window.partitionBy("bucket"), Window.partitionBy("bucket", "name")
-    live = texts.applyInArrow(_initial(length, q), "block int, bucket long, more boolean")
-    live = live.withColumn("n", F.count("*").over(bucket)).where("n > 1 OR more")  # one row per bucket and block
-    refined = texts.cogroup(live.select("block", "bucket").groupBy("block")).applyInArrow(_refined(length, q), row)
+    live = texts.applyInArrow(_initial(length, q, count), _PACKED).groupBy("part").applyInArrow(_live, _PACKED)
+    refined = texts.cogroup(live.groupBy("block")).applyInArrow(_refined(length, q), row)
     refined = (
         refined.withColumn("mixed", F.min("name").over(bucket) != F.max("name").over(bucket))
         .withColumn("first", F.min("least").over(same))

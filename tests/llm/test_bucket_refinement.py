@@ -99,3 +99,18 @@ def test_empty_table_and_wrong_parameters(spark, documents):
     assert found(documents([]).limit(0)) == []
     with pytest.raises(ValueError, match="q must"):
         buckets.remove_repeats(documents([]), length=5, q=6)
+
+
+def test_names_of_a_block_travel_in_few_bytes_and_come_back():
+    rng = np.random.default_rng(4)
+    names = np.unique(rng.integers(0, 1 << 48, 300_000))
+    more = rng.random(len(names)) < 0.1
+    packed = buckets._packed(names, more)
+    assert len(packed) < 5 * len(names)
+    assert all(np.array_equal(a, b) for a, b in zip(buckets._unpacked(packed), (names, more), strict=True))
+    assert [len(x) for x in buckets._unpacked(buckets._packed(names[:0], more[:0]))] == [0, 0]
+
+
+def test_first_step_sends_one_row_per_block_and_range(spark, documents):
+    plan = buckets.remove_repeats(documents(edited(1)), block_bytes=2000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "part#" in plan and plan.count("Window [count") == 1  # no window over all buckets, one over sides
