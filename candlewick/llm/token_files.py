@@ -16,6 +16,7 @@ so any document, or any range of its ids, is expanded from its own symbols and t
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -38,29 +39,40 @@ MIN_PAIRS = 16  # a pair that occurs less often gets no rule
 PAIRS_A_ROUND = 4096
 ROUNDS = 8
 _SPACE_MARK = "Ġ"  # how byte-level vocabularies write a space
+_LONGEST = 24  # characters of a stretch that is remembered
+_SLICE_BYTES, _SLICE_ROWS = 4 << 20, 8192
+_ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+# Printable ASCII, the letters of the two Latin blocks after it and single line ends, and the pattern for these.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_COMMON = re.compile(f"(?: [\n!-~{_LETTERS}]+)+")
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \n{_LETTERS}0-9]+|\n")
 
 
 class ByteTokenizer:
-    """Ids by the tokenizers library, remembered for each stretch between single spaces.
+    """Ids by the tokenizers library, remembered for each stretch between single spaces and each piece of one.
 
     The vocabulary's pattern joins one space to the word after it and otherwise never takes white space and what
-    follows together, so a text in which no two white-space characters meet may be cut before every space.
+    follows together, so a text in which no two white-space characters meet may be cut before every space. Stretches of
+    common letters are cut further into the pattern's pieces, as the library encodes each piece by itself.
     """
 
-    def __init__(self, file: str, remembered: int = 400_000):
+    def __init__(self, file: str, remembered: int = 800_000, pieces: int = 400_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(file)
         size = self.library.get_vocab_size()
         self.starts = np.array([(self.library.id_to_token(i) or "").startswith(_SPACE_MARK) for i in range(size)])
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         # what was asked for lately, and before that: a stretch not asked for in a while is forgotten
         self.half, self.new, self.old = remembered // 2, {}, {}
+        self.half_pieces, self.new_pieces, self.old_pieces = pieces // 2, {}, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
-    def _stretches(self, stretches: list[str]) -> list[bytes]:
+    def _spaced(self, stretches: list[str]) -> list[bytes]:
         """The ids of each stretch after a space: all in one text, cut where a token starts with a space."""
         ids = np.array(self.library.encode_batch_fast([f" {' '.join(stretches)}"], add_special_tokens=False)[0].ids, "<u4")
         places = np.flatnonzero(self.starts[ids])
@@ -69,6 +81,39 @@ class ByteTokenizer:
         packed, edges = ids.tobytes(), [*(4 * places).tolist(), 4 * len(ids)]
         return [packed[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
+    def _common(self, text: str) -> bool:
+        return bool(_COMMON.fullmatch(text)) and not (self.special and self.special.search(text))
+
+    def _stretches(self, stretches: list[str]) -> list[bytes]:
+        """The ids of each stretch after a space."""
+        text = f" {' '.join(stretches)}"
+        if not self._common(text):
+            common = [self._common(f" {s}") for s in stretches]
+            others = iter(self._spaced([s for s, c in zip(stretches, common, strict=True) if not c]))
+            known = iter(self._stretches(some) if (some := [s for s, c in zip(stretches, common, strict=True) if c]) else [])
+            return [next(known if c else others) for c in common]
+        pieces = _PIECES.findall(text)
+        if len(self.new_pieces) >= self.half_pieces:
+            self.old_pieces, self.new_pieces = self.new_pieces, {}
+        new, old = self.new_pieces, self.old_pieces
+        missing = []
+        for piece in set(pieces):
+            if piece not in new:
+                if piece in old:
+                    new[piece] = old[piece]
+                else:
+                    missing.append(piece)
+        spaced, bare = [p[1:] for p in missing if p[0] == " "], [p for p in missing if p[0] != " "]
+        made = dict(zip(bare, self._encode(bare), strict=True)) if bare else {}
+        if spaced:
+            made.update(zip((f" {s}" for s in spaced), self._spaced(spaced), strict=True))
+        new.update((p, ids) for p, ids in made.items() if len(p) <= LONGEST_REMEMBERED)
+        found = [new[p] if p in new else made[p] for p in pieces]
+        # each stretch begins with the one piece that has its space
+        edges = [k for k, p in enumerate(pieces) if p[0] == " "]
+        edges.append(len(pieces))
+        return [found[a] if b - a == 1 else b"".join(found[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
     def __call__(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
         texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
@@ -86,24 +131,24 @@ class ByteTokenizer:
         first = edges[:-1]
         inner = np.ones(len(codes), bool)
         inner[first] = False
+        asked = np.zeros(len(distinct), bool)
+        asked[codes[inner]] = True
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        parts, missing = [b""] * len(distinct), []
-        for k in np.unique(codes[inner]).tolist():
-            stretch = distinct[k]
-            found = new.get(stretch)
-            if found is None:
-                found = old.get(stretch)
-                if found is None:
+        parts = list(map(new.get, distinct))
+        missing = []
+        for k in np.flatnonzero(asked).tolist():
+            if parts[k] is None:
+                ids = old.get(distinct[k])
+                if ids is None:
                     missing.append(k)
-                    continue
-                new[stretch] = found
-            parts[k] = found
+                else:
+                    parts[k] = new[distinct[k]] = ids
         if missing:
             for k, ids in zip(missing, self._stretches([distinct[k] for k in missing]), strict=True):
                 parts[k] = ids
-                if len(distinct[k]) <= LONGEST_REMEMBERED:
+                if len(distinct[k]) <= _LONGEST:
                     new[distinct[k]] = ids
         # a text's first stretch has no space before it
         parts += self._encode([distinct[k] for k in codes[first].tolist()])
@@ -118,6 +163,22 @@ def _pairs(symbols: np.ndarray, inner: np.ndarray) -> np.ndarray:
     return ((symbols[:-1].astype(wide) << shift) | symbols[1:])[inner]
 
 
+def _places(chosen: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number, found) of each key among the distinct, sorted chosen ones: by a hash that keeps these apart, if one is
+    met soon, else by bisection."""
+    wide, bits = chosen.dtype.type, 8 * chosen.itemsize
+    for odd in _ODD if len(chosen) <= PAIRS_A_ROUND else ():
+        factor, shift = wide(odd & ((1 << bits) - 1)), wide(bits - 22)
+        slots = (chosen * factor) >> shift
+        if len(np.unique(slots)) == len(slots):
+            place = np.zeros(1 << 22, np.int16)
+            place[slots] = np.arange(len(chosen))
+            number = place[(keys * factor) >> shift]
+            return number, chosen[number] == keys
+    number = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
+    return number, chosen[number] == keys
+
+
 def compress(ids: np.ndarray, offsets: np.ndarray, base: int, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS):
     """(symbols, rules, offsets): ids rewritten with nonterminals from base on; documents start at offsets."""
     room = 65_536 - base
@@ -127,11 +188,16 @@ def compress(ids: np.ndarray, offsets: np.ndarray, base: int, min_pairs: int = M
     first[offsets] = True
     first = first[:-1]
     rules = np.zeros((0, 2), np.int64)
+    least = 0  # a pair can be frequent only if one of its symbols is this or a later one
     for _ in range(rounds):
         if len(symbols) < 2 or len(rules) >= limit:
             break
         inner = ~first[1:]
-        keys = np.sort(_pairs(symbols, inner))
+        if least:
+            late = symbols >= least
+            inner &= late[1:] | late[:-1]
+        pairs = _pairs(symbols, inner)
+        keys = np.sort(pairs)
         if not len(keys):
             break
         edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
@@ -143,21 +209,16 @@ def compress(ids: np.ndarray, offsets: np.ndarray, base: int, min_pairs: int = M
         best = frequent[np.argsort(-counts[frequent], kind="stable")[:take]]
         chosen = np.sort(keys[edge[best]])
         # where a chosen pair stands; of overlapping ones every second counts
-        shift = 16 if chosen.dtype == np.uint32 else 32
-        wide = chosen.dtype.type
-        left, right = np.zeros((2, int(symbols.max()) + 1), bool)
-        left[chosen >> wide(shift)] = True
-        right[chosen & wide((1 << shift) - 1)] = True
-        at = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]] & inner)
-        key = (symbols[at].astype(wide) << wide(shift)) | symbols[at + 1]
-        number = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
-        hit = chosen[number] == key
-        at, number = at[hit], number[hit]
+        number, hit = _places(chosen, pairs)
+        at, number = np.flatnonzero(inner)[hit], number[hit].astype(np.int64)
         run = np.concatenate([[0], np.flatnonzero(np.diff(at) != 1) + 1, [len(at)]])
         place = np.arange(len(at)) - np.repeat(run[:-1], np.diff(run))
         at, number = at[place % 2 == 0], number[place % 2 == 0]
+        if take == len(frequent):  # none of these pairs is left, so frequent ones have a new symbol
+            least = base + len(rules)
         symbols = symbols.copy()
         symbols[at] = (base + len(rules) + number).astype(symbols.dtype)
+        wide, shift = (np.uint32, 16) if chosen.dtype == np.uint32 else (np.uint64, 32)
         rules = np.concatenate(
             [rules, np.stack([chosen >> wide(shift), chosen & wide((1 << shift) - 1)], axis=1).astype(np.int64)]
         )
@@ -167,13 +228,26 @@ def compress(ids: np.ndarray, offsets: np.ndarray, base: int, min_pairs: int = M
     return symbols, rules, np.flatnonzero(first)
 
 
+def _sizes(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(how many ids each nonterminal stands for, how deep its rules are nested)."""
+    sizes, depths = [], []
+    for left, right in rules.tolist():
+        a, b = left - base, right - base
+        sizes.append((sizes[a] if a >= 0 else 1) + (sizes[b] if b >= 0 else 1))
+        depths.append(1 + max(depths[a] if a >= 0 else 0, depths[b] if b >= 0 else 0))
+    return np.array(sizes, np.int64), np.array(depths, np.int64)
+
+
 def expansions(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(flat, ends): what each nonterminal stands for, one after the other; ends has one number more."""
-    made: list[np.ndarray] = []
-    for pair in rules:
-        made.append(np.concatenate([made[s - base] if s >= base else np.array([s]) for s in pair]))
-    ends = np.concatenate([[0], np.cumsum([len(m) for m in made])]).astype(np.int64)
-    return (np.concatenate(made) if made else np.zeros(0, np.int64)).astype(np.uint32), ends
+    sizes, depths = _sizes(rules, base)
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    flat = np.zeros(int(ends[-1]), np.uint32)
+    for depth in range(1, int(depths.max(initial=0)) + 1):
+        made = np.flatnonzero(depths == depth)
+        inside = np.arange(int(sizes[made].sum())) - np.repeat(np.cumsum(sizes[made]) - sizes[made], sizes[made])
+        flat[np.repeat(ends[made], sizes[made]) + inside] = expand(rules[made].ravel(), flat, ends, base)
+    return flat, ends
 
 
 def expand(symbols: np.ndarray, flat: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
@@ -203,7 +277,6 @@ def _shard(part: int, shard: int, docs: list[int | None], ids: list[bytes], base
     arrays = [np.frombuffer(b, "<u4") for b in ids]
     starts = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int64)
     symbols, rules, offsets = compress(np.concatenate(arrays), starts[:-1], base)
-    _, ends = expansions(rules, base)
     return {
         "part": part,
         "shard": shard,
@@ -213,7 +286,7 @@ def _shard(part: int, shard: int, docs: list[int | None], ids: list[bytes], base
         "n_tokens": int(starts[-1]),
         "symbols": symbols.astype(symbols.dtype.newbyteorder("<")).tobytes(),
         "rules": rules.astype("<u4").tobytes(),
-        "lengths": np.diff(ends).astype("<u4").tobytes(),
+        "lengths": _sizes(rules, base)[0].astype("<u4").tobytes(),
         "offsets": offsets.astype("<i8").tobytes(),
         "starts": starts.astype("<i8").tobytes(),
         "doc_ids": docs,
@@ -260,7 +333,7 @@ def write(
         )
         held_docs, held_ids, size, shard = [], [], 0, 0
         for batch in batches:
-            for rows in slices(batch, 1):
+            for rows in slices(batch, 1, _SLICE_BYTES, _SLICE_ROWS):
                 made = tokenizer(rows.column(1))
                 for doc, ids in zip(rows.column(0).to_pylist(), made, strict=True):
                     held_docs.append(doc)

@@ -91,3 +91,34 @@ def test_rows_with_one_id_and_without(spark, documents, tmp_path):
 def test_empty_table(spark, documents, tmp_path):
     files.write(documents([]).limit(0), str(tmp_path / "ids"))
     assert files.read(spark, str(tmp_path / "ids")).count() == 0
+
+
+def test_stretches_of_known_pieces_are_not_encoded_again():
+    with open(FILE, encoding="utf-8") as source:
+        own = files.ByteTokenizer(source.read())
+    own(["x the cat, sat über"])
+    asked, encode = [], own._encode
+    own._encode = lambda texts: asked.extend(texts) or encode(texts)
+    own._spaced = lambda stretches: pytest.fail(f"encoded again: {stretches}")
+    text = "x cat, the, sat, über,\nsat"
+    own.new_pieces["\n"], own.new_pieces["sat"] = encode(["\n", "sat"])
+    assert [list(np.frombuffer(b, "<u4")) for b in own([text])] == [ids_of(text)]
+    assert asked == ["x"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abZ'stm09,.-<|>\n éßÿŉſ×÷²ªµ中\x1f\x7f\xa0"), max_size=30), max_size=4))
+def test_pieces_of_common_letters(texts):
+    assert [list(np.frombuffer(b, "<u4")) for b in OWN(texts)] == [ids_of(t) for t in texts]
+
+
+def test_pairs_are_found_by_hash_as_by_bisection(monkeypatch):
+    rng = np.random.default_rng(7)
+    for kind in (np.uint32, np.uint64):
+        chosen = np.unique(rng.integers(0, np.iinfo(kind).max, 4000, kind))
+        keys = np.concatenate([rng.choice(chosen, 500), rng.integers(0, np.iinfo(kind).max, 500, kind)])
+        number, found = files._places(chosen, keys)
+        with monkeypatch.context() as m:
+            m.setattr(files, "_ODD", ())
+            plain, same = files._places(chosen, keys)
+        assert np.array_equal(found, same) and np.array_equal(number[found], plain[found]) and found.sum() >= 500
