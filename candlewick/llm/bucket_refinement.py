@@ -50,7 +50,7 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
-    h = h * _MIX
+    h *= _MIX
     h ^= h >> np.uint64(29)
     h *= _BASE
     h ^= h >> np.uint64(32)
@@ -177,10 +177,16 @@ def _initial(length: int, q: int, parts: int):
         keys, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for doc, text in blocks.documents_of(group):
             for part in suffixes_of(text, length, q) if doc is not None else ():
-                found = np.unique(part.bucket)
-                keys.append(found)
-                ids.append(np.full(len(found), doc, np.int64))
-        (names,), _, more = blocks.least_ids([np.concatenate(keys)], np.concatenate(ids))
+                keys.append(part.bucket)
+                ids.append(np.full(len(part.bucket), doc, np.int64))
+        names, ids = np.concatenate(keys), np.concatenate(ids)
+        order = np.argsort(names)
+        names, ids = names[order], ids[order]
+        new = np.ones(len(names), bool)
+        new[1:] = names[1:] != names[:-1]
+        more = np.zeros(int(new.sum()), bool)
+        more[np.cumsum(new)[1:][~new[1:] & (ids[1:] != ids[:-1])] - 1] = True
+        names = names[new]
         cuts = np.searchsorted(names, _edges(parts)).tolist()
         filled = [k for k in range(parts) if cuts[k] < cuts[k + 1]]
         packed = [_packed(names[cuts[k] : cuts[k + 1]], more[cuts[k] : cuts[k + 1]]) for k in filled]
@@ -202,7 +208,7 @@ def _live(group: pa.Table) -> pa.Table:
         found.append(_unpacked(packed))
         numbers.append(np.full(len(found[-1][0]), number, np.int32))
     names, more, of = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), np.concatenate(numbers)
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     ordered = names[order]
     same = np.zeros(len(names) + 1, bool)
     same[1:-1] = ordered[1:] == ordered[:-1]
