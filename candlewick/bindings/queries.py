@@ -30,7 +30,7 @@ from candlewick.sources import SOURCES, envelope_lines, promoted_lines, read_lan
 from candlewick.sources.footers import bounds
 from candlewick.sources.key_index import KeyIndex
 from candlewick.sources.registry import TABLES
-from candlewick.sources.tables import append_table
+from candlewick.sources.tables import append_table, meeting_in_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -738,7 +738,7 @@ def indexed_append(spark, sf):
 
 
 def _bars_in_loads(spark, sf, lake: build.Lake) -> Iterator[DataFrame]:
-    """Bars in two loads: the second brings missing bars and corrections of known ones. Gives the cleaned rows of each."""
+    """Bars in two loads: the second brings missing bars and corrections of known ones. Gives the rows of each."""
     bars = frames.bronze_bars(spark, sf)
     late = F.col("transaction_count") >= 5
     for load in (bars.filter(~late), bars.filter(late)):
@@ -768,8 +768,11 @@ def facts_halo(spark, sf):
             spark.table(f"{name}.{t}").drop(incremental.PART)
             for t in ("fct_daily_returns", "fct_moving_averages", "fct_volume_anomalies")
         )
-        both = op.spread_join(op.spread_join(returns, averages.drop("close_price"), key, "inner"), volumes, key, "inner")
-        rows = _stored(spark, both)
+        # The facts lie in the same buckets and meet there.
+        both = op.spread_join(returns, averages.drop("close_price"), key, "inner", in_place=True)
+        both = op.spread_join(both, volumes, key, "inner", in_place=True)
+        with meeting_in_buckets(spark):
+            rows = _stored(spark, both)
     return portable(rows, daily_return=6, avg_volume_20d=8, volume_ratio=6, **_AVERAGES)
 
 

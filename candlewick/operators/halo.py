@@ -14,17 +14,30 @@ HALO = 50
 REACHED = "_reached"
 
 
-def reached_bars(bars: DataFrame, changes: DataFrame, halo: int = HALO, key: str = "ticker", order: str = "trade_date") -> DataFrame:
+def reached_bars(
+    bars: DataFrame,
+    changes: DataFrame,
+    halo: int = HALO,
+    key: str = "ticker",
+    order: str = "trade_date",
+    *,
+    few: bool = True,
+    tasks: int | None = None,
+) -> DataFrame:
     """The bars a change can reach, with the bars before them that their metrics look at.
 
     ``changes`` has the key and date of bars that were added, corrected or removed; ``bars`` is the content after
     that. A change at a date reaches the first bar at or after it and the ``halo`` bars behind that one; ``_reached``
     tells these from the ``halo`` bars before each of them. Tickers without a change are left out by a join that needs
     no shuffle of the bars where the changed tickers are few. One shuffle and one sort serve all windows, and
-    :func:`bar_metrics` over the result uses them again.
+    :func:`bar_metrics` over the result uses them again. Without ``few`` most tickers are taken for changed, and those
+    that are not are left out by the windows alone, as the join would shuffle the bars once more. ``tasks`` is the number
+    of tasks that the tickers are dealt to (default: Spark's); changes that lie in as many buckets by ticker stay there.
     """
     points = changes.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).select(key, order).distinct()
-    own = spread_join(bars, points.select(key).distinct(), [key], "left_semi")
+    own = spread_join(bars, points.select(key).distinct(), [key], "left_semi") if few else bars
+    if tasks:
+        own = own.repartition(tasks, key)
     marks = points.select(*[(F.col(c) if c in (key, order) else F.lit(None).cast(own.schema[c].dataType)).alias(c) for c in bars.columns])
     line = own.withColumn("_mark", F.lit(0)).unionByName(marks.withColumn("_mark", F.lit(1)))
     series = Window.partitionBy(key).orderBy(order, F.col("_mark").desc())
@@ -60,9 +73,15 @@ def refreshed(
     return replaced(facts, anew, changes, key, order)
 
 
-def replaced(facts: DataFrame, anew: DataFrame, changes: DataFrame, key: str = "ticker", order: str = "trade_date") -> DataFrame:
-    """``facts`` with the rows of ``anew`` in place of those of their key and date, without those of ``changes``. Both are
-    used twice."""
-    gone = anew.select(key, order).union(changes.select(key, order)).distinct()
-    stay = spread_join(facts, gone, [key, order], "left_anti")
+def replaced(
+    facts: DataFrame, anew: DataFrame, changes: DataFrame, key: str = "ticker", order: str = "trade_date", *, in_place: bool = False
+) -> DataFrame:
+    """``facts`` with the rows of ``anew`` in place of those of their key and date, without those of ``changes``. ``anew`` is
+    used twice. With ``in_place`` all three lie in the same buckets of the key, and none is shuffled."""
+    gone = [rows.select(key, order) for rows in (anew, changes)]
+    if not in_place:
+        gone = [gone[0].union(gone[1])]
+    stay = facts
+    for rows in gone:
+        stay = spread_join(stay, rows.distinct(), [key, order], "left_anti", in_place=in_place)
     return stay.unionByName(anew.select(*facts.columns))

@@ -16,18 +16,23 @@ def _check_overlap(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None
         raise ValueError(f"both sides share the columns {overlap}; rename one side")
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, *, in_place: bool = False) -> DataFrame:
     """Equi-join whose left side AQE can always split when a key is hot.
 
     AQE splits a skewed partition only where the join reads a shuffle of its own. A side that is
     already clustered on ``on`` (the result of a dedup or a distinct) has none, so the hot key would
     stay in one task. Joining on a hash of the key as well gives each side its own shuffle.
-    Which side is broadcast, if any, is left to the optimizer's size check.
+    Which side is broadcast, if any, is left to the optimizer's size check. ``in_place`` is for sides without a hot key
+    that lie in the same buckets of a part of the key: they meet there, without a shuffle, where the query runs within
+    :func:`candlewick.sources.tables.meeting_in_buckets`.
     """
     if how not in ("left_anti", "left_semi"):
         _check_overlap(left, right, on)
-    key_hash = F.xxhash64(*[F.col(c) for c in on]).alias(_SPREAD)
-    joined = left.select("*", key_hash).join(right.select("*", key_hash), [*on, _SPREAD], how)
+    if in_place:
+        joined = left.join(right, [*on], how)
+    else:
+        key_hash = F.xxhash64(*[F.col(c) for c in on]).alias(_SPREAD)
+        joined = left.select("*", key_hash).join(right.select("*", key_hash), [*on, _SPREAD], how)
     kept = [*left.columns]
     if how not in ("left_anti", "left_semi"):
         kept += [c for c in right.columns if c not in on]

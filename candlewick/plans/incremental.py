@@ -7,7 +7,6 @@ it, written after the swap: a stop in between repeats a refresh, which gives the
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +17,16 @@ from candlewick.operators.halo import REACHED, reached_bars, replaced
 from candlewick.plans import gold, silver
 from candlewick.plans.build import STAGING_INPUT, CheckFailed, Lake
 from candlewick.plans.checks import CHECKS
-from candlewick.session import remove_folder, shared_dir
-from candlewick.sources.tables import append_table, replace_table, swap_partitions, table_or_none
+from candlewick.sources.registry import AUDIT
+from candlewick.sources.tables import (
+    append_table,
+    buckets_of,
+    meeting_in_buckets,
+    replace_table,
+    setting,
+    swap_partitions,
+    table_or_none,
+)
 
 PART = "_part"
 SEEN = "seen_at"
@@ -33,9 +40,11 @@ _METRICS = {
 }
 
 
-#: Hash classes of the keys of a partition, so that a partition is not sorted and written by one task.
-SLOTS = 32
-_SLOT = "_slot"
+#: Buckets of the tables: of a cleaned table by its key, which is unique, and of the facts over bars, and the bars they
+#: are computed from, by ticker, which has a bar a day at most, so that no bucket is hot. What is computed from these, joined
+#: with them or replaced in them needs no shuffle.
+BUCKETS = 32
+_BY_TICKER = {"bucket_by": "ticker", "buckets": BUCKETS, "sort_by": ("trade_date",)}
 
 
 def _part(keys: Sequence[str], parts: int) -> Column:
@@ -48,8 +57,8 @@ def _parts(spark: SparkSession, name: str, wanted: int) -> int:
     return wanted if rows is None else int(spark.sql(f"SHOW TBLPROPERTIES {name}").filter("key = 'parts'").first()["value"])
 
 
-def _create(df: DataFrame, name: str, parts: int, validate: Callable[[DataFrame], None] | None = None) -> None:
-    replace_table(df, name, validate=validate, part_by=PART)
+def _create(df: DataFrame, name: str, parts: int, validate: Callable[[DataFrame], None] | None = None, **layout) -> None:
+    replace_table(df, name, validate=validate, part_by=PART, **layout)
     df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('parts' = '{parts}')")
 
 
@@ -81,58 +90,69 @@ def _note(spark: SparkSession, files: Sequence[str], ledger: str) -> None:
     append_table(spark.createDataFrame([(f,) for f in files], "file string"), ledger)
 
 
-def upsert(staged: DataFrame, name: str, model: str, parts: int, rows: DataFrame | None = None) -> list[int]:
-    """Bring cleaned rows into their table, newest per key; returns the partitions that were written.
+def upsert(rows: DataFrame, name: str, model: str, parts: int) -> list[int]:
+    """Bring the typed rows of a batch into their table, newest per key; returns the partitions that were written.
 
-    ``staged`` has one row per key. With the stored rows a key has two at most, so these meet in one shuffle that also
-    deals them to the partitions: by partition and a hash of the key. ``rows`` are those that ``staged`` was chosen from,
-    if they are at hand: they fall into the same partitions, which are found from them without the choice.
+    The newest version of a key in the batch is found by one shuffle, before which a task chooses among its own, and which
+    deals the keys to the buckets of the table. The stored row meets it there, so the table is not shuffled.
     """
-    spark, spec = staged.sparkSession, silver.STAGING[model]
+    spark, spec = rows.sparkSession, silver.STAGING[model]
     parts = _parts(spark, name, parts)
-    keys = PART_KEYS.get(model, spec.keys)
-    batch = staged.select("*", _part(keys, parts))
-    touched = _touched((staged if rows is None else rows).select(_part(keys, parts)))
+    part = _part(PART_KEYS.get(model, spec.keys), parts)
+    touched = _touched(rows.select(part))
     stored = table_or_none(spark, name)
     check = _must_pass(CHECKS, model)
-    if stored is None:
-        _create(batch, name, parts, check)
-    elif touched:
-        both = stored.filter(F.col(PART).isin(touched)).unionByName(batch)
-        dealt = both.withColumn(_SLOT, F.pmod(F.hash(*spec.keys), F.lit(SLOTS))).repartition(PART, _SLOT)
-        on = [PART, _SLOT, *spec.keys]
-        newest = dedup_latest(dealt, on, silver.newest_first(), silver.payload_order(model)).drop(_SLOT)
-        swap_partitions(newest, name, PART, validate=check, dealt=True)
+    batch = dedup_latest(rows, spec.keys, silver.newest_first(), silver.payload_order(model)).select("*", part)
+    with setting(spark, "spark.sql.shuffle.partitions", str(BUCKETS)):
+        if stored is None:
+            _create(batch, name, parts, check, dealt=True, bucket_by=spec.keys, buckets=BUCKETS)
+        elif touched:
+            content = _newer(stored.filter(F.col(PART).isin(touched)), batch, model)
+            swap_partitions(content, name, PART, validate=check, dealt=True)
     return touched
 
 
+def _newer(stored: DataFrame, batch: DataFrame, model: str) -> DataFrame:
+    """Per key the newer of two rows, in the order of :func:`silver.stage`. Both sides have a key once."""
+    keys = silver.STAGING[model].keys
+    rest = [c for c in stored.columns if c not in keys]
+    old, new = (side.select(*keys, F.struct(*rest).alias(name)) for side, name in ((stored, "_old"), (batch, "_new")))
+    order = [*AUDIT, *[c for c in silver.STAGING[model].columns if c not in keys]]
+    rank = {side: F.struct(*[F.col(f"{side}.{c}") for c in order]) for side in ("_old", "_new")}  # NULL is the least
+    taken = F.col("_old").isNull() | (F.col("_new").isNotNull() & (rank["_new"] > rank["_old"]))
+    best = F.when(taken, F.col("_new")).otherwise(F.col("_old"))
+    both = old.join(new, [*keys], "full_outer").select(*keys, best.alias("_best"))
+    return both.select(*keys, "_best.*").select(*stored.columns)
+
+
 def refresh_silver(spark: SparkSession, lake: Lake, model: str, parts: int = 64) -> tuple[DataFrame | None, list[int]]:
-    """Take in the files that its typed table has gained; returns (the cleaned rows of these files or None, the
-    partitions written). The rows are read from the files again whenever they are used."""
+    """Take in the files that its typed table has gained; returns (the rows of these files in the types of the cleaned
+    table, every version of a key, or None, the partitions written). The rows are read from the files again whenever they
+    are used."""
     source, target = f"{lake.bronze}.{STAGING_INPUT[model]}", f"{lake.silver}.{model}"
     ledger = f"{target}__inputs"
     files = new_files(spark, source, ledger)
     if not files:
         return None, []
-    rows = spark.read.schema(spark.table(source).schema).parquet(*files)
-    batch = silver.stage(rows, model)
-    touched = upsert(batch, target, model, parts, silver.typed(rows, model))
+    batch = silver.typed(spark.read.schema(spark.table(source).schema).parquet(*files), model)
+    touched = upsert(batch, target, model, parts)
     _note(spark, files, ledger)
     return batch, touched
 
 
 def refresh_facts(spark: SparkSession, lake: Lake, changes: DataFrame, parts: int = 64) -> dict[str, list[int]]:
-    """Bring the three facts over bars up to date with the cleaned bars after ``changes`` (ticker, trade_date): of each
-    changed ticker only rows that a change reaches are computed, and only partitions with a changed ticker written.
-    The changes, and the metrics of all three facts, are computed once into a folder that goes afterwards."""
+    """Bring the three facts over bars up to date with the cleaned bars after ``changes`` (ticker, trade_date; a key may
+    come many times): of each changed ticker only rows that a change reaches are computed, and only partitions with a
+    changed ticker written. The changes, and the bars that the metrics of all three facts look at, are found once and
+    stored in buckets by ticker, beside the facts, which lie in the same ones; these tables go afterwards."""
     bars_name = f"{lake.silver}.stg_daily_bars"
     parts = _parts(spark, bars_name, parts)
     bars = table_or_none(spark, bars_name).select(PART, "ticker", "trade_date", "close_price", "volume")
-    folder = f"{shared_dir(spark)}/facts-{uuid.uuid4().hex}"
+    helpers = {name: f"{lake.gold}.facts__{name}" for name in ("changes", "bars", "reached")}
 
-    def staged(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+    def staged(rows: DataFrame, name: str, dealt: bool = False) -> DataFrame:
+        replace_table(rows, helpers[name], dealt=dealt, **_BY_TICKER)
+        return spark.table(helpers[name])
 
     names = {model: f"{lake.gold}.{model}" for model in _METRICS}
     stored = {model: table_or_none(spark, name) for model, name in names.items()}
@@ -147,36 +167,41 @@ def refresh_facts(spark: SparkSession, lake: Lake, changes: DataFrame, parts: in
 
     written = {}
     try:
-        points = changes.select("ticker", "trade_date").distinct().select("*", _part(["ticker"], parts))
-        points = staged(points, "changes")
-        touched = _touched(points)
         missing = [model for model in _METRICS if stored[model] is None]
         if missing:
-            every = staged(rolling.bar_metrics(bars, columns(missing), keep=keep), "all")
+            every = rolling.bar_metrics(staged(bars, "bars"), columns(missing), keep=keep)
             for model in missing:
-                _create(of(model, every), names[model], parts)
+                _create(of(model, every), names[model], parts, dealt=True, **_BY_TICKER)
                 written[model] = list(range(parts))
         known = [model for model in _METRICS if stored[model] is not None]
-        if known and touched:
+        touched = []
+        if known:
+            points = changes.select("ticker", "trade_date").repartition(BUCKETS, "ticker").distinct()
+            points = staged(points.select("*", _part(["ticker"], parts)), "changes", dealt=True)
+            touched = _touched(points)
+        if touched:
             own = bars.filter(F.col(PART).isin(touched))
-            near = reached_bars(own, points)
-            anew = staged(rolling.bar_metrics(near, columns(known), keep=[*keep, REACHED]).filter(REACHED).drop(REACHED), "anew")
+            few = points.count() < own.count() / 16
+            near = staged(reached_bars(own, points, few=few, tasks=BUCKETS), "reached", dealt=True)
+            anew = rolling.bar_metrics(near, columns(known), keep=[*keep, REACHED]).filter(REACHED).drop(REACHED)
             some_empty = own.select(PART).distinct().count() < len(touched)
         for model in known:
             if not touched:
                 written[model] = []
                 continue
             name, facts = names[model], stored[model]
-            content = replaced(facts.filter(F.col(PART).isin(touched)), of(model, anew), points)
-            emptied = set(touched) - set(_touched(content)) if some_empty else set()
-            if emptied:  # a swap cannot leave a partition without rows
-                replace_table(facts.filter(~F.col(PART).isin(touched)).unionByName(content), name, part_by=PART)
-                spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('parts' = '{parts}')")
-            else:
-                swap_partitions(content, name, PART)
+            content = replaced(facts.filter(F.col(PART).isin(touched)), of(model, anew), points, in_place=True)
+            with meeting_in_buckets(spark):
+                emptied = set(touched) - set(_touched(content)) if some_empty else set()
+                if emptied:  # a swap cannot leave a partition without rows
+                    others = facts.filter(~F.col(PART).isin(touched))
+                    _create(others.unionByName(content), name, parts, **_BY_TICKER)
+                else:
+                    swap_partitions(content, name, PART, dealt=buckets_of(spark, name) is not None)
             written[model] = touched
     finally:
-        remove_folder(spark, folder)
+        for helper in helpers.values():
+            spark.sql(f"DROP TABLE IF EXISTS {helper}")
     return written
 
 
@@ -218,7 +243,7 @@ def refresh(spark: SparkSession, lake: Lake, parts: int = 64) -> dict[str, list[
         files = new_files(spark, source, ledger)
         if not files:
             continue
-        batch = silver.stage(spark.read.schema(spark.table(source).schema).parquet(*files), model)
+        batch = silver.typed(spark.read.schema(spark.table(source).schema).parquet(*files), model)
         if model == "stg_daily_bars":
             written |= refresh_facts(spark, lake, batch, parts)
         else:

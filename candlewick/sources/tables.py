@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +35,9 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 def _save(writer: DataFrameWriter, name: str, spark: SparkSession, mode: str = "overwrite") -> None:
     """Timestamps as microseconds, whose bounds stand in the file footers; the older 96-bit form has none. Zstandard takes
-    less room than Spark's default."""
-    with setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
+    less room than Spark's default. The shuffles of the write go with it, not when the driver next collects garbage."""
+    micros = setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    with micros, setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         writer.format("parquet").option("compression", "zstd").mode(mode).saveAsTable(name)
 
 
@@ -77,28 +80,34 @@ def replace_table(
     name: str,
     *,
     validate: Callable[[DataFrame], None] | None = None,
-    bucket_by: str | None = None,
+    bucket_by: str | Sequence[str] | None = None,
     buckets: int | None = None,
     sort_by: Sequence[str] = (),
     part_by: str | None = None,
+    dealt: bool = False,
 ) -> None:
     """Write the new content beside the table, check it, then swap names.
 
     ``df`` may read the table it replaces. If the write or ``validate`` fails, the table is untouched.
-    With ``bucket_by`` later joins and windows on that column read the table without a shuffle; with
-    ``part_by`` it has one folder per value of that column, whose rows are gathered before they are written.
+    With ``bucket_by`` later joins and windows on these columns read the table without a shuffle; with
+    ``part_by`` it has one folder per value of that column, whose rows are gathered before they are written. With both,
+    the rows of a bucket are gathered, and each folder has files of the buckets that occur in it. ``dealt`` as for
+    :func:`swap_partitions`.
     """
     spark = df.sparkSession
     # A swap of partitions that a stop left open belongs to the content that goes.
     spark.sql(f"DROP TABLE IF EXISTS {name}__swap")
     recover_table(spark, name)
     staged, old = f"{name}__staged", f"{name}__old"
+    bucketed = None
     if bucket_by:
+        columns = (bucket_by,) if isinstance(bucket_by, str) else tuple(bucket_by)
         count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = df.repartition(count, bucket_by).write.bucketBy(count, bucket_by)
-        _save(dealt.sortBy(bucket_by, *sort_by), staged, spark)
-    elif part_by:
-        _write_parts(df, staged, part_by)
+        bucketed = Buckets(count, columns, (*columns, *sort_by))
+    if part_by:
+        _write_parts(df, staged, part_by, dealt, bucketed)
+    elif bucketed:
+        _save(_in_buckets(df if dealt else bucketed.gathered(df), bucketed), staged, spark)
     else:
         _save(df.write, staged, spark)
     if validate is not None:
@@ -109,11 +118,45 @@ def replace_table(
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def _write_parts(df: DataFrame, name: str, part_by: str, dealt: bool = False) -> None:
+def meeting_in_buckets(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that run within may join tables in their buckets if these are by a part of the key alone, which Spark does
+    not do by itself, as a hot bucket could not be split."""
+    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """How a table is bucketed."""
+
+    count: int
+    columns: tuple[str, ...]
+    sort_by: tuple[str, ...]
+
+    def gathered(self, df: DataFrame) -> DataFrame:
+        """One task per bucket."""
+        return df.repartition(self.count, *self.columns)
+
+
+def _in_buckets(df: DataFrame, buckets: Buckets) -> DataFrameWriter:
+    return df.write.bucketBy(buckets.count, *buckets.columns).sortBy(*buckets.sort_by)
+
+
+def buckets_of(spark: SparkSession, name: str) -> Buckets | None:
+    """How a stored table is bucketed, or None."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if "Num Buckets" not in about:
+        return None
+    by, sort_by = (tuple(re.findall("`([^`]+)`", about[k])) for k in ("Bucket Columns", "Sort Columns"))
+    return Buckets(int(about["Num Buckets"]), by, sort_by or by)
+
+
+def _write_parts(df: DataFrame, name: str, part_by: str, dealt: bool = False, buckets: Buckets | None = None) -> None:
     """The folders are found by listing: a catalog that keeps their places would keep the old ones over a rename."""
     with setting(df.sparkSession, "spark.sql.hive.manageFilesourcePartitions", "false"):
-        gathered = df if dealt else df.hint("rebalance", part_by)
-        _save(gathered.write.partitionBy(part_by), name, df.sparkSession)
+        if not dealt:
+            df = buckets.gathered(df) if buckets else df.hint("rebalance", part_by)
+        writer = _in_buckets(df, buckets) if buckets else df.write
+        _save(writer.partitionBy(part_by), name, df.sparkSession)
 
 
 def swap_partitions(
@@ -128,13 +171,14 @@ def swap_partitions(
 
     ``df`` may read the table. The new partitions are written beside it, checked, and only then brought in, so a failure
     before that changes nothing; a stop while they are brought in is finished by the next access, from the copy.
-    With ``dealt`` the rows of a task belong to few partitions already, and are not gathered by a shuffle of their own.
+    With ``dealt`` the rows lie in tasks as they are to be written, and are not gathered by a shuffle of their own. The new
+    partitions are bucketed as the table is.
     """
     spark = df.sparkSession
     finish_swap(spark, name)
     staged, swap = f"{name}__staged", f"{name}__swap"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    _write_parts(df, staged, part_by, dealt)
+    _write_parts(df, staged, part_by, dealt, buckets_of(spark, name))
     if validate is not None:
         validate(spark.table(staged))
     _rename(spark, staged, swap)  # from here on the swap counts as decided

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick import operators as op
-from candlewick.operators.halo import REACHED, reached_bars, refreshed
+from candlewick.operators.halo import REACHED, reached_bars, refreshed, replaced
 from candlewick.plans import build, gold, incremental, silver
 from candlewick.sources import tables
 from candlewick.sources.tables import append_table, replace_table, swap_partitions, table_or_none
@@ -270,3 +270,70 @@ def test_changes_are_read_once_for_all_three_facts(spark, db, monkeypatch):
     for _ in range(2):
         incremental.refresh_facts(spark, lake, bars.limit(3), 1)
     assert len(computed) == 2
+
+
+# ---- in buckets -------------------------------------------------------------------------------------
+
+FACTS = ("fct_daily_returns", "fct_moving_averages", "fct_volume_anomalies")
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def versions(spark, rng, load, tickers="ABCDEF"):
+    """Bars with several versions of a key, some of the same time, and values that are missing."""
+    found = [
+        (rng.choice(tickers), DAY + timedelta(rng.randrange(70)), *[rng.choice([None, 1.0, 2.0]) for _ in range(3)], 3.0)
+        + (rng.choice([None, 1.0, 2.0]), 1.0, load, rng.choice([None, datetime(2024, 6, rng.randint(1, 3))]), rng.choice("xy"))
+        for _ in range(300)
+    ]
+    return spark.createDataFrame(found, BRONZE_BARS)
+
+
+@pytest.mark.parametrize("older_layout", [False, True])
+def test_versions_and_facts_in_buckets_are_those_of_a_rebuild(spark, db, older_layout):
+    rng = random.Random(5)
+    lake = build.Lake("", db, db, db)
+    for load in range(2):
+        append_table(versions(spark, rng, load), f"{db}.daily_bars")
+        incremental.refresh_facts(spark, lake, incremental.refresh_silver(spark, lake, "stg_daily_bars", 3)[0])
+        if older_layout and not load:
+            for name in ("stg_daily_bars", *FACTS):
+                incremental._create(spark.table(f"{db}.{name}"), f"{db}.{name}", 3)
+    staged = silver.stg_daily_bars(spark.table(f"{db}.daily_bars"))
+    bars = gold.fct_daily_bars(staged)
+    for name, wanted in {"stg_daily_bars": staged, **{name: getattr(gold, name)(bars) for name in FACTS}}.items():
+        found = spark.table(f"{db}.{name}").select(*wanted.columns)
+        plain = [[F.round(c, 9) if t == "double" else c for c, t in df.dtypes] for df in (found, wanted)]
+        assert rows(found.select(*plain[0])) == rows(wanted.select(*plain[1]))
+    assert not [t.name for t in spark.catalog.listTables(db) if t.name.startswith("facts__")]
+
+
+def test_what_lies_in_the_same_buckets_meets_without_a_shuffle(spark, db, setting):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    lake = build.Lake("", db, db, db)
+    append_table(versions(spark, random.Random(6), 1), f"{db}.daily_bars")
+    changes, _ = incremental.refresh_silver(spark, lake, "stg_daily_bars", 3)
+    incremental.refresh_facts(spark, lake, changes)
+    returns, averages, volumes = (spark.table(f"{db}.{name}").drop("_part") for name in FACTS)
+    key = ["ticker", "trade_date"]
+    with tables.meeting_in_buckets(spark):
+        both = op.spread_join(returns, averages.drop("close_price"), key, "inner", in_place=True)
+        assert shuffles(op.spread_join(both, volumes, key, "inner", in_place=True)) == 0
+        assert shuffles(replaced(returns, returns.where("daily_return > 0"), averages, in_place=True)) == 0
+    assert shuffles(spark.table(f"{db}.stg_daily_bars").groupBy(*key).count()) == 0
+    stored = spark.table(f"{db}.stg_daily_bars")
+    batch = op.dedup_latest(changes, key, silver.newest_first()).withColumn("_part", F.lit(0))
+    with tables.setting(spark, "spark.sql.shuffle.partitions", str(incremental.BUCKETS)):
+        assert shuffles(incremental._newer(stored, batch, "stg_daily_bars")) == 1  # of the batch
+
+
+def test_the_shuffles_of_a_write_go_with_it(spark, db):
+    def kept():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = kept()
+    append_table(spark.range(1000).repartition(3, "id"), f"{db}.t")
+    assert kept() <= before
