@@ -56,7 +56,7 @@ def exclude_existing(
     keys to those of the batch: the batch is read twice, but where its keys are small enough for Spark to
     broadcast, the stored side is neither made distinct nor shuffled. ``stored`` (writes a table and gives it back read
     from there) is for batches that are known for the most part and for ``policy="first_wins"``: the new keys are found
-    from keys alone and stored, now; then their size is known, and the rows of the batch need no shuffle where Spark
+    from keys alone, by one grouping of both sides, and stored, now; then their size is known, and the rows of the batch need no shuffle where Spark
     broadcasts them.
     """
     if policy not in (FIRST_WINS, LATEST_WINS):
@@ -80,8 +80,10 @@ def exclude_existing(
     if small_batch:
         known = spread_join(known, keyed.select(*on).distinct(), on, "left_semi")
     if policy == FIRST_WINS and stored is not None:
-        asked, have = (side.select(*on).distinct() for side in (keyed, known))
-        new = stored(asked.join(have, on, "left_anti"))
+        asked, have = (side.select(*on, F.lit(held).alias("_held")) for side, held in ((keyed, False), (known, True)))
+        groups = asked.unionByName(have).groupBy(*on).agg(F.bool_or("_held").alias("_known"), F.bool_and("_held").alias("_only"))
+        # A NULL never matches, so a key with one is new although there are stored ones like it.
+        new = stored(groups.filter(~F.col("_only") & (~F.col("_known") | any_null(on))).select(*on))
         return spread_join(keyed, new, on, "left_semi").select(*columns)
     if policy == FIRST_WINS:
         return spread_join(keyed, known.select(*on).distinct(), on, "left_anti").select(*columns)

@@ -9,7 +9,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candlewick.operators import (
     cast_rejects,
@@ -54,33 +53,17 @@ def _columns(table: str) -> list[Column]:
 def fan_out(envelopes: DataFrame, tables: Sequence[str], folder: str) -> dict[str, DataFrame]:
     """The projected rows of several tables of one source from a single parse, written to ``folder`` in one job.
 
-    Each envelope becomes one row per plain table and one per element of the exploded one; the rows go to a folder
-    per table, as typed Parquet without the fields that no table uses. The result of each table reads its folder,
-    as often as a load asks for it, and outlives a lost executor. At most one of the tables may explode an array.
+    The parsed envelopes are written as typed Parquet, one row each, and each table is projected from the columns it
+    needs of these, as often as a load asks for it; the files outlive a lost executor. At most one of the tables may
+    explode an array.
     """
     exploded = [t for t in tables if TABLES[t].explode]
     if len(exploded) > 1:
         raise ValueError(f"{exploded} each explode an array")
-    element = T.StringType()
-    if exploded:
-        array = envelopes.select(TABLES[exploded[0]].explode).schema[0].dataType
-        element = array.elementType
-
-    def part(table: str, value: Column) -> Column:
-        return F.struct(F.lit(table).alias("table"), value.cast(element).alias("element"))
-
-    parts = F.array(*[part(t, F.lit(None)) for t in tables if t not in exploded])
-    if exploded:
-        each = F.transform(TABLES[exploded[0]].explode, lambda e: part(exploded[0], e))
-        none = F.filter(F.array(part(exploded[0], F.lit(None))), lambda _: F.lit(False))
-        each = F.coalesce(each, none)
-        parts = each if len(tables) == 1 else F.concat(parts, each)
-    tagged = envelopes.select("*", F.explode(parts).alias("_part")).select("*", F.col("_part.element").alias("_element"))
-    here = F.col("_part.table")
-    rows = tagged.select(*[F.when(here == t, F.struct(*_columns(t))).alias(t) for t in tables], here.alias("_table"))
-    rows.write.partitionBy("_table").parquet(folder)
-    staged = envelopes.sparkSession.read.schema(rows.schema).parquet(folder)
-    return {t: staged.where(F.col("_table") == t).select(f"{t}.*") for t in tables}
+    parsed = envelopes.select("record", "_ingested_at", "_request_metadata", "_source_file")
+    parsed.write.option("compression", "zstd").parquet(folder)
+    staged = envelopes.sparkSession.read.schema(parsed.schema).parquet(folder)
+    return {t: project(staged, t) for t in tables}
 
 
 def structured(rows: DataFrame, table: str) -> DataFrame:
@@ -125,12 +108,12 @@ def new_rows(
     stored: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The projected rows of a batch that a load would append to ``existing``. With ``stored`` only rows with a new key are
-    made unique and shuffled; see :func:`exclude_existing`."""
+    made unique and shuffled, see :func:`exclude_existing`; what is stored has a row for keys with a NULL, too."""
     spec = TABLES[table]
-    keyed, _ = split_null_keys(rows, spec.keys, spec.derived_keys())
     if stored is not None and existing is not None and policy == FIRST_WINS:
-        fresh = exclude_existing(keyed, existing, spec.keys, derived=spec.derived_keys(), key_range=key_range, stored=stored)
+        fresh = exclude_existing(rows, existing, spec.keys, derived=spec.derived_keys(), key_range=key_range, stored=stored)
         return structured(fresh, table)
+    keyed, _ = split_null_keys(rows, spec.keys, spec.derived_keys())
     return exclude_existing(
         structured(keyed, table),
         existing,
@@ -174,7 +157,9 @@ def append_rows(
     the rows are read a second time only if there are any. With ``small_batch`` the lookup of
     known keys is limited to the batch's range of the table's time key, or else to the batch's keys.
     With ``indexed`` it opens only the files that may hold a key of the batch, which a :class:`KeyIndex`
-    names; the counts then say how many of how many files these were.
+    names; the counts then say how many of how many files these were. Any other batch for a table that exists is taken for
+    known for the most part, as landing files stay: its new keys are found first, from keys alone, and whole rows are read
+    only if there are any.
     """
     spec = TABLES[table]
     parsed, written = Observation(), Observation()
@@ -188,12 +173,32 @@ def append_rows(
     key_range = None
     if small_batch and existing is not None and spec.range_key:
         key_range = value_range(rows, spec.range_key)
-    fresh = new_rows(
-        counted, existing, table, policy=policy, key_range=key_range, small_batch=small_batch and not spec.range_key
-    )
-    append_table(fresh.observe(written, F.count(F.lit(1)).alias("rows")), target)
+    folder = f"{shared_dir(spark)}/new-keys-{uuid.uuid4().hex}"
+    unknown: list[bool] = []  # whether rows lack a key, where keys were looked up alone
+
+    def stored(keys: DataFrame) -> DataFrame:
+        keys.write.parquet(folder)
+        new = spark.read.schema(keys.schema).parquet(folder)
+        keyed, unkeyed = split_null_keys(new, keys.columns)
+        unknown.append(not unkeyed.isEmpty())
+        return keyed
+
+    by_keys = existing is not None and policy == FIRST_WINS and not (small_batch or indexed)
+    try:
+        fresh = new_rows(
+            rows if by_keys else counted,
+            existing,
+            table,
+            policy=policy,
+            key_range=key_range,
+            small_batch=small_batch and not spec.range_key,
+            stored=stored if by_keys else None,
+        )
+        append_table(fresh.observe(written, F.count(F.lit(1)).alias("rows")), target)
+    finally:
+        remove_folder(spark, folder)
     counts = {"appended": written.get.get("rows", 0), "quarantined": 0, **opened}
-    if parsed.get.get("unkeyed") != 0:
+    if unknown[0] if by_keys else parsed.get.get("unkeyed") != 0:
         aside = f"{target}__quarantine"
         _, unkeyed = split_null_keys(rows, spec.keys, spec.derived_keys())
         held = Observation()

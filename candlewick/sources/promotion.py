@@ -40,13 +40,24 @@ def _landed(spark: SparkSession, root: str, source: str) -> DataFrame:
 
 
 def _listed(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """The files of a source by path and day. Without its content column a binary file is listed, not opened."""
+    """The files of a source by path, day and size. Without its content column a binary file is listed, not opened."""
     return spark.read.format("binaryFile").load(source_path(root, source)).select(
         relative_path(F.col("_metadata.file_path"), _escaped(root)).alias("relative_path"),
         F.col("date").cast("date").alias("date"),
+        "length",
     )
 
 
+#: Bytes of a file, compressed or plain, from which on it is not worth a shuffle to gather it with others of its day.
+LARGE_FILE = {True: 1 << 20, False: 16 << 20}
+
+
+def _are_large(files: DataFrame, compressed: bool) -> bool:
+    """Whether the files of every day are large on average; one row comes to the driver."""
+    least = files.groupBy("date").agg(F.avg("length").alias("size")).agg(F.min("size")).first()[0]
+    return least is not None and least >= LARGE_FILE[compressed]
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     """A path of the file system that Spark uses; ``path`` as Spark's listings give it, a URI."""
     jvm = spark.sparkContext._jvm
@@ -96,7 +107,8 @@ def promote(
     Lines keep their ``date=`` folder; the ledger keeps the original file names. The new files are
     found first, from a listing that opens none, and fixed in ``<ledger>__pending``. Only the folders
     they lie in are then read, and the first promotion of a source copies without any join. The copies of
-    a day are gathered before they are written, in files of the size AQE aims at, below ``_promotion`` in the target,
+    a day of small files are gathered before they are written, in files of the size AQE aims at; large files are copied
+    by the tasks that read them. Both go below ``_promotion`` in the target,
     where no reader looks. ``<ledger>__manifest`` lists them with the places they go to. It is the decision: a run that
     stops before it is written has changed nothing, and what comes after (moving the files, the ledger) is replayed by
     the next run, which finds what is done already.
@@ -113,7 +125,7 @@ def promote(
             known = None if known.isEmpty() else known
         files = promoted_lines(listed, known)
         pending = f"{ledger_table}__pending"
-        files.withColumn("source", F.lit(source)).write.format("parquet").mode(
+        files.drop("length").withColumn("source", F.lit(source)).write.format("parquet").mode(
             "overwrite"
         ).saveAsTable(pending)
         chosen = spark.table(pending)
@@ -131,7 +143,10 @@ def promote(
                 "left_semi",
             )
         stage = source_path(f"{dst_root.rstrip('/')}/_promotion", source)
-        line_writer(lines.select("value", "date").hint("rebalance", "date"), compression).mode("overwrite").text(stage)
+        copies = lines.select("value", "date")
+        if not _are_large(files, compression is not None):
+            copies = copies.hint("rebalance", "date")
+        line_writer(copies, compression).mode("overwrite").text(stage)
         _list_staged(spark, stage, source, f"{ledger_table}__manifest")
         finish_promotion(spark, ledger_table)
 

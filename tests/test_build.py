@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import gzip
+import hashlib
 import uuid
+import zlib
 from datetime import UTC, date, datetime
 
 import lake
@@ -8,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.plans import bronze, build
-from candlewick.sources import TABLES, promote
+from candlewick.sources import TABLES, promote, promotion
+from candlewick.sources.landing import line_writer
 from candlewick.streaming import stream_table
 
 
@@ -182,3 +186,24 @@ def test_the_facts_of_the_bars_need_no_shuffle_by_default(spark, db, tmp_path):
     for fact in ("fct_daily_returns", "fct_moving_averages", "fct_volume_anomalies"):
         computed = build.GOLD[fact].compute(spark.table(f"{db}.fct_daily_bars"))
         assert "Exchange" not in computed._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("least", [0, 1 << 40])
+def test_large_files_are_promoted_by_the_tasks_that_read_them(spark, db, tmp_path, monkeypatch, setting, least):
+    setting(spark__sql__files__openCostInBytes=str(1 << 30))  # a task per file
+    monkeypatch.setattr(promotion, "LARGE_FILE", {True: least, False: least})
+    for i in range(3):
+        lake.write(tmp_path / "dev", "splits", "2026-08-17", [lake.split(f"S{i}")])
+    promote(spark, str(tmp_path / "dev"), str(tmp_path / "prod"), f"{db}.ledger", ["splits"])
+    assert spark.read.text(f"{tmp_path}/prod/splits").count() == 3
+    assert len(list((tmp_path / "prod").rglob("part-*.txt"))) == (1 if least else 3)
+
+
+def test_landing_is_compressed_at_the_fastest_level(spark, tmp_path):
+    values = [hashlib.md5(str(i).encode()).hexdigest() * 2 for i in range(5000)]
+    rows = spark.createDataFrame([(v, date(2026, 8, 17)) for v in values], "value string, date date").coalesce(1)
+    line_writer(rows, "gzip").text(str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").rglob("part-*.gz")
+    text = gzip.decompress(file.read_bytes())
+    assert sorted(text.decode().split()) == sorted(values)
+    assert file.stat().st_size > len(zlib.compress(text)) * 1.01

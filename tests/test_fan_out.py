@@ -48,3 +48,27 @@ def test_a_load_parses_news_once_and_keeps_nothing(spark, db, tmp_path, monkeypa
     assert not [f for f in os.listdir(shared_dir(spark)) if f.startswith("fan-out-")]
     again = bronze.load_bronze(spark, landing_root=root, schema=db)
     assert all(c == {"appended": 0, "quarantined": 0} for c in again.values())
+
+
+def test_an_envelope_is_staged_as_one_row(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    lake.fill(root)
+    envelopes = bronze.landed(spark, root, NEWS[0])
+    bronze.fan_out(envelopes, NEWS, str(tmp_path / "staged"))
+    assert spark.read.parquet(str(tmp_path / "staged")).count() == envelopes.count()
+
+
+def test_a_load_of_known_rows_looks_up_keys_alone(spark, db, tmp_path, monkeypatch):
+    root = str(tmp_path / "landing")
+    lake.fill(root)
+    lake.write(root, "splits", "2026-08-17", [{"id": None}])
+    looked_up, real = [], bronze.exclude_existing
+    monkeypatch.setattr(bronze, "exclude_existing", lambda *a, **k: looked_up.append(k.get("stored")) or real(*a, **k))
+    first = bronze.load_bronze(spark, landing_root=root, schema=db)
+    assert first["splits"]["quarantined"] == 1 and looked_up == [None] * 6
+    lake.write(root, "splits", "2026-08-18", [lake.split("later"), lake.split("later"), {"id": None, "ticker": "X"}])
+    counts = bronze.load_bronze(spark, landing_root=root, schema=db)
+    assert None not in looked_up[6:]
+    assert counts.pop("splits") == {"appended": 2, "quarantined": 1}
+    assert all(c == {"appended": 0, "quarantined": 0} for c in counts.values())
+    assert not [f for f in os.listdir(shared_dir(spark)) if f.startswith("new-keys-")]
